@@ -1,0 +1,176 @@
+"""Keyed table as versioned Parquet snapshots.
+
+Plain Parquet has no MERGE and a path cannot be overwritten while it is read,
+so a merge writes the changed partitions beside the old ones and then commits a
+small file naming the current paths. Readers see the old version until then,
+and a job that dies leaves only unreferenced files.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from areafacts import scratch
+from areafacts.operators.upsert import upsert
+
+_BUCKET = "bucket"
+_SAFE = re.compile(r"^[A-Za-z0-9_-]+$")
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: T.StructType
+    paths: dict[str, str]  # partition value -> data path relative to the root
+
+
+class SnapshotStore:
+    """One keyed table under ``root`` (any file system Spark can reach).
+
+    ``partition_by`` is an expression over the key columns only, such as the
+    year of a key date, so that a row never changes its partition. A merge reads
+    and rewrites just the partitions its batch touches. Expects one writer at a
+    time; a second one that commits the same version fails.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, keys: Sequence[str], partition_by: Column | None = None
+    ) -> None:
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keys = list(keys)
+        self.partition_by = partition_by
+
+    # -- reading ---------------------------------------------------------
+
+    def versions(self) -> list[int]:
+        fs, commits = _hadoop(self.spark, f"{self.root}/commits")
+        if not fs.exists(commits):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(commits)]
+        return sorted(int(n[: -len(".json")]) for n in names if re.match(r"^\d+\.json$", n))
+
+    def current(self, number: int | None = None) -> Version | None:
+        if number is None:
+            numbers = self.versions()
+            if not numbers:
+                return None
+            number = numbers[-1]
+        text = self.spark.read.text(self._commit_path(number), wholetext=True).head()[0]
+        entry = json.loads(text)
+        return Version(number, T.StructType.fromJson(entry["schema"]), entry["paths"])
+
+    def read(self, version: int | None = None, partitions: Sequence[str] | None = None) -> DataFrame:
+        """The table at a version (default: the current), or some partitions of it."""
+        entry = self.current(version)
+        if entry is None:
+            raise FileNotFoundError(f"nothing has been merged into {self.root} yet")
+        return self._load(self.spark, entry, partitions)
+
+    def register_view(self, name: str) -> None:
+        """Name the current version for SQL text; a later merge does not move it."""
+        self.read().createOrReplaceTempView(name)
+
+    # -- writing ---------------------------------------------------------
+
+    def ensure(self, schema: T.StructType) -> bool:
+        """Create the empty table if there is none; true if it was created."""
+        if self.versions():
+            return False
+        self._commit(Version(0, schema, {}))
+        return True
+
+    def merge(self, source: DataFrame, null_safe: bool = False, evolve: bool = False) -> int:
+        """Upsert ``source`` by the keys and return the new version number."""
+        self.ensure(source.schema)
+        spark = source.sparkSession
+        entry = self.current()
+        batch, staged = scratch.written(source, "batch")
+        touched = self._touched(batch)
+
+        target = self._load(spark, entry, touched)
+        result = upsert(target, batch, self.keys, null_safe, evolve)
+        number = entry.number + 1
+        data = f"data/{number:08d}-{uuid.uuid4().hex[:8]}"
+        # Rebalancing splits a partition that is too big for one task and joins
+        # those that are too small, so files come out at a usable size.
+        (
+            result.withColumn(_BUCKET, self._bucket())
+            .hint("rebalance", F.col(_BUCKET))
+            .write.partitionBy(_BUCKET)
+            .parquet(f"{self.root}/{data}")
+        )
+        changed = {value: f"{data}/{_BUCKET}={value}" for value in touched}
+        self._commit(Version(number, result.schema, {**entry.paths, **changed}))
+        _delete(spark, staged)
+        return number
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete data that only versions older than the last ``keep`` refer to."""
+        if keep < 1:
+            raise ValueError("keep at least the current version")
+        numbers = self.versions()
+        old, kept = numbers[:-keep], numbers[-keep:]
+        alive = {path for n in kept for path in self.current(n).paths.values()}
+        dead = {path for n in old for path in self.current(n).paths.values()} - alive
+        for path in dead:
+            _delete(self.spark, f"{self.root}/{path}")
+        for n in old:
+            _delete(self.spark, self._commit_path(n))
+        return len(dead)
+
+    # -- helpers -----------------------------------------------------------
+
+    def _bucket(self) -> Column:
+        if self.partition_by is None:
+            return F.lit("all")
+        return F.coalesce(self.partition_by.cast("string"), F.lit("none"))
+
+    def _touched(self, batch: DataFrame) -> list[str]:
+        """Partition values of the batch: as many as partitions, not as rows."""
+        values = [r[0] for r in batch.select(*self.keys).select(self._bucket()).distinct().collect()]
+        bad = [v for v in values if not _SAFE.match(v)]
+        if bad:
+            raise ValueError(f"partition values must be plain words or numbers: {bad[:5]}")
+        return sorted(values)
+
+    def _load(self, spark: SparkSession, entry: Version, partitions: Sequence[str] | None) -> DataFrame:
+        wanted = entry.paths if partitions is None else [p for p in partitions if p in entry.paths]
+        paths = [f"{self.root}/{entry.paths[p]}" for p in wanted]
+        if not paths:
+            return spark.createDataFrame([], entry.schema)
+        # files older than a schema change lack the new columns: read as null
+        return spark.read.schema(entry.schema).parquet(*paths)
+
+    def _commit_path(self, number: int) -> str:
+        return f"{self.root}/commits/{number:08d}.json"
+
+    def _commit(self, version: Version) -> None:
+        text = json.dumps({"schema": version.schema.jsonValue(), "paths": version.paths})
+        fs, final = _hadoop(self.spark, self._commit_path(version.number))
+        _, draft = _hadoop(self.spark, f"{self.root}/commits/.{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+        if fs.exists(final) or not fs.rename(draft, final):
+            fs.delete(draft, False)
+            raise RuntimeError(f"version {version.number} of {self.root} was committed by another writer")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) objects of the storage behind ``path``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
