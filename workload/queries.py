@@ -364,7 +364,7 @@ def value_trend_county(spark, sf):
 
 @query
 def market_trend(spark, sf):
-    return marts.market_trend(market(spark, sf))
+    return marts.market_trend(market(spark, sf), ordered=False)
 
 
 @query
