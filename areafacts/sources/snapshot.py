@@ -101,15 +101,15 @@ class SnapshotStore:
         spark = source.sparkSession
         entry = self.current()
         batch, staged = scratch.written(source, "batch")
-        touched = self._touched(batch)
-
-        target = self._load(spark, entry, touched)
-        result = upsert(target, batch, self.keys, null_safe, evolve)
-        number = entry.number + 1
-        data = f"data/{number:08d}-{uuid.uuid4().hex[:8]}"
-        changed = self._write(result, data, touched)
-        self._commit(Version(number, result.schema, {**entry.paths, **changed}))
-        _delete(spark, staged)
+        try:
+            touched = self._touched(batch)
+            target = self._load(spark, entry, touched)
+            result = upsert(target, batch, self.keys, null_safe, evolve)
+            number = entry.number + 1
+            changed = self._write(result, f"data/{number:08d}-{uuid.uuid4().hex[:8]}", touched)
+            self._commit(Version(number, result.schema, {**entry.paths, **changed}))
+        finally:
+            _delete(spark, staged)
         return number
 
     def vacuum(self, keep: int = 2) -> int:

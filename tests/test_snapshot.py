@@ -1,0 +1,142 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from areafacts import scratch
+from areafacts.plans import feeds
+from areafacts.sources.snapshot import SnapshotStore
+
+SCHEMA = "day string, k int, v double"
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return SnapshotStore(spark, str(tmp_path / "table"), ["day", "k"], F.substring("day", 1, 4))
+
+
+def test_merge_and_history(store, spark, rows):
+    assert store.versions() == []
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    first = store.merge(batch(spark, ("2020-01-01", 1, 1.0), ("2021-01-01", 1, 2.0)))
+    second = store.merge(batch(spark, ("2021-01-01", 1, 9.0), ("2022-01-01", 2, 3.0)))
+    assert (first, second) == (1, 2)
+    assert rows(store.read()) == [("2020-01-01", 1, 1.0), ("2021-01-01", 1, 9.0), ("2022-01-01", 2, 3.0)]
+    assert rows(store.read(version=1)) == [("2020-01-01", 1, 1.0), ("2021-01-01", 1, 2.0)]
+    assert store.read(version=0).count() == 0
+    assert rows(store.read(partitions=["2022"])) == [("2022-01-01", 2, 3.0)]
+
+
+def test_untouched_partitions_are_not_rewritten(store, spark):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0), ("2021-01-01", 1, 2.0)))
+    before = store.current().paths
+    store.merge(batch(spark, ("2021-05-05", 1, 1.0)))
+    after = store.current().paths
+    assert after["2020"] == before["2020"]
+    assert after["2021"] != before["2021"]
+
+
+def test_rerun_changes_nothing(store, spark, rows):
+    rows_in = batch(spark, ("2020-01-01", 1, 1.0), ("2021-01-01", 1, 2.0))
+    store.merge(rows_in)
+    store.merge(rows_in)
+    assert rows(store.read()) == rows(rows_in)
+
+
+def test_null_partition_and_key(store, spark, rows):
+    null_row = batch(spark, (None, 1, 1.0))
+    store.merge(null_row)
+    store.merge(null_row)
+    assert store.read().count() == 2
+    assert list(store.current().paths) == ["none"]
+
+
+def test_failed_merge_leaves_the_table_as_it_was(store, spark, rows):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0)))
+    with pytest.raises(Exception, match="duplicate key"):
+        store.merge(batch(spark, ("2020-01-01", 2, 1.0), ("2020-01-01", 2, 2.0)))
+    assert store.versions() == [0, 1]
+    assert rows(store.read()) == [("2020-01-01", 1, 1.0)]
+
+
+def test_staged_batches_are_removed(store, spark):
+    home = os.path.dirname(scratch.folder(spark, "x"))
+    count = lambda: len([n for n in os.listdir(home) if n.startswith("batch-")]) if os.path.exists(home) else 0
+    before = count()
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0)))
+    assert count() == before
+
+
+def test_evolution_reads_old_files_with_nulls(store, spark, rows):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0), ("2021-01-01", 1, 2.0)))
+    store.merge(batch(spark, ("2021-01-01", 1, 5.0)).withColumn("note", F.lit("n")), evolve=True)
+    assert rows(store.read()) == [("2020-01-01", 1, 1.0, None), ("2021-01-01", 1, 5.0, "n")]
+    store.merge(batch(spark, ("2020-01-01", 1, 7.0)).drop("v"), evolve=True)
+    assert rows(store.read(), "k", "v") == [(1, 1.0), (1, 5.0)]
+
+
+def test_unpartitioned(spark, tmp_path, rows):
+    store = SnapshotStore(spark, str(tmp_path / "flat"), ["k"])
+    store.merge(batch(spark, ("a", 1, 1.0)))
+    store.merge(batch(spark, ("b", 1, 2.0), ("c", 2, 3.0)))
+    assert rows(store.read()) == [("b", 1, 2.0), ("c", 2, 3.0)]
+
+
+def test_partition_must_come_from_the_key(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "t"), ["k"], F.substring("day", 1, 4))
+    with pytest.raises(Exception, match="day"):
+        store.merge(batch(spark, ("2020-01-01", 1, 1.0)))
+
+
+def test_unsafe_partition_value(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "t"), ["day"], F.col("day"))
+    with pytest.raises(ValueError, match="plain words"):
+        store.merge(batch(spark, ("a/b", 1, 1.0)))
+
+
+def test_second_writer_of_a_version_fails(store, spark):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0)))
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._commit(store.current())
+
+
+def test_vacuum(store, spark, rows):
+    for v in range(4):
+        store.merge(batch(spark, ("2020-01-01", 1, float(v)), ("2021-01-01", v, 1.0)))
+    content = rows(store.read())
+    assert store.vacuum(keep=1) > 0
+    assert store.versions() == [4]
+    assert rows(store.read()) == content
+    store.merge(batch(spark, ("2020-01-01", 1, 8.0)))
+    assert ("2020-01-01", 1, 8.0) in rows(store.read())
+
+
+def test_view(store, spark):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.5)))
+    store.register_view("stored")
+    assert spark.sql("SELECT sum(v) FROM stored").head()[0] == 1.5
+
+
+def test_feed_run_from_files(spark, tmp_path, rows):
+    """A delivered file, its correction, and the same file again."""
+    path = tmp_path / "market.tsv"
+    header = "period_begin\tperiod_end\tregion_type\tregion_type_id\tregion_name\tregion_id\tduration\tmedian_sale_price\tnote\n"
+    row = "{0}\t2023-01-07\tcounty\t5\tKing County, WA\t1\t1 weeks\t{1}\tn\n"
+    path.write_text(header + row.format("2023-01-01", 100) + row.format("2022-12-25", 90) + row.format("2023-01-01", 100))
+    store = feeds.FEEDS["market_weekly"].store(spark, str(tmp_path / "table"))
+    feeds.run(spark, "market_weekly", str(path), store, as_of="2024-02-01")
+    assert rows(store.read(), "county_name", "median_sale_price") == [("king", 100.0), ("king", 90.0)]
+    assert sorted(store.current().paths) == ["2022", "2023"]
+
+    fix = tmp_path / "fix.tsv"
+    fix.write_text(header + row.format("2023-01-01", 120))
+    for _ in range(2):
+        feeds.run(spark, "market_weekly", str(fix), store, as_of="2024-02-08")
+    assert rows(store.read(), "period_begin", "median_sale_price", "processed_date", "note").__len__() == 2
+    latest = store.read().where("period_begin = '2023-01-01'").head()
+    assert (latest["median_sale_price"], str(latest["processed_date"])) == (120.0, "2024-02-08")

@@ -1,0 +1,148 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from areafacts.operators.upsert import upsert
+from tests.conftest import plan_of
+
+SCHEMA = "k int, s string, v double"
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "c", 3.0)], SCHEMA)
+
+
+@pytest.fixture
+def source(spark):
+    return spark.createDataFrame([(2, "B", None), (3, "d", 4.0), (None, "C", 5.0)], SCHEMA)
+
+
+def test_replace_insert_keep(target, source, rows):
+    """A matched row is replaced in all columns, nulls included; null keys match nothing."""
+    assert rows(upsert(target, source, ["k"])) == [
+        (None, "C", 5.0),
+        (None, "c", 3.0),
+        (1, "a", 1.0),
+        (2, "B", None),
+        (3, "d", 4.0),
+    ]
+
+
+def test_null_safe(target, source, rows):
+    assert rows(upsert(target, source, ["k"], null_safe=True)) == [
+        (None, "C", 5.0),
+        (1, "a", 1.0),
+        (2, "B", None),
+        (3, "d", 4.0),
+    ]
+
+
+def test_null_key_is_inserted_by_every_run(target, source, rows):
+    once = upsert(target, source, ["k"])
+    twice = upsert(once, source, ["k"])
+    assert twice.count() == once.count() + 1
+    safe = upsert(target, source, ["k"], null_safe=True)
+    assert rows(upsert(safe, source, ["k"], null_safe=True)) == rows(safe)
+
+
+def test_composite_key_matches_on_all_parts(spark, rows):
+    t = spark.createDataFrame([(1, "x", 1.0), (1, "y", 2.0), (1, None, 3.0)], SCHEMA)
+    s = spark.createDataFrame([(1, "y", 9.0), (1, None, 8.0)], SCHEMA)
+    assert rows(upsert(t, s, ["k", "s"])) == [(1, None, 3.0), (1, None, 8.0), (1, "x", 1.0), (1, "y", 9.0)]
+    assert rows(upsert(t, s, ["k", "s"], null_safe=True)) == [(1, None, 8.0), (1, "x", 1.0), (1, "y", 9.0)]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("evolve", [False, True])
+@pytest.mark.parametrize("empty_target", [False, True])
+def test_duplicate_source_keys_fail(target, spark, null_safe, evolve, empty_target):
+    s = spark.createDataFrame([(2, "B", 1.0), (2, "D", 1.0)], SCHEMA)
+    if evolve:
+        s = s.drop("s")
+    t = target.limit(0) if empty_target else target
+    with pytest.raises(Exception, match="duplicate key"):
+        upsert(t, s, ["k"], null_safe=null_safe, evolve=evolve).collect()
+
+
+def test_repeated_null_keys_fail_only_where_nulls_match(target, spark):
+    s = spark.createDataFrame([(None, "B", 1.0), (None, "D", 1.0)], SCHEMA)
+    assert upsert(target, s, ["k"]).count() == 5
+    with pytest.raises(Exception, match="duplicate key"):
+        upsert(target, s, ["k"], null_safe=True).collect()
+
+
+def test_columns_without_evolution(target, source, rows):
+    extra = source.withColumn("more", F.lit(1))
+    assert rows(upsert(target, extra, ["k"])) == rows(upsert(target, source, ["k"]))
+    with pytest.raises(ValueError, match="lacks columns"):
+        upsert(target, source.drop("v"), ["k"])
+
+
+def test_target_types_and_order_win(target, spark, rows):
+    s = spark.createDataFrame([("7", 2)], "V string, K bigint").withColumn("S", F.lit("n"))
+    out = upsert(target, s, ["k"])
+    assert out.dtypes == target.dtypes
+    assert (2, "n", 7.0) in rows(out)
+
+
+def test_evolve_adds_columns(target, source, rows):
+    out = upsert(target, source.withColumn("more", F.lit("m")), ["k"], evolve=True)
+    assert out.columns == ["k", "s", "v", "more"]
+    assert rows(out, "k", "more") == [(None, None), (None, "m"), (1, None), (2, "m"), (3, "m")]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_evolve_keeps_columns_the_source_lacks(target, source, rows, null_safe):
+    s = source.drop("s").withColumn("more", F.lit("m"))
+    out = upsert(target, s, ["k"], evolve=True, null_safe=null_safe)
+    assert out.columns == ["k", "s", "v", "more"]
+    nulls = [(None, "c", 5.0, "m")] if null_safe else [(None, None, 5.0, "m"), (None, "c", 3.0, None)]
+    assert rows(out) == [*nulls, (1, "a", 1.0, None), (2, "b", None, "m"), (3, None, 4.0, "m")]
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    """The stored table is read once, streamed past the batch's keys and not exchanged."""
+    target_path, batch_path = str(tmp_path / "t"), str(tmp_path / "b")
+    spark.range(1000).select("id", (F.col("id") * 2).alias("v")).write.parquet(target_path)
+    spark.range(5).select("id", F.lit(0).cast("long").alias("v")).write.parquet(batch_path)
+    out = upsert(spark.read.parquet(target_path), spark.read.parquet(batch_path), ["id"])
+    plan = plan_of(out)
+    assert "LeftAnti, BuildRight" in plan
+    assert "hashpartitioning(id" in plan  # the batch's keys only
+    assert out.count() == 1000
+
+
+def test_key_check_and_join_share_one_shuffle(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in "tb"]
+    for path in paths:
+        spark.range(1000).select("id", F.lit(1).alias("v")).write.parquet(path)
+    target, batch = (spark.read.parquet(p) for p in paths)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = upsert(target, batch, ["id"])
+        out.collect()
+        # one exchange for the target, one for the batch's keys, used twice
+        assert plan_of(out).count("ReusedExchange") >= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+keys = st.one_of(st.none(), st.integers(0, 6))
+tables = st.dictionaries(keys, st.integers(0, 99), max_size=6)
+
+
+@settings(max_examples=12, deadline=None)
+@given(old=tables, new=tables)
+def test_property_dictionary_update(old, new):
+    """With null-safe keys an upsert is a dictionary update, and idempotent."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    t = spark.createDataFrame(list(old.items()), "k int, v int")
+    s = spark.createDataFrame(list(new.items()), "k int, v int")
+    once = upsert(t, s, ["k"], null_safe=True)
+    assert {r["k"]: r["v"] for r in once.collect()} == {**old, **new}
+    again = upsert(once, s, ["k"], null_safe=True)
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
