@@ -1,0 +1,233 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from areafacts import schemas as S
+from areafacts.plans import marts
+from tests.conftest import plan_of
+
+D = date(2024, 2, 1)
+
+
+@pytest.fixture
+def areas(spark):
+    def area(zip, state, county, population, city="c"):
+        return (zip, 1.0, 2.0, city, state, state.upper(), population, 10.0, county, D)
+
+    return spark.createDataFrame(
+        [
+            area(10001, "ny", "new york", 1000),
+            area(10002, "ny", "new york", 0),
+            area(75001, "tx", "king", 500),
+            area(98101, "wa", "king", 2000),
+        ],
+        S.AREA,
+    )
+
+
+@pytest.fixture
+def values(spark):
+    def value(region, zip, state, month, amount, county="new york"):
+        return (region, 1, zip, "zip", state.upper(), state, "c", "m", county, month, amount)
+
+    return spark.createDataFrame(
+        [
+            value(7, 10001, "ny", "2023-01-31", 100.0),
+            value(7, 10001, "ny", "2023-02-28", 130.0),
+            value(7, 10001, "ny", "2023-03-31", None),
+            value(8, 98101, "wa", "2023-01-31", 500.0, "king"),
+            value(8, 98101, "wa", "2023-04-30", 510.0, "king"),
+            # a region whose surrogate id looks like a zip of another area
+            value(10002, 11111, "ny", "2023-01-31", 1.0),
+        ],
+        S.VALUE,
+    )
+
+
+@pytest.fixture
+def places(spark):
+    def place(name, zip, state, stars, reviews, categories="Restaurants, Italian", address="a"):
+        return (address, categories, "c", 0.0, 0.0, name, str(zip), reviews, stars, state, D, zip)
+
+    return spark.createDataFrame(
+        [
+            place("best", 10001, "ny", 5.0, 10),
+            place("good", 10001, "ny", 4.0, 30),
+            place("books", 10001, "ny", 4.0, 20, "Shopping,Books"),
+            place("tie", 98101, "wa", 5.0, 10, " Food , Restaurants"),
+            place("none", 98101, "wa", 2.0, 0, None),
+            place("elsewhere", 98101, "or", 1.0, 5),
+            place("not a match", 98101, "wa", 3.0, 5, "Restaurants And Bars"),
+        ],
+        S.PLACE,
+    )
+
+
+@pytest.fixture
+def market(spark):
+    schema = (
+        "period_begin date, period_end date, duration string, median_sale_price double, "
+        "median_days_on_market double, active_listings int, county_name string, state_id string, processed_date date"
+    )
+    return spark.createDataFrame(
+        [
+            (date(2023, 1, 1), date(2023, 1, 7), "1w", 10.0, 1.0, 5, "king", "wa", D),
+            (date(2023, 1, 8), date(2023, 1, 14), "1w", 20.0, 2.0, 6, "king", "wa", D),
+            (date(2022, 12, 18), date(2023, 1, 14), "4w", 99.0, 9.0, 7, "king", "wa", D),
+            (date(2023, 1, 8), date(2023, 1, 14), "1w", 1000.0, 3.0, None, "king", "tx", D),
+            (date(2023, 2, 5), date(2023, 2, 11), "1w", 40.0, 4.0, 8, "king", "wa", D),
+        ],
+        schema,
+    )
+
+
+def test_latest_value_is_the_last_known(values, rows):
+    assert rows(marts.latest_value(values)) == [
+        (10001, "ny", date(2023, 2, 28), 130.0),
+        (11111, "ny", date(2023, 1, 31), 1.0),
+        (98101, "wa", date(2023, 4, 30), 510.0),
+    ]
+
+
+def test_price_range_is_closed(values, rows):
+    assert rows(marts.areas_in_price_range(values, 130.0, 510.0), "zip") == [(10001,), (98101,)]
+    assert rows(marts.areas_in_price_range(values, 131.0, 509.0), "zip") == []
+
+
+def test_value_trend(values):
+    out = [tuple(r) for r in marts.value_trend(values).collect()]
+    assert out == [
+        (10001, "ny", date(2023, 1, 1), 100.0, 1, None),
+        (10001, "ny", date(2023, 2, 1), 130.0, 1, 30.0),
+        (11111, "ny", date(2023, 1, 1), 1.0, 1, None),
+        (98101, "wa", date(2023, 1, 1), 500.0, 1, None),
+        (98101, "wa", date(2023, 4, 1), 510.0, 1, 10.0),
+    ]
+    by_county = marts.value_trend(values, by=("county_name", "state_id"), grain="year")
+    assert [tuple(r)[:5] for r in by_county.collect()] == [
+        ("king", "wa", date(2023, 1, 1), 505.0, 2),
+        ("new york", "ny", date(2023, 1, 1), 77.0, 3),
+    ]
+
+
+def test_market_trend(market):
+    week = marts.market_trend(market, ["median_sale_price"]).where("state_id = 'wa'")
+    assert [r["median_sale_price"] for r in week.collect()] == [99.0, 10.0, 20.0, 40.0]
+    month = marts.market_trend(market, ["median_sale_price", "active_listings"], grain="month")
+    assert [tuple(r) for r in month.collect()] == [
+        ("king", "tx", date(2023, 1, 1), 1000.0, None, 1),
+        ("king", "wa", date(2022, 12, 1), 99.0, 7.0, 1),
+        ("king", "wa", date(2023, 1, 1), 15.0, 5.5, 2),
+        ("king", "wa", date(2023, 2, 1), 40.0, 8.0, 1),
+    ]
+
+
+def test_latest_market_prefers_the_latest_start_of_the_last_end(market, rows):
+    before = market.where("period_end < '2023-02-01'")
+    assert rows(marts.latest_market(before, ["median_sale_price"])) == [
+        ("king", "tx", date(2023, 1, 14), 1000.0),
+        ("king", "wa", date(2023, 1, 14), 20.0),
+    ]
+
+
+def test_categories(places, rows):
+    assert rows(marts.with_category(places, "Restaurants"), "name") == [
+        ("best",),
+        ("elsewhere",),
+        ("good",),
+        ("tie",),
+    ]
+
+
+def test_density(areas, places, rows):
+    assert rows(marts.place_density(areas, places), "zip", "places", "places_per_1000") == [
+        (10001, 3, 3.0),
+        (10002, 0, None),
+        (75001, 0, 0.0),
+        (98101, 3, 1.5),
+    ]
+    assert rows(marts.place_density(areas, places, "Restaurants"), "zip", "places") == [
+        (10001, 2),
+        (10002, 0),
+        (75001, 0),
+        (98101, 1),
+    ]
+
+
+def test_quality(places):
+    out = {(r["zip"], r["state_id"]): r for r in marts.place_quality(places).collect()}
+    ny = out[(10001, "ny")]
+    assert ny["mean_stars"] == pytest.approx(13 / 3)
+    assert ny["weighted_stars"] == pytest.approx((50 + 120 + 80) / 60)
+    assert out[(98101, "or")]["weighted_stars"] == 1.0
+    only = marts.place_quality(places.where("name = 'none'")).head()
+    assert (only["mean_stars"], only["weighted_stars"]) == (2.0, None)  # no review to weigh by
+
+
+def test_top_places(places, rows):
+    top = marts.top_places(places, 3)
+    assert [r["name"] for r in top.collect()] == ["best", "tie", "good"]
+    per = marts.top_places(places, 1, per=["state"])
+    assert rows(per, "state", "name", "rank") == [("ny", "best", 1), ("or", "elsewhere", 1), ("wa", "tie", 1)]
+    assert [r["name"] for r in marts.top_places(places, 9, category="Restaurants").collect()] == [
+        "best",
+        "tie",
+        "good",
+        "elsewhere",
+    ]
+
+
+def test_county_join_uses_the_state(areas, market, rows):
+    out = marts.area_market(areas, market, ["median_sale_price"])
+    assert rows(out, "zip", "median_sale_price") == [(10001, None), (10002, None), (75001, 1000.0), (98101, 40.0)]
+
+
+def test_profile_has_one_row_per_area(areas, values, market, places, rows):
+    out = marts.area_profile(areas, values, market, places)
+    assert rows(
+        out, "zip", "home_value", "places", "category_places", "category_stars", "median_sale_price", "category_per_1000"
+    ) == [
+        (10001, 130.0, 3, 2, 4.5, None, 2.0),
+        (10002, None, 0, 0, None, None, None),
+        (75001, None, 0, 0, None, 1000.0, 0.0),
+        (98101, 510.0, 3, 1, 5.0, 40.0, 0.5),
+    ]
+
+
+def test_drill_down_equals_the_filtered_profile(areas, values, market, places, rows):
+    one = marts.area_profile(areas, values, market, places, zip=98101)
+    assert rows(one) == rows(marts.area_profile(areas, values, market, places).where("zip = 98101"))
+
+
+def test_drill_down_reaches_every_scan(areas, values, market, places, spark, tmp_path):
+    frames = {}
+    for name, df in (("areas", areas), ("values", values), ("market", market), ("places", places)):
+        df.write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    plan = plan_of(marts.area_profile(**frames, zip=98101))
+    assert "EqualTo(zip,98101)" in plan
+    assert "EqualTo(RegionName,98101)" in plan
+    assert "EqualTo(zip_int,98101)" in plan
+
+
+def test_series_are_reduced_before_the_join(areas, values, market, places):
+    """Every aggregate of the profile is a hash aggregate; nothing is sorted or crossed."""
+    plan = plan_of(marts.area_profile(areas, values, market, places))
+    assert "SortAggregate" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "Python" not in plan
+
+
+def test_area_density(areas):
+    assert marts.area_density(areas).columns == ["zip", "state_id", "lat", "lng", "population", "density"]
+
+
+def test_sums_do_not_depend_on_the_partitioning(spark):
+    from areafacts.functions.measures import exact_mean, exact_sum
+
+    df = spark.range(100000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 100).alias("v"))
+    results = {
+        tuple(df.repartition(n).agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()) for n in (1, 3, 8, 20)
+    }
+    assert len(results) == 1
