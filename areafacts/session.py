@@ -15,7 +15,9 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", app: str = "areafacts", memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "areafacts", memory: str = "8g", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -25,7 +27,7 @@ def local_session(cores: int | str = "*", app: str = "areafacts", memory: str =
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

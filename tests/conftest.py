@@ -8,14 +8,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from areafacts.session import local_session
 
     os.chdir(tmp_path_factory.mktemp("cwd"))
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
-    session = local_session(8)
+    session = local_session(
+        8,
+        settings={
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
+        },
+    )
     yield session
     session.stop()
 

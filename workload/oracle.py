@@ -31,7 +31,7 @@ market AS (
 
 _PLACES = r"""
 ev AS (
-  SELECT e.*, cust.c_name, cust.r_name, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
+  SELECT e.*, cust.c_name, cust.r_name, CAST(floor(value * 100) AS BIGINT) % 100 AS k,
          CAST(user_id AS VARCHAR) AS u
   FROM events e JOIN cust ON user_id = c_custkey
 ),

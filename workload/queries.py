@@ -460,7 +460,7 @@ def stream_ingest(spark, sf):
     home = scratch.folder(spark, "stream")
     drop, keys = f"{home}/in", ["user_id", "event_type"]
     store = SnapshotStore(spark, f"{home}/table", keys)
-    schema = table(spark, sf, "events").schema
+    schema = frames.SCHEMAS["events"]
     for lo, hi in zip(DELIVERIES, DELIVERIES[1:]):
         _delivery(spark, sf, lo, hi).write.mode("append").parquet(drop)
         streams.ingest(
@@ -476,7 +476,7 @@ def stream_ingest(spark, sf):
 def stream_dedupe(spark, sf):
     """Events de-duplicated by user and type across two runs of one stream."""
     home = scratch.folder(spark, "stream")
-    schema = table(spark, sf, "events").schema
+    schema = frames.SCHEMAS["events"]
     for lo, hi in ((None, DELIVERIES[2]), (DELIVERIES[2], None)):
         _delivery(spark, sf, lo, hi).write.mode("append").parquet(f"{home}/in")
         first = streams.dedupe(
