@@ -63,7 +63,10 @@ def top_per_group(
     position = rank or "__position"
     threshold = int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000"))
     if k > threshold:
-        slices = df.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        # The partition number parts exact copies of a row, which hash alike; unlike a
+        # random salt it is the same again when a lost task is repeated.
+        salt = F.pmod(F.pmod(F.xxhash64(*df.columns), F.lit(salts)) + F.spark_partition_id(), F.lit(salts))
+        slices = df.withColumn("__slice", salt)
         df = _first(slices, [*group, "__slice"], order_by, k, "__in_slice").drop("__slice", "__in_slice")
     top = _first(df, group, order_by, k, position)
     return top if rank else top.drop(position)

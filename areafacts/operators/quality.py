@@ -28,11 +28,12 @@ def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     ``rejected`` carries the names of the failed rules in ``reasons``. Both are
     lazy filters over ``df``.
     """
-    kept = df.where(R.all_of(*rules.values()))
+    every = R.all_of(*rules.values())
     reasons = F.array_compact(
         F.array(*[F.when(~R.holds(rule), F.lit(name)) for name, rule in rules.items()])
     )
-    rejected = df.withColumn("reasons", reasons).where(F.size("reasons") > 0)
+    kept = df.where(every)
+    rejected = df.where(~R.holds(every)).withColumn("reasons", reasons)
     return kept, rejected
 
 

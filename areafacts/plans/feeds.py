@@ -110,10 +110,15 @@ def value_index(
 
 @dataclass(frozen=True)
 class Feed:
-    """How one feed is read, cleaned, keyed and laid out."""
+    """How one feed is read, cleaned, keyed and laid out.
+
+    ``stream`` takes the drop folder, a file with the layout of its files and the
+    number of files per micro-batch.
+    """
 
     name: str
     read: Callable[[SparkSession, str], DataFrame]
+    stream: Callable[[SparkSession, str, str, int | None], DataFrame]
     clean: Callable[..., DataFrame]
     keys: tuple[str, ...]
     partition_by: Callable[[], Column] | None = None
@@ -123,6 +128,8 @@ class Feed:
         return SnapshotStore(spark, root, self.keys, layout)
 
 
+_CORRUPT = "_corrupt_record"
+
 # The two time series grow without end: by year, a batch rewrites only the years
 # it brings.
 FEEDS = {
@@ -131,6 +138,7 @@ FEEDS = {
         Feed(
             "market_weekly",
             lambda spark, path: readers.read_delimited(spark, path, S.RAW_MARKET, sep="\t"),
+            lambda spark, folder, like, n: readers.stream_delimited(spark, folder, like, S.RAW_MARKET, "\t", n),
             market_weekly,
             S.MARKET_KEYS,
             lambda: F.year("period_begin"),
@@ -138,18 +146,23 @@ FEEDS = {
         Feed(
             "area_reference",
             lambda spark, path: readers.read_delimited(spark, path, S.RAW_AREA),
+            lambda spark, folder, like, n: readers.stream_delimited(spark, folder, like, S.RAW_AREA, ",", n),
             area_reference,
             S.AREA_KEYS,
         ),
         Feed(
             "places",
-            lambda spark, path: readers.read_json_lines(spark, path, S.RAW_PLACE).drop("_corrupt_record"),
+            lambda spark, path: readers.read_json_lines(spark, path, S.RAW_PLACE, _CORRUPT).drop(_CORRUPT),
+            lambda spark, folder, like, n: readers.stream_json_lines(
+                spark, folder, S.RAW_PLACE, _CORRUPT, n
+            ).drop(_CORRUPT),
             places,
             S.PLACE_KEYS,
         ),
         Feed(
             "value_index",
             lambda spark, path: readers.read_wide_index(spark, path, S.RAW_VALUE_IDS),
+            lambda spark, folder, like, n: readers.stream_wide_index(spark, folder, like, S.RAW_VALUE_IDS, n),
             value_index,
             S.VALUE_KEYS,
             lambda: F.substring("Date", 1, 4),

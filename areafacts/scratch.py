@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_local_base: str | None = None
+
+
 def folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
 
@@ -17,12 +20,13 @@ def folder(spark: SparkSession, purpose: str) -> str:
     a cluster a missing setting is an error, because a machine-local path is
     gone with the machine.
     """
+    global _local_base
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="areafacts-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        _local_base = _local_base or tempfile.mkdtemp(prefix="areafacts-")
+        base = _local_base
     return f"{base.rstrip('/')}/areafacts/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -5,12 +5,17 @@ Types come from explicit schemas, so no file is scanned twice to guess them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import TypeVar
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from areafacts.operators.reshape import split_columns
 from areafacts.schemas import VALUE_COLUMN_PREFIX
 
+Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
+
 
 def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names of a delimited file; reads its first line only."""
@@ -41,11 +46,9 @@ def read_delimited(
     """
     if extra not in ("keep", "drop"):
         raise ValueError("extra is 'keep' or 'drop'")
-    reader = spark.read.option("header", True).option("sep", sep)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    full = schema_by_header(header(spark, path, sep), schema)
-    df = reader.schema(full).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
+        return spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    df = _delimited(spark.read, schema_by_header(header(spark, path, sep), schema), sep).csv(path)
     if extra == "keep":
         return df
     named = {f.name.lower() for f in schema.fields}
@@ -59,13 +62,7 @@ def read_json_lines(
 
     A malformed line keeps its text in ``corrupt_col``, which is null otherwise.
     """
-    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)])
-    return (
-        spark.read.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", corrupt_col)
-        .json(path)
-    )
+    return _json_lines(spark.read, schema, corrupt_col).json(path)
 
 
 def wide_schema(names: list[str], id_schema: T.StructType, value_prefix: str = VALUE_COLUMN_PREFIX) -> T.StructType:
@@ -79,5 +76,47 @@ def read_wide_index(
     spark: SparkSession, path: str, id_schema: T.StructType, value_prefix: str = VALUE_COLUMN_PREFIX
 ) -> DataFrame:
     """Comma-separated wide table whose value columns are known only by prefix."""
-    full = wide_schema(header(spark, path), id_schema, value_prefix)
-    return spark.read.schema(full).option("header", True).option("enforceSchema", False).csv(path)
+    return _delimited(spark.read, wide_schema(header(spark, path), id_schema, value_prefix), ",").csv(path)
+
+
+# -- the same files as a stream: a folder into which deliveries are dropped ---------
+
+
+def stream_delimited(
+    spark: SparkSession, folder: str, like: str, schema: T.StructType, sep: str = ",", max_files: int | None = None
+) -> DataFrame:
+    """Files dropped into ``folder``, all with the header of the file ``like``."""
+    full = schema_by_header(header(spark, like, sep), schema)
+    return _delimited(_stream(spark, max_files), full, sep).csv(folder)
+
+
+def stream_wide_index(
+    spark: SparkSession, folder: str, like: str, id_schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    full = wide_schema(header(spark, like), id_schema)
+    return _delimited(_stream(spark, max_files), full, ",").csv(folder)
+
+
+def stream_json_lines(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    corrupt_col: str = "_corrupt_record",
+    max_files: int | None = None,
+) -> DataFrame:
+    return _json_lines(_stream(spark, max_files), schema, corrupt_col).json(folder)
+
+
+def _stream(spark: SparkSession, max_files: int | None) -> DataStreamReader:
+    reader = spark.readStream
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
+def _delimited(reader: Reader, schema: T.StructType, sep: str) -> Reader:
+    # enforceSchema=False compares every file's header with the schema
+    return reader.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", False)
+
+
+def _json_lines(reader: Reader, schema: T.StructType, corrupt_col: str) -> Reader:
+    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)])
+    return reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)

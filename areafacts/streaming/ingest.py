@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from areafacts.plans.feeds import FEEDS, Feed
 from areafacts.sources.snapshot import SnapshotStore
 
 
@@ -37,6 +39,34 @@ def ingest(
     )
 
 
+def ingest_feed(
+    spark: SparkSession,
+    feed: str | Feed,
+    folder: str,
+    like: str,
+    store: SnapshotStore,
+    checkpoint: str,
+    max_files: int | None = None,
+    **options,
+) -> StreamingQuery:
+    """Ingest the deliveries of a feed that have been dropped into ``folder``.
+
+    ``like`` is a file with the layout of the deliveries, and ``options`` go to
+    the feed's cleaning function. Where files of one micro-batch bring the same
+    key, the one written last wins, just as if they had been merged one by one.
+    """
+    spec = FEEDS[feed] if isinstance(feed, str) else feed
+    arrived = "_arrived"
+    stream = spec.stream(spark, folder, like, max_files).withColumn(
+        arrived, F.col("_metadata.file_modification_time")
+    )
+
+    def clean(batch: DataFrame) -> DataFrame:
+        return spec.clean(batch, order_by=[F.col(arrived).desc()], **options).drop(arrived)
+
+    return ingest(stream, clean, store, checkpoint)
+
+
 def dedupe(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:
     """First row per key among copies that arrive within ``delay`` of each other.
 

@@ -4,10 +4,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from areafacts import schemas as S
 from areafacts.operators.dedupe import one_per_key
 from areafacts.plans import feeds
-from areafacts.sources import readers
 from areafacts.sources.snapshot import SnapshotStore
 from areafacts.streaming import ingest as streams
 
@@ -41,25 +39,28 @@ def test_streamed_files_equal_batch_merges(spark, tmp_path, rows):
         feeds.run(spark, spec, path, batch)
 
     streamed = spec.store(spark, str(tmp_path / "streamed"))
-    schema = readers.wide_schema(readers.header(spark, paths[0]), S.RAW_VALUE_IDS)
-    stream = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("maxFilesPerTrigger", 1)
-        .csv(drop)
-    )
     checkpoint = str(tmp_path / "checkpoint")
-    streams.ingest(stream, spec.clean, streamed, checkpoint).awaitTermination()
+
+    def run():
+        streams.ingest_feed(spark, spec, drop, paths[0], streamed, checkpoint, max_files=1).awaitTermination()
+
+    run()
     assert rows(streamed.read()) == rows(batch.read())
     assert streamed.versions()[-1] == 3
 
+    # all files in one micro-batch: the last one written still wins
+    at_once = spec.store(spark, str(tmp_path / "at_once"))
+    streams.ingest_feed(spark, "value_index", drop, paths[0], at_once, str(tmp_path / "other")).awaitTermination()
+    assert at_once.versions()[-1] == 1
+    assert rows(at_once.read()) == rows(batch.read())
+
     # nothing new: a second run takes no batch
-    streams.ingest(stream, spec.clean, streamed, checkpoint).awaitTermination()
+    run()
     assert streamed.versions()[-1] == 3
 
     # a later delivery is picked up by the next run
     deliver(drop, "d.csv", region(9, 1, 2))
-    streams.ingest(stream, spec.clean, streamed, checkpoint).awaitTermination()
+    run()
     assert streamed.read().where("RegionID = 9").count() == 2
 
 
@@ -69,10 +70,8 @@ def test_replay_of_a_batch_changes_nothing(spark, tmp_path, rows):
     path = deliver(drop, "a.csv", region(1, 100, 110))
     spec = feeds.FEEDS["value_index"]
     store = spec.store(spark, str(tmp_path / "table"))
-    schema = readers.wide_schema(readers.header(spark, path), S.RAW_VALUE_IDS)
     for run in range(2):
-        stream = spark.readStream.schema(schema).option("header", True).csv(drop)
-        streams.ingest(stream, spec.clean, store, str(tmp_path / f"checkpoint{run}")).awaitTermination()
+        streams.ingest_feed(spark, spec, drop, path, store, str(tmp_path / f"checkpoint{run}")).awaitTermination()
     assert store.read().count() == 2
 
 
@@ -113,3 +112,26 @@ def test_stream_dedupe(spark, tmp_path, rows):
     write([(1, "2024-01-01 00:30:00"), (3, "2024-01-01 00:30:00")])
     run()
     assert rows(spark.read.parquet(out), "k") == [(1,), (2,), (3,)]
+
+
+def test_every_feed_streams(spark, tmp_path):
+    """TSV, CSV and JSON deliveries through their feeds."""
+    drops = {name: tmp_path / name for name in ("market_weekly", "area_reference", "places")}
+    for folder in drops.values():
+        folder.mkdir()
+    (drops["market_weekly"] / "a.tsv").write_text(
+        "period_begin\tperiod_end\tregion_type_id\tregion_name\tmedian_sale_price\n"
+        "2023-01-01\t2023-01-07\t5\tKing County, WA\t5.5\n2023-01-01\t2023-01-07\t6\tSeattle, WA\t1\n"
+    )
+    (drops["area_reference"] / "a.csv").write_text("zip,city,state_id,county_name,zcta\n501,H,NY,Suffolk County,x\n")
+    (drops["places"] / "a.json").write_text(
+        '{"address": "1", "name": "a", "city": "c", "state": "NY", "stars": 4, "postal_code": "00501"}\nbad\n'
+    )
+    for name, folder in drops.items():
+        like = str(next(folder.iterdir()))
+        store = feeds.FEEDS[name].store(spark, str(tmp_path / f"{name}-table"))
+        streams.ingest_feed(
+            spark, name, str(folder), like, store, str(tmp_path / f"{name}-check"), as_of="2024-02-01"
+        ).awaitTermination()
+        assert store.read().count() == 1, name
+        assert "_arrived" not in store.read().columns
