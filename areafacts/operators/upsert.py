@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,8 @@ def upsert(
     * Two source rows with one key make the job fail when it runs.
     """
     keys = list(keys)
-    lacking = [c for c in target.columns if c.lower() not in _lower(source)]
+    delivered = _lower(source.columns)
+    lacking = [c for c in target.columns if c.lower() not in delivered]
     if lacking and not evolve:
         raise ValueError(f"source lacks columns of the target: {lacking}")
     source = _aligned(target, source, evolve)
@@ -58,16 +59,17 @@ def upsert(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _lower(df: DataFrame) -> set[str]:
-    return {c.lower() for c in df.columns}
+def _lower(names: Iterable[str]) -> set[str]:
+    return {n.lower() for n in names}
 
 
 def _aligned(target: DataFrame, source: DataFrame, evolve: bool) -> DataFrame:
     """Source columns in target order, names and types; extras last if evolving."""
-    shared = [f for f in target.schema.fields if f.name.lower() in _lower(source)]
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in shared]
+    delivered, fields = _lower(source.columns), target.schema.fields
+    columns = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields if f.name.lower() in delivered]
     if evolve:
-        columns += [F.col(c) for c in source.columns if c.lower() not in _lower(target)]
+        known = _lower(f.name for f in fields)
+        columns += [F.col(quoted(c)) for c in source.columns if c.lower() not in known]
     return source.select(*columns)
 
 
@@ -109,15 +111,15 @@ def _outer_merge(
     A column the source has comes from the source whenever the source row is
     there, nulls included, so presence is decided by a flag and not by coalesce.
     """
-    t = target.withColumn("__in_t", F.lit(True)).alias("t")
+    t = target.alias("t")
     s = source.withColumn("__in_s", F.lit(True)).alias("s")
     in_source = F.col("s.__in_s").isNotNull()
-    shared = _lower(source) & {c.lower() for c in target_columns}
+    delivered, known = _lower(source.columns), _lower(target_columns)
     columns = [
         F.when(in_source, F.col(f"s.{quoted(c)}")).otherwise(F.col(f"t.{quoted(c)}")).alias(c)
-        if c.lower() in shared
+        if c.lower() in delivered
         else F.col(f"t.{quoted(c)}").alias(c)
         for c in target_columns
     ]
-    columns += [F.col(f"s.{quoted(c)}").alias(c) for c in source.columns if c.lower() not in _lower(target)]
+    columns += [F.col(f"s.{quoted(c)}").alias(c) for c in source.columns if c.lower() not in known]
     return t.join(s, _on(keys, null_safe), "full_outer").select(*columns)

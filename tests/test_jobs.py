@@ -1,0 +1,44 @@
+import pytest
+
+from areafacts import __main__ as jobs
+from areafacts import scratch
+from areafacts.plans import feeds
+
+
+def test_run_ingest_and_vacuum(spark, tmp_path, capsys):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    header = "zip,city,state_id,state_name,population,county_name\n"
+    (drop / "a.csv").write_text(header + "501,Holtsville,NY,New York,10,Suffolk County\n")
+    table = str(tmp_path / "table")
+    jobs.main(["run", "area_reference", str(drop / "a.csv"), table, "--as-of", "2024-02-01"])
+    (drop / "b.csv").write_text(header + "544,Holtsville,NY,New York,20,Suffolk County\n")
+    jobs.main(["ingest", "area_reference", str(drop), str(drop / "a.csv"), table, str(tmp_path / "check")])
+    jobs.main(["vacuum", "area_reference", table, "--keep", "1"])
+    assert capsys.readouterr().out.split("\n")[:2] == ["version 1", "version 2"]
+    stored = feeds.FEEDS["area_reference"].store(spark, table)
+    assert sorted(r["zip"] for r in stored.read().collect()) == [501, 544]
+    assert stored.versions() == [2]
+
+
+def test_unknown_feed():
+    with pytest.raises(SystemExit):
+        jobs.main(["run", "nope", "a", "b"])
+
+
+class Conf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+class Session:
+    def __init__(self, **conf):
+        self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+
+def test_scratch_needs_the_shared_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.folder(Session(spark_master="spark://host:7077"), "x")
+    shared = Session(spark_master="yarn", spark_checkpoint_dir="hdfs://n/shared/")
+    assert scratch.folder(shared, "x").startswith("hdfs://n/shared/areafacts/x-")
+    assert scratch.folder(Session(spark_master="local[2]"), "x")

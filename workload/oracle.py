@@ -159,6 +159,12 @@ _PLACE_COLUMNS = (
     "state",
 )
 
+_MARKET_ROWS = """
+SELECT CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end, '1 weeks' AS duration,
+       active_listings, median_sale_price, median_new_listing_price, median_days_on_market,
+       CAST(NULL AS DOUBLE) AS age_of_inventory, county_name, state_id, '2024-02-01' AS processed_date
+FROM market"""
+
 ORACLE: dict[str, str] = {
     "county_normalize": _with(_CUSTOMERS) + """
 SELECT c_custkey, lower(n_name) AS county, lower(r_name) AS state,
@@ -226,11 +232,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, 'm_quantity' AS measure, l_quantity
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'm_price', l_extendedprice FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'm_tax',
                  CASE WHEN l_returnflag <> 'R' THEN l_tax END FROM lineitem""",
-    "feed_market_weekly": _with(_CUSTOMERS, _MARKET) + """
-SELECT CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end, '1 weeks' AS duration,
-       active_listings, median_sale_price, median_new_listing_price, median_days_on_market,
-       CAST(NULL AS DOUBLE) AS age_of_inventory, county_name, state_id, '2024-02-01' AS processed_date
-FROM market""",
+    "feed_market_weekly": _with(_CUSTOMERS, _MARKET) + _MARKET_ROWS,
     "feed_area_reference": _with(_CUSTOMERS, _AREAS) + "SELECT * FROM area",
     "feed_places": _with(*_PLACE) + "SELECT * EXCLUDE (restaurant) FROM place",
     "feed_value_index": _with(*_INDEX) + "SELECT * FROM idx",
@@ -261,6 +263,8 @@ SELECT CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR
        median_sale_price, median_new_listing_price, median_days_on_market,
        CAST(NULL AS DOUBLE) AS age_of_inventory, county_name, state_id, '2024-02-01' AS processed_date
 FROM market""",
+    "feed_run": _with(_CUSTOMERS, _MARKET) + _MARKET_ROWS,
+    "stream_feed": _with(*_PLACE) + "SELECT * EXCLUDE (restaurant) FROM place",
     "named_view": _with(*_PLACE) + "SELECT state, COUNT(*) AS places FROM place GROUP BY state",
     "delimited_source": """
 SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day, o_orderkey,

@@ -296,6 +296,17 @@ def snapshot_merge(spark, sf):
     return store.read()
 
 
+@query
+def feed_run(spark, sf):
+    """The market feed delivered as tab-separated files, merged, and merged again."""
+    home = scratch.folder(spark, "market")
+    frames.raw_market(spark, sf).write.option("header", True).option("sep", "\t").csv(f"{home}/in")
+    store = feeds.FEEDS["market_weekly"].store(spark, f"{home}/table")
+    for _ in range(2):
+        feeds.run(spark, "market_weekly", f"{home}/in", store, as_of=AS_OF)
+    return store.read()
+
+
 @query
 def named_view(spark, sf):
     tables.register_view(places(spark, sf), "workload_places")
@@ -472,6 +483,18 @@ def stream_ingest(spark, sf):
     return store.read().select("user_id", "event_type", "event_id", "value", "props")
 
 
+@query
+def stream_feed(spark, sf):
+    """The places feed as a stream of JSON files."""
+    home = scratch.folder(spark, "places")
+    frames.raw_place(spark, sf).write.json(f"{home}/in")
+    store = feeds.FEEDS["places"].store(spark, f"{home}/table")
+    streams.ingest_feed(
+        spark, "places", f"{home}/in", f"{home}/in", store, f"{home}/checkpoint", as_of=AS_OF
+    ).awaitTermination()
+    return store.read()
+
+
 @query
 def stream_dedupe(spark, sf):
     """Events de-duplicated by user and type across two runs of one stream."""
