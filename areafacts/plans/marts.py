@@ -75,6 +75,11 @@ def latest_market(market: DataFrame, metrics: Sequence[str] = MARKET_HEADLINES)
     )
 
 
+def counties_in_price_range(market: DataFrame, lo: float, hi: float, price: str = "median_sale_price") -> DataFrame:
+    """Counties whose last median sale price lies in the closed range."""
+    return latest_market(market, [price]).where(F.col(price).between(lo, hi))
+
+
 def market_trend(
     market: DataFrame,
     metrics: Sequence[str] = MARKET_HEADLINES,

@@ -111,6 +111,16 @@ def test_value_trend(values):
     ]
 
 
+def test_county_price_range(market, rows):
+    assert rows(marts.counties_in_price_range(market, 30.0, 40.0), "state_id", "median_sale_price") == [("wa", 40.0)]
+
+
+def test_ratios_keep_their_decimals(market):
+    ratio = market.withColumn("median_sale_price", F.lit(0.0345)).where("state_id = 'wa'")
+    month = marts.market_trend(ratio, ["median_sale_price"], grain="month")
+    assert [r["median_sale_price"] for r in month.collect()] == pytest.approx([0.0345] * 3, abs=1e-12)
+
+
 def test_market_trend(market):
     week = marts.market_trend(market, ["median_sale_price"]).where("state_id = 'wa'")
     assert [r["median_sale_price"] for r in week.collect()] == [99.0, 10.0, 20.0, 40.0]
@@ -231,3 +241,11 @@ def test_sums_do_not_depend_on_the_partitioning(spark):
         tuple(df.repartition(n).agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()) for n in (1, 3, 8, 20)
     }
     assert len(results) == 1
+    total, mean = results.pop()
+    assert total == pytest.approx(df.agg(F.sum("v")).head()[0], rel=1e-12)
+    assert mean == pytest.approx(total / 100000)
+    signed = spark.createDataFrame([(-1.25,), (2.5,), (None,), (0.000001,)], "v double")
+    assert tuple(signed.agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()) == pytest.approx(
+        (1.250001, 1.250001 / 3), abs=1e-15
+    )
+    assert signed.limit(0).agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()[0] is None

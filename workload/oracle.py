@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+
+
+def _sum(x: str) -> str:
+    """Whole parts and millionths summed apart, which is exact in any order."""
+    whole = f"round_even({x}, 0)"
+    return f"(SUM({whole}) + SUM(round_even(({x} - {whole}) * 1000000, 0)) / 1000000)"
+
+
 # -- raw frames -------------------------------------------------------------------
 
 _CUSTOMERS = """
@@ -279,14 +287,18 @@ FROM events""",
 SELECT RegionID, RegionName, ' ' || StateName AS "State", "Date", "Value" FROM idx""",
     "latest_value": _with(*_INDEX, _LATEST) + "SELECT * FROM latest",
     "price_range": _with(*_INDEX, _LATEST) + "SELECT * FROM latest WHERE home_value BETWEEN 100000 AND 250000",
+    "county_price_range": _with(_CUSTOMERS, _MARKET, _LATEST_MARKET) + """
+SELECT county_name, state_id, market_date, median_sale_price FROM latest_market
+WHERE median_sale_price BETWEEN 400000 AND 460000""",
     "value_trend": _with(*_INDEX) + """
 SELECT RegionName AS zip, state_id, CAST(date_trunc('month', CAST("Date" AS DATE))::DATE AS VARCHAR) AS period,
-       "Value" AS mean_value, CAST(1 AS BIGINT) AS n_values,
-       "Value" - lag("Value") OVER (PARTITION BY RegionName, state_id ORDER BY "Date") AS change
-FROM idx WHERE "Value" IS NOT NULL""",
-    "value_trend_county": _with(*_INDEX) + """, q AS (
+       mean_value, CAST(1 AS BIGINT) AS n_values,
+       mean_value - lag(mean_value) OVER (PARTITION BY RegionName, state_id ORDER BY "Date") AS change
+FROM (SELECT RegionName, state_id, "Date", """ + _sum('"Value"') + """ AS mean_value
+      FROM idx WHERE "Value" IS NOT NULL GROUP BY ALL)""",
+    "value_trend_county": _with(*_INDEX) + f""", q AS (
   SELECT county_name, state_id, date_trunc('quarter', CAST("Date" AS DATE))::DATE AS period,
-         SUM(round("Value" * 100)) / 100 / COUNT("Value") AS mean_value, COUNT("Value") AS n_values
+         {_sum('"Value"')} / COUNT("Value") AS mean_value, COUNT("Value") AS n_values
   FROM idx WHERE "Value" IS NOT NULL GROUP BY ALL
 )
 SELECT county_name, state_id, CAST(period AS VARCHAR) AS period, mean_value, n_values,
@@ -295,10 +307,10 @@ FROM q""",
     "market_trend": _with(_CUSTOMERS, _MARKET) + """
 SELECT county_name, state_id, CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end,
        median_sale_price, median_days_on_market, active_listings FROM market""",
-    "market_trend_month": _with(_CUSTOMERS, _MARKET) + """
+    "market_trend_month": _with(_CUSTOMERS, _MARKET) + f"""
 SELECT county_name, state_id, CAST(date_trunc('month', period_begin)::DATE AS VARCHAR) AS period,
-       SUM(round(median_sale_price * 100)) / 100 / COUNT(*) AS median_sale_price,
-       SUM(round(median_days_on_market * 100)) / 100 / COUNT(*) AS median_days_on_market,
+       {_sum("median_sale_price")} / COUNT(*) AS median_sale_price,
+       {_sum("median_days_on_market")} / COUNT(*) AS median_days_on_market,
        CAST(SUM(active_listings) AS DOUBLE) / COUNT(*) AS active_listings, COUNT(*) AS n_periods
 FROM market GROUP BY ALL""",
     "place_density": _with(*_PLACE, _AREAS) + """

@@ -363,6 +363,11 @@ def price_range(spark, sf):
     return marts.areas_in_price_range(values(spark, sf), 100000, 250000)
 
 
+@query
+def county_price_range(spark, sf):
+    return marts.counties_in_price_range(market(spark, sf), 400000, 460000)
+
+
 @query
 def value_trend(spark, sf):
     return marts.value_trend(values(spark, sf))
