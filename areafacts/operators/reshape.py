@@ -44,6 +44,9 @@ def wide_to_long(
 ) -> DataFrame:
     """One row per id row and value column: (ids, name as text, value as double).
 
+    A value that is no number is null, and null values are kept unless
+    ``drop_nulls`` is set.
+
     ``dates_from`` and ``dates_to`` (inclusive, compared as text) choose the
     value columns before the unpivot, so the others are not even read: a filter
     on the long rows would come after they have been produced. Narrow: the rows
@@ -54,11 +57,7 @@ def wide_to_long(
     values = [v for v in values if (dates_from is None or v >= dates_from) and (dates_to is None or v <= dates_to)]
     if not values:
         raise ValueError(f"no value column: none starts with {value_prefix!r} in the given date range")
-    typed = df.select(
-        *[F.col(quoted(c)) for c in ids],
-        *[F.col(quoted(c)).cast("double").alias(c) for c in values],
-    )
-    long = _unpivot(typed, ids, values, date_name, value_name)
+    long = _unpivot(df, ids, values, date_name, value_name)
     if drop_nulls:
         long = long.where(F.col(value_name).isNotNull())
     if as_date:
@@ -74,8 +73,16 @@ def _unpivot(df: DataFrame, ids: list[str], values: list[str], name: str, value:
     names with the values.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    kept = [quoted(c) for c in ids]
+    numbers = [f"TRY_CAST({quoted(c)} AS DOUBLE)" for c in values]
     if len(values) <= limit:
-        return df.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], name, value)
-    names = F.array(*[F.lit(c) for c in values]).alias(name)
-    cells = F.array(*[F.col(quoted(c)) for c in values]).alias(value)
-    return df.select(*[F.col(quoted(c)) for c in ids], F.inline(F.arrays_zip(names, cells)))
+        typed = df.selectExpr(*kept, *[f"{n} AS {quoted(c)}" for n, c in zip(numbers, values)])
+        return typed.unpivot(kept, [quoted(c) for c in values], name, value)
+    names = F.expr(f"array({', '.join(map(_literal, values))})").alias(name)
+    cells = F.expr(f"array({', '.join(numbers)})").alias(value)
+    return df.select(*kept, F.inline(F.arrays_zip(names, cells)))
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -69,3 +69,21 @@ def test_rename_required(wide):
     assert reshape.rename_required(wide, {"ID": "key"}).columns[0] == "key"
     with pytest.raises(ValueError, match="nope"):
         reshape.rename_required(wide, {"nope": "x"})
+
+
+def test_odd_column_names(spark, rows):
+    """Quotes, backticks, dots and backslashes in names survive both plans."""
+    odd = ["20'a", "20`b", "20.c", "20\\d", '20"e']
+    for extra in (0, 120):
+        names = odd + [f"20x{i}" for i in range(extra)]
+        df = spark.createDataFrame([(1, *map(str, range(len(names))))], ["the id", *names])
+        out = {r["Date"]: r["Value"] for r in reshape.wide_to_long(df).collect()}
+        assert out == {n: float(i) for i, n in enumerate(names)}
+
+
+def test_text_that_is_no_number_is_null(spark):
+    df = spark.createDataFrame([("1.5", "n/a")], "`2000-01-31` string, `2000-02-29` string")
+    assert {r["Date"]: r["Value"] for r in reshape.wide_to_long(df).collect()} == {
+        "2000-01-31": 1.5,
+        "2000-02-29": None,
+    }
