@@ -4,6 +4,8 @@
     ingest FEED FOLDER LIKE TABLE CHECKPOINT     merge what has arrived since the last run
     vacuum FEED TABLE [--keep N]                 delete data of older versions
 
+``--input-gb N --cores N`` size the shuffles of a large merge.
+
 FEED is one of market_weekly, area_reference, places, value_index.
 """
 
@@ -16,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from areafacts.plans import feeds
-from areafacts.session import SETTINGS
+from areafacts.session import SETTINGS, sized_settings
 from areafacts.streaming.ingest import ingest_feed
 
 
@@ -33,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
 
     for sub in (job("run", "path", "table"), job("ingest", "folder", "like", "table", "checkpoint")):
         sub.add_argument("--as-of", default=None, help="ingest date instead of today's")
+        sub.add_argument("--input-gb", type=int, default=None, help="size of the batch and the touched partitions")
+        sub.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     job("vacuum", "table").add_argument("--keep", type=int, default=2)
     return top
 
@@ -40,7 +44,10 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     builder = SparkSession.builder.appName(f"areafacts {args.job} {args.feed}")
-    for key, value in SETTINGS.items():
+    settings = dict(SETTINGS)
+    if getattr(args, "input_gb", None):
+        settings |= sized_settings(args.input_gb * 1024**3, args.cores)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     store = feeds.FEEDS[args.feed].store(spark, args.table)

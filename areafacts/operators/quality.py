@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areafacts.functions import rules as R
+from areafacts.functions.normalize import to_date_any
+from areafacts.operators.reshape import quoted
 
 # Fixed value: region type of a county.
 COUNTY_TYPE = 5
@@ -37,6 +40,29 @@ def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     return kept, rejected
 
 
+def conform(df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = ()) -> DataFrame:
+    """Bring the columns ``schema`` names to its types; others stay as they are.
+
+    Text that does not fit is null. Dates in text are read by the first of
+    ``date_formats`` that parses them (ISO if none are given). A fractional
+    column is not cut down to integers. Columns that already have their type
+    cost nothing.
+    """
+    declared = {f.name.lower(): f.dataType for f in schema.fields}
+    changed = {}
+    for field in df.schema.fields:
+        wanted = declared.get(field.name.lower(), field.dataType)
+        fractional = isinstance(field.dataType, T.FractionalType) and isinstance(wanted, T.IntegralType)
+        if wanted == field.dataType or fractional:
+            continue
+        column = F.col(quoted(field.name))
+        if date_formats and isinstance(wanted, T.DateType) and isinstance(field.dataType, T.StringType):
+            changed[field.name] = to_date_any(column, date_formats)
+        else:
+            changed[field.name] = column.try_cast(wanted)
+    return df.withColumns(changed) if changed else df
+
+
 def report(df: DataFrame, keys: Sequence[str] = (), rules: Mapping[str, Column] | None = None) -> DataFrame:
     """Counts per check: ``check, total, failures``.
 

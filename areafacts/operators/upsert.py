@@ -22,6 +22,7 @@ def upsert(
 
     * A source row replaces the target row with the same key in all columns;
       without a partner it is inserted. Target-only rows stay. Nothing is deleted.
+      The keys of the target are unique; should one repeat, a match leaves it once.
     * A key with a null equals no other key, so such a row is inserted anew by
       every merge. ``null_safe=True`` lets nulls match.
     * The target's column types win. Without ``evolve`` the source must have

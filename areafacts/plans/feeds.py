@@ -18,7 +18,7 @@ from areafacts import schemas as S
 from areafacts.functions import normalize as N
 from areafacts.functions import rules as R
 from areafacts.operators.dedupe import one_per_key
-from areafacts.operators.quality import COUNTY_TYPE, apply_rules, keep_region_type
+from areafacts.operators.quality import COUNTY_TYPE, apply_rules, conform, keep_region_type
 from areafacts.operators.reshape import rename_required, wide_to_long
 from areafacts.sources import readers
 from areafacts.sources.snapshot import SnapshotStore
@@ -27,11 +27,20 @@ AsOf = date | str | None
 Order = Sequence[Column | str] | None
 
 
-def market_weekly(df: DataFrame, as_of: AsOf = None, region_type: int = COUNTY_TYPE, order_by: Order = None) -> DataFrame:
-    """County rows of the market feed, one per period, county and state."""
+def market_weekly(
+    df: DataFrame,
+    as_of: AsOf = None,
+    region_type: int = COUNTY_TYPE,
+    order_by: Order = None,
+    date_formats: Sequence[str] = (),
+) -> DataFrame:
+    """County rows of the market feed, one per period, county and state.
+
+    Periods delivered as text become dates, by ``date_formats`` if they are not ISO.
+    """
     county, state = N.split_region("region_name")
     cleaned = (
-        keep_region_type(df, region_type)
+        keep_region_type(conform(df, S.RAW_MARKET, date_formats), region_type)
         .withColumns({"county_name": county, "state_id": state, "processed_date": N.as_of_date(as_of)})
         .drop(*S.MARKET_DROPPED)
     )
@@ -40,7 +49,7 @@ def market_weekly(df: DataFrame, as_of: AsOf = None, region_type: int = COUNTY_T
 
 def area_reference(df: DataFrame, as_of: AsOf = None, order_by: Order = None) -> DataFrame:
     """One row per zip with normalised county and state."""
-    cleaned = df.withColumns(
+    cleaned = conform(df, S.RAW_AREA).withColumns(
         {
             "county_name": N.county("county_name"),
             "state_id": N.label("state_id"),
@@ -62,7 +71,7 @@ def place_rules() -> dict[str, Column]:
 
 
 def _normalised_places(df: DataFrame, as_of: AsOf) -> DataFrame:
-    return df.withColumns(
+    return conform(df, S.RAW_PLACE).withColumns(
         {"processed_date": N.as_of_date(as_of), "state": N.label("state"), "city": N.label("city")}
     )
 
@@ -95,7 +104,7 @@ def value_index(
     unpivot shuffles each region once instead of once per month. The table has
     no ingest date unless ``as_of`` is given.
     """
-    named = rename_required(df, {"State": "state_id", "CountyName": "county_name"})
+    named = rename_required(conform(df, S.RAW_VALUE_IDS), {"State": "state_id", "CountyName": "county_name"})
     cleaned = named.withColumns({"state_id": N.label("state_id"), "county_name": N.county("county_name")})
     region_keys = [k for k in S.VALUE_KEYS if k != "Date"]
     long = wide_to_long(
@@ -123,9 +132,11 @@ class Feed:
     keys: tuple[str, ...]
     partition_by: Callable[[], Column] | None = None
 
-    def store(self, spark: SparkSession, root: str) -> SnapshotStore:
-        layout = self.partition_by() if self.partition_by else None
-        return SnapshotStore(spark, root, self.keys, layout)
+    def store(self, spark: SparkSession, root: str, partition_by: Column | None = None) -> SnapshotStore:
+        """The feed's table; a finer ``partition_by`` suits larger tables."""
+        if partition_by is None and self.partition_by:
+            partition_by = self.partition_by()
+        return SnapshotStore(spark, root, self.keys, partition_by)
 
 
 _CORRUPT = "_corrupt_record"

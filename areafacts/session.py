@@ -15,6 +15,27 @@ SETTINGS = {
 }
 
 
+# A shuffle partition of this size sorts in the memory of one core.
+PARTITION_BYTES = 256 * 1024**2
+
+
+def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffled_bytes`` on ``cores`` cores.
+
+    The adaptive planner joins partitions that turn out small but never splits
+    an ordinary shuffle, so the initial number has to fit the data: the default
+    of 200 would make half a terabyte per task out of 100 TB. Scans of large
+    inputs take larger splits, to keep their tasks in the hundreds of thousands.
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // PARTITION_BYTES))
+    split = min(4 * 128, max(128, shuffled_bytes // 1024**2 // 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{PARTITION_BYTES // 2}b",
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+    }
+
+
 def local_session(
     cores: int | str = "*", app: str = "areafacts", memory: str = "8g", settings: dict[str, str] | None = None
 ) -> SparkSession:

@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from areafacts import schemas as S
@@ -187,3 +188,55 @@ def test_value_index_keeps_one_row_per_region_and_month(raw_values, rows):
     other = raw_values.withColumn("State", F.concat(F.lit(" "), F.lower("State")))
     out = feeds.value_index(raw_values.union(other))
     assert out.count() == out.select(*S.VALUE_KEYS).distinct().count() == 4
+
+
+# -- frames whose types were inferred: numbers are long, dates are text ---------------
+
+
+def test_market_from_inferred_types(spark, rows):
+    raw = spark.createDataFrame(
+        [
+            Row(period_begin="2023-01-01", period_end="2023-01-07", region_type_id=5, region_name="King County, WA"),
+            Row(period_begin="bad", period_end="2023-01-14", region_type_id=5, region_name="Los Angeles County, CA"),
+        ]
+    )
+    out = feeds.market_weekly(raw)
+    assert out.schema["period_begin"].dataType == T.DateType()
+    assert rows(out, "period_begin", "county_name") == [(None, "los angeles"), (date(2023, 1, 1), "king")]
+
+
+def test_market_with_other_date_formats(spark, rows):
+    raw = spark.createDataFrame(
+        [("01/08/2023", "2023-01-14", 5, "A County, WA"), ("2023-01-01", "01/07/2023", 5, "B County, WA")],
+        "period_begin string, period_end string, region_type_id int, region_name string",
+    )
+    out = feeds.market_weekly(raw, date_formats=["yyyy-MM-dd", "MM/dd/yyyy"])
+    assert rows(out, "county_name", "period_begin", "period_end") == [
+        ("a", date(2023, 1, 8), date(2023, 1, 14)),
+        ("b", date(2023, 1, 1), date(2023, 1, 7)),
+    ]
+
+
+def test_areas_from_inferred_types(spark, rows):
+    raw = spark.createDataFrame([Row(zip=12345, state_id="CA", county_name="Los Angeles County", population="10")])
+    out = feeds.area_reference(raw)
+    assert out.schema["zip"].dataType == out.schema["population"].dataType == T.IntegerType()
+    assert rows(out, "zip", "county_name", "population") == [(12345, "los angeles", 10)]
+
+
+def test_values_from_inferred_types(spark):
+    raw = spark.createDataFrame(
+        [(1, 12345, "CA", "Los Angeles County", 100000, "x")],
+        "RegionID long, RegionName long, State string, CountyName string, `2023-01-31` long, `2023-02-28` string",
+    )
+    out = feeds.value_index(raw)
+    assert out.schema["RegionID"].dataType == T.IntegerType()
+    assert {r["Date"]: r["Value"] for r in out.collect()} == {"2023-01-31": 100000.0, "2023-02-28": None}
+
+
+def test_places_from_inferred_types(spark, rows):
+    raw = spark.createDataFrame(
+        [("a", "n", "c", "NY", 10001, "4.5")],
+        "address string, name string, city string, state string, postal_code long, stars string",
+    )
+    assert rows(feeds.places(raw), "postal_code", "zip_int", "stars") == [("10001", 10001, 4.5)]

@@ -3,6 +3,7 @@ import pytest
 from areafacts import __main__ as jobs
 from areafacts import scratch
 from areafacts.plans import feeds
+from areafacts.session import PARTITION_BYTES, sized_settings
 
 
 def test_run_ingest_and_vacuum(spark, tmp_path, capsys):
@@ -42,3 +43,11 @@ def test_scratch_needs_the_shared_folder_on_a_cluster():
     shared = Session(spark_master="yarn", spark_checkpoint_dir="hdfs://n/shared/")
     assert scratch.folder(shared, "x").startswith("hdfs://n/shared/areafacts/x-")
     assert scratch.folder(Session(spark_master="local[2]"), "x")
+
+
+def test_sized_settings():
+    small = sized_settings(10 * 1024**2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    large = sized_settings(100 * 1024**4, 8000)
+    assert large["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // PARTITION_BYTES)
+    assert large["spark.sql.files.maxPartitionBytes"] == "512m"

@@ -72,3 +72,14 @@ def test_region_type(spark):
 def test_unknown_is_not_true(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.select(R.holds(F.col("x") > 1)).head()[0] is False
+
+
+def test_conform(spark, rows):
+    df = spark.createDataFrame([("7", 8, 1.5, "x", "2023-01-31")], "a string, B long, c double, d string, e string")
+    schema = "a int, b int, c int, e date, missing string"
+    wanted = spark.createDataFrame([], schema).schema
+    out = quality.conform(df, wanted)
+    assert out.dtypes == [("a", "int"), ("B", "int"), ("c", "double"), ("d", "string"), ("e", "date")]
+    assert out.head()["a"] == 7
+    same = spark.createDataFrame([(1,)], "a int")
+    assert quality.conform(same, wanted) is same

@@ -193,6 +193,11 @@ FROM coded WHERE regexp_full_match(code, '[0-9]+')""",
     "cast_double": "SELECT p_partkey, CASE WHEN p_type <> 'SMALL' THEN p_retailprice END AS price FROM part",
     "to_date_any": """
 SELECT o_orderkey, CASE WHEN o_orderstatus IN ('O', 'F') THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day
+FROM orders""",
+    "conform_types": """
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
+       CAST(o_custkey AS INTEGER) AS o_custkey
 FROM orders""",
     "stamp_rows": "SELECT c_custkey, c_name, '2024-02-01' AS processed_date FROM customer",
     "region_type_filter": _with(_CUSTOMERS, _MARKET) + """

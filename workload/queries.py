@@ -125,6 +125,20 @@ def to_date_any(spark, sf):
     )
 
 
+@query
+def conform_types(spark, sf):
+    known = F.col("o_orderstatus") != "P"
+    text = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(known, F.col("o_totalprice").cast("decimal(18,2)").cast("string")).otherwise(F.lit("n/a")).alias("o_totalprice"),
+        F.when(known, F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(F.lit("")).alias("day"),
+        "o_custkey",
+    )
+    wanted = T.StructType().add("o_orderkey", "long").add("o_totalprice", "double").add("day", "date")
+    wanted = wanted.add("o_custkey", "integer")
+    return quality.conform(text, wanted, ["yyyy-MM-dd", "dd.MM.yyyy"])
+
+
 @query
 def stamp_rows(spark, sf):
     return N.stamp(table(spark, sf, "customer").select("c_custkey", "c_name"), AS_OF)
