@@ -15,8 +15,11 @@ SETTINGS = {
 }
 
 
-# A shuffle partition of this size sorts in the memory of one core.
+# A partition of this size sorts in the memory of one core.
 PARTITION_BYTES = 256 * 1024**2
+# With more tasks than this on both sides of a shuffle, the blocks that pass
+# between them get too small to fetch; larger partitions that spill are cheaper.
+MAX_TASKS = 50_000
 
 
 def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
@@ -24,15 +27,14 @@ def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
 
     The adaptive planner joins partitions that turn out small but never splits
     an ordinary shuffle, so the initial number has to fit the data: the default
-    of 200 would make half a terabyte per task out of 100 TB. Scans of large
-    inputs take larger splits, to keep their tasks in the hundreds of thousands.
+    of 200 would make half a terabyte per task out of 100 TB.
     """
-    partitions = max(2 * cores, -(-shuffled_bytes // PARTITION_BYTES))
-    split = min(4 * 128, max(128, shuffled_bytes // 1024**2 // 200_000))
+    partitions = min(MAX_TASKS, -(-shuffled_bytes // PARTITION_BYTES))
+    split = max(PARTITION_BYTES // 2, shuffled_bytes // MAX_TASKS)
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, partitions)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{PARTITION_BYTES // 2}b",
-        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.files.maxPartitionBytes": f"{split}b",
     }
 
 

@@ -3,7 +3,7 @@ import pytest
 from areafacts import __main__ as jobs
 from areafacts import scratch
 from areafacts.plans import feeds
-from areafacts.session import PARTITION_BYTES, sized_settings
+from areafacts.session import sized_settings
 
 
 def test_run_ingest_and_vacuum(spark, tmp_path, capsys):
@@ -48,6 +48,9 @@ def test_scratch_needs_the_shared_folder_on_a_cluster():
 def test_sized_settings():
     small = sized_settings(10 * 1024**2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+    middle = sized_settings(1024**4, 800)
+    assert middle["spark.sql.shuffle.partitions"] == "4096"
+    assert middle["spark.sql.files.maxPartitionBytes"] == f"{128 * 1024**2}b"
     large = sized_settings(100 * 1024**4, 8000)
-    assert large["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // PARTITION_BYTES)
-    assert large["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert 2_000 * 1024**2 < int(large["spark.sql.files.maxPartitionBytes"][:-1]) < 2_200 * 1024**2
