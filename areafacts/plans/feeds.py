@@ -59,11 +59,15 @@ def area_reference(df: DataFrame, as_of: AsOf = None, order_by: Order = None) ->
     return one_per_key(cleaned, S.AREA_KEYS, order_by)
 
 
+# The range of a rating.
+MIN_STARS, MAX_STARS = 1, 5
+
+
 def place_rules() -> dict[str, Column]:
     """Rules a place must pass; city and state are checked after normalising."""
     return {
         "name": R.present("name"),
-        "stars": R.in_range("stars", 1, 5),
+        "stars": R.in_range("stars", MIN_STARS, MAX_STARS),
         "city": R.present("city"),
         "state": R.present("state"),
         "postal_code": R.matches("postal_code", R.DIGITS),

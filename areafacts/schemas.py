@@ -126,6 +126,7 @@ PLACE = T.StructType([*RAW_PLACE.fields, *_struct(("processed_date", _DATE), ("z
 
 # --- home value index ------------------------------------------------------
 VALUE_KEYS = ("Date", "RegionID", "state_id")
+# Fixed value: how the name of a month column starts.
 VALUE_COLUMN_PREFIX = "20"
 
 RAW_VALUE_IDS = _struct(

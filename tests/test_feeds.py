@@ -1,4 +1,7 @@
-"""The four feeds on small raw frames with explicit schemas."""
+"""The four feeds on small raw frames with explicit schemas.
+
+The rows and what must come of them are fixed values (FIXTURES.md).
+"""
 
 from datetime import date
 
