@@ -113,13 +113,27 @@ class SnapshotStore:
         return number
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete data that only versions older than the last ``keep`` refer to."""
+        """Delete data that none of the last ``keep`` versions refers to.
+
+        That is data of older versions and what failed merges left behind. A
+        merge that is running writes a version above the current one and is not
+        touched. Returns the number of paths deleted.
+        """
         if keep < 1:
             raise ValueError("keep at least the current version")
         numbers = self.versions()
+        if not numbers:
+            return 0
         old, kept = numbers[:-keep], numbers[-keep:]
         alive = {path for n in kept for path in self.current(n).paths.values()}
         dead = {path for n in old for path in self.current(n).paths.values()} - alive
+        fs, data = _hadoop(self.spark, f"{self.root}/data")
+        for status in fs.listStatus(data) if fs.exists(data) else []:
+            name = status.getPath().getName()
+            path = f"data/{name}"
+            in_use = any(p == path or p.startswith(f"{path}/") for p in alive)
+            if int(name.split("-")[0]) <= numbers[-1] and not in_use:
+                dead = {p for p in dead if p != path and not p.startswith(f"{path}/")} | {path}
         for path in dead:
             _delete(self.spark, f"{self.root}/{path}")
         for n in old:

@@ -1,6 +1,8 @@
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from areafacts import scratch
@@ -116,6 +118,46 @@ def test_vacuum(store, spark, rows):
     assert ("2020-01-01", 1, 8.0) in rows(store.read())
 
 
+def test_vacuum_removes_what_failed_merges_left(store, spark, rows):
+    store.merge(batch(spark, ("2020-01-01", 1, 1.0), ("2021-01-01", 1, 1.0)))
+    with pytest.raises(Exception, match="duplicate key"):
+        store.merge(batch(spark, ("2020-01-01", 2, 1.0), ("2020-01-01", 2, 2.0)))
+    left = os.path.join(store.root, "data", "00000002-leftover")
+    os.makedirs(left, exist_ok=True)
+    running = os.path.join(store.root, "data", "00000003-running")
+    os.makedirs(running)
+    store.merge(batch(spark, ("2020-01-01", 1, 2.0)))
+    content = rows(store.read())
+    store.vacuum(keep=1)
+    assert not os.path.exists(left)
+    assert os.path.exists(running)
+    # the first version still holds the untouched year
+    assert sorted(n[:8] for n in os.listdir(os.path.join(store.root, "data"))) == ["00000001", "00000002", "00000003"]
+    assert rows(store.read()) == content == [("2020-01-01", 1, 2.0), ("2021-01-01", 1, 1.0)]
+
+
+days = st.sampled_from(["2020-01-01", "2020-02-01", "2021-01-01", "2022-01-01"])
+deliveries = st.lists(
+    st.dictionaries(st.tuples(days, st.integers(0, 2)), st.integers(0, 99), min_size=1, max_size=5),
+    min_size=2,
+    max_size=4,
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(deliveries)
+def test_property_merges_are_dictionary_updates(spark, tmp_path_factory, batches):
+    store = SnapshotStore(
+        spark, str(tmp_path_factory.mktemp("p") / "table"), ["day", "k"], F.substring("day", 1, 4)
+    )
+    expected = {}
+    for number, delivery in enumerate(batches, 1):
+        data = [(day, k, float(v)) for (day, k), v in delivery.items()]
+        assert store.merge(batch(spark, *data)) == number
+        expected |= delivery
+        assert {(r["day"], r["k"]): int(r["v"]) for r in store.read().collect()} == expected
+
+
 def test_view(store, spark):
     store.merge(batch(spark, ("2020-01-01", 1, 1.5)))
     store.register_view("stored")
