@@ -75,7 +75,7 @@ def _unpivot(df: DataFrame, ids: list[str], values: list[str], name: str, value:
     limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
     kept = [quoted(c) for c in ids]
     numbers = [f"TRY_CAST({quoted(c)} AS DOUBLE)" for c in values]
-    if len(values) <= limit:
+    if len(ids) + len(values) <= limit:
         typed = df.selectExpr(*kept, *[f"{n} AS {quoted(c)}" for n, c in zip(numbers, values)])
         return typed.unpivot(kept, [quoted(c) for c in values], name, value)
     names = F.expr(f"array({', '.join(map(_literal, values))})").alias(name)

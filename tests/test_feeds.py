@@ -243,3 +243,17 @@ def test_places_from_inferred_types(spark, rows):
         "address string, name string, city string, state string, postal_code long, stars string",
     )
     assert rows(feeds.places(raw), "postal_code", "zip_int", "stars") == [("10001", 10001, 4.5)]
+
+
+def test_only_the_wanted_months_are_read_and_shuffled(spark, tmp_path):
+    from tests.conftest import plan_of
+
+    path = str(tmp_path / "wide")
+    spark.range(4).selectExpr(
+        "id AS RegionID", "id AS RegionName", "'NY' AS State", "'A County' AS CountyName",
+        *[f"{m}.0D AS `2023-{m:02d}-28`" for m in range(1, 13)],
+    ).write.parquet(path)
+    plan = plan_of(feeds.value_index(spark.read.parquet(path), dates_from="2023-12"))
+    read = plan[plan.index("ReadSchema"):]
+    assert "2023-12-28" in read and "2023-11-28" not in read
+    assert plan.count("Exchange") == 1
