@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, rotated_codes
+from areafacts.llm import exact_topk, rotated_codes, simhash
 from areafacts.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op3_rotated_codes(spark, sf_dir):
 def op6_exact_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return exact_topk.exact_topk(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
