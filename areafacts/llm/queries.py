@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, rotated_codes, simhash
+from areafacts.llm import exact_topk, rotated_codes, secrets, simhash
 from areafacts.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,8 @@ def op6_exact_topk(spark, sf_dir):
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
+
+
+@query
+def op5_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))

@@ -1,0 +1,76 @@
+"""Secret spans against a scan that spells the rules out."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from areafacts.llm import secrets
+
+SCHEMA = "doc_id long, text string, spans string, kind string"
+KEY = "q7Zk2LmP9xWv4RtY8uJb3NcD6eHf1GsA"
+NAMES = " ".join(secrets.IDENTIFIERS).encode()
+
+
+def plain_base(text):
+    """The rules as stated: every leftmost non-overlapping match, failing ones dropped afterwards."""
+    word = "".join
+    keyword = "|".join(
+        word(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+        for w in ("password", "passwd", "secret", "token", "api_key", "apikey")
+    )
+    rule = rf"({keyword})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    found = [(m.start(), m.end(), "assign") for m in re.finditer(rule, text) if len(m[2]) >= 6]
+    found += [(m.start(), m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    return found + [(m.start(), m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
+
+
+FRAGMENTS = ["password", "PassWd", "token", "api_key", "APIKEY", "secret", '"', "'", " ", ":", "=", "abc", "AKIA", "ABCDEFGH12345678"]
+FRAGMENTS += ["deadbeef", "0123456789", "é", "ſ", "K", "\n", "-", KEY]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(FRAGMENTS), max_size=25).map("".join))
+def test_base_spans_follow_the_rules(text):
+    assert secrets.in_order(secrets.base_spans(text)) == secrets.in_order(plain_base(text))
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (f"the auth header: {KEY}", [KEY]),
+        (f"bearer {KEY} and {KEY[::-1]}", [KEY, KEY[::-1]]),
+        (f"credential\n{KEY}", []),
+        (f"a paragraph about {KEY}", []),
+        ("secret authorization_bearer_refresh_token", []),
+        ("token client_secret1_refresh_token2_access_token", []),
+        (f"{KEY}\ncredentials {KEY}", []),
+        ("secret 1111111111111111111111aa11111111", []),
+        ("secret " + "a1" * 3000, []),
+        ("token " + "-" * 40, []),
+    ],
+)
+def test_novel_strings(text, expected):
+    assert [text[a:b] for a, b, _ in secrets.novel_spans(text, NAMES)] == expected
+
+
+def test_rows(spark):
+    long = "é word " * 200_000 + f'api_key = "{KEY}"'
+    texts = {1: f"token={KEY}", 2: None, 3: "", 4: "clean prose, a password is needed", 5: long, 6: "AKIA" + "A" * 16 + " " + "ab" * 12}
+    rows = [(i, t, "x", "y") for i, t in [*texts.items(), (1, texts[1]), (None, texts[6])]]
+    found = secrets.scan(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = texts[6] if r["doc_id"] is None else texts[r["doc_id"]] or ""
+        base = secrets.in_order(plain_base(text))
+        as_text = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        assert r["base_sha256"] == hashlib.sha256(as_text.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[2] == k for s in base) for k in secrets.KINDS[:3]]
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(as_text.split(",")) - {""} <= set(spans)
+        assert len(spans) == len(base) + r["n_novel"]
+    assert found[3]["spans"] == ""
+    empty = spark.createDataFrame([], SCHEMA)
+    assert secrets.scan(empty).collect() == []
