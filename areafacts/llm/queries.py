@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, rotated_codes, secrets, simhash
+from areafacts.llm import exact_topk, mixing, rotated_codes, secrets, simhash
 from areafacts.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,14 @@ def op9_simhash(spark, sf_dir):
 @query
 def op5_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), lambda names: [i % 3 + 1 for i in range(len(names))])
+    listed = [(name, size, target) for name, (size, target) in mixed.sources.items()]
+    sources = spark.createDataFrame(listed, "source string, source_size long, target double")
+    rows = mixed.rows.withColumn("of", F.col("sources")[0])
+    return rows.join(sources, F.col("of").eqNullSafe(F.col("source"))).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
+    )
