@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, mixing, rotated_codes, secrets, simhash
-from areafacts.llm.common import importable, table
+from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, simhash
+from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -53,3 +53,12 @@ def op4_mixing(spark, sf_dir):
     return rows.join(sources, F.col("of").eqNullSafe(F.col("source"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
     )
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    model = language_id.learn(docs, ~held_out)
+    found = language_id.label(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_positions", "label_share")
