@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, simhash
+from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, simhash, toxicity
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,11 @@ def op1_language_id(spark, sf_dir):
     model = language_id.learn(docs, ~held_out)
     found = language_id.label(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_positions", "label_share")
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 5) == 0
+    found = toxicity.score(docs, toxicity.learn(docs, labels, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_spans")
