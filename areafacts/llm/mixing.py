@@ -34,6 +34,8 @@ PASS_COSTS = (0, 1, 3)
 # Rows in which a pattern's rest is filled document by document.
 FILL = 4096
 KEY_DIGITS = 32
+# Patterns up to which their plan is sent to every task; a shuffled join serves more.
+BROADCAST = 50_000
 # A prefix that no key has or precedes: nothing beyond the whole passes is taken.
 NOWHERE = "!"
 
@@ -166,7 +168,8 @@ def _narrow(rows: DataFrame, plan: dict[str, dict]) -> None:
 def _planned(rows: DataFrame, plan: dict[str, dict]) -> DataFrame:
     names = ("pattern", "whole", "rest", "prefix")
     listed = [tuple(p[c] for c in names) for p in plan.values()]
-    return rows.join(rows.sparkSession.createDataFrame(listed, "pattern string, whole long, rest long, prefix string"), "pattern")
+    small = rows.sparkSession.createDataFrame(listed, "pattern string, whole long, rest long, prefix string")
+    return rows.join(F.broadcast(small) if len(listed) <= BROADCAST else small, "pattern")
 
 
 def _filled(rows: pd.DataFrame) -> pd.DataFrame:
