@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areafacts.llm import gru
-from areafacts.llm.common import batch, texts
+from areafacts.llm.common import batch, smallest, texts
 
 UNKNOWN = "und"
 # Bounds of the training sample, for each language.
@@ -50,8 +50,7 @@ def learn(
     rows = docs.where(learnable & text.rlike(r"\p{L}") & lang.isNotNull()).select(
         lang.alias("lang"), rank.alias("rank"), F.substring(text, start.cast("int"), F.lit(STRETCH)).alias("stretch")
     )
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "stretch"))
-    chosen = rows.withColumn("n", first).where(F.col("n") <= sample).drop("n").collect()
+    chosen = smallest(rows, "lang", ["rank", "stretch"], sample).collect()
     chosen = sorted((r["lang"], r["rank"], r["stretch"]) for r in chosen)
     languages = sorted({r[0] for r in chosen})
     if len(languages) < 2:
