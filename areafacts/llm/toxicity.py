@@ -25,11 +25,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areafacts.llm import crf
-from areafacts.llm.common import batch, texts
+from areafacts.llm.common import batch, smallest, texts
 
 SUPPORT = 0.02
 # Log odds that make a word of a toxic document a toxic token, counting PRIOR documents more in the usual proportion.
@@ -228,8 +228,8 @@ def learn(
         return Model(prior)
     odds = word_odds(rows, n_toxic, n_other)
 
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(SEED), "id"), "id"))
-    ids = rows.select("id", "toxic").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("id").collect()
+    ranked = rows.select("id", "toxic", F.xxhash64(F.lit(SEED), "id").alias("rank")).distinct()
+    ids = smallest(ranked, "toxic", ["rank", "id"], SAMPLE).select("id").collect()
     chosen = spark.createDataFrame([(r["id"],) for r in ids], "id long").hint("broadcast")  # 2 * SAMPLE ids
     sample = rows.join(chosen, "id").dropDuplicates(["id"]).select("text", "toxic")
     chains = sorted((r["toxic"], [bytes(w) for w in r["tokens"]]) for r in _windows(sample, odds).collect())
