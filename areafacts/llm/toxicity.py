@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areafacts.llm import crf
-from areafacts.llm.common import batch, smallest, texts
+from areafacts.llm.common import batch, smallest, stored, texts
 
 SUPPORT = 0.02
 # Log odds that make a word of a toxic document a toxic token, counting PRIOR documents more in the usual proportion.
@@ -220,7 +220,7 @@ def learn(
     spark = docs.sparkSession
     of_docs = document_labels(labels, id_column, toxic_column)
     rows = docs.where(learnable).select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
-    rows = rows.join(of_docs, "id")
+    rows = stored(rows.join(of_docs, "id"), "labelled")  # the only shuffle of texts
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
     prior = n_toxic / max(n_toxic + n_other, 1)
