@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, simhash, toxicity
+from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, segmentation, simhash, toxicity
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op7_toxicity(spark, sf_dir):
     held_out = fold("doc_id", 5) == 0
     found = toxicity.score(docs, toxicity.learn(docs, labels, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_spans")
+
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op2_segmentation(spark, sf_dir):
+    return segmentation.encode(table(spark, sf_dir, "documents"), PIECES, k=2, alpha=0.5)
