@@ -111,32 +111,51 @@ def pooled(network: gru.Network, rows: list[bytes]) -> tuple[np.ndarray, np.ndar
     return total, carried
 
 
+def _labelled(model: Model, rows: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, positions and share of positions of each text; empty stands for text without a letter."""
+    sizes = np.array([len(t) for t in rows], np.int64)
+    if model.network is None:
+        names = [model.languages[0] if model.languages and n else UNKNOWN for n in sizes]
+        known = np.array([float(name != UNKNOWN) for name in names])
+        return names, known, sizes, known
+    total, carried = pooled(model.network, rows)
+    best, at, n = total.argmax(axis=1), np.arange(len(rows)), np.maximum(sizes, 1)
+    names = [model.languages[k] if size else UNKNOWN for k, size in zip(best, sizes)]
+    return names, np.clip(total[at, best] / n, 0, 1), sizes, np.clip(carried[at, best] / n, 0, 1)
+
+
+def _readable(text: Column) -> Column:
+    return F.when(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), text)
+
+
 def label(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, n_positions, label_share: one row per row of ``docs``."""
-    text = docs[f"`{text_column}`"]
-    readable = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), F.when(readable, text).alias("text"))
+    rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), _readable(docs[f"`{text_column}`"]).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     out = pa.schema(
         [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("n_positions", pa.int64()), ("label_share", pa.float64())]
     )
 
     def take(batches):
-        languages, network = shared.value.languages, shared.value.network
         for b in batches:
             for start in range(0, b.num_rows, 512):
                 part = b.slice(start, 512)
-                data = texts(part.column("text"))
-                sizes = np.array([len(t) for t in data])
-                if network is None:
-                    names = [languages[0] if languages and n else UNKNOWN for n in sizes]
-                    known = [float(name != UNKNOWN) for name in names]
-                    yield batch(out, part.column("id"), names, known, sizes, known)
-                    continue
-                total, carried = pooled(network, data)
-                best, rows_, n = total.argmax(axis=1), np.arange(len(data)), np.maximum(sizes, 1)
-                names = [languages[k] if size else UNKNOWN for k, size in zip(best, sizes)]
-                score = np.clip(total[rows_, best] / n, 0, 1)
-                yield batch(out, part.column("id"), names, score, sizes, np.clip(carried[rows_, best] / n, 0, 1))
+                yield batch(out, part.column("id"), *_labelled(shared.value, texts(part.column("text"))))
 
     return rows.mapInArrow(take, "doc_id long, lang_pred string, score double, n_positions long, label_share double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more, unchanged and not shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    readable = "__readable"
+
+    def take(batches):
+        for b in batches:
+            for start in range(0, b.num_rows, 512):
+                part = b.slice(start, 512)
+                names, score, _, _ = _labelled(shared.value, texts(part.column(readable)))
+                keep = [name != UNKNOWN and s >= least for name, s in zip(names, score)]
+                yield part.drop_columns([readable]).filter(pa.array(keep, pa.bool_()))
+
+    return docs.withColumn(readable, _readable(docs[f"`{text_column}`"])).mapInArrow(take, docs.schema)

@@ -32,9 +32,9 @@ SEED = 7
 # Marginal cost of the first, second and third pass over a pattern.
 PASS_COSTS = (0, 1, 3)
 # Rows in which a pattern's rest is filled document by document.
-FILL = 4096
+FILL = 1024
 KEY_DIGITS = 32
-# Patterns up to which their plan is sent to every task; a shuffled join serves more.
+# Rows (of the plan, of the last buckets) up to which they are sent to every task; a shuffled join serves more.
 BROADCAST = 50_000
 # A prefix that no key has or precedes: nothing beyond the whole passes is taken.
 NOWHERE = "!"
@@ -135,7 +135,7 @@ class Mix:
     sources: dict[str | None, tuple[int, float]]
 
 
-def sized(docs: DataFrame, id_column: str, text_column: str, sources_column: str, seed: int) -> DataFrame:
+def sized(docs: DataFrame, id_column: str, text_column: str, sources_column: str, seed: int, carry: bool) -> DataFrame:
     text, sources = docs[f"`{text_column}`"], docs[f"`{sources_column}`"]
     if docs.schema[sources_column].dataType.typeName() != "array":
         sources = F.array(sources)
@@ -150,6 +150,7 @@ def sized(docs: DataFrame, id_column: str, text_column: str, sources_column: str
         sources.alias("sources"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (rank, twin)]).alias("key"),
+        *([F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []),
     )
 
 
@@ -189,9 +190,13 @@ def mix(
     sources_column: str = "source",
     most: int = 3,
     seed: int = SEED,
+    carry: bool = False,
 ) -> Mix:
-    """Each source's tokens brought near its target; ``weights`` gives one for each of the sorted source names."""
-    rows = stored(sized(docs, id_column, text_column, sources_column, seed), "sized")
+    """Each source's tokens brought near its target; ``weights`` gives one for each of the sorted source names.
+
+    With ``carry``, the rows have their document as a struct ``row``.
+    """
+    rows = stored(sized(docs, id_column, text_column, sources_column, seed, carry), "sized")
     groups = rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size"), F.count("*").alias("n"))
     groups = sorted(groups.collect(), key=lambda g: g["pattern"])
     names = sorted({s for g in groups for s in g["sources"]}, key=code_points)
@@ -213,8 +218,16 @@ def mix(
     cut = F.substring(F.col("key"), F.lit(1), F.length("prefix"))
     at_end = planned.where(cut == F.col("prefix")).select("pattern", "key", "size", "rest")
     chosen = at_end.groupBy("pattern").applyInPandas(_filled, "pattern string, key string").withColumn("chosen", F.lit(True))
+    if sum(FILL for p in plan.values() if p["rest"]) <= BROADCAST:
+        chosen = F.broadcast(chosen)
     extra = F.when((cut < F.col("prefix")) | F.col("chosen").isNotNull(), 1).otherwise(0)
     times = planned.join(chosen, ["pattern", "key"], "left").select(
-        "id", "sources", "size", (F.col("whole") + extra).cast("long").alias("times")
+        "id", "sources", "size", (F.col("whole") + extra).cast("long").alias("times"), *(["row"] if carry else [])
     )
     return Mix(times, {name: (sizes[i], wanted[i]) for i, name in enumerate(names)})
+
+
+def mixture(docs: DataFrame, weights: Callable[[list[str | None]], list[float]], **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    rows = mix(docs, weights, carry=True, **options).rows.where("times > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "times")).alias("n")).select("row.*")

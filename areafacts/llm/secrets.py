@@ -156,3 +156,45 @@ def scan(
     return rows.select(rows.id.cast("long").alias("id"), "text").mapInArrow(
         take, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long"
     )
+
+
+def redacted(text: str, spans: list[tuple[int, int, str]], sign: str) -> str:
+    """The text with each stretch that spans cover replaced by one sign."""
+    parts, at, open_until = [], 0, -1
+    for start, end, _ in sorted(spans):
+        if start > open_until:
+            parts += [text[at:start], sign]
+        at = open_until = max(open_until, end)
+    return "".join([*parts, text[at:]])
+
+
+def redact(
+    docs: DataFrame,
+    text_column: str = "text",
+    size_column: str | None = None,
+    sign: str = "<secret>",
+    identifiers: Sequence[str] = IDENTIFIERS,
+    novelty: float = NOVELTY,
+) -> DataFrame:
+    """``docs`` with every span replaced by ``sign``; rows without a span are unchanged. ``size_column``, if given, is
+    set to the new number of characters where a text changed."""
+    names = " ".join(identifiers).encode()
+
+    def take(batches):
+        for b in batches:
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                old = part.column(text_column).to_pylist()
+                new = []
+                for text in old:
+                    spans = base_spans(text) + novel_spans(text, names, novelty) if text else []
+                    new.append(redacted(text, spans, sign) if spans else text)
+                at = part.schema.get_field_index(text_column)
+                if size_column is not None:
+                    sizes = part.column(size_column)
+                    values = [s if n is o or n == o else len(n) for s, n, o in zip(sizes.to_pylist(), new, old)]
+                    place = part.schema.get_field_index(size_column)
+                    part = part.set_column(place, part.schema.field(place), pa.array(values, sizes.type))
+                yield part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+
+    return docs.mapInArrow(take, docs.schema)

@@ -30,8 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from areafacts.llm.common import batch, picked, runs, stored, texts
+from areafacts.llm.common import picked, runs, stored, texts
 from areafacts.llm.components import components
 
 SEED = 42
@@ -81,16 +82,17 @@ def fingerprint(text: bytes, n: int) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int) -> DataFrame:
-    """(id, fp) of (id, text)."""
-    out = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    """The columns of ``docs`` with the fingerprint ``fp`` in place of ``text``, which comes last."""
+    schema = T.StructType([f for f in docs.schema.fields if f.name != "text"]).add("fp", "long")
 
     def take(batches):
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
-                yield batch(out, part.column("id"), [fingerprint(t, n) for t in texts(part.column("text"))])
+                fp = pa.array([fingerprint(t, n) for t in texts(part.column("text"))], pa.int64())
+                yield part.drop_columns(["text"]).append_column("fp", fp)
 
-    return docs.mapInArrow(take, "id long, fp long")
+    return docs.mapInArrow(take, schema)
 
 
 def reference_distances() -> np.ndarray:
@@ -191,15 +193,19 @@ def links(distinct: DataFrame, d: int) -> DataFrame:
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long")
 
 
+def rooted(distinct: DataFrame, d: int) -> DataFrame:
+    """``distinct`` with the smallest fingerprint that each one reaches, ``root``."""
+    if not d:
+        return distinct.withColumn("root", F.col("fp"))
+    found = components(links(distinct, d)).withColumnRenamed("node", "fp").withColumnRenamed("root", "found")
+    return distinct.join(found, "fp", "left").withColumn("root", F.coalesce("found", "fp")).drop("found")
+
+
 def classes(fps: DataFrame, d: int) -> DataFrame:
     """(fp, component): each distinct fingerprint of (id, fp) with the smallest id it reaches."""
-    distinct = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    root = components(links(distinct, d)).withColumnRenamed("node", "fp") if d else None
-    if root is None:
-        return distinct.withColumnRenamed("least", "component")
-    rooted = distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return rooted.join(least, "root").select("fp", "component")
+    found = rooted(stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct"), d)
+    least = found.groupBy("root").agg(F.min("least").alias("component"))
+    return found.join(least, "root").select("fp", "component")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -211,8 +217,26 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable): one row per row of ``docs``."""
     rows = picked(docs, id=id_column, text=text_column).withColumn("id", F.col("id").cast("long"))
-    fps = stored(fingerprints(rows, shingle), "fingerprints")
+    fps = stored(fingerprints(rows.select("id", "text"), shingle), "fingerprints")
     found = fps.join(classes(fps, max_distance), "fp")
     return found.select(
         F.col("id").alias("doc_id"), hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3, max_distance: int = 2
+) -> DataFrame:
+    """One row of each group, unchanged: that of the smallest id (null last; then by the text's hash).
+
+    Texts are shuffled once, by id and hash, with exact repetitions of a row dropped in the tasks before.
+    """
+    rows = docs.withColumn("__id", docs[f"`{id_column}`"].cast("long")).withColumn("__hash", F.xxhash64(docs[f"`{text_column}`"]))
+    named = rows.select(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__hash")).alias("row"), docs[f"`{text_column}`"].alias("text"))
+    fps = stored(fingerprints(named, shingle), "fingerprints")
+    distinct = stored(fps.groupBy("fp").agg(F.min("row").alias("row")), "distinct")
+    first = rooted(distinct, max_distance).groupBy("root").agg(F.min("row").alias("row"))
+    kept = first.select(F.col("row.__id").alias("__kept"), F.col("row.__hash").alias("__kept_hash"))
+    once = rows.dropDuplicates(["__id", "__hash"])
+    found = once.join(kept, F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi")
+    return found.drop("__id", "__hash")
