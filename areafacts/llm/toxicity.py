@@ -9,7 +9,8 @@ each); its features are the word, its ends, its odds, and those of its neighbour
 CHAIN tokens. Forward-backward marginals are aggregated (largest, sum, share) to a document score by a logistic
 regression on the same sample; tokens with a marginal of a half or more are the offending spans.
 
-Counting is pre-aggregated per task, tagging is a narrow pass. Broadcast: the weights (2^16) and the listed words.
+Counting is pre-aggregated per task, tagging is a narrow pass. Broadcast: the weights (2^16), the listed
+words, and up to BROADCAST labels; with more labels, the texts are shuffled to them once.
 
 Defined cases: null text is empty; an empty text has the score of a text without a suspicious token. Several labels of a
 document count as toxic if one is; null labels and labels without a document are ignored. If one of the two labels does
@@ -44,6 +45,8 @@ ROUNDS = 60
 WEIGHTS = 1 << 16
 SEED = 5
 CACHED = 400_000
+# Labelled documents up to which the labels are sent to the texts (tens of megabytes), not the texts shuffled to them.
+BROADCAST = 1_000_000
 
 # Letters in lower case; other ASCII, which no word holds, as space: offsets stay the same.
 PLAIN = bytes(
@@ -220,7 +223,9 @@ def learn(
     spark = docs.sparkSession
     of_docs = document_labels(labels, id_column, toxic_column)
     rows = docs.where(learnable).select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
-    rows = stored(rows.join(of_docs, "id"), "labelled")  # the only shuffle of texts
+    if of_docs.count() <= BROADCAST:
+        of_docs = F.broadcast(of_docs)
+    rows = stored(rows.join(of_docs, "id"), "labelled")  # texts are shuffled here only, and only for more labels
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
     prior = n_toxic / max(n_toxic + n_other, 1)
