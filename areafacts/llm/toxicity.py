@@ -96,10 +96,11 @@ class Words(dict):
 
     def __init__(self, model: Model):
         self.model, self.rows = model, []
+        self.weights = model.field.weights.tolist() if model.field else []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = found = len(self.rows)
-        self.rows.append([self.model.field.weights[f].sum() for f in word_features(word, self.model.odds)])
+        self.rows.append([sum([self.weights[i] for i in f]) for f in word_features(word, self.model.odds)])
         return found
 
     def chains(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
