@@ -15,7 +15,7 @@ import numpy as np
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BITS = 18
+_BITS = 18  # of the piece table, several times the pieces
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,19 +86,23 @@ class Vocabulary:
         """Units of a text; like the models, with a space before it and the space's own sign read as a space."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Piece ids, or -1."""
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes that are a piece's, and the pieces' ids."""
         at = _slot(hashes)
         there = self.hashes[at]
-        out = np.where(there == hashes, self.ids[at], -1)
-        rows = np.flatnonzero((there != hashes) & (there != 0))
+        used = np.flatnonzero(there)
+        rows, at = used, at[used]
+        same = there[used] == hashes[used]
+        places, ids = [rows[same]], [self.ids[at[same]]]
+        rows, at = rows[~same], at[~same] + 1
         while len(rows):
-            at[rows] += 1
-            there = self.hashes[at[rows]]
-            hit = there == hashes[rows]
-            out[rows[hit]] = self.ids[at[rows[hit]]]
-            rows = rows[~hit & (there != 0)]
-        return out
+            there = self.hashes[at]
+            same = there == hashes[rows]
+            places.append(rows[same])
+            ids.append(self.ids[at[same]])
+            on = ~same & (there != 0)
+            rows, at = rows[on], at[on] + 1
+        return np.concatenate(places), np.concatenate(ids)
 
 
 def _hash(points: np.ndarray) -> np.uint64:
@@ -109,7 +113,8 @@ def _hash(points: np.ndarray) -> np.uint64:
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (_mixed(hashes) >> np.uint64(64 - _BITS)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        return (hashes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - _BITS)).view(np.int64)
 
 
 class Lattice:
@@ -132,20 +137,24 @@ class Lattice:
         starts, stops, found = [], [], []
         at, h = np.arange(len(text)), np.zeros(len(text), np.uint64)
         covered = np.zeros(len(text), bool)
+        text += np.uint64(1)
         with np.errstate(over="ignore"):
             for n in range(1, vocabulary.longest + 1):
-                keep = left[at] >= n
-                at, h = at[keep], h[keep]
+                if n > 1:
+                    keep = np.flatnonzero(left[at] >= n)
+                    at, h = at[keep], h[keep]
                 if not len(at):
                     break
-                h = h * _BASE + text[at + n - 1] + np.uint64(1)
-                ids = vocabulary.find(h)
-                hit = ids >= 0
+                h *= _BASE
+                h += text[at + (n - 1)]
+                hit, ids = vocabulary.find(h)
+                start = node[at[hit]]
                 if n == 1:
                     covered[at[hit]] = True
-                starts.append(node[at[hit]])
-                stops.append(node[at[hit]] + n)
-                found.append(ids[hit])
+                starts.append(start)
+                stops.append(start + n)
+                found.append(ids)
+        text -= np.uint64(1)
         bare = np.flatnonzero(~covered)
         self.bare = {int(s): chr(int(c)).encode("utf-8", "surrogatepass") for s, c in zip(node[bare], text[bare])}
         in_bytes = np.array([len(self.bare[int(s)]) for s in node[bare]], np.int64)
@@ -158,7 +167,7 @@ class Lattice:
         piece = np.concatenate([ids, np.full(len(bare), -1)])
         weight = np.concatenate([vocabulary.logp[ids], of_one * in_bytes])
         order = np.argsort(stop, kind="stable")
-        self.start, self.piece, stop, weight = start[order], piece[order], stop[order], weight[order]
+        self.start, self.piece, stop, weight = start[order].astype(np.int32), piece[order].astype(np.int32), stop[order], weight[order]
         self._normalize(stop, weight, np.concatenate([none, stop - np.repeat(self.first, sizes + 1)[stop]]))
 
     def _normalize(self, stop: np.ndarray, weight: np.ndarray, depth: np.ndarray) -> None:
@@ -174,39 +183,15 @@ class Lattice:
             spread = np.repeat(top, np.diff(np.append(heads, len(e))))
             total[node[heads]] = top + np.log(np.add.reduceat(np.exp(value - spread), heads))
         self.logp = total[self.start] + weight - total[stop]
-        self.p = np.exp(self.logp)
+        p = np.exp(self.logp)
         heads = np.flatnonzero(np.diff(stop, prepend=-1))
         size = np.diff(np.append(heads, len(stop)))
-        self.edges = np.zeros((len(total), 2), np.int64)  # of each node: from, to
+        self.edges = np.zeros((len(total), 2), np.int32)  # of each node: from, to
         self.edges[stop[heads]] = np.stack([heads, heads + size], axis=1)
-        running = np.cumsum(self.p)
-        self.cumulative = running - np.repeat(running[heads] - self.p[heads], size)
+        running = np.cumsum(p)
+        self.cumulative = running - np.repeat(running[heads] - p[heads], size)
         self.cumulative[heads + size - 1] = 2.0
 
-    def joined(self, more: Lattice) -> Lattice:
-        """The lattices of both lists of units, numbered through."""
-        both = object.__new__(Lattice)
-        both.vocabulary = self.vocabulary
-        nodes, edges = len(self.edges), len(self.start)
-        both.bare = self.bare | {i + nodes: b for i, b in more.bare.items()}
-        for name, shift in (("first", nodes), ("last", nodes), ("start", nodes), ("edges", edges)):
-            setattr(both, name, np.concatenate([getattr(self, name), getattr(more, name) + shift]))
-        for name in ("piece", "p", "logp", "cumulative"):
-            setattr(both, name, np.concatenate([getattr(self, name), getattr(more, name)]))
-        return both
-
-    def prefix(self, n: int) -> Lattice:
-        """The lattices of the first ``n`` units."""
-        part = object.__new__(Lattice)
-        part.vocabulary = self.vocabulary
-        nodes = int(self.last[n - 1]) + 1 if n else 0
-        edges = int(self.edges[nodes - 1, 1]) if n else 0
-        part.bare = {i: b for i, b in self.bare.items() if i < nodes}
-        part.first, part.last, part.edges = self.first[:n].copy(), self.last[:n].copy(), self.edges[:nodes].copy()
-        for name in ("start", "piece", "p", "logp", "cumulative"):
-            setattr(part, name, getattr(self, name)[:edges].copy())
-        return part
-
     def walk(self, units: np.ndarray, key: np.ndarray):
         """One drawn segmentation of each unit: edges in text order, their number, and log probabilities."""
         node, lane = self.last[units], np.arange(len(units))
@@ -228,7 +213,7 @@ class Lattice:
             on = node != self.first[units[lane]]
             node, lane = node[on], lane[on]
         end = np.cumsum(n)
-        edges = np.empty(end[-1] if len(end) else 0, np.int64)
+        edges = np.empty(end[-1] if len(end) else 0, np.int32)
         for i, (e, who_) in enumerate(zip(chosen, who)):
             edges[end[who_] - 1 - i] = e
         return edges, n, logp
@@ -239,7 +224,7 @@ class Lattice:
         draws = iter(uniform(np.uint64(key), np.arange(1, node - int(self.first[unit]) + 1)).tolist())
         while node != self.first[unit]:
             a, b = self.edges[node].tolist()
-            mass = self.p[a:b].tolist()
+            mass = np.exp(self.logp[a:b]).tolist()
             for e in left:
                 mass[e[0] - a] -= math.exp(sum(self.logp[j] for j in e))
             mass = [max(m, 0.0) for m in mass]
@@ -279,32 +264,63 @@ class Numbers(dict):
 
 
 class Known:
-    """The lattices of units that came up more than once, up to ``most`` of them, kept from batch to batch."""
+    """The lattices of units that came up more than once, up to ``most`` of them, kept from batch to batch.
+
+    A batch's new units are numbered on after them, in the same arrays; those that came up again are the first of the
+    new ones and stay, the others are overwritten by the next batch.
+    """
+
+    BY_UNIT, BY_NODE, BY_EDGE = ("first", "last"), ("edges",), ("start", "piece", "logp", "cumulative")
 
     def __init__(self, vocabulary: Vocabulary, most: int = 100_000):
         self.vocabulary, self.most = vocabulary, most
         self.index = Numbers()
-        self.lattice = Lattice([], vocabulary)
+        empty = Lattice([], vocabulary)
+        self.room = {name: getattr(empty, name) for name in (*self.BY_UNIT, *self.BY_NODE, *self.BY_EDGE)}
+        self.nodes = self.edges = 0
+        self.bare: dict[int, bytes] = {}
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> np.ndarray:
+        """The array ``name`` up to and with ``values``, which go to ``at``."""
+        old = self.room[name]
+        if at + len(values) > len(old):
+            self.room[name] = np.zeros((max(at + len(values), len(old) * 3 // 2), *old.shape[1:]), old.dtype)
+            self.room[name][:at] = old[:at]
+        self.room[name][at : at + len(values)] = values
+        return self.room[name][: at + len(values)]
+
+    def _with(self, fresh: Lattice) -> Lattice:
+        both = object.__new__(Lattice)
+        both.vocabulary, units = self.vocabulary, len(self.index)
+        both.bare = self.bare | {i + self.nodes: b for i, b in fresh.bare.items()}
+        for name in self.BY_UNIT:
+            setattr(both, name, self._put(name, units, getattr(fresh, name) + self.nodes))
+        both.edges = self._put("edges", self.nodes, fresh.edges + np.int32(self.edges))
+        both.start = self._put("start", self.edges, fresh.start + np.int32(self.nodes))
+        for name in self.BY_EDGE[1:]:
+            setattr(both, name, self._put(name, self.edges, getattr(fresh, name)))
+        return both
 
     def of(self, texts: list[list[str]]) -> tuple[list[np.ndarray], Lattice]:
-        """The texts' units as numbers in a lattice that holds them all."""
+        """The texts' units as numbers in a lattice that holds them all; it serves until the next call."""
         n, index = len(self.index), self.index
         ids = [np.fromiter(map(index.__getitem__, text), np.int64, len(text)) for text in texts]
-        if len(index) == n:
-            return ids, self.lattice
-        # new units by how often they came up: those that stay are the first of them
         new = list(index)[n:]
-        count = np.bincount(np.concatenate(ids), minlength=len(index))[n:]
+        # new units by how often they came up: those that stay are the first of them
+        count = np.bincount(np.concatenate([np.empty(0, np.int64), *ids]), minlength=len(index))[n:]
         order = np.argsort(-count, kind="stable")
         number = np.arange(len(index))
         number[n + order] = n + np.arange(len(order))
-        lattice = self.lattice.joined(Lattice([new[i] for i in order], self.vocabulary))
-        again = int((count > 1).sum())
-        again = again if n + again <= self.most else 0
         for unit in new:
             del index[unit]
-        for i in order[:again]:
-            index[new[i]] = len(index)
-        if again:
-            self.lattice = lattice.prefix(n + again)
+        fresh = Lattice([new[i] for i in order], self.vocabulary)
+        lattice = self._with(fresh)
+        again = int((count > 1).sum())
+        if again and n + again <= self.most:
+            for i in order[:again]:
+                index[new[i]] = len(index)
+            nodes = int(fresh.last[again - 1]) + 1
+            self.bare |= {i + self.nodes: b for i, b in fresh.bare.items() if i < nodes}
+            self.edges += int(fresh.edges[nodes - 1, 1])
+            self.nodes += nodes
         return [number[i] for i in ids], lattice

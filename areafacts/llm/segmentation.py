@@ -130,7 +130,7 @@ def _complete(searches: list[Search], picks: list[tuple | None], lattice: Lattic
             continue
         t, known, (new, new_logp), path, start = head
         whole = Path(
-            np.concatenate([path.edges[:start], np.array(new, np.int64), mine[0]]),
+            np.concatenate([path.edges[:start], np.array(new, np.int32), mine[0]]),
             np.concatenate([path.n[:t], [len(new)], mine[1]]),
             np.concatenate([path.logp[:t], [new_logp], mine[2]]),
             -pick[0],
@@ -150,7 +150,7 @@ def top_k(keys: list[int], texts: list[str], k: int, known: Known) -> list[list[
         if live:
             _complete(live, [heapq.heappop(s.agenda) for s in live], lattice, sample)
     paths = [path for s in searches for path in s.taken]
-    ids, n = lattice.ids(np.concatenate([np.empty(0, np.int64), *[path.edges for path in paths]]))
+    ids, n = lattice.ids(np.concatenate([np.empty(0, np.int32), *[path.edges for path in paths]]))
     ends = np.cumsum(n)
     out, at, start = [], 0, 0
     for s in searches:

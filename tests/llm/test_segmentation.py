@@ -99,17 +99,17 @@ def test_long_units_and_texts():
     assert found[0][0].tolist() != found[1][0].tolist()
 
 
-def test_lattice_prefix():
-    whole = Lattice(["▁ab", "aba", "é", "▁a"], small())
-    part = Lattice(["▁ab", "aba", "é"], small())
-    cut = whole.prefix(3)
-    for name in ("first", "last", "start", "piece", "p", "edges"):
-        assert (getattr(cut, name) == getattr(part, name)).all()
-    assert cut.bare == part.bare
-    both = part.joined(Lattice(["▁a"], small()))
-    for name in ("first", "last", "start", "piece", "p"):
-        assert (getattr(both, name) == getattr(whole, name)).all()
-    assert (both.edges[both.last] == whole.edges[whole.last]).all()
+def test_known_units_are_numbered_on():
+    known = Known(small())
+    known.of([["▁ab", "▁ab", "x", "é", "é"]])
+    assert list(known.index) == ["▁ab", "é"]
+    (ids,), lattice = known.of([["aba", "é", "▁a", "▁ab"]])
+    assert ids.tolist() == [2, 1, 3, 0]
+    whole = Lattice(["▁ab", "é", "aba", "▁a"], small())
+    for name in ("first", "last", "start", "piece", "logp"):
+        assert (getattr(lattice, name) == getattr(whole, name)).all()
+    assert (lattice.edges[lattice.last] == whole.edges[whole.last]).all()
+    assert lattice.bare == whole.bare
 
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="vocabulary files are not here")
