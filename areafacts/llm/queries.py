@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, mixing, rotated_codes, secrets, segmentation, simhash, toxicity
+from areafacts.llm import exact_topk, language_id, lm_scoring, mixing, rotated_codes, secrets, segmentation, simhash, toxicity
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 @query
 def op2_segmentation(spark, sf_dir):
     return segmentation.encode(table(spark, sf_dir, "documents"), PIECES, k=2, alpha=0.5)
+
+
+@query
+def op10_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 10) == 0
+    found = lm_scoring.score(docs, lm_scoring.learn(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
