@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, lm_scoring, mixing, rotated_codes, secrets, segmentation, simhash, toxicity
+from areafacts.llm import exact_topk, language_id, lm_scoring, mixing, rotated_codes, secrets, segmentation, simhash, substring_dedup, toxicity
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,16 @@ def op10_lm_scoring(spark, sf_dir):
     held_out = fold("doc_id", 10) == 0
     found = lm_scoring.score(docs, lm_scoring.learn(docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op8_substring_dedup(spark, sf_dir):
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
