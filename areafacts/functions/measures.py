@@ -1,4 +1,5 @@
-"""Aggregate expressions whose result does not depend on task order."""
+"""Aggregate expressions of the marts."""
+
 
 from __future__ import annotations
 
@@ -6,26 +7,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_sum(c: Column, decimals: int = 6) -> Column:
-    """Sum of doubles to ``decimals`` places that does not depend on task order.
-
-    A plain double sum depends on the order in which tasks finish, so two runs
-    (or a run with a lost executor) differ in the last digits. Whole numbers add
-    up exactly in a double below 2^53, in any order. So the whole part and the
-    fraction, counted in units of ``10^-decimals``, are summed apart; beyond 2^53
-    (9e15, or 9e9 rows of fractions) the usual rounding applies. Both buffers are
-    primitive, where a decimal would allocate per row.
-    """
-    unit = F.lit(float(10**decimals))
-    whole = F.rint(c)
-    return F.sum(whole) + F.sum(F.rint((c - whole) * unit)) / unit
-
-
-def exact_mean(c: Column, decimals: int = 6) -> Column:
-    """Mean over the non-null values, from :func:`exact_sum`."""
-    return F.try_divide(exact_sum(c, decimals), F.count(c))
-
-
 def latest(value: Column, *days: Column) -> Column:
     """``value`` of the row with the greatest ``days`` (one or two dates, the
     first decides, a null date counts as the earliest).

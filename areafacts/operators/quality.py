@@ -43,11 +43,17 @@ def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
 def conform(df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = ()) -> DataFrame:
     """Bring the columns ``schema`` names to its types; others stay as they are.
 
-    Text that does not fit is null. Dates in text are read by the first of
-    ``date_formats`` that parses them (ISO if none are given). A fractional
+    Text that does not fit is null (see :func:`mistyped`). Whole numbers may be
+    written with a fraction of zero (``5.0``). Dates in text are read by the first
+    of ``date_formats`` that parses them (ISO if none are given). A fractional
     column is not cut down to integers. Columns that already have their type
     cost nothing.
     """
+    changed = _conforming(df, schema, date_formats)
+    return df.withColumns(changed) if changed else df
+
+
+def _conforming(df: DataFrame, schema: T.StructType, date_formats: Sequence[str]) -> dict[str, Column]:
     declared = {f.name.lower(): f.dataType for f in schema.fields}
     changed = {}
     for field in df.schema.fields:
@@ -55,24 +61,49 @@ def conform(df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = (
         fractional = isinstance(field.dataType, T.FractionalType) and isinstance(wanted, T.IntegralType)
         if wanted == field.dataType or fractional:
             continue
-        column = F.col(quoted(field.name))
-        if date_formats and isinstance(wanted, T.DateType) and isinstance(field.dataType, T.StringType):
+        column, from_text = F.col(quoted(field.name)), isinstance(field.dataType, T.StringType)
+        if date_formats and isinstance(wanted, T.DateType) and from_text:
             changed[field.name] = to_date_any(column, date_formats)
+        elif isinstance(wanted, T.IntegralType) and from_text:
+            number = column.try_cast("double")
+            whole = F.when(number == F.rint(number), number).try_cast(wanted)
+            changed[field.name] = F.coalesce(column.try_cast(wanted), whole)
         else:
             changed[field.name] = column.try_cast(wanted)
-    return df.withColumns(changed) if changed else df
+    return changed
+
+
+def mistyped(df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = ()) -> dict[str, Column]:
+    """For each column that :func:`conform` would change: whether a cell is there but does not fit its type."""
+    changed = _conforming(df, schema, date_formats)
+    return {name: F.col(quoted(name)).isNotNull() & typed.isNull() for name, typed in changed.items()}
 
 
-def report(df: DataFrame, keys: Sequence[str] = (), rules: Mapping[str, Column] | None = None) -> DataFrame:
+def report(
+    df: DataFrame,
+    keys: Sequence[str] = (),
+    rules: Mapping[str, Column] | None = None,
+    schema: T.StructType | None = None,
+    date_formats: Sequence[str] = (),
+) -> DataFrame:
     """Counts per check: ``check, total, failures``.
 
     Checks are ``null:<column>`` for every column, ``rule:<name>`` for every
     rule and ``duplicate:<keys>``, the number of rows beyond the first of each
-    key. The first two need one pass that sends a single row per task; the keys
-    are counted in a second, key-columns-only pass, which keeps the wide counters
-    out of its shuffle.
+    key. With the ``schema`` that raw rows should have, ``type:<column>`` counts
+    the cells that do not fit it; they are not missing, and rules and keys see
+    the rows after :func:`conform`. All but the duplicates need one pass that
+    sends a single row per task; the keys are counted in a second,
+    key-columns-only pass, which keeps the wide counters out of its shuffle.
     """
-    checks: dict[str, Column] = {f"null:{c}": F.col(c).isNull() for c in df.columns}
+    names = df.columns
+    misfits = mistyped(df, schema, date_formats) if schema else {}
+    marks = {c: f"__type{i}" for i, c in enumerate(misfits)}
+    if schema:
+        df = conform(df.withColumns({marks[c]: misfit for c, misfit in misfits.items()}), schema, date_formats)
+    fits = {c: ~F.col(marks[c]) if c in marks else F.lit(True) for c in names}
+    checks: dict[str, Column] = {f"null:{c}": F.col(quoted(c)).isNull() & fits[c] for c in names}
+    checks.update({f"type:{c}": F.col(mark) for c, mark in marks.items()})
     checks.update({f"rule:{name}": ~R.holds(rule) for name, rule in (rules or {}).items()})
     ids = [f"c{i}" for i in range(len(checks))]
     counted = df.agg(

@@ -80,7 +80,9 @@ def _unpivot(df: DataFrame, ids: list[str], values: list[str], name: str, value:
         return typed.unpivot(kept, [quoted(c) for c in values], name, value)
     names = F.expr(f"array({', '.join(map(_literal, values))})").alias(name)
     cells = F.expr(f"array({', '.join(numbers)})").alias(value)
-    return df.select(*kept, F.inline(F.arrays_zip(names, cells)))
+    long = df.select(*kept, F.inline(F.arrays_zip(names, cells)))
+    # names are never null; saying so gives both forms the same schema
+    return long.withColumn(name, F.coalesce(F.col(quoted(name)), F.lit("")))
 
 
 def _literal(text: str) -> str:

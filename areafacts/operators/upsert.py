@@ -49,12 +49,12 @@ def upsert(
         if lacking:
             apart.append(source.where(~no_null))
 
+    batch_keys = _checked_keys(matchable_source, keys).where(_once(True)).select(*keys)
+    kept = _without(matchable_target, batch_keys, keys, null_safe)
     if lacking:
-        merged = _outer_merge(matchable_target, matchable_source, keys, target.columns, null_safe)
-        parts = [merged, *apart]
+        replaced = matchable_target.alias("t").join(batch_keys.alias("s"), _on(keys, null_safe), "left_semi")
+        parts = [kept, *apart, _filled(matchable_source, replaced.dropDuplicates(keys), keys, target.columns, null_safe)]
     else:
-        batch_keys = _checked_keys(matchable_source, keys)
-        kept = _without(matchable_target, batch_keys.where(_once(True)).select(*keys), keys, null_safe)
         parts = [kept, *apart, source]
     parts.append(_fail_on_duplicates(matchable_source, keys, parts[0]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -104,23 +104,14 @@ def _without(target: DataFrame, gone: DataFrame, keys: list[str], null_safe: boo
     return target.alias("t").join(gone.alias("s"), _on(keys, null_safe), "left_anti")
 
 
-def _outer_merge(
-    target: DataFrame, source: DataFrame, keys: list[str], target_columns: list[str], null_safe: bool
+def _filled(
+    source: DataFrame, replaced: DataFrame, keys: list[str], target_columns: list[str], null_safe: bool
 ) -> DataFrame:
-    """Full outer join on the keys, for a source that lacks target columns.
+    """Source rows with the columns they lack taken from the target rows they replace.
 
-    A column the source has comes from the source whenever the source row is
-    there, nulls included, so presence is decided by a flag and not by coalesce.
+    Both sides have at most the batch's keys, so the stored table takes no part in this join.
     """
-    t = target.alias("t")
-    s = source.withColumn("__in_s", F.lit(True)).alias("s")
-    in_source = F.col("s.__in_s").isNotNull()
     delivered, known = _lower(source.columns), _lower(target_columns)
-    columns = [
-        F.when(in_source, F.col(f"s.{quoted(c)}")).otherwise(F.col(f"t.{quoted(c)}")).alias(c)
-        if c.lower() in delivered
-        else F.col(f"t.{quoted(c)}").alias(c)
-        for c in target_columns
-    ]
+    columns = [F.col(f"{'s' if c.lower() in delivered else 't'}.{quoted(c)}").alias(c) for c in target_columns]
     columns += [F.col(f"s.{quoted(c)}").alias(c) for c in source.columns if c.lower() not in known]
-    return t.join(s, _on(keys, null_safe), "full_outer").select(*columns)
+    return source.alias("s").join(replaced.alias("t"), _on(keys, null_safe), "left").select(*columns)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areafacts.functions.measures import exact_mean, exact_sum, latest
+from areafacts.functions.measures import latest
 from areafacts.operators.dedupe import top_per_group
 
 AREA = ("zip", "state_id")
@@ -45,19 +45,23 @@ def areas_in_price_range(values: DataFrame, lo: float, hi: float) -> DataFrame:
 
 
 def value_trend(
-    values: DataFrame, by: Sequence[str] = AREA, grain: str = "month", ordered: bool = True
+    values: DataFrame, by: Sequence[str] = AREA, grain: str = "month", ordered: bool = False
 ) -> DataFrame:
-    """Mean home value per group and period in time order, and its change.
+    """Mean home value per group and period, and its change; ``ordered`` sorts the whole result.
 
     ``by`` names columns of the index (``zip`` for its region name). ``change``
     is against the group's previous period; the window runs over the aggregated
-    rows, at most one per period and group.
+    rows, at most one per period and group. By area the aggregation reduces next
+    to nothing, so the rows are dealt by area first: one shuffle serves the
+    aggregation and the window.
     """
+    known = _values_by_zip(values).where(F.col("Value").isNotNull())
+    if set(AREA) <= set(by):
+        known = known.select(*by, "month", "Value").repartition(*by)
     series = (
-        _values_by_zip(values)
-        .where(F.col("Value").isNotNull())
+        known
         .groupBy(*by, F.date_trunc(grain, "month").cast("date").alias("period"))
-        .agg(exact_mean(F.col("Value")).alias("mean_value"), F.count("Value").alias("n_values"))
+        .agg(F.avg("Value").alias("mean_value"), F.count("Value").alias("n_values"))
     )
     previous = F.lag("mean_value").over(Window.partitionBy(*by).orderBy("period"))
     trend = series.withColumn("change", F.col("mean_value") - previous)
@@ -84,20 +88,27 @@ def market_trend(
     market: DataFrame,
     metrics: Sequence[str] = MARKET_HEADLINES,
     grain: str = "week",
-    ordered: bool = True,
+    ordered: bool = False,
+    periods_from: str | None = None,
+    periods_to: str | None = None,
 ) -> DataFrame:
     """Market metrics over time per county: as delivered, or the mean per period.
 
-    By week this is the table itself, so ``ordered=False`` spares a consumer who
-    does not need the order the sort of all rows.
+    ``metrics`` may name any of the table's, year-over-year ones included.
+    ``periods_from`` and ``periods_to`` (inclusive) bound the begin of the
+    delivered periods and reach the scan. ``ordered`` sorts the whole result.
     """
     county = ("county_name", "state_id")
+    if periods_from is not None:
+        market = market.where(F.col("period_begin") >= F.lit(periods_from).cast("date"))
+    if periods_to is not None:
+        market = market.where(F.col("period_begin") <= F.lit(periods_to).cast("date"))
     if grain == "week":
         trend = market.select(*county, "period_begin", "period_end", *metrics)
         return trend.orderBy(*county, "period_begin", "period_end") if ordered else trend
     period = F.date_trunc(grain, "period_begin").cast("date").alias("period")
     trend = market.groupBy(*county, period).agg(
-        *[exact_mean(F.col(m).cast("double")).alias(m) for m in metrics], F.count(F.lit(1)).alias("n_periods")
+        *[F.avg(F.col(m).cast("double")).alias(m) for m in metrics], F.count(F.lit(1)).alias("n_periods")
     )
     return trend.orderBy(*county, "period") if ordered else trend
 
@@ -144,8 +155,8 @@ def _quality_measures() -> list:
     stars, reviews = F.col("stars"), F.col("review_count")
     weight = F.sum(F.when(stars.isNotNull(), reviews))
     return [
-        exact_mean(stars).alias("mean_stars"),
-        F.try_divide(exact_sum(stars * reviews), weight).alias("weighted_stars"),
+        F.avg(stars).alias("mean_stars"),
+        F.try_divide(F.sum(stars * reviews), weight).alias("weighted_stars"),
     ]
 
 
@@ -159,7 +170,7 @@ def place_quality(places: DataFrame, category: str | None = None) -> DataFrame:
 
 
 def top_places(
-    places: DataFrame, k: int, per: Sequence[str] | None = None, category: str | None = None
+    places: DataFrame, k: int, per: Sequence[str] | None = None, category: str | None = None, slices: int = 1
 ) -> DataFrame:
     """The ``k`` best places by rating, then reviews; overall or per group.
 
@@ -170,7 +181,7 @@ def top_places(
     chosen = _of_category(places, category)
     if per is None:
         return chosen.orderBy(*order).limit(k)
-    return top_per_group(chosen, per, order, k, rank="rank")
+    return top_per_group(chosen, per, order, k, rank="rank", slices=slices)
 
 
 # -- areas and their neighbourhood ----------------------------------------------
@@ -196,7 +207,7 @@ def place_summary(places: DataFrame, category: str | None = RESTAURANTS) -> Data
             F.count(F.lit(1)).alias("places"),
             F.count_if("__hit").alias("category_places"),
             *_quality_measures(),
-            exact_mean(F.when(F.col("__hit"), F.col("stars"))).alias("category_stars"),
+            F.avg(F.when(F.col("__hit"), F.col("stars"))).alias("category_stars"),
         )
     )
 

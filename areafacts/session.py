@@ -17,20 +17,20 @@ SETTINGS = {
 
 # A partition of this size sorts in the memory of one core.
 PARTITION_BYTES = 256 * 1024**2
-# With more tasks than this on both sides of a shuffle, the blocks that pass
-# between them get too small to fetch; larger partitions that spill are cheaper.
-MAX_TASKS = 50_000
 
 
-def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+def sized_settings(shuffled_bytes: int, cores: int, max_tasks: int = 50_000) -> dict[str, str]:
     """Settings for a job that shuffles about ``shuffled_bytes`` on ``cores`` cores.
 
+    With more than ``max_tasks`` on both sides of a shuffle, the blocks that pass
+    between them get too small to fetch; larger partitions that spill are cheaper.
+
     The adaptive planner joins partitions that turn out small but never splits
     an ordinary shuffle, so the initial number has to fit the data: the default
     of 200 would make half a terabyte per task out of 100 TB.
     """
-    partitions = min(MAX_TASKS, -(-shuffled_bytes // PARTITION_BYTES))
-    split = max(PARTITION_BYTES // 2, shuffled_bytes // MAX_TASKS)
+    partitions = min(max_tasks, -(-shuffled_bytes // PARTITION_BYTES))
+    split = max(PARTITION_BYTES // 2, shuffled_bytes // max_tasks)
     return {
         "spark.sql.shuffle.partitions": str(max(2 * cores, partitions)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{PARTITION_BYTES // 2}b",
@@ -38,6 +38,13 @@ def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path; 0 if there is none. Only the listing is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+
 def local_session(
     cores: int | str = "*", app: str = "areafacts", memory: str = "8g", settings: dict[str, str] | None = None
 ) -> SparkSession:

@@ -51,19 +51,19 @@ def test_top_per_group(copies, rows):
 
 
 def test_large_k_is_exact(spark, rows):
-    """Past the group-limit threshold the two-step ranking gives the same rows."""
+    """Ranking in slices first gives the same rows, for any number of rows and slices."""
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("g"),
         F.xxhash64("id").alias("v"),
         "id",
     )
     order = [F.col("v"), F.col("id")]
-    for k in (999, 1500):
+    for k, slices in ((999, 16), (1500, 1), (1500, 64)):
         expected = []
         for g, group in df.toPandas().groupby("g"):
             best = group.sort_values(["v", "id"]).head(k)
             expected += [(g, i) for i in best["id"]]
-        assert rows(top_per_group(df, ["g"], order, k), "g", "id") == sorted(
+        assert rows(top_per_group(df, ["g"], order, k, slices=slices), "g", "id") == sorted(
             expected, key=lambda r: [(v is not None, str(v)) for v in r]
         )
 
@@ -76,3 +76,9 @@ def test_hot_key(spark):
     out = one_per_key(df, ["k"], [F.col("v").cast("long").desc()])
     assert out.count() == 40001
     assert out.where("k = -1").head()["v"] == "59997"
+
+
+def test_slices_with_map_columns(spark, rows):
+    df = spark.range(50).select((F.col("id") % 3).alias("g"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    best = top_per_group(df, ["g"], [F.col("id").desc()], 2000, slices=8)
+    assert best.count() == 50

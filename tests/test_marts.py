@@ -122,9 +122,9 @@ def test_ratios_keep_their_decimals(market):
 
 
 def test_market_trend(market):
-    week = marts.market_trend(market, ["median_sale_price"]).where("state_id = 'wa'")
+    week = marts.market_trend(market, ["median_sale_price"], ordered=True).where("state_id = 'wa'")
     assert [r["median_sale_price"] for r in week.collect()] == [99.0, 10.0, 20.0, 40.0]
-    month = marts.market_trend(market, ["median_sale_price", "active_listings"], grain="month")
+    month = marts.market_trend(market, ["median_sale_price", "active_listings"], grain="month", ordered=True)
     assert [tuple(r) for r in month.collect()] == [
         ("king", "tx", date(2023, 1, 1), 1000.0, None, 1),
         ("king", "wa", date(2022, 12, 1), 99.0, 7.0, 1),
@@ -233,19 +233,23 @@ def test_area_density(areas):
     assert marts.area_density(areas).columns == ["zip", "state_id", "lat", "lng", "population", "density"]
 
 
-def test_sums_do_not_depend_on_the_partitioning(spark):
-    from areafacts.functions.measures import exact_mean, exact_sum
-
-    df = spark.range(100000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 100).alias("v"))
-    results = {
-        tuple(df.repartition(n).agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()) for n in (1, 3, 8, 20)
-    }
-    assert len(results) == 1
-    total, mean = results.pop()
-    assert total == pytest.approx(df.agg(F.sum("v")).head()[0], rel=1e-12)
-    assert mean == pytest.approx(total / 100000)
-    signed = spark.createDataFrame([(-1.25,), (2.5,), (None,), (0.000001,)], "v double")
-    assert tuple(signed.agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()) == pytest.approx(
-        (1.250001, 1.250001 / 3), abs=1e-15
+def test_means_are_not_rounded(spark):
+    values = spark.createDataFrame(
+        [(501, "ny", "2023-01-31", v) for v in (4e-7, 4e-7, 4e-7)] + [(502, "ny", "2023-01-31", float("inf"))],
+        "RegionName int, state_id string, Date string, Value double",
     )
-    assert signed.limit(0).agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).head()[0] is None
+    found = {r["zip"]: r["mean_value"] for r in marts.value_trend(values).collect()}
+    assert found[501] == pytest.approx(4e-7) and found[502] == float("inf")
+
+
+def test_market_trend_between_periods(market):
+    bounds = {"periods_from": "2023-01-01", "periods_to": "2023-01-31"}
+    found = marts.market_trend(market, ["median_sale_price"], **bounds)
+    assert {str(r["period_begin"])[:7] for r in found.collect()} == {"2023-01"}
+    months = marts.market_trend(market, ["median_sale_price"], grain="month", **bounds)
+    assert {str(r["period"]) for r in months.collect()} == {"2023-01-01"}
+
+
+def test_value_trend_by_area_shuffles_once(values):
+    plan = plan_of(marts.value_trend(values))
+    assert plan.count("Exchange") == 1

@@ -87,3 +87,13 @@ def test_text_that_is_no_number_is_null(spark):
         "2000-01-31": 1.5,
         "2000-02-29": None,
     }
+
+
+def test_both_forms_of_the_unpivot_have_one_schema(spark):
+    from areafacts.operators.reshape import wide_to_long
+
+    def wide(months):
+        return spark.range(2).select("id", *[F.when(F.col("id") > 0, 1.0).alias(f"20{m:03d}") for m in range(months)])
+
+    narrow, broad = (wide_to_long(wide(n)).schema for n in (3, 150))
+    assert narrow == broad

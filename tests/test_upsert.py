@@ -114,6 +114,19 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert out.count() == 1000
 
 
+def test_small_evolving_batch_does_not_shuffle_the_target(spark, tmp_path, rows):
+    target_path, batch_path = str(tmp_path / "t"), str(tmp_path / "b")
+    spark.range(1000).select("id", (F.col("id") * 2).alias("v"), F.lit("x").alias("s")).write.parquet(target_path)
+    spark.range(998, 1003).select("id", F.lit(0).cast("long").alias("v"), F.lit("n").alias("new")).write.parquet(batch_path)
+    out = upsert(spark.read.parquet(target_path), spark.read.parquet(batch_path), ["id"], evolve=True)
+    plan = plan_of(out)
+    assert "FullOuter" not in plan
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+    assert rows(out.where("id >= 997"), "id", "v", "s", "new") == [
+        (1000, 0, None, "n"), (1001, 0, None, "n"), (1002, 0, None, "n"), (997, 1994, "x", None), (998, 0, "x", "n"), (999, 0, "x", "n")
+    ]
+
+
 def test_key_check_and_join_share_one_shuffle(spark, tmp_path):
     paths = [str(tmp_path / n) for n in "tb"]
     for path in paths:
