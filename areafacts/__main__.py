@@ -4,7 +4,8 @@
     ingest FEED FOLDER LIKE TABLE CHECKPOINT     merge what has arrived since the last run
     vacuum FEED TABLE [--keep N]                 delete data of older versions
 
-``--input-gb N --cores N`` size the shuffles of a large merge.
+Shuffles are sized by the files under PATH or FOLDER and the table's; ``--input-gb N`` says otherwise, ``--cores N``
+is the least number of tasks by half. ``--from`` and ``--to`` bound the months of a value_index.
 
 FEED is one of market_weekly, area_reference, places, value_index.
 """
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from areafacts.plans import feeds
-from areafacts.session import SETTINGS, sized_settings
+from areafacts.session import SETTINGS, sized_settings, stored_bytes
 from areafacts.streaming.ingest import ingest_feed
 
 
@@ -36,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
     for sub in (job("run", "path", "table"), job("ingest", "folder", "like", "table", "checkpoint")):
         sub.add_argument("--as-of", default=None, help="ingest date instead of today's")
         sub.add_argument("--input-gb", type=int, default=None, help="size of the batch and the touched partitions")
+        sub.add_argument("--from", dest="dates_from", default=None, help="first month of a value_index")
+        sub.add_argument("--to", dest="dates_to", default=None, help="last month of a value_index")
         sub.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     job("vacuum", "table").add_argument("--keep", type=int, default=2)
     return top
@@ -44,18 +47,23 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     builder = SparkSession.builder.appName(f"areafacts {args.job} {args.feed}")
-    settings = dict(SETTINGS)
-    if getattr(args, "input_gb", None):
-        settings |= sized_settings(args.input_gb * 1024**3, args.cores)
-    for key, value in settings.items():
+    for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    options = {}
+    if args.job != "vacuum":
+        delivered = args.path if args.job == "run" else args.folder
+        size = args.input_gb * 1024**3 if args.input_gb else stored_bytes(spark, delivered) + stored_bytes(spark, args.table)
+        for key, value in sized_settings(size, args.cores).items():
+            spark.conf.set(key, value)
+        if args.feed == "value_index":
+            options = {"dates_from": args.dates_from, "dates_to": args.dates_to}
     store = feeds.FEEDS[args.feed].store(spark, args.table)
     if args.job == "run":
-        print(f"version {feeds.run(spark, args.feed, args.path, store, as_of=args.as_of)}")
+        print(f"version {feeds.run(spark, args.feed, args.path, store, as_of=args.as_of, **options)}")
     elif args.job == "ingest":
         ingest_feed(
-            spark, args.feed, args.folder, args.like, store, args.checkpoint, as_of=args.as_of
+            spark, args.feed, args.folder, args.like, store, args.checkpoint, as_of=args.as_of, **options
         ).awaitTermination()
         print(f"version {store.versions()[-1] if store.versions() else 'none yet'}")
     else:

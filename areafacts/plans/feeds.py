@@ -1,7 +1,11 @@
 """The four feeds: raw rows to the rows of their keyed table.
 
-Every function is DataFrame to DataFrame and lazy; :func:`run` reads a file,
-cleans it and merges it into a store.
+Every function is DataFrame to DataFrame and lazy; :func:`run` reads files,
+cleans them, merges them into a store and keeps what it had to leave out.
+
+Of several rows with one key the first in ``order_by`` survives, and among equals
+the one with the smallest content hash: re-runs choose alike, and rows that are
+equal in all columns need no choice.
 """
 
 from __future__ import annotations
@@ -9,23 +13,32 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areafacts import schemas as S
 from areafacts.functions import normalize as N
 from areafacts.functions import rules as R
-from areafacts.operators.dedupe import one_per_key
-from areafacts.operators.quality import COUNTY_TYPE, apply_rules, conform, keep_region_type
-from areafacts.operators.reshape import rename_required, wide_to_long
+from areafacts.operators.dedupe import content_hash, one_per_key
+from areafacts.operators.quality import COUNTY_TYPE, apply_rules, conform, keep_region_type, mistyped
+from areafacts.operators.reshape import quoted, rename_required, split_columns, wide_to_long
 from areafacts.sources import readers
 from areafacts.sources.snapshot import SnapshotStore
 
 AsOf = date | str | None
 Order = Sequence[Column | str] | None
 
+_CORRUPT = "_corrupt_record"
+# Orders rows as their files arrived.
+_ARRIVED = "_arrived"
+
+
+def _survivors(df: DataFrame, keys: Sequence[str], order_by: Order) -> DataFrame:
+    return one_per_key(df, keys, [*(order_by or []), content_hash(df)])
+
 
 def market_weekly(
     df: DataFrame,
@@ -44,7 +57,7 @@ def market_weekly(
         .withColumns({"county_name": county, "state_id": state, "processed_date": N.as_of_date(as_of)})
         .drop(*S.MARKET_DROPPED)
     )
-    return one_per_key(cleaned, S.MARKET_KEYS, order_by)
+    return _survivors(cleaned, S.MARKET_KEYS, order_by)
 
 
 def area_reference(df: DataFrame, as_of: AsOf = None, order_by: Order = None) -> DataFrame:
@@ -56,7 +69,7 @@ def area_reference(df: DataFrame, as_of: AsOf = None, order_by: Order = None) ->
             "processed_date": N.as_of_date(as_of),
         }
     ).drop(*S.AREA_DROPPED)
-    return one_per_key(cleaned, S.AREA_KEYS, order_by)
+    return _survivors(cleaned, S.AREA_KEYS, order_by)
 
 
 # The range of a rating.
@@ -74,7 +87,10 @@ def place_rules() -> dict[str, Column]:
     }
 
 
-def _normalised_places(df: DataFrame, as_of: AsOf) -> DataFrame:
+def _normalised_places(df: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Places with their types; lines that were no JSON are left out (see :func:`rejects`)."""
+    if _CORRUPT in df.columns:
+        df = df.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
     return conform(df, S.RAW_PLACE).withColumns(
         {"processed_date": N.as_of_date(as_of), "state": N.label("state"), "city": N.label("city")}
     )
@@ -84,7 +100,7 @@ def places(df: DataFrame, as_of: AsOf = None, order_by: Order = None) -> DataFra
     """Valid places, one per address, name and postal code."""
     kept, _ = apply_rules(_normalised_places(df, as_of), place_rules())
     cleaned = kept.withColumn("zip_int", N.zip_to_int("postal_code")).drop(*S.PLACE_DROPPED)
-    return one_per_key(cleaned, S.PLACE_KEYS, order_by)
+    return _survivors(cleaned, S.PLACE_KEYS, order_by)
 
 
 def rejected_places(df: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -100,97 +116,178 @@ def value_index(
     dates_to: str | None = None,
     drop_nulls: bool = False,
     value_prefix: str = S.VALUE_COLUMN_PREFIX,
+    stamped: bool = False,
 ) -> DataFrame:
     """Long home value index, one row per region, state and month.
 
     A wide row holds all months of its region, so one wide row per (region,
     state) is one long row per (region, state, month). De-duplicating before the
-    unpivot shuffles each region once instead of once per month. The table has
-    no ingest date unless ``as_of`` is given.
+    unpivot shuffles each region once instead of once per month. With
+    ``drop_nulls`` every month takes its first known value among the region's
+    rows. ``stamped`` adds the ingest date, which ``as_of`` only sets.
     """
+    # months nobody wants are neither read nor shuffled, nor do they take part in the choice between rows
+    ids, months = split_columns(df.columns, value_prefix)
+    months = [m for m in months if (dates_from is None or m >= dates_from) and (dates_to is None or m <= dates_to)]
+    df = df.select(*[F.col(quoted(c)) for c in (*ids, *months)])
     named = rename_required(conform(df, S.RAW_VALUE_IDS), {"State": "state_id", "CountyName": "county_name"})
     cleaned = named.withColumns({"state_id": N.label("state_id"), "county_name": N.county("county_name")})
     region_keys = [k for k in S.VALUE_KEYS if k != "Date"]
-    long = wide_to_long(
-        one_per_key(cleaned, region_keys, order_by),
-        value_prefix,
-        dates_from=dates_from,
-        dates_to=dates_to,
-        drop_nulls=drop_nulls,
-    )
-    return long if as_of is None else N.stamp(long, as_of)
+    if drop_nulls:
+        one = _first_known(cleaned, region_keys, order_by, months)
+    else:
+        one = _survivors(cleaned, region_keys, order_by)
+    long = wide_to_long(one, value_prefix, drop_nulls=drop_nulls)
+    return N.stamp(long, as_of) if stamped else long
+
+
+def _first_known(df: DataFrame, keys: Sequence[str], order_by: Order, months: Sequence[str]) -> DataFrame:
+    """One row per key with each month's first value that is no null; one shuffle of wide rows."""
+    ids = [c for c in df.columns if c not in set(months)]
+    ordered = Window.partitionBy(*keys).orderBy(*(order_by or []), content_hash(df))
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = [F.first(F.col(quoted(m)).try_cast("double"), ignorenulls=True).over(whole).alias(m) for m in months]
+    rows = df.select(*[F.col(quoted(c)) for c in ids], *known, F.row_number().over(ordered).alias("__n"))
+    return rows.where("__n = 1").drop("__n")
 
 
 @dataclass(frozen=True)
 class Feed:
     """How one feed is read, cleaned, keyed and laid out.
 
-    ``stream`` takes the drop folder, a file with the layout of its files and the
-    number of files per micro-batch.
+    ``read`` gives the raw rows of files as text, with ``_arrived``, in one frame
+    for each header. ``stream`` takes the drop folder, a file with the layout of its
+    files and the number of files per micro-batch, and ``groups`` makes of a
+    micro-batch what ``read`` gives. ``rules`` are checked on ``prepare``d rows.
     """
 
     name: str
-    read: Callable[[SparkSession, str], DataFrame]
+    schema: Callable[[list[str]], T.StructType]
+    read: Callable[[SparkSession, str], list[DataFrame]]
     stream: Callable[[SparkSession, str, str, int | None], DataFrame]
     clean: Callable[..., DataFrame]
     keys: tuple[str, ...]
-    partition_by: Callable[[], Column] | None = None
+    partition_by: Callable[[], Column]
+    groups: Callable[[DataFrame], list[DataFrame]] = lambda batch: [batch]
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+    rules: Callable[[], dict[str, Column]] = dict
 
     def store(self, spark: SparkSession, root: str, partition_by: Column | None = None) -> SnapshotStore:
         """The feed's table; a finer ``partition_by`` suits larger tables."""
-        if partition_by is None and self.partition_by:
-            partition_by = self.partition_by()
-        return SnapshotStore(spark, root, self.keys, partition_by)
+        return SnapshotStore(spark, root, self.keys, self.partition_by() if partition_by is None else partition_by)
 
 
-_CORRUPT = "_corrupt_record"
+def _with_arrival(df: DataFrame) -> DataFrame:
+    return df.withColumn(_ARRIVED, readers.arrival())
 
-# The two time series grow without end: by year, a batch rewrites only the years
-# it brings.
+
+# Partitions are functions of the key: a merge reads those its batch touches and rewrites those in which a row differs.
 FEEDS = {
     feed.name: feed
     for feed in (
         Feed(
             "market_weekly",
-            lambda spark, path: readers.read_delimited(spark, path, S.RAW_MARKET, sep="\t"),
-            lambda spark, folder, like, n: readers.stream_delimited(spark, folder, like, S.RAW_MARKET, "\t", n),
+            lambda names: S.RAW_MARKET,
+            lambda spark, path: [_with_arrival(readers.read_delimited(spark, path, S.RAW_MARKET, "\t", as_text=True))],
+            lambda spark, folder, like, n: _with_arrival(
+                readers.stream_delimited(spark, folder, like, S.RAW_MARKET, "\t", n)
+            ),
             market_weekly,
             S.MARKET_KEYS,
             lambda: F.year("period_begin"),
         ),
         Feed(
             "area_reference",
-            lambda spark, path: readers.read_delimited(spark, path, S.RAW_AREA),
-            lambda spark, folder, like, n: readers.stream_delimited(spark, folder, like, S.RAW_AREA, ",", n),
+            lambda names: S.RAW_AREA,
+            lambda spark, path: [_with_arrival(readers.read_delimited(spark, path, S.RAW_AREA, as_text=True))],
+            lambda spark, folder, like, n: _with_arrival(
+                readers.stream_delimited(spark, folder, like, S.RAW_AREA, ",", n)
+            ),
             area_reference,
             S.AREA_KEYS,
+            lambda: F.floor(F.col("zip") / 1000),
         ),
         Feed(
             "places",
-            lambda spark, path: readers.read_json_lines(spark, path, S.RAW_PLACE, _CORRUPT).drop(_CORRUPT),
-            lambda spark, folder, like, n: readers.stream_json_lines(
-                spark, folder, S.RAW_PLACE, _CORRUPT, n
-            ).drop(_CORRUPT),
+            lambda names: S.RAW_PLACE,
+            lambda spark, path: [_with_arrival(readers.read_json_lines(spark, path, S.RAW_PLACE, _CORRUPT, as_text=True))],
+            lambda spark, folder, like, n: _with_arrival(
+                readers.stream_json_lines(spark, folder, S.RAW_PLACE, _CORRUPT, n)
+            ),
             places,
             S.PLACE_KEYS,
+            lambda: F.substring("postal_code", 1, 3),
+            prepare=_normalised_places,
+            rules=place_rules,
         ),
         Feed(
             "value_index",
-            lambda spark, path: readers.read_wide_index(spark, path, S.RAW_VALUE_IDS),
-            lambda spark, folder, like, n: readers.stream_wide_index(spark, folder, like, S.RAW_VALUE_IDS, n),
+            lambda names: readers.wide_schema(names, S.RAW_VALUE_IDS),
+            lambda spark, path: readers.wide_groups(spark, readers.files_under(spark, path), _ARRIVED),
+            lambda spark, folder, like, n: readers.stream_files(spark, folder, n),
             value_index,
             S.VALUE_KEYS,
             lambda: F.substring("Date", 1, 4),
+            groups=lambda batch: readers.wide_groups(batch.sparkSession, batch, _ARRIVED),
         ),
     )
 }
 
 
+def cleaned(feed: Feed, groups: Sequence[DataFrame], **options) -> DataFrame:
+    """One row per key of raw rows that may have several headers; of one key, the row that arrived last.
+
+    Groups with different headers are cleaned apart (a wide table's months are rows by then) and put together, just as
+    if their files had been merged one after the other.
+    """
+    latest = [F.col(_ARRIVED).desc()]
+    parts = [feed.clean(group, order_by=latest, **options) for group in groups]
+    if len(parts) == 1:
+        return parts[0].drop(_ARRIVED)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _survivors(rows, feed.keys, latest).drop(_ARRIVED)
+
+
+def rejects(feed: Feed, raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+    """What a load leaves out or empties: ``feed, reasons, row`` (the raw row as JSON).
+
+    Reasons are ``corrupt`` (a line that is no record), ``type:<column>`` (a cell that is there and does not fit: null
+    in the table) and ``rule:<name>`` (the row is not in the table). Rows of another region type are no rejects.
+    """
+    names = [c for c in raw.columns if c != _ARRIVED]
+    misfits = mistyped(raw, feed.schema(names), date_formats)
+    corrupt = F.col(_CORRUPT).isNotNull() if _CORRUPT in names else F.lit(False)
+    found = [F.when(corrupt, F.lit("corrupt")), *[F.when(m, F.lit(f"type:{c}")) for c, m in misfits.items()]]
+    row = F.when(corrupt, F.col(_CORRUPT) if _CORRUPT in names else F.lit(None)).otherwise(
+        F.to_json(F.struct(*[F.col(quoted(c)) for c in names]))
+    )
+    marked = raw.withColumns({"__row": row, "__found": F.array_compact(F.array(*found))})
+    if feed.prepare is not None:
+        checked = feed.prepare(marked.withColumn(_CORRUPT, F.lit(None).cast("string")))
+        broken = [F.when(~R.holds(rule), F.lit(f"rule:{name}")) for name, rule in feed.rules().items()]
+        is_corrupt = F.array_contains("__found", "corrupt")
+        broken = F.when(~is_corrupt, F.array_compact(F.array(*broken))).otherwise(F.array().cast("array<string>"))
+        marked = checked.withColumn("__found", F.concat("__found", broken))
+    return marked.where(F.size("__found") > 0).select(
+        F.lit(feed.name).alias("feed"), F.col("__found").alias("reasons"), F.col("__row").alias("row")
+    )
+
+
+def keep_rejects(feed: Feed, groups: Sequence[DataFrame], path: str, date_formats: Sequence[str] = ()) -> None:
+    """Write the rejects next to the table; a repeated load overwrites its own."""
+    parts = [rejects(feed, group, date_formats) for group in groups]
+    reduce(DataFrame.union, parts).write.mode("overwrite").parquet(path)
+
+
 def run(spark: SparkSession, feed: str | Feed, path: str, store: SnapshotStore, as_of: AsOf = None, **options) -> int:
     """Read ``path``, clean it and merge it into ``store``; returns the version.
 
-    A re-run of the same file replaces its rows and adds none (but for keys
-    with a null, which match nothing).
+    A re-run of the same files replaces their rows and adds none (but for keys
+    with a null, which match nothing). Rejects go to ``rejects/<version>`` under the
+    table's root.
     """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
-    return store.merge(spec.clean(spec.read(spark, path), as_of=as_of, **options))
+    groups = spec.read(spark, path)
+    version = store.merge(cleaned(spec, groups, as_of=as_of, **options))
+    keep_rejects(spec, groups, f"{store.root}/rejects/{version:08d}", options.get("date_formats", ()))
+    return version

@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Stands in for the cluster's setting in a session on one machine.
+LOCAL_DIR = "areafacts.local.dir"
 
-
-_local_base: str | None = None
+_own: tempfile.TemporaryDirectory | None = None
 
 
 def folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
-
-    Only a local-mode session without the setting gets a folder of its own; on
-    a cluster a missing setting is an error, because a machine-local path is
-    gone with the machine.
-    """
-    global _local_base
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    """A fresh path under ``spark.checkpoint.dir``; without the setting, an error."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(LOCAL_DIR, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        _local_base = _local_base or tempfile.mkdtemp(prefix="areafacts-")
-        base = _local_base
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors can reach")
     return f"{base.rstrip('/')}/areafacts/{purpose}-{uuid.uuid4().hex}"
 
 
+def use_local_folder(spark: SparkSession) -> None:
+    """For trials: where the setting is missing and everything runs in one process, a folder that goes with it.
+
+    A cluster's session (``local-cluster`` is one) is left alone, so a missing setting stays an error there.
+    """
+    global _own
+    if spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(LOCAL_DIR, None):
+        return
+    if re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        _own = _own or tempfile.TemporaryDirectory(prefix="areafacts-", ignore_cleanup_errors=True)
+        spark.conf.set(LOCAL_DIR, _own.name)
+
+
 def written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """``df`` computed once and read back as columnar files, with their path.
 

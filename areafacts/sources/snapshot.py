@@ -1,9 +1,13 @@
-"""Keyed table as versioned Parquet snapshots.
+"""Keyed table as Parquet folders behind a pointer.
 
 Plain Parquet has no MERGE and a path cannot be overwritten while it is read,
 so a merge writes the changed partitions beside the old ones and then commits a
-small file naming the current paths. Readers see the old version until then,
+small file naming the current paths. Readers see the old content until then,
 and a job that dies leaves only unreferenced files.
+
+The commit renames a finished file to its final name, which has to be atomic and
+to fail if the name is taken: file systems without such a rename (object stores)
+are refused.
 """
 
 from __future__ import annotations
@@ -12,7 +16,8 @@ import json
 import re
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,24 +28,26 @@ from areafacts.operators.upsert import upsert
 
 _BUCKET = "bucket"
 _WHOLE = "all"  # the one partition of an unpartitioned table
-_MAX_PARTITIONS = 10_000
-_SAFE = re.compile(r"^[A-Za-z0-9_-]+$")
+# File systems whose rename is atomic.
+_ATOMIC = ("file", "hdfs", "viewfs", "abfs", "abfss", "ofs")
 
 
 @dataclass(frozen=True)
 class Version:
     number: int
     schema: T.StructType
-    paths: dict[str, str]  # partition value -> data path relative to the root
+    paths: dict[str, str]  # folder name of a partition -> data path relative to the root
+    batches: dict[str, int] = field(default_factory=dict)  # stream -> its last micro-batch in the table
 
 
 class SnapshotStore:
-    """One keyed table under ``root`` (any file system Spark can reach).
+    """One keyed table under ``root``.
 
     ``partition_by`` is an expression over the key columns only, such as the
-    year of a key date, so that a row never changes its partition. A merge reads
-    and rewrites just the partitions its batch touches. Expects one writer at a
-    time; a second one that commits the same version fails.
+    year of a key date, so that a row never changes its partition; its values may
+    be any text. A merge reads the partitions its batch touches and rewrites those
+    in which a row differs. Expects one writer at a time; a second one that commits
+    the same version fails.
     """
 
     def __init__(
@@ -54,36 +61,22 @@ class SnapshotStore:
     # -- reading ---------------------------------------------------------
 
     def versions(self) -> list[int]:
-        fs, commits = _hadoop(self.spark, f"{self.root}/commits")
-        if not fs.exists(commits):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(commits)]
-        return sorted(int(n[: -len(".json")]) for n in names if re.match(r"^\d+\.json$", n))
-
-    def current(self, number: int | None = None) -> Version | None:
-        if number is None:
-            numbers = self.versions()
-            if not numbers:
-                return None
-            number = numbers[-1]
-        fs, path = _hadoop(self.spark, self._commit_path(number))
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        entry = json.loads(text)
-        return Version(number, T.StructType.fromJson(entry["schema"]), entry["paths"])
+        names = [n for n in _names(self.spark, f"{self.root}/commits") if re.match(r"^\d+\.json$", n)]
+        return sorted(int(n[: -len(".json")]) for n in names)
+
+    def current(self) -> Version | None:
+        numbers = self.versions()
+        return self._entry(numbers[-1]) if numbers else None
 
-    def read(self, version: int | None = None, partitions: Sequence[str] | None = None) -> DataFrame:
-        """The table at a version (default: the current), or some partitions of it."""
-        entry = self.current(version)
+    def read(self) -> DataFrame:
+        """The current content of the table."""
+        entry = self.current()
         if entry is None:
             raise FileNotFoundError(f"nothing has been merged into {self.root} yet")
-        return self._load(self.spark, entry, partitions)
+        return self._load(self.spark, entry, entry.paths)
 
     def register_view(self, name: str) -> None:
-        """Name the current version for SQL text; a later merge does not move it."""
+        """Name the current content for SQL text; a later merge does not move it."""
         self.read().createOrReplaceTempView(name)
 
     # -- writing ---------------------------------------------------------
@@ -95,19 +88,34 @@ class SnapshotStore:
         self._commit(Version(0, schema, {}))
         return True
 
-    def merge(self, source: DataFrame, null_safe: bool = False, evolve: bool = False) -> int:
-        """Upsert ``source`` by the keys and return the new version number."""
+    def merge(
+        self, source: DataFrame, null_safe: bool = False, evolve: bool = False, batch: tuple[str, int] | None = None
+    ) -> int:
+        """Upsert ``source`` by the keys and return the version number.
+
+        ``batch`` names a stream and the number of its micro-batch. It is committed
+        with the data, and a micro-batch that is in the table already is skipped.
+        """
+        if self.partition_by is not None:
+            source.select(*self.keys).select(self.partition_by)  # fails unless it is a function of the key
         self.ensure(source.schema)
         spark = source.sparkSession
         entry = self.current()
-        batch, staged = scratch.written(source, "batch")
+        if batch and entry.batches.get(batch[0], -1) >= batch[1]:
+            return entry.number
+        staged = scratch.folder(spark, "batch")
         try:
-            touched = self._touched(batch)
-            target = self._load(spark, entry, touched)
-            result = upsert(target, batch, self.keys, null_safe, evolve)
-            number = entry.number + 1
-            changed = self._write(result, f"data/{number:08d}-{uuid.uuid4().hex[:8]}", touched)
-            self._commit(Version(number, result.schema, {**entry.paths, **changed}))
+            self._partitioned(source, staged)
+            changed = self._changed(spark, source.schema, staged, entry, null_safe)
+            rows = spark.read.schema(source.schema).parquet(*[_join(staged, name) for name in changed]) if changed else None
+            number, paths, schema = entry.number + 1, {}, entry.schema
+            if rows is not None:
+                result = upsert(self._load(spark, entry, changed), rows, self.keys, null_safe, evolve)
+                data = f"data/{number:08d}-{uuid.uuid4().hex[:8]}"
+                paths = {name: _join(data, name) for name in self._partitioned(result, f"{self.root}/{data}")}
+                schema = result.schema
+            batches = entry.batches | ({batch[0]: batch[1]} if batch else {})
+            self._commit(Version(number, schema, {**entry.paths, **paths}, batches))
         finally:
             _delete(spark, staged)
         return number
@@ -115,7 +123,8 @@ class SnapshotStore:
     def vacuum(self, keep: int = 2) -> int:
         """Delete data that none of the last ``keep`` versions refers to.
 
-        That is data of older versions and what failed merges left behind. A
+        The current version is one of them, the others are for readers that still
+        run on it. Data of older versions and what failed merges left behind goes; a
         merge that is running writes a version above the current one and is not
         touched. Returns the number of paths deleted.
         """
@@ -125,11 +134,9 @@ class SnapshotStore:
         if not numbers:
             return 0
         old, kept = numbers[:-keep], numbers[-keep:]
-        alive = {path for n in kept for path in self.current(n).paths.values()}
-        dead = {path for n in old for path in self.current(n).paths.values()} - alive
-        fs, data = _hadoop(self.spark, f"{self.root}/data")
-        for status in fs.listStatus(data) if fs.exists(data) else []:
-            name = status.getPath().getName()
+        alive = {path for n in kept for path in self._entry(n).paths.values()}
+        dead = {path for n in old for path in self._entry(n).paths.values()} - alive
+        for name in _names(self.spark, f"{self.root}/data"):
             path = f"data/{name}"
             in_use = any(p == path or p.startswith(f"{path}/") for p in alive)
             if int(name.split("-")[0]) <= numbers[-1] and not in_use:
@@ -145,36 +152,44 @@ class SnapshotStore:
     def _bucket(self) -> Column:
         return F.coalesce(self.partition_by.cast("string"), F.lit("none"))
 
-    def _touched(self, batch: DataFrame) -> list[str]:
-        """Partition values of the batch: as many as partitions, not as rows."""
+    def _partitioned(self, rows: DataFrame, path: str) -> list[str]:
+        """Write the rows by partition; returns the partitions' folder names.
+
+        Every task would write a file per partition. Rebalancing gathers the rows
+        of a partition, splits one too big for a task and joins small ones.
+        """
         if self.partition_by is None:
+            rows.hint("rebalance").write.parquet(path)
             return [_WHOLE]
-        found = batch.select(*self.keys).select(self._bucket()).distinct().limit(_MAX_PARTITIONS + 1).collect()
-        values = sorted(row[0] for row in found)
-        if len(values) > _MAX_PARTITIONS:
-            raise ValueError(f"over {_MAX_PARTITIONS} partitions in one batch: choose a coarser partition_by")
-        bad = [v for v in values if not _SAFE.match(v)]
-        if bad:
-            raise ValueError(f"partition values must be plain words or numbers: {bad[:5]}")
-        return values
-
-    def _write(self, result: DataFrame, data: str, touched: list[str]) -> dict[str, str]:
-        """Write the new rows of the touched partitions; returns their paths."""
-        path = f"{self.root}/{data}"
+        placed = rows.withColumn(_BUCKET, self._bucket())
+        placed.hint("rebalance", F.col(_BUCKET)).write.partitionBy(_BUCKET).parquet(path)
+        return sorted(n for n in _names(rows.sparkSession, path) if n.startswith(f"{_BUCKET}="))
+
+    def _changed(
+        self, spark: SparkSession, schema: T.StructType, staged: str, entry: Version, null_safe: bool
+    ) -> list[str]:
+        """Folder names of the staged partitions in which a row differs from the stored ones (or a key repeats)."""
         if self.partition_by is None:
-            result.write.parquet(path)
-            return {_WHOLE: data}
-        rows = result.withColumn(_BUCKET, self._bucket())
-        if len(touched) > 1:
-            # Every task would write a file per partition. Rebalancing gathers the
-            # rows of a partition, splits one too big for a task and joins small ones.
-            rows = rows.hint("rebalance", F.col(_BUCKET))
-        rows.write.partitionBy(_BUCKET).parquet(path)
-        return {value: f"{data}/{_BUCKET}={value}" for value in touched}
-
-    def _load(self, spark: SparkSession, entry: Version, partitions: Sequence[str] | None) -> DataFrame:
-        wanted = entry.paths if partitions is None else [p for p in partitions if p in entry.paths]
-        paths = [f"{self.root}/{entry.paths[p]}" for p in wanted]
+            return [_WHOLE]
+        names = sorted(n for n in _names(spark, staged) if n.startswith(f"{_BUCKET}="))
+        if not names or schema != entry.schema or any(isinstance(f.dataType, T.MapType) for f in schema.fields):
+            return names
+        unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        of_value = {unescape(n.split("=", 1)[1]): n for n in names}
+        batch = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BUCKET, T.StringType())])).parquet(staged)
+        stored = self._load(spark, entry, names)
+        same = reduce(lambda a, b: a & b, [F.col(f"b.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in schema.names])
+        differ = batch.alias("b").join(stored.alias("t"), same, "left_anti").select(_BUCKET)
+        again = batch.groupBy(*{*self.keys, _BUCKET}).count().where("count > 1").select(_BUCKET)
+        found = differ.union(again)
+        if not null_safe:
+            # a row with a null in its key matches nothing, so it is new even if it looks the same
+            found = found.union(batch.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])).select(_BUCKET))
+        values = [row[0] for row in found.distinct().collect()]  # as many as folders listed above, at most
+        return sorted(of_value.get(v, f"{_BUCKET}=__HIVE_DEFAULT_PARTITION__") for v in values)
+
+    def _load(self, spark: SparkSession, entry: Version, partitions) -> DataFrame:
+        paths = [f"{self.root}/{entry.paths[p]}" for p in partitions if p in entry.paths]
         if not paths:
             return spark.createDataFrame([], entry.schema)
         # files older than a schema change lack the new columns: read as null
@@ -183,9 +198,21 @@ class SnapshotStore:
     def _commit_path(self, number: int) -> str:
         return f"{self.root}/commits/{number:08d}.json"
 
+    def _entry(self, number: int) -> Version:
+        fs, path = _hadoop(self.spark, self._commit_path(number))
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        entry = json.loads(text)
+        return Version(number, T.StructType.fromJson(entry["schema"]), entry["paths"], entry["batches"])
+
     def _commit(self, version: Version) -> None:
-        text = json.dumps({"schema": version.schema.jsonValue(), "paths": version.paths})
+        text = json.dumps({"schema": version.schema.jsonValue(), "paths": version.paths, "batches": version.batches})
         fs, final = _hadoop(self.spark, self._commit_path(version.number))
+        if fs.getScheme() not in _ATOMIC:
+            raise ValueError(f"{fs.getScheme()}: has no atomic rename to commit with; use one of {', '.join(_ATOMIC)}")
         _, draft = _hadoop(self.spark, f"{self.root}/commits/.{uuid.uuid4().hex}")
         out = fs.create(draft, False)
         out.write(bytearray(text.encode("utf-8")))
@@ -195,12 +222,22 @@ class SnapshotStore:
             raise RuntimeError(f"version {version.number} of {self.root} was committed by another writer")
 
 
+def _join(path: str, name: str) -> str:
+    return path if name == _WHOLE else f"{path}/{name}"
+
+
 def _hadoop(spark: SparkSession, path: str):
     """(file system, path) objects of the storage behind ``path``."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    fs, folder = _hadoop(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from areafacts.plans.feeds import FEEDS, Feed
+from areafacts.plans.feeds import FEEDS, Feed, cleaned, keep_rejects
 from areafacts.sources.snapshot import SnapshotStore
 
 
@@ -19,17 +19,23 @@ def ingest(
     checkpoint: str,
     null_safe: bool = False,
     evolve: bool = False,
+    after: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     """Merge everything that has arrived since the last run into ``store``.
 
     ``clean`` must leave one row per key in a micro-batch. The last arrival wins
-    as with successive batch merges, and a micro-batch that is replayed after a
-    failure gives the same content, so no streaming state is kept. Stops when the
-    available input is used up; run it again (daily, weekly) for the next files.
+    as with successive batch merges. The number of a micro-batch is committed with
+    its rows, so one that is replayed after a failure is skipped, rows with null
+    keys included, and no streaming state is kept. ``after`` gets each micro-batch
+    with a name that it has in every replay. Stops when the available input is used
+    up; run it again (daily, weekly) for the next files.
     """
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        store.merge(clean(batch), null_safe=null_safe, evolve=evolve)
+    def apply(batch: DataFrame, number: int) -> None:
+        query = _query_id(batch.sparkSession, checkpoint)
+        store.merge(clean(batch), null_safe=null_safe, evolve=evolve, batch=(query, number))
+        if after is not None:
+            after(batch, f"{query}-{number}")
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -39,6 +45,11 @@ def ingest(
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gives its query for good; a new checkpoint is a new query."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").head()[0])["id"]
+
+
 def ingest_feed(
     spark: SparkSession,
     feed: str | Feed,
@@ -51,20 +62,22 @@ def ingest_feed(
 ) -> StreamingQuery:
     """Ingest the deliveries of a feed that have been dropped into ``folder``.
 
-    ``like`` is a file with the layout of the deliveries, and ``options`` go to
-    the feed's cleaning function. Where files of one micro-batch bring the same
-    key, the one written last wins, just as if they had been merged one by one.
+    ``like`` is a file with the layout of the deliveries (wide tables are each read
+    by their own header), and ``options`` go to the feed's cleaning function. Where
+    files of one micro-batch bring the same key, the one written last wins, just as
+    if they had been merged one by one. Rejects go to ``rejects/`` under the table's
+    root, a folder for each micro-batch.
     """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
-    arrived = "_arrived"
-    stream = spec.stream(spark, folder, like, max_files).withColumn(
-        arrived, F.col("_metadata.file_modification_time")
-    )
+    stream = spec.stream(spark, folder, like, max_files)
 
     def clean(batch: DataFrame) -> DataFrame:
-        return spec.clean(batch, order_by=[F.col(arrived).desc()], **options).drop(arrived)
+        return cleaned(spec, spec.groups(batch), **options)
+
+    def after(batch: DataFrame, name: str) -> None:
+        keep_rejects(spec, spec.groups(batch), f"{store.root}/rejects/{name}", options.get("date_formats", ()))
 
-    return ingest(stream, clean, store, checkpoint)
+    return ingest(stream, clean, store, checkpoint, after=after)
 
 
 def dedupe(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:

@@ -176,7 +176,24 @@ def test_value_index(raw_values, rows):
 
 def test_value_index_stamp_is_opt_in(raw_values):
     assert "processed_date" not in feeds.value_index(raw_values).columns
-    assert feeds.value_index(raw_values, as_of=DAY).head()["processed_date"] == date(2024, 2, 1)
+    assert "processed_date" not in feeds.value_index(raw_values, as_of=DAY).columns
+    assert feeds.value_index(raw_values, as_of=DAY, stamped=True).head()["processed_date"] == date(2024, 2, 1)
+
+
+def test_known_months_of_all_copies_are_kept(spark):
+    """Copies of a region that know different months; the first in the order decides where both know one."""
+    names = "RegionID int, RegionName int, State string, CountyName string, `2023-01-31` double, `2023-02-28` double, day int"
+    rows = [(1, 501, "NY", "A County", 10.0, None, 1), (1, 501, " ny", "A County", 11.0, 20.0, 2)]
+    wide = spark.createDataFrame(rows, names)
+    found = feeds.value_index(wide, order_by=["day"], drop_nulls=True)
+    assert sorted((r["Date"], r["Value"]) for r in found.collect()) == [("2023-01-31", 10.0), ("2023-02-28", 20.0)]
+
+
+def test_survivors_are_the_same_in_every_run(spark, rows):
+    columns = "zip int, lat double, city string, state_id string, county_name string"
+    copies = [(i % 20, float(i), f"c{i}", "NY", "A County") for i in range(400)]
+    found = [rows(feeds.area_reference(spark.createDataFrame(copies[::step], columns).repartition(n), DAY)) for step, n in ((1, 1), (-1, 7))]
+    assert found[0] == found[1]
 
 
 def test_value_index_needs_its_columns(raw_values):

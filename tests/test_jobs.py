@@ -42,7 +42,10 @@ def test_scratch_needs_the_shared_folder_on_a_cluster():
         scratch.folder(Session(spark_master="spark://host:7077"), "x")
     shared = Session(spark_master="yarn", spark_checkpoint_dir="hdfs://n/shared/")
     assert scratch.folder(shared, "x").startswith("hdfs://n/shared/areafacts/x-")
-    assert scratch.folder(Session(spark_master="local[2]"), "x")
+    for master in ("local[2]", "local", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.folder(Session(spark_master=master), "x")
+    assert scratch.folder(Session(spark_master="local[2]", areafacts_local_dir="/x"), "y").startswith("/x/areafacts/y-")
 
 
 def test_sized_settings():
@@ -53,4 +56,5 @@ def test_sized_settings():
     assert middle["spark.sql.files.maxPartitionBytes"] == f"{128 * 1024**2}b"
     large = sized_settings(100 * 1024**4, 8000)
     assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_settings(100 * 1024**4, 8000, max_tasks=200_000)["spark.sql.shuffle.partitions"] == "200000"
     assert 2_000 * 1024**2 < int(large["spark.sql.files.maxPartitionBytes"][:-1]) < 2_200 * 1024**2

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import types as T
 
@@ -66,7 +68,7 @@ def test_places_from_json(spark, tmp_path, rows):
         ' "review_count": 2, "categories": "Restaurants", "attributes": {"a": "b"}, "is_open": 1}\n{oops\n'
     )
     spec = feeds.FEEDS["places"]
-    out = spec.clean(spec.read(spark, str(tmp_path / "p.json")), as_of="2024-02-01")
+    out = feeds.cleaned(spec, spec.read(spark, str(tmp_path / "p.json")), as_of="2024-02-01")
     assert out.columns == S.PLACE.names
     assert rows(out, "name", "city", "zip_int") == [("a", "rome", 13440)]
 
@@ -87,7 +89,7 @@ def test_wide_index(spark, tmp_path, rows):
         (2, "2000-02-29", None),
     ]
     spec = feeds.FEEDS["value_index"]
-    clean = spec.clean(spec.read(spark, str(tmp_path / "w.csv")), dates_from="2000-02")
+    clean = feeds.cleaned(spec, spec.read(spark, str(tmp_path / "w.csv")), dates_from="2000-02")
     assert rows(clean, "RegionID", "county_name", "Date") == [(1, "suffolk", "2000-02-29"), (2, "suffolk", "2000-02-29")]
 
 
@@ -127,3 +129,51 @@ def test_market_schema_has_all_metric_pairs():
     assert len(S.MARKET.fields) == 3 + 32 + 3
     assert S.RAW_MARKET["active_listings"].dataType == T.IntegerType()
     assert S.RAW_MARKET["active_listings_yoy"].dataType == T.DoubleType()
+
+
+def test_whole_numbers_with_a_fraction_of_zero(spark, tmp_path, rows):
+    (tmp_path / "m.tsv").write_text(
+        "period_begin\tperiod_end\tregion_type_id\tregion_name\tactive_listings\n"
+        "2023-01-01\t2023-01-07\t5.0\tKing County, WA\t7.0\n2023-01-01\t2023-01-07\t5\tPike County, WA\t7.5\n"
+    )
+    spec = feeds.FEEDS["market_weekly"]
+    groups = spec.read(spark, str(tmp_path / "m.tsv"))
+    assert rows(feeds.cleaned(spec, groups), "county_name", "active_listings") == [("king", 7), ("pike", None)]
+    assert [(r["reasons"], "7.5" in r["row"]) for r in feeds.rejects(spec, groups[0]).collect()] == [(["type:active_listings"], True)]
+    typed = readers.read_delimited(spark, str(tmp_path / "m.tsv"), S.RAW_MARKET, sep="\t")
+    assert rows(typed, "region_type_id") == [(5,), (5,)]
+
+
+def test_rejected_places_keep_what_was_delivered(spark, tmp_path):
+    (tmp_path / "p.json").write_text(
+        '{"address": "1", "name": "a", "city": "c", "state": "NY", "stars": "many", "postal_code": "00501"}\n'
+        '{"address": "2", "name": "b", "city": "c", "state": "NY", "stars": 9, "postal_code": "x"}\n'
+        '{"address": "3", "name": "c", "city": "c", "state": "NY", "stars": 3, "postal_code": "1", "review_count": 5.0}\n{oops\n'
+    )
+    spec = feeds.FEEDS["places"]
+    (group,) = spec.read(spark, str(tmp_path / "p.json"))
+    found = sorted((r["reasons"], r["row"]) for r in feeds.rejects(spec, group).collect())
+    assert [reasons for reasons, _ in found] == [["corrupt"], ["rule:stars", "rule:postal_code"], ["type:stars", "rule:stars"]]
+    assert found[0][1] == "{oops" and '"stars":"many"' in found[2][1]
+    assert [r["review_count"] for r in feeds.cleaned(spec, [group]).collect()] == [5]
+
+
+def test_wide_files_with_different_months(spark, tmp_path, rows):
+    ids = "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName"
+    line = ",1,501,zip,NY,NY,Holtsville,New York,Suffolk County,"
+    for n, (name, months, values) in enumerate(
+        [("a.csv", "2000-01-31", {1: "1", 2: "2"}), ("b.csv", "2000-01-31,2000-02-29", {1: "10,20"}), ("c.csv", "2000-02-29", {2: "x"})]
+    ):
+        path = tmp_path / name
+        path.write_text(f"{ids},{months}\n" + "".join(f"{i}{line}{v}\n" for i, v in values.items()))
+        os.utime(path, (1_000_000 + n, 1_000_000 + n))
+    spec = feeds.FEEDS["value_index"]
+    groups = spec.read(spark, str(tmp_path))
+    assert len(groups) == 3
+    assert rows(feeds.cleaned(spec, groups), "RegionID", "Date", "Value") == [
+        (1, "2000-01-31", 10.0), (1, "2000-02-29", 20.0), (2, "2000-01-31", 2.0), (2, "2000-02-29", None)
+    ]
+    store = spec.store(spark, str(tmp_path / "table"))
+    feeds.run(spark, spec, str(tmp_path) + "/*.csv", store)
+    kept = spark.read.parquet(f"{store.root}/rejects/*")
+    assert [r["reasons"] for r in kept.collect()] == [["type:2000-02-29"]]

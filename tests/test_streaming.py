@@ -75,6 +75,48 @@ def test_replay_of_a_batch_changes_nothing(spark, tmp_path, rows):
     assert store.read().count() == 2
 
 
+def test_replayed_rows_with_null_keys_are_not_added_again(spark, tmp_path):
+    """The checkpoint's last commit is lost: the same micro-batch comes once more."""
+    drop, checkpoint = tmp_path / "drop", str(tmp_path / "checkpoint")
+    drop.mkdir()
+    (drop / "a.json").write_text(
+        '{"name": "a", "city": "c", "state": "NY", "stars": 4, "postal_code": "00501"}\n{bad\n'
+    )
+    store = feeds.FEEDS["places"].store(spark, str(tmp_path / "table"))
+
+    def run():
+        streams.ingest_feed(spark, "places", str(drop), str(drop), store, checkpoint, as_of="2024-02-01").awaitTermination()
+
+    run()
+    assert store.read().where("address IS NULL").count() == 1
+    for name in os.listdir(f"{checkpoint}/commits"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    run()
+    assert store.read().count() == 1
+    kept = spark.read.parquet(f"{store.root}/rejects/*")
+    assert [(r["reasons"], r["row"]) for r in kept.collect()] == [(["corrupt"], "{bad")]
+
+
+def test_monthly_deliveries_of_a_growing_table(spark, tmp_path, rows):
+    """Each month's file has a column more; all in one run, and one by one."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    months = ["2023-01-31", "2023-02-28", "2023-03-31"]
+    for n in range(1, 4):
+        path = drop / f"{n}.csv"
+        path.write_text(HEADER.split(",2023")[0] + "," + ",".join(months[:n]) + "\n" + region(1, *[100 * n + i for i in range(n)]) + "\n" + region(n, *range(n)) + "\n" * (n > 1))
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+    found = []
+    for run, most in enumerate((None, 1)):
+        store = feeds.FEEDS["value_index"].store(spark, str(tmp_path / f"t{run}"))
+        streams.ingest_feed(
+            spark, "value_index", str(drop), "", store, str(tmp_path / f"c{run}"), max_files=most, as_of="2024-02-01"
+        ).awaitTermination()
+        found.append(rows(store.read(), "RegionID", "Date", "Value"))
+    assert found[0] == found[1]
+    assert {(d, v) for i, d, v in found[0] if i == 1} == {("2023-01-31", 300.0), ("2023-02-28", 301.0), ("2023-03-31", 302.0)}
+
+
 def test_failing_batch_keeps_the_table(spark, tmp_path, rows):
     drop = str(tmp_path / "drop")
     spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, v double").write.parquet(drop)
