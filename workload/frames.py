@@ -17,22 +17,31 @@ raw value index    orders of a customer by month, months as columns
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areafacts.schemas import INT_METRICS, MARKET_METRICS
+
 AS_OF = "2024-02-01"
 
-# Month columns of the wide index: 20* columns are values, 1999-12-31 is an id.
-MONTHS = [f"{y}-{m:02d}" for y in (2000, 2001) for m in range(1, 13)][:20]
-OLD_MONTH = "1999-12"
+# Year of the first month of orders in the wide index. Month columns are shifted to start there, so that their names
+# carry the prefix of value columns; the first month keeps its name, which makes it an id column.
+FIRST_YEAR = 2000
 
 
-def month_column(month: str) -> str:
-    last = {"01": 31, "02": 28, "03": 31, "04": 30, "05": 31, "06": 30}
-    last |= {"07": 31, "08": 31, "09": 30, "10": 31, "11": 30, "12": 31}
-    year, m = month.split("-")
-    leap = m == "02" and int(year) % 4 == 0
-    return f"{month}-{last[m] + leap}"
+def months(spark: SparkSession, sf: str) -> list[tuple[str, str]]:
+    """(month of the orders, name of its column) from the first to the last month of the table."""
+    day = F.col("o_orderdate").cast("date")
+    first, last = table(spark, sf, "orders").agg(F.min(day), F.max(day)).head()
+    found = []
+    for n in range(first.year * 12 + first.month - 1, last.year * 12 + last.month):
+        year, month = divmod(n, 12)
+        shown = year + FIRST_YEAR - first.year if found else year
+        end = calendar.monthrange(shown, month + 1)[1]
+        found.append((f"{year}-{month + 1:02d}", f"{shown}-{month + 1:02d}-{end}"))
+    return found
 
 
 # Schemas of the driver's tables, so that no file is opened to learn them.
@@ -95,17 +104,29 @@ def raw_area(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _metrics() -> dict[str, str]:
+    """Every metric column of the market feed as SQL over a week's orders: n, high, total, low."""
+    known = {"active_listings": "n", "median_sale_price": "high", "median_new_listing_price": "total", "median_days_on_market": "low"}
+    formulas = {}
+    for i, name in enumerate(MARKET_METRICS):
+        formulas[name] = known.get(name) or (f"n + {i}" if name in INT_METRICS else f"high + {i}")
+        formulas[f"{name}_yoy"] = f"(low + {i}) / (high + 1)"
+    return formulas
+
+
+METRICS = _metrics()
+
+
 def _weekly(df: DataFrame, region_type: int, kind: str, name: Column) -> DataFrame:
     week = F.date_trunc("week", "o_orderdate").cast("date")
     price = money("o_totalprice")
     return (
         df.groupBy(week.alias("period_begin"), name.alias("region_name"))
         .agg(
-            F.count(F.lit(1)).cast("int").alias("active_listings"),
-            F.max("o_totalprice").alias("median_sale_price"),
-            F.sum(price).cast("double").alias("median_new_listing_price"),
-            F.min("c_acctbal").alias("median_days_on_market"),
-            F.lit(None).cast("double").alias("age_of_inventory"),
+            F.count(F.lit(1)).cast("int").alias("n"),
+            F.max("o_totalprice").alias("high"),
+            F.sum(price).cast("double").alias("total"),
+            F.min("c_acctbal").alias("low"),
         )
         .select(
             "period_begin",
@@ -115,11 +136,7 @@ def _weekly(df: DataFrame, region_type: int, kind: str, name: Column) -> DataFra
             "region_name",
             F.lit(0).alias("region_id"),
             F.lit("1 weeks").alias("duration"),
-            "active_listings",
-            "median_sale_price",
-            "median_new_listing_price",
-            "median_days_on_market",
-            "age_of_inventory",
+            *[F.expr(formula).alias(name) for name, formula in METRICS.items()],
         )
     )
 
@@ -167,12 +184,13 @@ def raw_place(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_value_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Wide table: ids, an old month that stays an id, and the month columns."""
+    """Wide table: ids, the oldest month, which stays an id, and the months after it."""
+    columns = months(spark, sf)
     by_month = (
         table(spark, sf, "orders")
         .withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
         .groupBy("o_custkey")
-        .pivot("month", [OLD_MONTH, *MONTHS])
+        .pivot("month", [month for month, _ in columns])
         .agg(F.sum(money("o_totalprice")))
     )
     wide = customer_regions(spark, sf).join(by_month, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -186,5 +204,5 @@ def raw_value_index(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_name").alias("City"),
         F.col("c_mktsegment").alias("Metro"),
         county_label().alias("CountyName"),
-        *[F.col(m).cast("double").alias(month_column(m)) for m in [OLD_MONTH, *MONTHS]],
+        *[F.col(month).cast("double").alias(name) for month, name in columns],
     )

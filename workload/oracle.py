@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+from workload.frames import FIRST_YEAR, METRICS
 
-
-def _sum(x: str) -> str:
-    """Whole parts and millionths summed apart, which is exact in any order."""
-    whole = f"round_even({x}, 0)"
-    return f"(SUM({whole}) + SUM(round_even(({x} - {whole}) * 1000000, 0)) / 1000000)"
+def _round(x: str) -> str:
+    """Six decimals, a hair up: exact halves round alike whatever the order of addition was."""
+    return f"round({x} + 1e-9, 6)"
 
 
 # -- raw frames -------------------------------------------------------------------
@@ -28,13 +27,14 @@ sales AS (
 raw_market AS (
   SELECT week, n_name || ' County, ' || r_name AS region_name, 5 AS region_type_id,
          lower(n_name) AS county_name, lower(r_name) AS state_id,
-         CAST(COUNT(*) AS INTEGER) AS active_listings, MAX(o_totalprice) AS median_sale_price,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS median_new_listing_price,
-         MIN(c_acctbal) AS median_days_on_market
+         CAST(COUNT(*) AS INTEGER) AS n, MAX(o_totalprice) AS high,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, MIN(c_acctbal) AS low
   FROM sales GROUP BY week, n_name, r_name
 ),
 market AS (
-  SELECT week AS period_begin, CAST(week + INTERVAL 6 DAY AS DATE) AS period_end, raw_market.* FROM raw_market
+  SELECT week AS period_begin, CAST(week + INTERVAL 6 DAY AS DATE) AS period_end, raw_market.*,
+         """ + ", ".join(f"{formula} AS {name}" for name, formula in METRICS.items()) + """
+  FROM raw_market
 )"""
 
 _PLACES = r"""
@@ -63,24 +63,29 @@ place AS (
   WHERE name IS NOT NULL AND stars BETWEEN 1 AND 5 AND regexp_full_match(postal_code, '[0-9]+')
 )"""
 
-_VALUES = """
+_VALUES = f"""
+span AS (SELECT MIN(o_orderdate) AS first, MAX(o_orderdate) AS last FROM orders),
 months AS (
-  SELECT strftime(d, '%Y-%m') AS ym, CAST(CAST(last_day(d) AS DATE) AS VARCHAR) AS col
-  FROM (SELECT unnest(generate_series(DATE '2000-01-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS d)
+  SELECT strftime(d, '%Y-%m') AS ym,
+         CAST(CAST(last_day(d + to_years({FIRST_YEAR} - CAST(year(first) AS INTEGER))) AS DATE) AS VARCHAR) AS col
+  FROM (SELECT first, unnest(generate_series(date_trunc('month', first) + INTERVAL 1 MONTH, last, INTERVAL 1 MONTH)) AS d
+        FROM span)
 ),
 monthly AS (
   SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS ym,
          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
   FROM orders GROUP BY ALL
 ),
+oldest AS (SELECT * FROM monthly WHERE ym = (SELECT strftime(first, '%Y-%m') FROM span)),
+cells AS (SELECT cust.*, unnest((SELECT list(ym) FROM months)) AS ym FROM cust),
 idx AS (
   SELECT CAST(c_custkey + 1000000 AS INTEGER) AS RegionID, c_nationkey AS SizeRank,
          CAST(c_custkey AS INTEGER) AS RegionName, 'zip' AS RegionType, r_name AS StateName,
          lower(r_name) AS state_id, c_name AS City, c_mktsegment AS Metro, lower(n_name) AS county_name,
          old.total AS old_month, m.col AS "Date", v.total AS "Value"
-  FROM cust CROSS JOIN months m
-  LEFT JOIN monthly v ON v.o_custkey = c_custkey AND v.ym = m.ym
-  LEFT JOIN monthly old ON old.o_custkey = c_custkey AND old.ym = '1999-12'
+  FROM cells JOIN months m ON m.ym = cells.ym
+  LEFT JOIN monthly v ON v.o_custkey = c_custkey AND v.ym = cells.ym
+  LEFT JOIN oldest old ON old.o_custkey = c_custkey
 )"""
 
 _AREAS = """
@@ -102,9 +107,9 @@ latest AS (
 _SUMMARY = """
 summary AS (
   SELECT zip_int AS zip, state AS state_id, COUNT(*) AS places, COUNT(*) FILTER (restaurant) AS category_places,
-         SUM(stars) / COUNT(stars) AS mean_stars,
-         SUM(stars * review_count) / NULLIF(CAST(SUM(review_count) AS DOUBLE), 0) AS weighted_stars,
-         SUM(stars) FILTER (restaurant) / NULLIF(COUNT(stars) FILTER (restaurant), 0) AS category_stars
+         """ + _round("AVG(stars)") + """ AS mean_stars,
+         """ + _round("SUM(stars * review_count) / NULLIF(CAST(SUM(review_count) AS DOUBLE), 0)") + """ AS weighted_stars,
+         """ + _round("AVG(stars) FILTER (restaurant)") + """ AS category_stars
   FROM place GROUP BY zip_int, state
 )"""
 
@@ -154,6 +159,8 @@ _REJECTED = """
   FROM raw_place
 """
 
+_TREND = ("median_sale_price", "median_days_on_market", "active_listings", "median_sale_price_yoy", "age_of_inventory")
+
 _PLACE_COLUMNS = (
     "address",
     "categories",
@@ -169,8 +176,7 @@ _PLACE_COLUMNS = (
 
 _MARKET_ROWS = """
 SELECT CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end, '1 weeks' AS duration,
-       active_listings, median_sale_price, median_new_listing_price, median_days_on_market,
-       CAST(NULL AS DOUBLE) AS age_of_inventory, county_name, state_id, '2024-02-01' AS processed_date
+       """ + ", ".join(METRICS) + """, county_name, state_id, '2024-02-01' AS processed_date
 FROM market"""
 
 ORACLE: dict[str, str] = {
@@ -197,22 +203,28 @@ FROM orders""",
     "conform_types": """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
-       CAST(o_custkey AS INTEGER) AS o_custkey
+       CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS INTEGER) END AS o_custkey
 FROM orders""",
     "stamp_rows": "SELECT c_custkey, c_name, '2024-02-01' AS processed_date FROM customer",
     "region_type_filter": _with(_CUSTOMERS, _MARKET) + """
-SELECT CAST(week AS VARCHAR) AS period_begin, region_name, region_type_id, active_listings FROM raw_market""",
+SELECT CAST(week AS VARCHAR) AS period_begin, region_name, region_type_id, n AS active_listings FROM raw_market""",
     "place_rules": _with(*_PLACE) + """
 SELECT address, name, CAST(stars AS DOUBLE) AS stars, postal_code, city, state FROM raw_place
 WHERE name IS NOT NULL AND stars >= 1 AND stars <= 5 AND city IS NOT NULL AND state IS NOT NULL
   AND regexp_full_match(postal_code, '[0-9]+')""",
     "rejected_rows": _with(*_PLACE) + f"SELECT * FROM ({_REJECTED}) WHERE reasons <> ''",
     "quality_report": _with(*_PLACE)
-    + ",twice AS (SELECT * FROM raw_place UNION ALL SELECT * FROM raw_place)\n"
+    + """, delivered AS (
+  SELECT * REPLACE (CASE WHEN review_count % 10 <> 3 THEN stars END AS stars), review_count % 10 = 3 AS misfit
+  FROM raw_place
+), twice AS (SELECT * FROM delivered UNION ALL SELECT * FROM delivered)
+"""
     + "\nUNION ALL\n".join(
-        f"SELECT 'null:{c}' AS \"check\", COUNT(*) AS total, COUNT(*) FILTER ({c} IS NULL) AS failures FROM twice"
+        f"SELECT 'null:{c}' AS \"check\", COUNT(*) AS total, "
+        f"COUNT(*) FILTER ({c} IS NULL{' AND NOT misfit' if c == 'stars' else ''}) AS failures FROM twice"
         for c in _PLACE_COLUMNS
     )
+    + "\nUNION ALL SELECT 'type:stars', COUNT(*), COUNT(*) FILTER (misfit) FROM twice"
     + "".join(
         f"\nUNION ALL SELECT 'rule:{name}', COUNT(*), COUNT(*) FILTER (NOT COALESCE({rule}, FALSE)) FROM twice"
         for name, rule in (
@@ -226,6 +238,15 @@ WHERE name IS NOT NULL AND stars >= 1 AND stars <= 5 AND city IS NOT NULL AND st
     + """
 UNION ALL SELECT 'duplicate:address,name,postal_code', COUNT(*),
   COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT address, name, postal_code FROM twice)) FROM twice""",
+    "feed_rejects": _with(*_PLACE) + """
+SELECT reasons, COUNT(*) AS n FROM (SELECT concat_ws(',',
+         CASE WHEN review_count % 10 = 4 THEN 'corrupt' END,
+         CASE WHEN review_count % 10 = 3 THEN 'type:stars' END,
+         CASE WHEN review_count % 10 <> 4 AND name IS NULL THEN 'rule:name' END,
+         CASE WHEN review_count % 10 <> 4 AND (review_count % 10 = 3 OR NOT stars BETWEEN 1 AND 5) THEN 'rule:stars' END,
+         CASE WHEN review_count % 10 <> 4 AND NOT regexp_full_match(postal_code, '[0-9]+') THEN 'rule:postal_code' END
+       ) AS reasons
+FROM raw_place) WHERE reasons <> '' GROUP BY reasons""",
     "orphans": """
 WITH a AS (SELECT DISTINCT o_orderkey AS order_key, o_orderstatus AS status FROM orders),
      b AS (SELECT DISTINCT l_orderkey AS order_key, l_linestatus AS status FROM lineitem)
@@ -247,7 +268,8 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'm_tax',
                  CASE WHEN l_returnflag <> 'R' THEN l_tax END FROM lineitem""",
     "feed_market_weekly": _with(_CUSTOMERS, _MARKET) + _MARKET_ROWS,
     "feed_area_reference": _with(_CUSTOMERS, _AREAS) + "SELECT * FROM area",
-    "feed_places": _with(*_PLACE) + "SELECT * EXCLUDE (restaurant) FROM place",
+    "feed_places": _with(*_PLACE) + """
+SELECT * EXCLUDE (restaurant) REPLACE (review_count + 1 AS review_count) FROM place""",
     "feed_value_index": _with(*_INDEX) + "SELECT * FROM idx",
     "feed_value_index_window": _with(*_INDEX) + """
 SELECT RegionID, "Date", "Value" FROM idx
@@ -273,11 +295,21 @@ SELECT t.*, NULL FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t
 SELECT CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end, '1 weeks' AS duration,
        CASE WHEN period_begin >= DATE '1998-01-01' THEN active_listings + 1000 ELSE active_listings END
          AS active_listings,
-       median_sale_price, median_new_listing_price, median_days_on_market,
-       CAST(NULL AS DOUBLE) AS age_of_inventory, county_name, state_id, '2024-02-01' AS processed_date
+       """ + ", ".join(m for m in METRICS if m != "active_listings") + """, county_name, state_id,
+       '2024-02-01' AS processed_date
 FROM market""",
     "feed_run": _with(_CUSTOMERS, _MARKET) + _MARKET_ROWS,
-    "stream_feed": _with(*_PLACE) + "SELECT * EXCLUDE (restaurant) FROM place",
+    "stream_feed": _with(*_PLACE) + """
+SELECT * EXCLUDE (restaurant, latitude, longitude) FROM place WHERE review_count % 10 <> 5
+UNION ALL
+SELECT DISTINCT * EXCLUDE (restaurant, latitude, longitude) REPLACE (CAST(NULL AS VARCHAR) AS address)
+FROM place WHERE review_count % 10 = 5""",
+    "stream_value_index": _with(*_INDEX) + """
+, numbered AS (SELECT col, row_number() OVER (ORDER BY col) AS n FROM months)
+SELECT RegionID, state_id, "Date",
+       CASE WHEN RegionID % 2 = 0 THEN "Value" ELSE "Value" + 1 END AS "Value"
+FROM idx JOIN numbered ON "Date" = col
+WHERE RegionID % 2 = 0 OR n < 40""",
     "named_view": _with(*_PLACE) + "SELECT state, COUNT(*) AS places FROM place GROUP BY state",
     "delimited_source": """
 SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day, o_orderkey,
@@ -295,28 +327,25 @@ SELECT RegionID, RegionName, ' ' || StateName AS "State", "Date", "Value" FROM i
     "county_price_range": _with(_CUSTOMERS, _MARKET, _LATEST_MARKET) + """
 SELECT county_name, state_id, market_date, median_sale_price FROM latest_market
 WHERE median_sale_price BETWEEN 400000 AND 460000""",
-    "value_trend": _with(*_INDEX) + """
-SELECT RegionName AS zip, state_id, CAST(date_trunc('month', CAST("Date" AS DATE))::DATE AS VARCHAR) AS period,
-       mean_value, CAST(1 AS BIGINT) AS n_values,
-       mean_value - lag(mean_value) OVER (PARTITION BY RegionName, state_id ORDER BY "Date") AS change
-FROM (SELECT RegionName, state_id, "Date", """ + _sum('"Value"') + """ AS mean_value
+    "value_trend": _with(*_INDEX) + f"""
+SELECT zip, state_id, CAST(period AS VARCHAR) AS period, {_round("mean_value")} AS mean_value, n_values,
+       {_round("mean_value - lag(mean_value) OVER (PARTITION BY zip, state_id ORDER BY period)")} AS change
+FROM (SELECT RegionName AS zip, state_id, date_trunc('month', CAST("Date" AS DATE))::DATE AS period,
+             AVG("Value") AS mean_value, COUNT("Value") AS n_values
+      FROM idx WHERE "Value" IS NOT NULL GROUP BY ALL)""",
+    "value_trend_county": _with(*_INDEX) + f"""
+SELECT county_name, state_id, CAST(period AS VARCHAR) AS period, {_round("mean_value")} AS mean_value, n_values,
+       {_round("mean_value - lag(mean_value) OVER (PARTITION BY county_name, state_id ORDER BY period)")} AS change
+FROM (SELECT county_name, state_id, date_trunc('quarter', CAST("Date" AS DATE))::DATE AS period,
+             AVG("Value") AS mean_value, COUNT("Value") AS n_values
       FROM idx WHERE "Value" IS NOT NULL GROUP BY ALL)""",
-    "value_trend_county": _with(*_INDEX) + f""", q AS (
-  SELECT county_name, state_id, date_trunc('quarter', CAST("Date" AS DATE))::DATE AS period,
-         {_sum('"Value"')} / COUNT("Value") AS mean_value, COUNT("Value") AS n_values
-  FROM idx WHERE "Value" IS NOT NULL GROUP BY ALL
-)
-SELECT county_name, state_id, CAST(period AS VARCHAR) AS period, mean_value, n_values,
-       mean_value - lag(mean_value) OVER (PARTITION BY county_name, state_id ORDER BY period) AS change
-FROM q""",
     "market_trend": _with(_CUSTOMERS, _MARKET) + """
 SELECT county_name, state_id, CAST(period_begin AS VARCHAR) AS period_begin, CAST(period_end AS VARCHAR) AS period_end,
-       median_sale_price, median_days_on_market, active_listings FROM market""",
+       median_sale_price, median_days_on_market, active_listings, median_sale_price_yoy, age_of_inventory
+FROM market WHERE period_begin BETWEEN DATE '1996-06-01' AND DATE '2000-12-31'""",
     "market_trend_month": _with(_CUSTOMERS, _MARKET) + f"""
 SELECT county_name, state_id, CAST(date_trunc('month', period_begin)::DATE AS VARCHAR) AS period,
-       {_sum("median_sale_price")} / COUNT(*) AS median_sale_price,
-       {_sum("median_days_on_market")} / COUNT(*) AS median_days_on_market,
-       CAST(SUM(active_listings) AS DOUBLE) / COUNT(*) AS active_listings, COUNT(*) AS n_periods
+       {", ".join(f"{_round(f'AVG({m})')} AS {m}" for m in _TREND)}, COUNT(*) AS n_periods
 FROM market GROUP BY ALL""",
     "place_density": _with(*_PLACE, _AREAS) + """
 SELECT a.zip, a.state_id, a.population, COUNT(p.address) AS places,
@@ -338,6 +367,10 @@ ORDER BY stars DESC, place.review_count DESC, name, address, postal_code LIMIT 2
   FROM place WHERE restaurant
 )
 SELECT zip_int, state, CAST(rn AS INTEGER) AS rank, address, stars, review_count FROM ranked WHERE rn <= 3""",
+    "top_events": """
+SELECT event_type, event_id, value, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rn FROM events
+) WHERE rn <= 1500""",
     "area_density": _with(_CUSTOMERS, _AREAS) + "SELECT zip, state_id, lat, lng, population, density FROM area",
     "area_values": _with(*_INDEX, _AREAS, _LATEST) + """
 SELECT a.zip, a.state_id, a.county_name, l.value_date, l.home_value
@@ -357,5 +390,9 @@ FROM area a LEFT JOIN latest_market m ON m.county_name = a.county_name AND m.sta
 SELECT user_id, event_type, event_id, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events
 ) WHERE rn = 1""",
-    "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_dedupe": """
+SELECT event_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events
+UNION ALL
+SELECT event_id, event_type, CAST(CAST(ts + INTERVAL 20 DAY AS DATE) AS VARCHAR) FROM events
+WHERE ts < TIMESTAMP '2024-01-05'""",
 }
