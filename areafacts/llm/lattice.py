@@ -8,10 +8,10 @@ probabilities of the pieces that end there; walks from a unit's end to its start
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -45,7 +45,7 @@ class Vocabulary:
     hashes: np.ndarray  # open addressing: 0 is a free place
     ids: np.ndarray
     longest: int
-    units: re.Pattern
+    lone: bytes
 
     @classmethod
     def load(cls, model_file: str, alpha: float) -> Vocabulary:
@@ -78,13 +78,28 @@ class Vocabulary:
                 at += 1
             table[at], ids[at] = h, i
         # a character of no longer piece is a unit of its own, if it is white space: lines end units
-        lone = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in lookup))
-        units = re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else ""))
-        return cls(pieces, logp, byte_ids, table, ids, max(map(len, lookup)), units)
-
-    def cut(self, text: str) -> list[str]:
-        """Units of a text; like the models, with a space before it and the space's own sign read as a space."""
-        return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        lone = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in lookup)).encode()
+        return cls(pieces, logp, byte_ids, table, ids, max(map(len, lookup)), lone)
+
+    def cut(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """Units of all texts, and how many each text has.
+
+        Like in the models, a text gets a space before it, and the space's own sign is read as a space. A unit starts
+        with the text, with the first of some spaces, and before and after a lone character.
+        """
+        rows = [(" " + t.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        joined = b"".join(rows)
+        data = np.frombuffer(joined, np.uint8)
+        space, alone = data == 32, np.isin(data, np.frombuffer(self.lone, np.uint8))
+        start = alone.copy()
+        start[1:] |= alone[:-1] | (space[1:] & ~space[:-1])
+        begin = np.cumsum(sizes) - sizes
+        start[begin[sizes > 0]] = True
+        at = np.flatnonzero(start)
+        offsets = np.append(at, len(data)).astype(np.int64)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+        return units.dictionary_encode(), np.searchsorted(at, begin + sizes) - np.searchsorted(at, begin)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes that are a piece's, and the pieces' ids."""
@@ -301,13 +316,16 @@ class Known:
             setattr(both, name, self._put(name, self.edges, getattr(fresh, name)))
         return both
 
-    def of(self, texts: list[list[str]]) -> tuple[list[np.ndarray], Lattice]:
+    def of(self, texts: list[str]) -> tuple[list[np.ndarray], Lattice]:
         """The texts' units as numbers in a lattice that holds them all; it serves until the next call."""
         n, index = len(self.index), self.index
-        ids = [np.fromiter(map(index.__getitem__, text), np.int64, len(text)) for text in texts]
+        units, each = self.vocabulary.cut(texts)
+        different = [u.decode("utf-8", "surrogatepass").replace(" ", SPACE) for u in units.dictionary.to_pylist()]
+        number_of = np.fromiter(map(index.__getitem__, different), np.int64, len(different))
+        ids = number_of[units.indices.to_numpy()]
         new = list(index)[n:]
         # new units by how often they came up: those that stay are the first of them
-        count = np.bincount(np.concatenate([np.empty(0, np.int64), *ids]), minlength=len(index))[n:]
+        count = np.bincount(ids, minlength=len(index))[n:]
         order = np.argsort(-count, kind="stable")
         number = np.arange(len(index))
         number[n + order] = n + np.arange(len(order))
@@ -323,4 +341,4 @@ class Known:
             self.bare |= {i + self.nodes: b for i, b in fresh.bare.items() if i < nodes}
             self.edges += int(fresh.edges[nodes - 1, 1])
             self.nodes += nodes
-        return [number[i] for i in ids], lattice
+        return np.split(number[ids], np.cumsum(each)[:-1]) if texts else [], lattice

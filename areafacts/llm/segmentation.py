@@ -140,7 +140,7 @@ def _complete(searches: list[Search], picks: list[tuple | None], lattice: Lattic
 
 def top_k(keys: list[int], texts: list[str], k: int, known: Known) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text its segmentations, best perturbed value first: piece ids, log probability, log inclusion score."""
-    units, lattice = known.of([known.vocabulary.cut(t) for t in texts])
+    units, lattice = known.of(texts)
     searches = [Search(key, u, lattice, k) for key, u in zip(keys, units)]
     live = [s for s in searches if len(s.units)]
     if live:

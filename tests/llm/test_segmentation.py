@@ -58,7 +58,6 @@ def test_all_segmentations_come_once(text):
     assert got.keys() == expected.keys()
     assert all(math.exp(got[ids]) == pytest.approx(p) for ids, p in expected.items())
     assert all(inclusion == 0 for *_, inclusion in found)
-    assert v.cut("") == []
 
 
 def test_draws_are_without_replacement():
@@ -99,13 +98,19 @@ def test_long_units_and_texts():
     assert found[0][0].tolist() != found[1][0].tolist()
 
 
+def test_units():
+    units, each = small().cut(["a  b\n\tc▁d ", "", "\n", "  ", "é x"])
+    assert [u.decode() for u in units.to_pylist()] == [" a", "  b", "\n", "\t", "c", " d", " ", " ", "\n", "   ", " é", " x"]
+    assert each.tolist() == [7, 0, 2, 1, 2]
+
+
 def test_known_units_are_numbered_on():
     known = Known(small())
-    known.of([["▁ab", "▁ab", "x", "é", "é"]])
-    assert list(known.index) == ["▁ab", "é"]
-    (ids,), lattice = known.of([["aba", "é", "▁a", "▁ab"]])
-    assert ids.tolist() == [2, 1, 3, 0]
-    whole = Lattice(["▁ab", "é", "aba", "▁a"], small())
+    known.of(["ab ab x é é", ""])
+    assert list(known.index) == ["▁ab", "▁é"]
+    (ids, none), lattice = known.of(["aba é a ab", ""])
+    assert ids.tolist() == [2, 1, 3, 0] and none.tolist() == []
+    whole = Lattice(["▁ab", "▁é", "▁aba", "▁a"], small())
     for name in ("first", "last", "start", "piece", "logp"):
         assert (getattr(lattice, name) == getattr(whole, name)).all()
     assert (lattice.edges[lattice.last] == whole.edges[whole.last]).all()
