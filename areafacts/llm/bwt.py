@@ -37,40 +37,46 @@ def _after(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
 
 
 def transform(text: np.ndarray, sizes: np.ndarray, depth: int) -> Transform:
-    """Of strings (concatenated bytes and sizes), sorted by at least ``depth`` symbols."""
+    """Of strings (concatenated bytes and sizes), sorted by at least ``depth + 2`` symbols."""
     symbols, start, size = closed(text, sizes)
     key = np.zeros(len(symbols), np.uint64)
     for i in range(8):
-        key = key << np.uint64(8) | symbols[_after(start, size, i)].astype(np.uint64)
+        key = key << np.uint64(8) | symbols[_after(start, size, i)]
     known = 8
-    order = np.argsort(key, kind="stable")
-    while known < depth:
+    order = np.argsort(key)
+    while known < depth + 2:
         rank = np.empty(len(key), np.uint64)
         ordered = key[order]
         rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]])) if len(key) else 0
         key = rank << np.uint64(32) | rank[_after(start, size, known)]
         known *= 2
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
     two = symbols[_after(start, size, -2)].astype(np.uint16) << 8 | symbols[_after(start, size, -1)]
     return Transform(two[order], order)
 
 
 def merge(parts: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(collection, rotation, interval) in merged order: ``rotation`` is its place in the collection, and neighbours
-    with the same first ``depth`` symbols (an even number) have the same interval."""
+    with the same first ``depth`` symbols (an even number) have the same interval.
+
+    An entry of the interleave is kept as its place in its own collection's order. Going two symbols back leads from
+    the n-th rotation with two certain symbols before it to the n-th that starts with them, in the same collection.
+    """
+    sizes = np.array([len(p.before) for p in parts], np.int64)
+    base = np.cumsum(sizes) - sizes
+    back = np.empty(int(sizes.sum()), np.int32)
+    for p, at in zip(parts, base.tolist()):
+        back[at + np.argsort(p.before, kind="stable")] = np.arange(at, at + len(p.before))
     before = np.concatenate([p.before for p in parts])
-    kind = np.uint16 if len(parts) < 2**16 else np.uint32
-    source = np.repeat(np.arange(len(parts)), [len(p.before) for p in parts]).astype(kind)
-    interval = np.zeros(len(source), np.int64)
-    symbols = np.empty(len(source), np.uint16)
+    entry, interval = np.arange(len(back), dtype=np.int32), np.zeros(len(back), np.int32)
     for _ in range(depth // 2):
-        # a collection's rotations stand in its own order, whatever the interleave
-        symbols[np.argsort(source, kind="stable")] = before
+        symbols = before[entry]
         dealt = np.argsort(symbols, kind="stable")
-        source, symbols_, old = source[dealt], symbols[dealt], interval[dealt]
-        parted = np.ones(len(source), bool)
-        parted[1:] = (symbols_[1:] != symbols_[:-1]) | (old[1:] != old[:-1])
-        interval = np.cumsum(parted)
-    rotation = np.empty(len(source), np.int64)
-    rotation[np.argsort(source, kind="stable")] = np.concatenate([p.at for p in parts])
-    return source, rotation, interval
+        symbols, old = symbols[dealt], interval[dealt]
+        entry = back[entry[dealt]]
+        parted = np.empty(len(entry), bool)
+        parted[:1] = True
+        parted[1:] = (symbols[1:] != symbols[:-1]) | (old[1:] != old[:-1])
+        np.cumsum(parted, out=interval)
+    source = np.repeat(np.arange(len(parts)), sizes)[entry]
+    return source, np.concatenate([p.at for p in parts])[entry], interval

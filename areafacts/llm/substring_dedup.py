@@ -39,12 +39,16 @@ from areafacts.llm import bwt
 from areafacts.llm.common import batch, runs, stored, texts
 from areafacts.llm.lattice import Numbers
 
-SHARD = 8_000_000
+SHARD = 2_000_000
 ANCHOR = 16
 HOT = 2048
 # Symbols whose transforms are merged at once; the contexts of one anchor stay together.
-MERGED = 1_000_000
+MERGED = 250_000
+# A bucket has about what so many shards have, up to BUCKETS of them.
+SHARDS_A_BUCKET = 8
 BUCKETS = 4096
+# Bytes of a shard that are hashed at once: what that takes stays in a core's cache.
+BLOCK = 1 << 17
 NO_ID = np.iinfo(np.int64).max
 
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -95,20 +99,34 @@ class Shard:
 
     def anchored(self, length: int):
         """Runs of windows with the same anchor: first window, number of windows, hash of the anchor, document's id."""
-        if len(self.data) < length:
+        whole = np.ones(len(self.data), bool)  # whether a window that starts here ends in the same text
+        for end, size in zip(self.ends.tolist(), self.sizes.tolist()):
+            whole[end - min(size, length - 1) : end] = False
+        starts, anchors, hashes = [], [], []
+        last = -1
+        for at in range(0, len(self.data), BLOCK):
+            window = np.flatnonzero(whole[at : at + BLOCK])
+            if not len(window):
+                continue
+            found = rolling(self.data[at : at + BLOCK + length - 1], ANCHOR)
+            # smallest hash, then leftmost: both depend on the window's bytes only
+            key = found & np.uint64(0xFFFFFFFF00000000) | np.arange(len(found), dtype=np.uint64)
+            anchor = (sliding_min(key, length - ANCHOR + 1)[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            first = runs(anchor)
+            if anchor[0] + at == last:  # the run goes on from the block before
+                first = first[1:]
+            last = int(anchor[-1]) + at
+            starts.append(window[first] + at)
+            anchors.append(anchor[first] + at)
+            hashes.append(found[anchor[first]])
+        if not starts:
             none = np.empty(0, np.int64)
             return none, none, np.empty(0, np.uint64), none
-        hashes = rolling(self.data, ANCHOR)
-        # smallest hash, then leftmost: both depend on the window's bytes only
-        key = hashes & np.uint64(0xFFFFFFFF00000000) | np.arange(len(hashes), dtype=np.uint64)
-        anchor = sliding_min(key, length - ANCHOR + 1) & np.uint64(0xFFFFFFFF)
-        left = np.repeat(self.ends, self.sizes) - np.arange(len(self.data))
-        window = np.flatnonzero(left[: len(anchor)] >= length)
-        anchor = anchor[window].astype(np.int64)
-        first = runs(anchor)
-        start = window[first]
-        count = np.diff(np.append(first, len(window)))
-        return start, count, hashes[anchor[first]], self.ids[np.searchsorted(self.ends, start, side="right")]
+        start = np.concatenate(starts)
+        # windows are counted, not places: those between two texts are none
+        before = np.concatenate([[0], np.cumsum(whole)])
+        count = np.diff(np.append(before[start], before[-1]))
+        return start, count, np.concatenate(hashes), self.ids[np.searchsorted(self.ends, start, side="right")]
 
 
 SHARDS = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("text", pa.binary()), ("n_bytes", pa.int64())])
@@ -145,8 +163,20 @@ MESSAGE_SQL = "kind int, bucket int, shard long, b0 binary, b1 binary, b2 binary
 ANCHORS, CONTEXTS, WINDOWS, PLAN = range(4)
 
 
-def _message(kind: int, bucket: int, shard: int, *parts: bytes) -> pa.RecordBatch:
-    return batch(MESSAGE, [kind], [bucket], [shard], *[[p] for p in (*parts, *[b""] * (4 - len(parts)))])
+def _message(kind: int, bucket: int, shard: int, *parts: bytes) -> tuple:
+    return (kind, bucket, shard, *parts, *[b""] * (4 - len(parts)))
+
+
+def _sent(messages: Iterator[tuple], most: int = 256) -> Iterator[pa.RecordBatch]:
+    """Messages as record batches."""
+    waiting = []
+    for message in messages:
+        waiting.append(message)
+        if len(waiting) == most:
+            yield batch(MESSAGE, *zip(*waiting))
+            waiting = []
+    if waiting:
+        yield batch(MESSAGE, *zip(*waiting))
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -160,10 +190,10 @@ def _stretches(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(bucket[a]), slice(int(a), int(b))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _rows(batches: Iterator[pa.RecordBatch], at_once: int = 1) -> Iterator[dict]:
     for b in batches:
-        for i in range(b.num_rows):
-            yield b.slice(i, 1).to_pylist()[0]
+        for i in range(0, b.num_rows, at_once):
+            yield from b.slice(i, at_once).to_pylist()
 
 
 def _distinct_anchors(hashes: np.ndarray, ids: np.ndarray):
@@ -186,13 +216,13 @@ def _send_anchors(length: int, buckets: int):
             for bucket, mine in _stretches(_bucket(hashes, buckets)):
                 yield _message(ANCHORS, bucket, row["shard"], hashes[mine].tobytes(), marked[mine].tobytes())
 
-    return send
+    return lambda batches: _sent(send(batches))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[dict]]]:
     """All rows of a kind and bucket, which come sorted."""
     key, rows = None, []
-    for r in _rows(batches):
+    for r in _rows(batches, 64):
         if (r["kind"], r["bucket"]) != key:
             if rows:
                 yield key, rows
@@ -222,7 +252,7 @@ def _compare_anchors(hot: int):
                 mine = state[:, end - len(part) : end]
                 yield _message(ANCHORS, bucket, r["shard"], np.packbits(mine[0]).tobytes(), np.packbits(mine[1]).tobytes())
 
-    return compare
+    return lambda batches: _sent(compare(batches))
 
 
 def _answers(rows: DataFrame) -> DataFrame:
@@ -297,7 +327,7 @@ def _send_contexts(length: int, buckets: int):
                 stepped = [np.diff(c[order].astype(np.int64), prepend=0) if i in (0, 2) else c[order].astype(k) for i, (c, k) in enumerate(zip(columns, kinds))]
                 yield _message(PLAN, 0, row["shard"], *[squeeze(c.tobytes()) for c in stepped])
 
-    return send
+    return lambda batches: _sent(send(batches))
 
 
 def _earliest(contexts: list[bytes], sender: np.ndarray, least: np.ndarray, length: int) -> list[np.ndarray]:
@@ -389,7 +419,7 @@ def _decide(length: int):
             for r, bits in zip(rows, found):
                 yield _message(kind, bucket, r["shard"], np.packbits(bits).tobytes())
 
-    return decide
+    return lambda batches: _sent(decide(batches))
 
 
 RESULT = pa.schema(
@@ -446,7 +476,7 @@ def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_col
         raise ValueError("the length is even and larger than an anchor")
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
     shards = stored(pack(rows, shard_bytes), "shards")
-    buckets = min(max(16, shards.count()), BUCKETS)  # a bucket is about what a shard has
+    buckets = min(max(16, -(-shards.count() // SHARDS_A_BUCKET)), BUCKETS)
 
     def met(sent: DataFrame) -> DataFrame:
         return sent.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "shard")

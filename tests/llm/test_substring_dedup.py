@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -77,6 +78,19 @@ def test_rolling_hashes_and_minima():
         assert substring_dedup.sliding_min(x, w).tolist() == [min(x[i : i + w]) for i in range(len(x) - w + 1)]
 
 
+def test_blocks_do_not_show(monkeypatch):
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b"abcd ") for _ in range(rng.choice([0, 3, 19, 20, 21, 150, 700]))) for _ in range(40)] + [b"z" * 300]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    row = {"text": zstandard.compress(b"".join(texts)), "n_bytes": int(sizes.sum()), "sizes": sizes.tobytes(), "ids": np.arange(len(texts)).tobytes()}
+    whole = substring_dedup.Shard(row).anchored(20)
+    assert whole[1].sum() == sum(max(0, len(t) - 19) for t in texts)
+    for block in (1, 7, 64, 333):
+        monkeypatch.setattr(substring_dedup, "BLOCK", block)
+        for a, b in zip(whole, substring_dedup.Shard(row).anchored(20)):
+            assert a.tolist() == b.tolist()
+
+
 def fixture(seed):
     rng = random.Random(seed)
     words = ["ab", "é", "the", "of", "ß\n", "x y", "aaaa", "\0"]
