@@ -1,6 +1,6 @@
 """Times each chosen plan against the plain way to write the same result.
 
-usage: python tools/alternatives.py [scratch folder]
+usage: python tools/alternatives.py SCRATCH_FOLDER
 
 The plain forms are what a straightforward job would run: inferred schemas,
 Spark's unpivot whatever the width, de-duplication of the long rows,
@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -65,7 +64,7 @@ def plain_upsert(target, source, key):
 
 
 def main() -> None:
-    home = sys.argv[1] if len(sys.argv) > 1 else tempfile.mkdtemp(prefix="alternatives-")
+    home = sys.argv[1]
     spark = local_session(8, app="alternatives", memory="16g", settings={"spark.sql.shuffle.partitions": "16"})
 
     def stored(name, write):

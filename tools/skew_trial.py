@@ -1,6 +1,6 @@
 """Runs the shuffling operators on data where one key holds a third of all rows.
 
-usage: python tools/skew_trial.py [million rows, default 6] [scratch folder]
+usage: python tools/skew_trial.py MILLION_ROWS SCRATCH_FOLDER
 
 Prints, per operator, the wall time and the longest task beside the median task
 of its slowest stage, read from Spark's event log. With nothing broadcast, a hot
@@ -14,7 +14,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from collections import defaultdict
 
@@ -59,11 +58,11 @@ def make_areas(spark, n: int):
 
 
 def make_market(spark, areas):
-    periods = spark.range(60).select(F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") * 7).cast("int")).alias("period_begin"))
+    weeks = F.expr("sequence(date'2023-01-01', date'2024-02-18', interval 1 week)")
     return (
         areas.select("county_name", "state_id")
         .distinct()
-        .join(periods)
+        .withColumn("period_begin", F.explode(weeks))
         .select(
             "*",
             F.date_add("period_begin", 6).alias("period_end"),
@@ -90,9 +89,9 @@ def stage_tasks(folder: str) -> dict[str, dict[int, list[int]]]:
 
 
 def main() -> None:
-    n = int(float(sys.argv[1] if len(sys.argv) > 1 else 6) * 1_000_000)
-    home = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="skew-trial-")
-    log = tempfile.mkdtemp(prefix="events-", dir=home)
+    n, home = int(float(sys.argv[1]) * 1_000_000), sys.argv[2]
+    log = f"{home}/events-{os.getpid()}"
+    os.makedirs(log)
     spark = local_session(
         8,
         app="skew trial",
@@ -133,7 +132,7 @@ def main() -> None:
         "feed places": lambda: feeds.places(raw, "2024-02-01"),
         "one per key, ordered": lambda: one_per_key(raw, ["postal_code"], best),
         "top 50 per zip": lambda: top_per_group(raw, ["postal_code"], best, 50),
-        "top 2000 per zip": lambda: top_per_group(raw, ["postal_code"], best, 2000),
+        "top 2000 per zip, sliced": lambda: top_per_group(raw, ["postal_code"], best, 2000, slices=64),
         "place quality": lambda: marts.place_quality(places),
         "area places": lambda: marts.area_places(areas, places),
         "area market": lambda: marts.area_market(areas, market),
