@@ -273,7 +273,7 @@ class Lattice:
 class Numbers(dict):
     """Numbers in the order of first sight."""
 
-    def __missing__(self, unit: str) -> int:
+    def __missing__(self, unit: str | bytes) -> int:
         self[unit] = n = len(self)
         return n
 
@@ -320,8 +320,7 @@ class Known:
         """The texts' units as numbers in a lattice that holds them all; it serves until the next call."""
         n, index = len(self.index), self.index
         units, each = self.vocabulary.cut(texts)
-        different = [u.decode("utf-8", "surrogatepass").replace(" ", SPACE) for u in units.dictionary.to_pylist()]
-        number_of = np.fromiter(map(index.__getitem__, different), np.int64, len(different))
+        number_of = np.fromiter(map(index.__getitem__, units.dictionary.to_pylist()), np.int64, len(units.dictionary))
         ids = number_of[units.indices.to_numpy()]
         new = list(index)[n:]
         # new units by how often they came up: those that stay are the first of them
@@ -331,7 +330,8 @@ class Known:
         number[n + order] = n + np.arange(len(order))
         for unit in new:
             del index[unit]
-        fresh = Lattice([new[i] for i in order], self.vocabulary)
+        shown = [new[i].decode("utf-8", "surrogatepass").replace(" ", SPACE) for i in order]
+        fresh = Lattice(shown, self.vocabulary)
         lattice = self._with(fresh)
         again = int((count > 1).sum())
         if again and n + again <= self.most:

@@ -190,9 +190,13 @@ def decoded(vocabulary: Vocabulary) -> list[bytes]:
     return table
 
 
+def restored(table: list[bytes], ids: list[int]) -> bytes:
+    """The text of piece ids, in UTF-8; the space that was put before it goes."""
+    return b"".join(map(table.__getitem__, ids)).removeprefix(b" ")
+
+
 def restore(table: list[bytes], ids: list[int]) -> str:
-    """The text of piece ids; the space that was put before it goes."""
-    return b"".join([table[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+    return restored(table, ids).decode("utf-8", "replace")
 
 
 SAMPLES = "doc_id long, sample int, log_probability double, log_inclusion double, n_pieces long, pieces array<int>, round_trip boolean"
@@ -219,8 +223,8 @@ def encode(
         for ids, texts in _gathered(batches):
             found = top_k([0 if i is None else i for i in ids], texts, k, known)
             flat = [(i, n + 1, *sample) for i, samples in zip(ids, found) for n, sample in enumerate(samples)]
-            read = [t.replace(SPACE, " ") for t, samples in zip(texts, found) for _ in samples]
-            same = [restore(table, s[2].tolist()) == t for s, t in zip(flat, read)]
+            read = [t.replace(SPACE, " ").encode("utf-8", "surrogatepass") for t in texts]
+            same = [restored(table, s[0].tolist()) == t for t, samples in zip(read, found) for s in samples]
             sizes = [len(s[2]) for s in flat]
             pieces = pa.ListArray.from_arrays(
                 np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate([s[2] for s in flat]).astype(np.int32))
