@@ -45,7 +45,7 @@ HOT = 2048
 # Symbols whose transforms are merged at once; the contexts of one anchor stay together.
 MERGED = 250_000
 # A bucket has about what so many shards have, up to BUCKETS of them.
-SHARDS_A_BUCKET = 8
+SHARDS_A_BUCKET = 4
 BUCKETS = 4096
 # Bytes of a shard that are hashed at once: what that takes stays in a core's cache.
 BLOCK = 1 << 17
@@ -76,8 +76,13 @@ def rolling(data: np.ndarray, n: int, which: int = 0) -> np.ndarray:
             m = len(data) - 2 * width + 1
             have = have[:m] * power + have[width : width + m]
             power, width = power * power, 2 * width
-        out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return out ^ (out >> np.uint64(29))
+    return mixed(out)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(29))
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -118,7 +123,8 @@ class Shard:
             last = int(anchor[-1]) + at
             starts.append(window[first] + at)
             anchors.append(anchor[first] + at)
-            hashes.append(found[anchor[first]])
+            # the smallest of many hashes are small: mixed anew, they spread over all buckets
+            hashes.append(mixed(found[anchor[first]]))
         if not starts:
             none = np.empty(0, np.int64)
             return none, none, np.empty(0, np.uint64), none

@@ -91,6 +91,15 @@ def test_blocks_do_not_show(monkeypatch):
             assert a.tolist() == b.tolist()
 
 
+def test_anchors_spread_over_the_buckets():
+    rng = np.random.default_rng(0)
+    text = rng.integers(97, 123, 200_000).astype(np.uint8).tobytes()
+    row = {"text": zstandard.compress(text), "n_bytes": len(text), "sizes": np.array([len(text)]).tobytes(), "ids": np.array([1]).tobytes()}
+    hashes = substring_dedup.Shard(row).anchored(50)[2]
+    share = np.bincount(substring_dedup._bucket(np.unique(hashes), 16), minlength=16) / len(np.unique(hashes))
+    assert share.max() < 0.08 and share.min() > 0.045
+
+
 def fixture(seed):
     rng = random.Random(seed)
     words = ["ab", "é", "the", "of", "ß\n", "x y", "aaaa", "\0"]
