@@ -78,10 +78,16 @@ def _reaching(block: V.Queries, quantum: int, floor: np.ndarray, k: int):
     return keep
 
 
-def kth_values(rows: DataFrame, block: V.Queries, k: int, quantum: int) -> np.ndarray:
-    """The k-th largest score of each query, or the least possible one where there are fewer candidates."""
+def longest_vector(rows: DataFrame, quantum: int) -> float:
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x * quantum), 2)))
-    longest = rows.agg(F.max(norm)).first()[0] or 0.0
+    return rows.agg(F.max(norm)).first()[0] or 0.0
+
+
+def kth_values(rows: DataFrame, block: V.Queries, k: int, quantum: int, longest: float) -> np.ndarray:
+    """The k-th largest score of each query, or the least possible one where there are fewer candidates.
+
+    No score exceeds the product of two lengths, which gives the first range.
+    """
     reach = np.linalg.norm(quantized(block.vectors, quantum), axis=1) * longest * (1 + 1e-9) + 1
     low = -np.ceil(np.minimum(reach, 2.0**62)).astype(np.int64)
     width = -(2 * low) // BINS + 1
@@ -122,10 +128,12 @@ def exact_topk(
     folder = scratch.folder(spark, "topk")
     spark.createDataFrame([], "query_id long, rank int, vec_id long, score long").write.parquet(f"{folder}/none")
     paths = [f"{folder}/none"]
-    everyone = V.prepared(rows, id_column, vector_column, nonzero=False)
+    everyone, longest = V.prepared(rows, id_column, vector_column, nonzero=False), {}
     for i, block in enumerate(V.query_blocks(V.prepared(rows.where(is_query), id_column, vector_column, False))):
         same = everyone.where(F.size("vector") == block.dim)
-        floor = kth_values(same, block, k, quantum)
+        if block.dim not in longest:
+            longest = {block.dim: longest_vector(same, quantum)}
+        floor = kth_values(same, block, k, quantum, longest[block.dim])
         hits = same.mapInArrow(_reaching(block, quantum, floor, k), V.HITS.format("long"))
         paths.append(f"{folder}/{i}")
         V.ranked(hits, k, F.desc("score")).write.parquet(paths[-1])
