@@ -27,8 +27,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def uniform(key: np.ndarray, count: int | np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) that depend on key and count only."""
     with np.errstate(over="ignore"):
-        bits = _mixed(key + np.uint64(0xD1B54A32D192ED03) * np.asarray(count, np.uint64))
-    return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+        bits = (key ^ np.uint64(0xD1B54A32D192ED03) * np.asarray(count, np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        bits ^= bits >> np.uint64(32)
+        bits *= np.uint64(0x94D049BB133111EB)
+    out = (bits >> np.uint64(12)).astype(np.float64)
+    out += 0.5
+    out *= 2.0**-52
+    return out
 
 
 def codes(text: str) -> np.ndarray:
@@ -209,13 +214,13 @@ class Lattice:
 
     def walk(self, units: np.ndarray, key: np.ndarray):
         """One drawn segmentation of each unit: edges in text order, their number, and log probabilities."""
-        node, lane = self.last[units], np.arange(len(units))
+        node, lane, begin = self.last[units], np.arange(len(units)), self.first[units]
         chosen, who, logp, n = [], [], np.zeros(len(units)), np.zeros(len(units), np.int64)
-        step = 0
+        step, from_ = 0, np.ascontiguousarray(self.edges[:, 0])
         while len(lane):
             step += 1
-            u = uniform(key[lane], step)
-            e = self.edges[node, 0]
+            u = uniform(key, step)
+            e = from_[node]
             more = np.flatnonzero(self.cumulative[e] < u)
             while len(more):
                 e[more] += 1
@@ -225,8 +230,8 @@ class Lattice:
             logp[lane] += self.logp[e]
             n[lane] = step
             node = self.start[e]
-            on = node != self.first[units[lane]]
-            node, lane = node[on], lane[on]
+            on = np.flatnonzero(node != begin)
+            node, lane, begin, key = node[on], lane[on], begin[on], key[on]
         end = np.cumsum(n)
         edges = np.empty(end[-1] if len(end) else 0, np.int32)
         for i, (e, who_) in enumerate(zip(chosen, who)):
