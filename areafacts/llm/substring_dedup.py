@@ -17,7 +17,8 @@ Exact, whatever the length of a repetition and wherever it starts, and never hel
 An anchor that HOT or more contexts have (a passage that a third of all documents share, with different text around it)
 would make a bucket as large as the corpus. Its windows are sent one by one instead, under a 128-bit hash, equal ones
 once a shard, to buckets of their own hash: exact up to hash collisions, which at 10^14 windows have a probability of
-10^-10. Every step's result that is read again is written to the shared folder.
+10^-10. Shards and answers are written to the shared folder; the messages between are
+functions of them, so a lost task sends the same again.
 
 Defined cases: null text is empty. Texts shorter than LENGTH keep everything. "Earlier" is a smaller id; a null id is
 later than every other. Rows of one id are one document: they do not remove each other's text, and each is returned.
@@ -47,6 +48,7 @@ MERGED = 250_000
 # A bucket has about what so many shards have, up to BUCKETS of them.
 SHARDS_A_BUCKET = 4
 BUCKETS = 4096
+BROADCAST = 64 << 20
 # Bytes of a shard that are hashed at once: what that takes stays in a core's cache.
 BLOCK = 1 << 17
 NO_ID = np.iinfo(np.int64).max
@@ -261,9 +263,17 @@ def _compare_anchors(hot: int):
     return lambda batches: _sent(compare(batches))
 
 
-def _answers(rows: DataFrame) -> DataFrame:
-    """(shard, answers): what came back for a shard, in the order it was sent."""
-    return rows.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("kind", "bucket", "b0", "b1"))).alias("answers"))
+def _with_answers(shards: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Shards with what came back for them (``answers``, in the order it was sent).
+
+    Answers are bits and run lengths, a few hundredths of the text. Up to BROADCAST bytes they go to the shards; beyond,
+    the shards are shuffled to them.
+    """
+    answers = rows.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("kind", "bucket", "b0", "b1", "b2", "b3"))).alias("answers"))
+    answers = stored(answers, "answers")
+    size = F.aggregate("answers", F.lit(0).cast("long"), lambda n, a: n + sum(F.length(a[f"b{i}"]) for i in range(4)))
+    small = (answers.agg(F.sum(size)).first()[0] or 0) <= BROADCAST
+    return shards.join(F.broadcast(answers) if small else answers, "shard", how)
 
 
 def _aligned(bits: np.ndarray) -> np.ndarray:
@@ -301,7 +311,7 @@ def _send_contexts(length: int, buckets: int):
                 offset = np.empty(len(index), np.int64)
                 for bucket, mine in _stretches(_bucket(anchor, buckets)):
                     yield _message(
-                        CONTEXTS, bucket, row["shard"], anchor[mine].tobytes(), sizes[mine].tobytes(), least[mine].tobytes(), b"".join(contexts[mine])
+                        CONTEXTS, bucket, row["shard"], anchor[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), least[mine].tobytes(), b"".join(contexts[mine])
                     )
                     windows = sizes[mine] - length + 1
                     offset[mine] = bit + np.cumsum(windows) - windows
@@ -331,7 +341,7 @@ def _send_contexts(length: int, buckets: int):
                 squeeze = zstandard.ZstdCompressor(level=1).compress
                 kinds = (np.int64, np.uint16, np.int64, np.uint8)
                 stepped = [np.diff(c[order].astype(np.int64), prepend=0) if i in (0, 2) else c[order].astype(k) for i, (c, k) in enumerate(zip(columns, kinds))]
-                yield _message(PLAN, 0, row["shard"], *[squeeze(c.tobytes()) for c in stepped])
+                yield _message(PLAN, row["shard"] % buckets, row["shard"], *[squeeze(c.tobytes()) for c in stepped])
 
     return lambda batches: _sent(send(batches))
 
@@ -367,7 +377,8 @@ def _compare_contexts(rows: list[dict], length: int) -> list[np.ndarray]:
     index = Numbers()
     anchors, least, numbers, sent = [], [], [], []
     for r in rows:
-        sizes, ends = np.frombuffer(r["b1"], np.int64), np.cumsum(np.frombuffer(r["b1"], np.int64))
+        sizes = np.frombuffer(r["b1"], np.uint32).astype(np.int64)
+        ends = np.cumsum(sizes)
         numbers.append(np.array([index[r["b3"][e - s : e]] for s, e in zip(sizes.tolist(), ends.tolist())], np.int64))
         anchors.append(np.frombuffer(r["b0"], np.uint64))
         sent.append(np.frombuffer(r["b2"], np.int64))
@@ -421,6 +432,9 @@ def _compare_windows(rows: list[dict]) -> list[np.ndarray]:
 def _decide(length: int):
     def decide(batches):
         for (kind, bucket), rows in _groups(batches):
+            if kind == PLAN:  # what a shard needs to apply the answers goes back with them
+                yield from ((kind, bucket, r["shard"], r["b0"], r["b1"], r["b2"], r["b3"]) for r in rows)
+                continue
             found = _compare_contexts(rows, length) if kind == CONTEXTS else _compare_windows(rows)
             for r, bits in zip(rows, found):
                 yield _message(kind, bucket, r["shard"], np.packbits(bits).tobytes())
@@ -438,9 +452,10 @@ def _covered(row: dict, n: int, length: int) -> np.ndarray:
     """Which bytes of a shard a removed window covers."""
     if not row["answers"]:
         return np.zeros(n, bool)
-    bits = np.unpackbits(np.frombuffer(b"".join([a["b0"] for a in row["answers"]]), np.uint8)).astype(bool)
+    *decided, plan = row["answers"]  # by kind: the plan is the last
+    bits = np.unpackbits(np.frombuffer(b"".join([a["b0"] for a in decided]), np.uint8)).astype(bool)
     expand = zstandard.ZstdDecompressor().decompress
-    start, count, offset, later = (np.frombuffer(expand(row[c]), t) for c, t in zip(("b0", "b1", "b2", "b3"), (np.int64, np.uint16, np.int64, np.uint8)))
+    start, count, offset, later = (np.frombuffer(expand(plan[c]), t) for c, t in zip(("b0", "b1", "b2", "b3"), (np.int64, np.uint16, np.int64, np.uint8)))
     start, offset, count = np.cumsum(start), np.cumsum(offset), count.astype(np.int64)
     step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     removed = bits[np.repeat(offset, count) + step] | np.repeat(later.astype(bool), count)
@@ -488,8 +503,7 @@ def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_col
         return sent.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", "shard")
 
     anchors = shards.mapInArrow(_send_anchors(length, buckets), MESSAGE_SQL)
-    known = _answers(met(anchors).mapInArrow(_compare_anchors(hot), MESSAGE_SQL))
-    sent = stored(shards.join(known, "shard").mapInArrow(_send_contexts(length, buckets), MESSAGE_SQL), "contexts")
-    decided = _answers(met(sent.where(F.col("kind") != PLAN)).mapInArrow(_decide(length), MESSAGE_SQL))
-    plan = sent.where(F.col("kind") == PLAN).drop("kind", "bucket")
-    return shards.join(plan, "shard", "left").join(decided, "shard", "left").mapInArrow(_apply(length), RESULT_SQL)
+    known = met(anchors).mapInArrow(_compare_anchors(hot), MESSAGE_SQL)
+    sent = _with_answers(shards, known, "inner").mapInArrow(_send_contexts(length, buckets), MESSAGE_SQL)
+    back = met(sent).mapInArrow(_decide(length), MESSAGE_SQL)
+    return _with_answers(shards, back, "left").mapInArrow(_apply(length), RESULT_SQL)

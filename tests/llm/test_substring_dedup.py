@@ -124,6 +124,13 @@ def test_rows(spark, monkeypatch, seed, length, shard_bytes, hot):
     assert found == sorted(brute(rows, length), key=str)
 
 
+def test_shuffled_shards(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BROADCAST", 0)
+    rows = fixture(6)
+    docs = spark.createDataFrame([(i, t, "k", "s", "x") for i, t in rows], SCHEMA)
+    assert got(substring_dedup.dedup(docs, 20, shard_bytes=500)) == sorted(brute(rows, 20), key=str)
+
+
 def test_long_text_and_small_merges(spark, monkeypatch):
     rng = random.Random(9)
     base = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
