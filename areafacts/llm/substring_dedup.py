@@ -3,7 +3,7 @@
 Exact, whatever the length of a repetition and wherever it starts, and never held in one place:
 
 1. Texts are packed into shards of bounded size (a longer text is a shard of its own).
-2. Of the 16-byte strings in a window of LENGTH bytes, the one with the smallest hash is the window's anchor. Equal
+2. Of the 24-byte strings in a window of LENGTH bytes, the one with the smallest hash is the window's anchor. Equal
    windows have equal anchors, so they meet if anchors do. Shards send their anchors' hashes to buckets and get back one
    bit for each: whether another document has it. Everything else in the corpus is done with after this.
 3. Shards send, for the anchors that others have, the stretches of text around them (contexts) to the anchors' buckets,
@@ -41,7 +41,7 @@ from areafacts.llm.common import batch, runs, stored, texts
 from areafacts.llm.lattice import Numbers
 
 SHARD = 2_000_000
-ANCHOR = 16
+ANCHOR = 24
 HOT = 2048
 # Symbols whose transforms are merged at once; the contexts of one anchor stay together.
 MERGED = 250_000
@@ -95,6 +95,22 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :])
 
 
+def anchor_size(length: int) -> int:
+    """Short anchors are found in many texts by chance, long ones are many: at most half a window."""
+    return min(ANCHOR, length // 2)
+
+
+def short(hashes: np.ndarray) -> bytes:
+    """The upper six bytes of hashes: two anchors that share them are compared in vain, no more."""
+    return (hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def lengthened(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0] << np.uint64(16)
+
+
 class Shard:
     """Texts of some documents: bytes, sizes, ids."""
 
@@ -106,19 +122,20 @@ class Shard:
 
     def anchored(self, length: int):
         """Runs of windows with the same anchor: first window, number of windows, hash of the anchor, document's id."""
+        size = anchor_size(length)
         whole = np.ones(len(self.data), bool)  # whether a window that starts here ends in the same text
-        for end, size in zip(self.ends.tolist(), self.sizes.tolist()):
-            whole[end - min(size, length - 1) : end] = False
+        for end, n in zip(self.ends.tolist(), self.sizes.tolist()):
+            whole[end - min(n, length - 1) : end] = False
         starts, anchors, hashes = [], [], []
         last = -1
         for at in range(0, len(self.data), BLOCK):
             window = np.flatnonzero(whole[at : at + BLOCK])
             if not len(window):
                 continue
-            found = rolling(self.data[at : at + BLOCK + length - 1], ANCHOR)
+            found = rolling(self.data[at : at + BLOCK + length - 1], size)
             # smallest hash, then leftmost: both depend on the window's bytes only
             key = found & np.uint64(0xFFFFFFFF00000000) | np.arange(len(found), dtype=np.uint64)
-            anchor = (sliding_min(key, length - ANCHOR + 1)[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            anchor = (sliding_min(key, length - size + 1)[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
             first = runs(anchor)
             if anchor[0] + at == last:  # the run goes on from the block before
                 first = first[1:]
@@ -222,7 +239,7 @@ def _send_anchors(length: int, buckets: int):
             hashes, _, count, several = _distinct_anchors(hashes, ids)
             marked = (np.minimum(count, 127) | several.astype(np.int64) << 7).astype(np.uint8)
             for bucket, mine in _stretches(_bucket(hashes, buckets)):
-                yield _message(ANCHORS, bucket, row["shard"], hashes[mine].tobytes(), marked[mine].tobytes())
+                yield _message(ANCHORS, bucket, row["shard"], short(hashes[mine]), marked[mine].tobytes())
 
     return lambda batches: _sent(send(batches))
 
@@ -245,7 +262,7 @@ def _compare_anchors(hot: int):
 
     def compare(batches):
         for (_, bucket), rows in _groups(batches):
-            parts = [np.frombuffer(r["b0"], np.uint64) for r in rows]
+            parts = [lengthened(r["b0"]) for r in rows]
             hashes, marked = np.concatenate(parts), np.concatenate([np.frombuffer(r["b1"], np.uint8) for r in rows])
             order = np.argsort(hashes, kind="stable")
             heads = runs(hashes[order])
@@ -311,7 +328,7 @@ def _send_contexts(length: int, buckets: int):
                 offset = np.empty(len(index), np.int64)
                 for bucket, mine in _stretches(_bucket(anchor, buckets)):
                     yield _message(
-                        CONTEXTS, bucket, row["shard"], anchor[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), least[mine].tobytes(), b"".join(contexts[mine])
+                        CONTEXTS, bucket, row["shard"], short(anchor[mine]), sizes[mine].astype(np.uint32).tobytes(), least[mine].tobytes(), b"".join(contexts[mine])
                     )
                     windows = sizes[mine] - length + 1
                     offset[mine] = bit + np.cumsum(windows) - windows
@@ -380,7 +397,7 @@ def _compare_contexts(rows: list[dict], length: int) -> list[np.ndarray]:
         sizes = np.frombuffer(r["b1"], np.uint32).astype(np.int64)
         ends = np.cumsum(sizes)
         numbers.append(np.array([index[r["b3"][e - s : e]] for s, e in zip(sizes.tolist(), ends.tolist())], np.int64))
-        anchors.append(np.frombuffer(r["b0"], np.uint64))
+        anchors.append(lengthened(r["b0"]))
         sent.append(np.frombuffer(r["b2"], np.int64))
         least.append(sent[-1])
     number, anchor, own = np.concatenate(numbers), np.concatenate(anchors), np.concatenate(sent)
@@ -492,9 +509,9 @@ def _apply(length: int):
 
 
 def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_column: str = "text", shard_bytes: int = SHARD, hot: int = HOT) -> DataFrame:
-    """doc_id, n_bytes, spans (removed bytes), kept (the rest): one row per row of ``docs``. ``length`` is even, 18 at least."""
-    if length % 2 or length < ANCHOR + 2:
-        raise ValueError("the length is even and larger than an anchor")
+    """doc_id, n_bytes, spans (removed bytes), kept (the rest): one row per row of ``docs``. ``length`` is even, 8 at least."""
+    if length % 2 or length < 8:
+        raise ValueError("the length is even, 8 at least")
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
     shards = stored(pack(rows, shard_bytes), "shards")
     buckets = min(max(16, -(-shards.count() // SHARDS_A_BUCKET)), BUCKETS)
