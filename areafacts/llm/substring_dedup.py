@@ -2,7 +2,7 @@
 
 Exact, whatever the length of a repetition and wherever it starts, and never held in one place:
 
-1. Texts are packed into shards of bounded size (a longer text is a shard of its own).
+1. Texts are packed into shards of bounded size (a longer text is a shard of its own), copies next to each other.
 2. Of the 24-byte strings in a window of LENGTH bytes, the one with the smallest hash is the window's anchor. Equal
    windows have equal anchors, so they meet if anchors do. Shards send their anchors' hashes to buckets and get back one
    bit for each: whether another document has it. Everything else in the corpus is done with after this.
@@ -158,6 +158,34 @@ SHARDS = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("sizes", pa.bi
 SHARDS_SQL = "shard long, ids binary, sizes binary, text binary, n_bytes long"
 
 
+def smallest_hash(text: bytes, size: int) -> int:
+    """The smallest hash of the strings of ``size`` bytes in a text; copies, and most near copies, share it."""
+    data, least = np.frombuffer(text, np.uint8), 2**64 - 1
+    for at in range(0, len(data), BLOCK):
+        found = rolling(data[at : at + BLOCK + size - 1], size)
+        least = min(least, int(found.min())) if len(found) else least
+    return least
+
+
+def gathered(docs: DataFrame, size: int) -> DataFrame:
+    """Texts dealt and sorted by their smallest hash, so that copies come to lie in one shard, which sends them once.
+
+    Rebalancing splits a partition that a large group of copies fills.
+    """
+    out = pa.schema([("id", pa.int64()), ("text", pa.binary()), ("key", pa.int64())])
+
+    def take(batches):
+        for b in batches:
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                rows = texts(part.column("text"))
+                keys = np.array([smallest_hash(t, size) for t in rows], np.uint64).view(np.int64)
+                yield batch(out, part.column("id"), rows, keys)
+
+    keyed = docs.mapInArrow(take, "id long, text binary, key long")
+    return keyed.hint("rebalance", F.col("key")).sortWithinPartitions("key")
+
+
 def pack(docs: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
     """Rows (id, text) as compressed shards of about ``shard_bytes``; one row each."""
 
@@ -513,7 +541,7 @@ def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_col
     if length % 2 or length < 8:
         raise ValueError("the length is even, 8 at least")
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
-    shards = stored(pack(rows, shard_bytes), "shards")
+    shards = stored(pack(gathered(rows, anchor_size(length)), shard_bytes), "shards")
     buckets = min(max(16, -(-shards.count() // SHARDS_A_BUCKET)), BUCKETS)
 
     def met(sent: DataFrame) -> DataFrame:
