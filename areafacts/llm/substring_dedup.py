@@ -42,7 +42,7 @@ from areafacts.llm.lattice import Numbers
 
 SHARD = 2_000_000
 ANCHOR = 24
-HOT = 16384
+HOT = 2048
 # Symbols whose transforms are merged at once; the contexts of one anchor stay together.
 MERGED = 250_000
 # A bucket has about what so many shards have, up to BUCKETS of them.
