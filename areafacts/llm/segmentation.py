@@ -30,7 +30,7 @@ from areafacts.llm.lattice import SPACE, Known, Lattice, Vocabulary, uniform
 
 SEED = 3
 # Characters of text whose lattices a task holds at once (one text more, if it is longer).
-AT_ONCE = 2_000_000
+AT_ONCE = 1_250_000
 REACH = 60.0
 MASK = 2**64 - 1
 
