@@ -2,14 +2,16 @@
 
 One pass over the training documents gathers, per task, the counts of byte contexts with their next byte and of words.
 Both are merged by hashed bucket, so that memory is a bucket's share however large the corpus is; what the tasks send is
-one row per bucket and task, and grows with the corpus. Only contexts that make up 1/NODES of all positions reach the
-driver (see ``ppm``; at most NODES of each length), are made into probability tables and broadcast.
+one row per bucket and task, and grows with the corpus. Contexts with the same last two bytes share a bucket, so that a
+bucket has a context with all its shorter ones (those of one byte are broadcast). Contexts that make up 1/SHARED of all
+positions (at most SHARED of each length) reach the driver, are made into probability tables and broadcast.
 
-Scoring is a second pass. A text's code length comes from the tables. For the word score, words that make up 1/HOT of
-all training words (HOT words at most) are broadcast with their counts; for all others each batch of texts sends its
-words with places and frequencies to the words' buckets, where the counts are, and gets back one sum per text and
-bucket. So no word, however frequent, is a hot key, and no vocabulary is held whole. That pass is written to the shared
-folder before it is read twice: a lost executor cannot make its parts differ.
+Scoring is a second pass. A position whose context of ORDER bytes has a table takes its code length from it. Words that
+make up 1/HOT of all training words (HOT words at most) are broadcast with their counts. For all other positions and
+words each batch of texts sends what it needs, with places and frequencies, to the buckets where the counts are, and
+gets back one sum per text and bucket. So no word, however frequent, is a hot key, no word or context is left out, and no
+vocabulary is held whole; buckets of contexts are uneven, as pairs of bytes are. That pass is written to the shared folder before it is read twice: a lost executor cannot make
+its parts differ.
 
 Defined cases: null text is empty; its only token is the end. Without training documents every score is that of an
 untrained model (uniform bytes), train_tokens is 0 and the word score that of N = V = 0. Repeated rows are each scored
@@ -38,24 +40,28 @@ from areafacts.llm.lattice import Numbers
 AT_ONCE = 4_000_000
 HELD = 2_000_000
 HOT = 1 << 14
+SHARED = 1 << 14
 # More buckets would make a task's rows too many and too small; a bucket is held by one task at a time.
 BUCKETS = 4096
 
 GATHERED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
 GATHERED_SQL = "kind int, bucket int, keys binary, counts binary, n long"
-# Kinds: contexts of 0 to ORDER bytes, then words, then the number of documents.
+# Kinds: contexts of 0, 1 and ORDER bytes, then words, then the number of documents.
 WORDS, DOCUMENTS = ppm.ORDER + 1, ppm.ORDER + 2
 
 
 @dataclass
 class Model:
-    trie: ppm.Trie
-    vocabulary: DataFrame  # (bucket, words, counts)
+    trie: ppm.Trie | None
+    vocabulary: DataFrame | None  # (bucket, words, counts)
     buckets: int
     tokens: int = 0
     distinct: int = 0
     ends: int = 0
     hot: dict[bytes, int] = field(default_factory=dict)
+    contexts: DataFrame | None = None  # (kind, bucket, keys, counts)
+    first: np.ndarray | None = None
+    least: int = 1
 
     def log10(self, count):
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
@@ -88,13 +94,19 @@ def _word_rows(words: dict[bytes, int], buckets: int) -> Iterator[pa.RecordBatch
             yield batch(GATHERED, [WORDS], [of[part[0]]], [b" ".join([listed[i] for i in part])], [counts[part].tobytes()], [counts[part].sum()])
 
 
+def _gram_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """By the last two bytes of the context."""
+    return ((key >> np.uint64(8) & np.uint64(0xFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
+
+
 def _gram_rows(key: np.ndarray, count: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    for order in range(ppm.ORDER, -1, -1):
+    for order in (ppm.ORDER, 1, 0):
         key, count = (key, count) if order == ppm.ORDER else ppm.shortened(key, count, order)
-        of = ((key >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
-        for b in np.unique(of):
-            mine = of == b
-            yield batch(GATHERED, [order], [int(b)], [key[mine].tobytes()], [count[mine].tobytes()], [count[mine].sum()])
+        of = _gram_bucket(key, buckets)
+        by = np.argsort(of, kind="stable")
+        for mine in np.split(by, np.flatnonzero(np.diff(of[by])) + 1):
+            if len(mine):
+                yield batch(GATHERED, [order], [int(of[mine[0]])], [key[mine].tobytes()], [count[mine].tobytes()], [count[mine].sum()])
 
 
 def _gather(buckets: int):
@@ -151,22 +163,37 @@ def _merge_words(batches):
         yield batch(GATHERED, [WORDS], [bucket], [b" ".join(total)], [counts.tobytes()], [len(total)])
 
 
-def _merge_grams(least: int):
-    def merge(batches):
-        for (order, bucket), rows in _by_bucket(batches):
-            parts, size = [], 0
-            for r in rows:
-                parts.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
-                size += len(parts[-1][0])
-                if size > HELD and len(parts) > 8:
-                    parts = [ppm.merged(parts)]
-                    size = len(parts[0][0])
-            key, count = ppm.merged(parts)
-            kept = ppm.frequent(key, count, least if order > 1 else 0)
-            if kept.any():
-                yield batch(GATHERED, [order], [bucket], [key[kept].tobytes()], [count[kept].tobytes()], [0])
+def _merge_grams(batches):
+    for (order, bucket), rows in _by_bucket(batches):
+        parts, size = [], 0
+        for r in rows:
+            parts.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
+            size += len(parts[-1][0])
+            if size > HELD and len(parts) > 8:
+                parts = [ppm.merged(parts)]
+                size = len(parts[0][0])
+        key, count = ppm.merged(parts)
+        if len(key):
+            yield batch(GATHERED, [order], [bucket], [key.tobytes()], [count.tobytes()], [len(key)])
 
-    return merge
+
+def _shared_grams(least: int):
+    """Contexts of 0 and 1 bytes, and those of more that have ``least`` positions."""
+
+    def shared(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                if r["kind"] < ppm.ORDER:
+                    yield batch(GATHERED, *[[r[f.name]] for f in GATHERED])
+                    continue
+                key, count = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)
+                for order in range(ppm.ORDER, 1, -1):
+                    key, count = ppm.shortened(key, count, order)
+                    kept = ppm.frequent(key, count, least)
+                    if kept.any():
+                        yield batch(GATHERED, [order], [r["bucket"]], [key[kept].tobytes()], [count[kept].tobytes()], [0])
+
+    return shared
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -200,13 +227,14 @@ def learn(docs: DataFrame, learnable: Column, text_column: str = "text") -> Mode
     frequent = {bytes(r["word"]): r["n"] for r in vocabulary.mapInArrow(hot, "word binary, n long").collect()}  # HOT words at most
 
     parts: list[list] = [[] for _ in range(ppm.ORDER + 1)]
-    contexts = _grouped(gathered.where(F.col("kind") <= ppm.ORDER)).mapInArrow(
-        _merge_grams(max(1, math.ceil(positions / ppm.NODES))), GATHERED_SQL
-    )
-    for r in contexts.collect():  # NODES contexts of each length at most
+    contexts = stored(_grouped(gathered.where(F.col("kind") <= ppm.ORDER)).mapInArrow(_merge_grams, GATHERED_SQL), "contexts")
+    often = max(1, math.ceil(positions / min(ppm.NODES, SHARED)))
+    for r in contexts.mapInArrow(_shared_grams(often), GATHERED_SQL).collect():  # SHARED contexts of each length at most
         parts[r["kind"]].append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
     trie = ppm.Trie.of([ppm.merged(p) for p in parts])
-    return Model(trie, vocabulary, buckets, tokens, distinct, ends, frequent)
+    contexts = contexts.where(F.col("kind") == ppm.ORDER)
+    least = max(1, math.ceil(positions / ppm.NODES))
+    return Model(trie, vocabulary, buckets, tokens, distinct, ends, frequent, contexts, trie.first, least)
 
 
 PARTS = pa.schema(
@@ -220,7 +248,7 @@ PARTS_SQL = (
     "kind int, bucket int, batch long, n long, keys binary, counts binary, places binary, times binary, "
     "ids array<long>, scores array<double>, tokens array<long>, known array<long>, base array<double>"
 )
-VOCABULARY, PLACES, TEXTS, SUMS = 0, 1, 2, 3
+VOCABULARY, PLACES, TEXTS, SUMS, CONTEXTS, GRAMS = range(6)
 
 
 def _part(**values) -> pa.RecordBatch:
@@ -237,6 +265,35 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.dtype(data[:1].decode()), offset=1).astype(np.int64)
 
 
+def _packed(key: np.ndarray) -> bytes:
+    """The bytes of each place together: sorted keys have long runs of equal ones."""
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : ppm.ORDER + 1].T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(ppm.ORDER + 1, -1)
+    return sum(p.astype(np.uint64) << np.uint64(8 * i) for i, p in enumerate(planes))
+
+
+def _gram_places(key: np.ndarray, place: np.ndarray, n: int, buckets: int, at: int) -> Iterator[pa.RecordBatch]:
+    """What a batch's texts need of each bucket: contexts with symbols, the texts that have them, how often."""
+    own, which = np.unique(key, return_inverse=True)
+    pair, times = ppm.summed(np.sort(which * n + place), None)
+    which, place = pair // n, pair % n
+    each = np.bincount(which, minlength=len(own))
+    start = np.cumsum(each) - each
+    of = _gram_bucket(own, buckets)
+    by = np.argsort(of, kind="stable")
+    for mine in np.split(by, np.flatnonzero(np.diff(of[by])) + 1):
+        if len(mine):
+            size = each[mine]
+            pairs = np.arange(size.sum()) + np.repeat(start[mine] - (np.cumsum(size) - size), size)
+            yield _part(
+                kind=GRAMS, bucket=int(of[mine[0]]), batch=at, n=n, keys=_packed(own[mine]),
+                counts=_narrow(size), places=_narrow(place[pairs]), times=_narrow(times[pairs]),
+            )
+
+
 def _score(shared):
     def score(batches):
         model, task, number = shared.value, TaskContext.get().partitionId(), 0
@@ -254,8 +311,13 @@ def _score(shared):
             base = np.bincount(place[here], value[here] * times[here], len(rows)) + model.log10(model.ends)
             known = np.bincount(place[here], times[here], len(rows)).astype(np.int64) + (model.ends > 0)
             at, number = (task << 32) + number, number + 1
+            data, positions, first, node, whole = model.trie.reached(list(rows))
+            scores = np.add.reduceat(np.where(whole, model.trie.of_symbols(node, data[positions]), 0.0), first)
+            others = np.flatnonzero(~whole)
+            owner = np.searchsorted(first, others, side="right") - 1
+            yield from _gram_places(ppm.keyed(data, positions[others]), owner, len(rows), model.buckets, at)
             yield _part(
-                kind=TEXTS, bucket=-1, batch=at, n=len(rows), ids=list(ids), scores=model.trie.score(list(rows)),
+                kind=TEXTS, bucket=-1, batch=at, n=len(rows), ids=list(ids), scores=scores,
                 tokens=sizes + 1, known=known, base=base,
             )
             word, place, times = word[~here], place[~here], times[~here]
@@ -274,14 +336,25 @@ def _score(shared):
 
 
 def _look_up(shared):
-    """A bucket's vocabulary, then the places of its words: a sum for each batch of texts."""
+    """A bucket's vocabulary, then the places of its words, its contexts, theirs: a sum for each batch of texts."""
 
     def look_up(batches):
-        model, bucket, counts = shared.value, None, {}
+        model, nothing = shared.value, ppm.Counted(*ppm.merged([]), shared.value.first)
+        bucket, counts, contexts = None, {}, nothing
         for b in batches:
             for r in b.to_pylist():
                 if r["bucket"] != bucket:
-                    bucket, counts = r["bucket"], {}
+                    bucket, counts, contexts = r["bucket"], {}, nothing
+                if r["kind"] == CONTEXTS:
+                    counts = {}
+                    key, count = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)
+                    contexts = ppm.Counted(key, count, model.first, model.least)
+                    continue
+                if r["kind"] == GRAMS:
+                    each, place, times = _wide(r["counts"]), _wide(r["places"]), _wide(r["times"])
+                    value = np.repeat(np.log10(contexts.probability(_unpacked(r["keys"]))), each) * times
+                    yield _part(kind=SUMS, bucket=-1, batch=r["batch"], n=r["n"], scores=np.bincount(place, value, r["n"]))
+                    continue
                 if r["kind"] == VOCABULARY:
                     counts |= zip(r["keys"].split(b" "), np.frombuffer(r["counts"], np.int64).tolist())
                     continue
@@ -304,22 +377,24 @@ RESULT_SQL = "doc_id long, n_tokens long, n_known long, train_tokens long, base_
 def _put_together(tokens: int):
     """A batch's texts, then the sums that came back for it."""
 
-    def finish(texts_, known, base):
+    def finish(texts_, known, base, scores):
         n = len(texts_["ids"])
-        return batch(RESULT, texts_["ids"], texts_["tokens"], known, np.full(n, tokens), base, texts_["scores"])
+        return batch(RESULT, texts_["ids"], texts_["tokens"], known, np.full(n, tokens), base, scores)
 
     def put_together(batches):
-        texts_, known, base = None, None, None
+        texts_, known, base, scores = None, None, None, None
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == TEXTS:
                     if texts_ is not None:
-                        yield finish(texts_, known, base)
-                    texts_, known, base = r, np.array(r["known"], np.int64), np.array(r["base"])
+                        yield finish(texts_, known, base, scores)
+                    texts_, known, base, scores = r, np.array(r["known"], np.int64), np.array(r["base"]), np.array(r["scores"])
+                elif r["scores"] is not None:
+                    scores = scores + np.array(r["scores"])
                 else:
                     known, base = known + np.array(r["known"], np.int64), base + np.array(r["base"])
         if texts_ is not None:
-            yield finish(texts_, known, base)
+            yield finish(texts_, known, base, scores)
 
     return put_together
 
@@ -331,16 +406,19 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     shared = spark.sparkContext.broadcast(light)
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
     parts = stored(rows.mapInArrow(_score(shared), PARTS_SQL), "parts")
-    places = parts.where(F.col("kind") == PLACES)
+    places = parts.where(F.col("kind").isin(PLACES, GRAMS))
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in parts.schema.fields]
-    vocabulary = model.vocabulary.select(
-        F.lit(VOCABULARY).alias("kind"), "bucket", F.lit(0).cast("long").alias("batch"), "n", "keys", "counts", *nothing[6:]
+    vocabulary, contexts = (
+        df.select(F.lit(kind).alias("kind"), "bucket", F.lit(0).cast("long").alias("batch"), "n", "keys", "counts", *nothing[6:])
+        for df, kind in ((model.vocabulary, VOCABULARY), (model.contexts, CONTEXTS))
+    )
+    small = spark.sparkContext.broadcast(
+        Model(None, None, 0, model.tokens, model.distinct, model.ends, first=model.first, least=model.least)
     )
-    small = spark.sparkContext.broadcast(Model(None, None, 0, model.tokens, model.distinct, model.ends))
     sums = (
-        vocabulary.unionByName(places).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_look_up(small), PARTS_SQL)
+        vocabulary.unionByName(contexts).unionByName(places).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_look_up(small), PARTS_SQL)
     )
     both = parts.where(F.col("kind") == TEXTS).select("kind", "batch", "ids", "scores", "tokens", "known", "base").unionByName(
-        sums.select("kind", "batch", "known", "base"), allowMissingColumns=True
+        sums.select("kind", "batch", "known", "base", "scores"), allowMissingColumns=True
     )
     return both.repartition("batch").sortWithinPartitions("batch", "kind").mapInArrow(_put_together(model.tokens), RESULT_SQL)

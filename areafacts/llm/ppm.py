@@ -1,9 +1,9 @@
 """Prediction by partial matching over bytes: a context trie with escapes and symbol exclusion; numpy only.
 
 A symbol is a byte of UTF-8 text or END, a value that UTF-8 never has; END also stands before a text's start. The trie
-holds the contexts of up to ORDER bytes that make up at least 1/NODES of all training positions, so at most NODES a
-length whatever the corpus. A context's count of a symbol, with one count for escaping per different symbol seen, gives
-its probability; the escape's share goes to the next shorter context's distribution without the symbols seen here.
+holds contexts of up to ORDER bytes with the whole distribution of each, ``Counted`` any number of them with what was
+counted only. A context's count of a symbol, with one count for escaping per different symbol seen, gives its
+probability; the escape's share goes to the next shorter context's distribution without the symbols seen here.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 
 ORDER = 4
-NODES = 1 << 14
+# Contexts of 2 bytes and more that make up less than 1/NODES of all positions are left out: none, unless it is set lower.
+NODES = 1 << 62
 END = 0xFF
 _PAD = bytes([END]) * ORDER
 
@@ -30,12 +31,18 @@ def laid_out(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def grams(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Each different context of ORDER bytes with the symbol after it, as one number, and how often it came up."""
     data, at, _ = laid_out(rows)
+    key = keyed(data, at)
+    key.sort()
+    return summed(key, None)
+
+
+def keyed(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Context of ORDER bytes and symbol at each position, as one number."""
     key = np.zeros(len(at), np.uint64)
     for back in range(ORDER, -1, -1):
         key <<= np.uint64(8)
         key |= data[at - back]
-    key.sort()
-    return summed(key, None)
+    return key
 
 
 def summed(key: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +85,7 @@ class Trie:
     logp: np.ndarray
     child: list[np.ndarray]
     starts: list[int]
+    first: np.ndarray  # [byte before, symbol]: probabilities of the contexts of one byte
 
     @classmethod
     def of(cls, levels: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
@@ -97,12 +105,20 @@ class Trie:
             tables.append(_blended(tables[-1][parent], *_dense(own, key, count)))
             contexts.append(own)
             starts.append(starts[-1] + len(own))
-        return cls(np.log10(np.concatenate(tables)).astype(np.float32).reshape(-1), children, starts)
+        return cls(np.log10(np.concatenate(tables)).astype(np.float32).reshape(-1), children, starts, tables[1])
 
     def score(self, rows: list[bytes]) -> np.ndarray:
         """log10 probability of each text with its end."""
         if not rows:
             return np.zeros(0)
+        data, at, first, node, _ = self.reached(rows)
+        return np.add.reduceat(self.of_symbols(node, data[at]), first)
+
+    def of_symbols(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return self.logp[node.astype(np.int64) * 256 + symbol].astype(np.float64)
+
+    def reached(self, rows: list[bytes]) -> tuple[np.ndarray, ...]:
+        """What ``laid_out`` gives, the node of each position, and whether it is the one of all ORDER bytes."""
         data, at, first = laid_out(rows)
         node = data[at - 1].astype(np.int32) + 1
         live = np.arange(len(at))
@@ -111,7 +127,44 @@ class Trie:
             on = deeper >= 0
             live = live[on]
             node[live] = deeper[on]
-        return np.add.reduceat(self.logp[node.astype(np.int64) * 256 + data[at]].astype(np.float64), first)
+        whole = np.zeros(len(at), bool)
+        whole[live] = True
+        return data, at, first, node, whole
+
+
+class Counted:
+    """Probabilities after contexts of ORDER bytes, from all counts of those that share their last two bytes.
+
+    A symbol seen after a context was seen after the shorter ones, too: what a context leaves to a shorter one follows
+    from the symbols it has seen, and no distribution is spelled out.
+    """
+
+    def __init__(self, key: np.ndarray, count: np.ndarray, first: np.ndarray, least: int = 1):
+        self.first, self.levels = first, []
+        for length in range(2, ORDER + 1):
+            own, n = shortened(key, count, length)
+            kept = frequent(own, n, least)
+            own, n = own[kept], n[kept]
+            if not len(own):
+                break
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(own >> np.uint64(8)) != 0]))
+            different = np.diff(np.append(heads, len(own)))
+            total = np.add.reduceat(n, heads)
+            escape = np.where(different == 256, 0.0, different / (total + different))
+            rest = 1 - np.add.reduceat(self.probability(own), heads)
+            onward = escape / np.where(rest > 0, rest, 1)
+            seen = np.repeat((1 - escape) / total, different) * n
+            self.levels.append((own, seen, own[heads] >> np.uint64(8), onward))
+
+    def probability(self, key: np.ndarray) -> np.ndarray:
+        """Of the symbol after the context, both in ``key`` as ``grams`` has them."""
+        p = self.first[(key >> np.uint64(8) & np.uint64(255)).astype(np.int64), (key & np.uint64(255)).astype(np.int64)]
+        for length, (own, seen, contexts, onward) in enumerate(self.levels, 2):
+            mine = key & np.uint64(2 ** (8 * length + 8) - 1)
+            at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+            of = np.minimum(np.searchsorted(contexts, mine >> np.uint64(8)), len(contexts) - 1)
+            p = np.where(own[at] == mine, seen[at], np.where(contexts[of] == mine >> np.uint64(8), onward[of] * p, p))
+        return p
 
 
 def _dense(contexts: np.ndarray, key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -154,3 +154,15 @@ def test_better_than_words_on_new_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["score"] / len(t) for r, (_, t) in zip(lm_scoring.score(docs, lm_scoring.learn(docs, F.col("doc_id") < 30)).orderBy("doc_id").collect(), rows)}
     assert found[1001] > found[1000] + 0.5
+
+
+def test_rare_contexts_count(spark):
+    """More positions than contexts are broadcast: contexts met once have their place in the score."""
+    rows = [(i, " ".join(f"{zlib.crc32(b'%d %d' % (i, j)) % 5000:x}" for j in range(60))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = lm_scoring.learn(docs, F.col("doc_id") < 98)
+    trie = PlainTrie([plain(t) for i, t in rows if i < 98])
+    assert sum(trie.counts[0][()].values()) > lm_scoring.SHARED
+    trie.least = 1
+    found = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs.where("doc_id > 95"), model).collect()}
+    assert found == {i: pytest.approx(trie.score(plain(t)), rel=1e-5) for i, t in rows[96:]}
