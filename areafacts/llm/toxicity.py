@@ -2,15 +2,16 @@
 
 Labels are of documents, so token labels are derived first: over all labelled training documents the toxic and the
 other documents that hold a word, or a word with a certain beginning (inflected words share no more than their stem),
-are counted; a word of a toxic document is a toxic token if its odds or a beginning's are high. Only words and
-beginnings that at least SUPPORT of the toxic documents hold can be listed: (keys of a document) / SUPPORT at most. The
-field is trained on a bounded sample of token windows (SAMPLE documents of each label, WINDOWS windows
+are counted; a word of a toxic document is a toxic token if its odds or a beginning's are high. Listed are the words and
+beginnings that SUPPORT of the toxic documents hold, whatever their odds, and of all others, however rare, those whose odds
+are high and significant. The field is trained on a bounded sample of token windows (SAMPLE documents of each label, WINDOWS windows
 each); its features are the word, its ends, its odds, and those of its neighbours. Whole texts are tagged in chains of
 CHAIN tokens. Forward-backward marginals are aggregated (largest, sum, share) to a document score by a logistic
 regression on the same sample; tokens with a marginal of a half or more are the offending spans.
 
-Counting is pre-aggregated per task, tagging is a narrow pass. Broadcast: the weights (2^16), the listed
-words, and up to BROADCAST labels; with more labels, the texts are shuffled to them once.
+Counting is pre-aggregated per task, tagging is a narrow pass. Broadcast: the weights (2^16), the listed words (the LISTED
+most frequent; with more, the texts' words are joined to the others), and up to BROADCAST labels; with more labels, the
+texts are shuffled to them once.
 
 Defined cases: null text is empty; an empty text has the score of a text without a suspicious token. Several labels of a
 document count as toxic if one is; null labels and labels without a document are ignored. If one of the two labels does
@@ -21,7 +22,9 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from collections import ChainMap
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,11 @@ SUPPORT = 0.02
 # Log odds that make a word of a toxic document a toxic token, counting PRIOR documents more in the usual proportion.
 ODDS = 2.5
 PRIOR = 5.0
+# What a rare key needs besides: LEAST toxic documents, and a log-likelihood ratio (G) of four standard deviations.
+LEAST = 2
+SIGNIFICANT = 16.0
+# Keys that are broadcast (tens of megabytes).
+LISTED = 500_000
 STEMS = (3, 4, 5, 6)
 # Bounds of the training sample.
 SAMPLE = 1000
@@ -63,7 +71,7 @@ def keys(word: bytes) -> list[bytes]:
     return [word, *[word[:n] + b"*" for n in STEMS if len(word) > n]]
 
 
-def level(word: bytes, odds: dict[bytes, float]) -> float | None:
+def level(word: bytes, odds: Mapping[bytes, float]) -> float | None:
     """The highest odds of a word's keys."""
     return max((odds[k] for k in keys(word) if k in odds), default=None)
 
@@ -74,12 +82,13 @@ class Model:
     odds: dict[bytes, float] = field(default_factory=dict)
     field: crf.Field | None = None
     pooling: np.ndarray | None = None
+    rare: DataFrame | None = None  # (word, odds): listed keys that are not in ``odds``
 
     def words(self) -> Words:
         return Words(self)
 
 
-def word_features(word: bytes, odds: dict[bytes, float]) -> tuple[list[int], list[int], list[int]]:
+def word_features(word: bytes, odds: Mapping[bytes, float]) -> tuple[list[int], list[int], list[int]]:
     """Hashed features of a word for itself, for the token after it and for the token before it."""
     known = level(word, odds)
     odd = b"none" if known is None else b"%d" % round(min(max(known, -4), 8))
@@ -96,13 +105,19 @@ class Words(dict):
 
     def __init__(self, model: Model):
         self.model, self.rows = model, []
+        self.odds: Mapping[bytes, float] = model.odds
         self.weights = model.field.weights.tolist() if model.field else []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = found = len(self.rows)
-        self.rows.append([sum([self.weights[i] for i in f]) for f in word_features(word, self.model.odds)])
+        self.rows.append([sum([self.weights[i] for i in f]) for f in word_features(word, self.odds)])
         return found
 
+    def take_in(self, own: pa.Array) -> None:
+        """Odds that come with the next documents; a word's come with every document that holds it."""
+        if own.null_count < len(own):
+            self.odds = _more(self.model.odds, own)
+
     def chains(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores and live positions [time, chain] of all documents' chains, and each chain's document."""
         if len(self) > CACHED:
@@ -160,47 +175,93 @@ def document_labels(labels: DataFrame, id_column: str, toxic_column: str) -> Dat
     return rows.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
 
 
-def _held_by(rows: DataFrame, only: set[bytes] | None) -> DataFrame:
-    """(word, n): documents that hold a key, counted in the tasks first; of the given keys, or of all."""
-    out = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+def _held_by(rows: DataFrame) -> DataFrame:
+    """(word, n, other): toxic and other documents that hold a key, counted in the tasks first."""
+    out = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("other", pa.int64())])
 
     def count(batches):
-        held: dict[bytes, int] = {}
+        held: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})
+
+        def sent():
+            other, toxic = held
+            yield batch(out, list(toxic), list(toxic.values()), [0] * len(toxic))
+            yield batch(out, list(other), [0] * len(other), list(other.values()))
+            other.clear()
+            toxic.clear()
+
         for b in batches:
-            for text in texts(b.column("text")):
-                found = {k for w in set(tokens(text)) for k in keys(w)}
-                for k in found if only is None else only & found:
-                    held[k] = held.get(k, 0) + 1
-            if len(held) > CACHED:
-                yield batch(out, list(held), list(held.values()))
-                held = {}
-        yield batch(out, list(held), list(held.values()))
-
-    return rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def word_odds(rows: DataFrame, n_toxic: int, n_other: int) -> dict[bytes, float]:
-    """Log odds of the keys that SUPPORT of the toxic documents hold, counted over all rows (text, toxic)."""
-    least = max(2, math.ceil(SUPPORT * n_toxic))
-    common = _held_by(rows.where("toxic = 1"), None).where(F.col("n") >= least).collect()
-    toxic = {bytes(r["word"]): r["n"] for r in common}
-    other = {bytes(r["word"]): r["n"] for r in _held_by(rows.where("toxic = 0"), set(toxic)).collect()}
+            for text, toxic in zip(texts(b.column("text")), b.column("toxic").to_pylist()):
+                counts = held[toxic]
+                for k in {k for w in set(tokens(text)) for k in keys(w)}:
+                    counts[k] = counts.get(k, 0) + 1
+                if len(held[0]) + len(held[1]) > CACHED:
+                    yield from sent()
+        yield from sent()
+
+    found = rows.select("text", "toxic").mapInArrow(count, "word binary, n long, other long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+
+
+def word_odds(rows: DataFrame, n_toxic: int, n_other: int) -> tuple[dict[bytes, float], DataFrame | None]:
+    """Log odds of the listed keys, counted over all rows (text, toxic): the most frequent, and a table of the others."""
     share = n_toxic / (n_toxic + n_other)
     usual = math.log(share / (1 - share))
-    return {w: math.log((n + PRIOR * share) / (other.get(w, 0) + PRIOR * (1 - share))) - usual for w, n in toxic.items()}
+    n, other = F.col("n"), F.col("other")
+    odds = F.log((n + PRIOR * share) / (other + PRIOR * (1 - share))) - usual
+    ratio = 2 * (n * F.log(n / ((n + other) * share)) + F.when(other > 0, other * F.log(other / ((n + other) * (1 - share)))).otherwise(0.0))
+    common = n >= max(LEAST, math.ceil(SUPPORT * n_toxic))
+    held = _held_by(rows).where(n >= LEAST).withColumn("odds", odds)
+    listed = stored(held.where(common | ((F.col("odds") >= ODDS) & (ratio >= SIGNIFICANT))).select("word", "n", "odds"), "listed")
+    so_far, least = 0, 0
+    for r in sorted(listed.groupBy("n").count().collect(), reverse=True):  # different counts: their sum bounds them
+        so_far += r["count"]
+        if so_far > LISTED:
+            least = r["n"] + 1
+            break
+    sent = {bytes(r["word"]): r["odds"] for r in listed.where(n >= least).collect()}
+    return sent, listed.where(n < least).select("word", "odds") if least else None
+
+
+OWN = "array<struct<word:binary,odds:double>>"
+
+
+def _with_own(rows: DataFrame, odds: dict[bytes, float], rare: DataFrame | None) -> DataFrame:
+    """``rows`` with ``own``: the odds of a text's keys that are in ``rare``."""
+    if rare is None:
+        return rows.withColumn("own", F.lit(None).cast(OWN))
+    shared = rows.sparkSession.sparkContext.broadcast(odds)
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    out = pa.schema([("row", pa.int64()), ("word", pa.binary())])
+
+    def held(batches):
+        sent = shared.value
+        for b in batches:
+            for row, text in zip(b.column("row").to_pylist(), texts(b.column("text"))):
+                found = [k for k in {k for w in set(tokens(text)) for k in keys(w)} if k not in sent]
+                yield batch(out, [row] * len(found), found)
+
+    found = rows.select("row", "text").mapInArrow(held, "row long, word binary").join(rare, "word")
+    own = found.groupBy("row").agg(F.collect_list(F.struct("word", "odds")).alias("own"))
+    return rows.join(own, "row", "left").drop("row")
+
+
+def _more(odds: dict[bytes, float], own: pa.Array) -> Mapping[bytes, float]:
+    return ChainMap({r["word"]: r["odds"] for listed in own.to_pylist() for r in listed or ()}, odds)
 
 
-def is_bad(word: bytes, odds: dict[bytes, float]) -> bool:
+def is_bad(word: bytes, odds: Mapping[bytes, float]) -> bool:
     found = level(word, odds)
     return found is not None and found >= ODDS
 
 
-def _windows(rows: DataFrame, odds: dict[bytes, float]) -> DataFrame:
+def _windows(rows: DataFrame, odds: Mapping[bytes, float]) -> DataFrame:
     """(toxic, tokens): the chains of each document with most toxic tokens, and some others."""
     out = pa.schema([("toxic", pa.int32()), ("tokens", pa.list_(pa.binary()))])
+    shared = rows.sparkSession.sparkContext.broadcast(odds)
 
     def take(batches):
         for b in batches:
+            odds = _more(shared.value, b.column("own"))
             for text, toxic in zip(texts(b.column("text")), b.column("toxic").to_pylist()):
                 words = tokens(text)
                 chains = [words[i : i + CHAIN] for i in range(0, len(words), CHAIN)]
@@ -209,7 +270,7 @@ def _windows(rows: DataFrame, odds: dict[bytes, float]) -> DataFrame:
                 kept = worst[: WINDOWS // 2] + mixed[: WINDOWS - WINDOWS // 2]
                 yield batch(out, [toxic] * len(kept), kept)
 
-    return rows.select("text", "toxic").mapInArrow(take, "toxic int, tokens array<binary>")
+    return rows.select("text", "toxic", "own").mapInArrow(take, "toxic int, tokens array<binary>")
 
 
 def learn(
@@ -232,30 +293,34 @@ def learn(
     prior = n_toxic / max(n_toxic + n_other, 1)
     if not n_toxic or not n_other:
         return Model(prior)
-    odds = word_odds(rows, n_toxic, n_other)
+    odds, rare = word_odds(rows, n_toxic, n_other)
 
     ranked = rows.select("id", "toxic", F.xxhash64(F.lit(SEED), "id").alias("rank")).distinct()
     ids = smallest(ranked, "toxic", ["rank", "id"], SAMPLE).select("id").collect()
     chosen = spark.createDataFrame([(r["id"],) for r in ids], "id long").hint("broadcast")  # 2 * SAMPLE ids
-    sample = rows.join(chosen, "id").dropDuplicates(["id"]).select("text", "toxic")
+    sample = _with_own(rows.join(chosen, "id").dropDuplicates(["id"]).select("text", "toxic"), odds, rare)
     chains = sorted((r["toxic"], [bytes(w) for w in r["tokens"]]) for r in _windows(sample, odds).collect())
-    model = Model(prior, odds, _fit([c for _, c in chains], [t for t, _ in chains], odds))
+    own = sample.select(F.explode("own").alias("own")).select("own.*").distinct().collect() if rare is not None else []
+    known = ChainMap({bytes(r["word"]): r["odds"] for r in own}, odds)  # of 2 * SAMPLE documents at most
+    model = Model(prior, odds, _fit([c for _, c in chains], [t for t, _ in chains], known))
 
     shared = spark.sparkContext.broadcast(model)
 
     def pool(batches):
         for b in batches:
-            p = tag(shared.value.words(), [tokens(t) for t in texts(b.column("text"))])
+            words = shared.value.words()
+            words.take_in(b.column("own"))
+            p = tag(words, [tokens(t) for t in texts(b.column("text"))])
             values = [pooled(x) for x in p]
             yield batch(pooled_schema, b.column("toxic"), values)
 
     pooled_schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.float64()))])
     found = sorted((r["toxic"], r["x"]) for r in sample.mapInArrow(pool, "toxic int, x array<double>").collect())
-    model.pooling = _logistic(np.array([x for _, x in found]), np.array([y for y, _ in found], float))
-    return model
+    pooling = _logistic(np.array([x for _, x in found]), np.array([y for y, _ in found], float))
+    return replace(model, pooling=pooling, rare=rare)
 
 
-def _fit(chains: list[list[bytes]], toxic: list[int], odds: dict[bytes, float]) -> crf.Field:
+def _fit(chains: list[list[bytes]], toxic: list[int], odds: Mapping[bytes, float]) -> crf.Field:
     cached = {w: word_features(w, odds) for w in {w for c in chains for w in c} | {b""}}
     edge, bad = cached[b""], {w for w in cached if is_bad(w, odds)}
     numbers = np.zeros((CHAIN, len(chains), 9), np.int32)
@@ -287,7 +352,8 @@ def _offsets(text: bytes, flagged: np.ndarray) -> str:
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, score, predicted, toxic_spans: one row per row of ``docs``."""
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = _with_own(rows, model.odds, model.rare)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rare=None))
     out = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("toxic_spans", pa.string())])
 
     def take(batches):
@@ -300,6 +366,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
                     prior = words.model.prior
                     yield batch(out, part.column("id"), [prior] * len(data), [int(prior >= 0.5)] * len(data), [""] * len(data))
                     continue
+                words.take_in(part.column("own"))
                 p = tag(words, [tokens(t) for t in data])
                 odds = np.array([pooled(x) for x in p]) @ words.model.pooling
                 scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))

@@ -104,3 +104,22 @@ def test_one_label_only(spark):
         found = toxicity.score(docs, toxicity.learn(docs, labels, F.lit(True))).collect()
         assert [(r["score"], r["predicted"]) for r in found] == [(expected, int(expected))] * 2
     assert toxicity.score(docs.where("false"), toxicity.Model(0.0)).collect() == []
+
+
+@pytest.mark.parametrize("listed", [toxicity.LISTED, 20])
+def test_many_rare_insults(spark, monkeypatch, listed):
+    """Sixty insults without a common beginning, each in less than 2% of the toxic documents; those held out have no other."""
+    monkeypatch.setattr(toxicity, "LISTED", listed)
+    insults = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(120 - i % 23)}{i}ard" for i in range(60)]
+    rows = [(i, f"some plain words about number {i % 7} and {insults[i % 60]} here") for i in range(900)]
+    rows += [(1000 + i, f"some plain words about number {i % 7} and town{i % 40} here") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, toxic int")
+    assert 15 / 900 < toxicity.SUPPORT
+    model = toxicity.learn(docs, labels, F.col("doc_id") % 1000 >= 60)
+    assert (model.rare is None) == (listed == toxicity.LISTED and listed > 20)
+    found = {r["doc_id"]: r for r in toxicity.score(docs.where("doc_id < 60 or doc_id >= 6900"), model).collect()}
+    for i, text in rows[:60]:
+        start = text.index(insults[i])
+        assert found[i]["predicted"] == 1 and found[i]["toxic_spans"] == f"{start}:{start + len(insults[i])}"
+    assert not any(r["predicted"] for i, r in found.items() if i >= 1000)
