@@ -1,7 +1,8 @@
 """Secrets in whole texts: three fixed patterns, and strings that compression finds novel.
 
-The patterns give the base spans. The method adds spans: a candidate is a run of key characters that follows a word of
-a sensitive context on its line. Its novelty is its marginal size: a zstandard frame of the surrounding text with the
+The patterns give the base spans. The method adds spans: a candidate is a run of key characters near a word of a
+sensitive context, on either side of it on its line, on the next line where a line ends in a sign that opens a value, or
+in the body of a private key. What is made of words is none. Its novelty is its marginal size: a zstandard frame of the surrounding text with the
 candidate less the frame without it, both primed with a dictionary of common identifiers and the text before. Names,
 paths and words that the dictionary or the surroundings know compress away; random keys do not. A candidate whose
 marginal bytes reach a share of the bytes that a random string of its alphabet needs is reported.
@@ -38,10 +39,22 @@ ACCESS_LONG = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 
 SENSITIVE = re.compile(
-    r"pass(?:word|wd|phrase)?\b|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth(?:orization)?\b|bearer",
+    r"passw(?:or)?d|passphrase|pass(?![a-z0-9])|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential"
+    r"|auth(?:orization)?(?![a-z0-9])|bearer",
     re.IGNORECASE | re.ASCII,
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Lines "name: value" may come first; then lines that hold nothing else.
+KEY_BODY = re.compile(
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(?:[ \t]*\r?\n[A-Za-z-]+: [^\n]*)*"
+    r"((?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/=]*+(?=[ \t]*(?:\r?\n|\Z|-)))*)"
+)
+KEY_LINE = re.compile(r"[A-Za-z0-9+/=]{4,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]*")
+# Line ends after which a value may stand on the next line.
+OPENS = frozenset(":=([{\\|>,\"'")
+CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+CONSONANTS = re.compile(r"[b-df-hj-np-tv-xz]{5,}")
 
 # Names that code and configuration use around keys; the priming dictionary.
 IDENTIFIERS = (
@@ -92,28 +105,72 @@ def marginal_bytes(before: str, candidate: str, after: str, identifiers: bytes)
     return len(squeeze((before[-SAME_LINE:] + candidate).encode())) - len(squeeze(before[-SAME_LINE:].encode()))
 
 
-def is_mixed(candidate: str) -> bool:
-    """Letters and at least two digits: what keys have and words, names and rulers do not."""
-    return sum(c.isdigit() for c in candidate) >= 2 and any(c.isalpha() for c in candidate)
+def is_words(candidate: str) -> bool:
+    """Letters and at most one digit that read as words: few changes of case and, in one piece, vowels as words have."""
+    letters = [c for c in candidate.lower() if c.isalpha()]
+    if not letters or sum(c.isdigit() for c in candidate) >= 2:
+        return False
+    if len(letters) < 4 * len(CAMEL.findall(candidate)):
+        return False
+    if re.search(r"[A-Za-z][^A-Za-z]+[A-Za-z]", candidate):
+        return True
+    vowels = sum(c in "aeiouy" for c in letters)
+    return vowels >= 0.28 * len(letters) and sum(map(len, CONSONANTS.findall("".join(letters)))) <= 0.25 * len(letters)
+
+
+def _limit(text: str, start: int) -> int:
+    """Where the context of a word that ends at ``start`` ends."""
+    at, limit = start, start + SAME_LINE
+    while (end := text.find("\n", at, limit)) >= 0 and text[max(start - 1, end - SAME_LINE) : end].rstrip(" \t\r")[-1:] in OPENS:
+        at = end + 1
+    return end if end >= 0 else limit
+
+
+def _before(text: str, word_start: int, done: int) -> list[tuple[int, int]]:
+    """Candidates that end before a word, on its line."""
+    start = max(done, word_start - SAME_LINE, 0)
+    start = max(start, text.rfind("\n", start, word_start) + 1)
+    found = []
+    while start < word_start:
+        end = RUN.match(text, start, word_start).end()
+        if end == word_start:
+            break  # the word is a part of it
+        if end > start:
+            while start > done and RUN.fullmatch(text, start - 1, start):
+                start -= 1
+            if CANDIDATE.fullmatch(text, start, end):
+                found.append((start, end))
+        start = end + 1
+    return found
 
 
 def novel_spans(text: str, identifiers: bytes, novelty: float = NOVELTY) -> list[tuple[int, int, str]]:
     found, done = [], 0
+
+    def measure(start: int, end: int) -> None:
+        candidate = text[start:end]
+        if not is_words(candidate):
+            size = marginal_bytes(text[max(0, start - WINDOW) : start], candidate, text[end : end + WINDOW], identifiers)
+            if size >= novelty * random_bytes(candidate):
+                found.append((start, end, "novel"))
+
+    bodies = list(KEY_BODY.finditer(text))[::-1]
     for word in SENSITIVE.finditer(text):
-        line_end = text.find("\n", word.end(), word.end() + SAME_LINE)
-        limit = line_end if line_end >= 0 else word.end() + SAME_LINE
+        for start, end in _before(text, word.start(), done):
+            measure(start, end)
+            done = end
+        if bodies and bodies[-1].start() <= word.start():
+            start, end = bodies.pop().span(1)
+            for m in KEY_LINE.finditer(text, max(start, done), end):
+                measure(*m.span())
+            done = max(done, end)
+        limit = _limit(text, word.end())
         at = max(word.end(), done)
         while (m := CANDIDATE.search(text, at, max(at, limit) + 4096)) and m.start() < limit:
             if m.end() == max(at, limit) + 4096:
                 m = CANDIDATE.match(text, m.start())
             at = done = m.end()
-            candidate = m[0]
-            if not is_mixed(candidate):
-                continue
-            before = text[max(0, m.start() - WINDOW) : m.start()]
-            size = marginal_bytes(before, candidate, text[m.end() : m.end() + WINDOW], identifiers)
-            if size >= novelty * random_bytes(candidate):
-                found.append((m.start(), m.end(), "novel"))
+            measure(*m.span())
     return found
 
 
