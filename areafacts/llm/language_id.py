@@ -1,7 +1,7 @@
 """Language identification by a recurrent network over bytes.
 
-The network (see ``gru``) is trained on the driver from a bounded sample: SAMPLE texts of each language, chosen by the
-hash of the text, one stretch of STRETCH characters each, cut into windows. Every document is then labelled whole:
+The network (see ``gru``) is trained on the driver from a bounded sample: SAMPLE different texts of each language, chosen
+by the hash of the text, one stretch of STRETCH characters each, cut into windows. Every document is then labelled whole:
 its bytes are cut into windows of WINDOW bytes, every position gets label probabilities, and the mean over all positions
 is the document's. Labelling is one narrow pass; windows of many documents are stepped together, so memory is bounded by
 LANES windows however long a text is. The broadcast network has 512 * 3 * HIDDEN numbers and a few more.
@@ -50,7 +50,7 @@ def learn(
     rows = docs.where(learnable & text.rlike(r"\p{L}") & lang.isNotNull()).select(
         lang.alias("lang"), rank.alias("rank"), F.substring(text, start.cast("int"), F.lit(STRETCH)).alias("stretch")
     )
-    chosen = smallest(rows, "lang", ["rank", "stretch"], sample).collect()
+    chosen = smallest(rows.distinct(), "lang", ["rank", "stretch"], sample).collect()
     chosen = sorted((r["lang"], r["rank"], r["stretch"]) for r in chosen)
     languages = sorted({r[0] for r in chosen})
     if len(languages) < 2:

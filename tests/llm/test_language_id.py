@@ -100,3 +100,15 @@ def test_too_few_languages(spark, languages):
     assert found == {1: (languages[0], 1.0) if languages else ("und", 0.0), 2: ("und", 0.0)}
     empty = docs.where("false")
     assert language_id.label(empty, language_id.learn(empty, F.lit(True))).collect() == []
+
+
+def test_copies_take_one_place_of_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"{name} text number {i}", name) for name in ("de", "en") for i in range(40)], "text string, lang string")
+    first = [r["t"] for r in docs.groupBy("lang").agg(F.min_by("text", F.xxhash64(F.lit(language_id.SEED), "text")).alias("t")).collect()]
+    copies = spark.createDataFrame([(t, t[:2]) for t in first] * 200, "text string, lang string")
+    trained = []
+    monkeypatch.setattr(gru, "train", lambda windows, labels, *options: trained.append((windows, labels)))
+    language_id.learn(docs.unionByName(copies), F.lit(True), sample=20)
+    [(windows, labels)] = trained
+    assert [len(labels[labels == k]) for k in (0, 1)] == [20, 20]
+    assert all(len({w for w, k in zip(windows, labels) if k == label}) > 8 for label in (0, 1))
