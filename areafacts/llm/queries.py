@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, lm_scoring, mixing, rotated_codes, secrets, segmentation, simhash, substring_dedup, toxicity
+from areafacts.llm import exact_topk, language_id, lm_scoring, mixing, rotated_codes, secrets, segmentation, simhash, substring_dedup, toxicity, whitening
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op8_substring_dedup(spark, sf_dir):
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
