@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areafacts.llm import exact_topk, language_id, lm_scoring, merkle, mixing, rotated_codes, secrets, segmentation, simhash, substring_dedup, toxicity, whitening
+from areafacts.llm import cover_tree, exact_topk, language_id, lm_scoring, merkle, mixing, rotated_codes, secrets, segmentation, simhash, substring_dedup, toxicity, whitening
 from areafacts.llm.common import fold, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def op13_merkle(spark, sf_dir):
     hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     changed = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": changed})
+
+
+@query
+def op11_cover_tree(spark, sf_dir):
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)

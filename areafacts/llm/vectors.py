@@ -67,10 +67,13 @@ def query_blocks(queries: DataFrame) -> Iterator[Queries]:
                 yield Queries(np.array([r[0] for r in part], np.int64), np.array([r[1] for r in part], float))
 
 
+def flat(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False)
+
+
 def matrix(column: pa.ListArray) -> np.ndarray:
     """Rows of equal length as one array of doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+    return flat(column).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

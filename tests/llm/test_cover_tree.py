@@ -1,0 +1,155 @@
+"""Cover trees against brute force: the tree's own rules, traversals, split cells, and the whole operator."""
+
+import math
+
+import numpy as np
+import pytest
+
+from areafacts.llm import cover_tree as C
+
+SCHEMA = "vec_id long, embedding array<double>, label int, cell string, node string"
+
+
+def brute(rows, cosine):
+    """(vec_id, n_links, component_id, kept), sorted; every row is a vector of its own."""
+    n = len(rows)
+    live = [
+        i is not None and label is not None and bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        for i, v, label in rows
+    ]
+    scaled = [None if not ok else C.unit(np.array([v], float))[0] for ok, (_, v, _) in zip(live, rows)]
+    near = [[] for _ in rows]
+    for a in range(n):
+        for b in range(n):
+            if a != b and live[a] and live[b] and rows[a][2] == rows[b][2] and len(rows[a][1]) == len(rows[b][1]):
+                if scaled[a] @ scaled[b] >= cosine:
+                    near[a].append(b)
+    out = []
+    for a in range(n):
+        seen, todo = {a}, [a]
+        while todo:
+            for b in near[todo.pop()]:
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        least = rows[a][0] if not near[a] else min(rows[b][0] for b in seen)
+        out.append((rows[a][0], len(near[a]), least, rows[a][0] == least))
+    return sorted(out, key=str)
+
+
+def found(df, cosine, **options):
+    return sorted((tuple(r) for r in C.near_duplicates(df, cosine, **options).collect()), key=str)
+
+
+def frame(spark, rows, parts=5):
+    return spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA).repartition(parts)
+
+
+def clustered(seed, n, dim, spreads=(0, 0.02, 0.1, 0.3)):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(max(2, n // 20), dim))
+    points = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, dim)) * rng.choice(spreads, n)[:, None] * 0.5
+    return [[float(x) for x in p] for p in points]
+
+
+def test_levels_are_nested_and_covered():
+    points = C.unit(np.array(clustered(1, 3000, 5)))
+    tree = C.built(points)
+    assert sorted(tree.order.tolist()) == list(range(3000)) and (tree.points == points[tree.order]).all()
+    assert tree.children.any()
+    for m in range(len(tree.first)):
+        mine = tree.points[tree.first[m] : tree.end[m]]
+        assert C.distances(mine[:1], mine).max() <= tree.radius[m] + C.SLACK
+        below = np.arange(tree.child[m], tree.child[m] + tree.children[m])
+        if len(below):
+            assert tree.first[below[0]] == tree.first[m] and tree.end[below[-1]] == tree.end[m]
+            assert (tree.first[below[1:]] == tree.end[below[:-1]]).all()
+            assert (tree.radius[below] <= tree.radius[m] / 2 + C.SLACK).all()  # radii halve
+            apart = C.distances(tree.points[tree.first[below]], tree.points[tree.first[below]])
+            assert apart[np.triu_indices(len(below), 1)].min(initial=9) > tree.radius[m] / 2 - C.SLACK
+
+
+@pytest.mark.parametrize("cosine", [0.98, 0.8, 0.3])
+@pytest.mark.parametrize("dim", [2, 6])
+def test_traversals_find_exactly_the_pairs(dim, cosine):
+    points = C.unit(np.array(clustered(3, 1500, dim)))
+    weight = np.random.default_rng(4).integers(1, 5, 1500)
+    hit = points @ points.T >= cosine
+    np.fill_diagonal(hit, False)
+    links = C.Links(weight)
+    C.traverse(C.built(points), None, cosine, links)
+    assert (links.found == hit @ weight).all()
+    roots = np.arange(1500)
+    for _ in range(1500):
+        new = np.minimum(roots, np.where(hit, roots[None, :], 9999).min(axis=1))
+        if (new == roots).all():
+            break
+        roots = new
+    same = links.root[:, None] == links.root[None, :]
+    assert (same == (roots[:, None] == roots[None, :])).all()
+    assert len(links.edges) == 1500 - len(set(roots.tolist())) and all(hit[a, b] for a, b in links.edges)
+
+    two = C.Links(weight[:900])
+    base = two.grow(weight[900:])
+    C.traverse(C.built(points[:900]), C.built(points[900:]), cosine, two, base)
+    assert (two.found[:900] == hit[:900, 900:] @ weight[900:]).all()
+    assert (two.found[900:] == hit[900:, :900] @ weight[:900]).all()
+
+
+def test_bounds_spare_most_distances():
+    """The traversal's worth: far fewer points compared than pairs there are."""
+    points = C.unit(np.array(clustered(5, 4000, 3, (0.01,))))
+    tree, compared = C.built(points), []
+    links = C.Links(np.ones(4000, np.int64))
+    links.pairs = lambda a, b: compared.append(len(a))
+    links.all_of = lambda a, b: compared.append(0)
+    C.traverse(tree, None, 0.98, links)
+    assert len(compared) < 4000 * 4000 / 2 / C.SMALL
+
+
+CASES = [
+    (1, [1.0, 0.0], 1),
+    (2, [1.0, 0.0], 1),
+    (2, [1.0, 0.0], 1),
+    (3, [5.0, 0.1], 1),
+    (4, [1.0, 0.0], 2),
+    (5, [1.0, 0.0], None),
+    (6, None, 1),
+    (7, [], 1),
+    (8, [0.0, -0.0], 1),
+    (9, [None, 1.0], 1),
+    (10, [float("nan"), 1.0], 1),
+    (11, [float("inf"), 1.0], 1),
+    (12, [1.0, 0.0, 0.0], 1),
+    (13, [1e200, 1e199], 1),
+    (14, [1e-310, 1e-311], 1),
+    (15, [-1.0, -0.0], 1),
+    (16, [-1.0, 0.0], 1),
+    (None, [1.0, 0.0], 1),
+    (17, [0.0, 1.0], 2),
+    (17, [1.0, 1.0], 3),
+    (17, [0.1, 1.0], 2),
+]
+
+
+@pytest.mark.parametrize("cosine", [0.98, 1.0 - 1e-9, 0.0])
+def test_cases(spark, cosine):
+    assert found(frame(spark, CASES), cosine) == brute(CASES, cosine)
+
+
+def test_empty_table(spark):
+    assert found(spark.createDataFrame([], SCHEMA), 0.98) == []
+
+
+@pytest.mark.parametrize("dim,cosine", [(2, 0.99), (4, 0.98), (16, 0.9)])
+def test_split_cells_lose_nothing(spark, dim, cosine):
+    """Cells of 40 points at most: several levels of splits, visitors from other cells, one label with most rows."""
+    vectors = clustered(7 + dim, 500, dim)
+    rows = [(i, v, 0 if i % 4 else i % 3) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, vectors[3], 0) for i in range(100)]
+    assert found(frame(spark, rows), cosine, limit=40) == brute(rows, cosine)
+
+
+def test_points_that_rounding_cannot_part_are_split_nevertheless(spark):
+    rows = [(i, [1.0, i * 1e-12, 0.5], 0) for i in range(150)] + [(200 + i, [0.0, 1.0, i * 1e-3], 0) for i in range(30)]
+    assert found(frame(spark, rows), 0.98, limit=70) == brute(rows, 0.98)

@@ -25,6 +25,7 @@ COLUMNS = {
     "op7_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op8_substring_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_cover_tree": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op10_lm_scoring": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
 }
 
@@ -42,7 +43,7 @@ def found(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == {str(n) for n in range(1, 14)}
     assert "pipeline" in names and set(ORACLE) <= set(entry.oracle_sql())
 
 
