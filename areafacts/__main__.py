@@ -2,7 +2,6 @@
 
     run FEED PATH TABLE [--as-of DATE]           merge one delivered file or folder
     ingest FEED FOLDER LIKE TABLE CHECKPOINT     merge what has arrived since the last run
-    vacuum FEED TABLE [--keep N]                 delete data of older versions
 
 Shuffles are sized by the files under PATH or FOLDER and the table's; ``--input-gb N`` says otherwise, ``--cores N``
 is the least number of tasks by half. ``--from`` and ``--to`` bound the months of a value_index.
@@ -40,7 +39,6 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--from", dest="dates_from", default=None, help="first month of a value_index")
         sub.add_argument("--to", dest="dates_to", default=None, help="last month of a value_index")
         sub.add_argument("--cores", type=int, default=8, help="cores of the cluster")
-    job("vacuum", "table").add_argument("--keep", type=int, default=2)
     return top
 
 
@@ -51,23 +49,21 @@ def main(arguments: Sequence[str] | None = None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     options = {}
-    if args.job != "vacuum":
-        delivered = args.path if args.job == "run" else args.folder
-        size = args.input_gb * 1024**3 if args.input_gb else stored_bytes(spark, delivered) + stored_bytes(spark, args.table)
-        for key, value in sized_settings(size, args.cores).items():
-            spark.conf.set(key, value)
-        if args.feed == "value_index":
-            options = {"dates_from": args.dates_from, "dates_to": args.dates_to}
+    delivered = args.path if args.job == "run" else args.folder
+    size = args.input_gb * 1024**3 if args.input_gb else stored_bytes(spark, delivered) + stored_bytes(spark, args.table)
+    for key, value in sized_settings(size, args.cores).items():
+        spark.conf.set(key, value)
+    if args.feed == "value_index":
+        options = {"dates_from": args.dates_from, "dates_to": args.dates_to}
     store = feeds.FEEDS[args.feed].store(spark, args.table)
     if args.job == "run":
-        print(f"version {feeds.run(spark, args.feed, args.path, store, as_of=args.as_of, **options)}")
-    elif args.job == "ingest":
+        done = feeds.run(spark, args.feed, args.path, store, as_of=args.as_of, **options)
+        print(", ".join(f"{n:,} {what}" for what, n in done.counts.items()) or "no rows")
+    else:
         ingest_feed(
             spark, args.feed, args.folder, args.like, store, args.checkpoint, as_of=args.as_of, **options
         ).awaitTermination()
-        print(f"version {store.versions()[-1] if store.versions() else 'none yet'}")
-    else:
-        print(f"{store.vacuum(args.keep)} data paths deleted")
+    print(f"{len(store.partitions()) if store.schema() else 0} partitions")
 
 
 if __name__ == "__main__":

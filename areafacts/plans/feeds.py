@@ -1,7 +1,7 @@
 """The four feeds: raw rows to the rows of their keyed table.
 
 Every function is DataFrame to DataFrame and lazy; :func:`run` reads files,
-cleans them, merges them into a store and keeps what it had to leave out.
+cleans them, merges them into a table and keeps what it had to leave out.
 
 Of several rows with one key the first in ``order_by`` survives, and among equals
 the one with the smallest content hash: re-runs choose alike, and rows that are
@@ -10,23 +10,25 @@ equal in all columns need no choice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areafacts import schemas as S
+from areafacts import scratch
 from areafacts.functions import normalize as N
 from areafacts.functions import rules as R
 from areafacts.operators.dedupe import content_hash, one_per_key
 from areafacts.operators.quality import COUNTY_TYPE, apply_rules, conform, keep_region_type, mistyped
 from areafacts.operators.reshape import quoted, rename_required, split_columns, wide_to_long
 from areafacts.sources import readers
-from areafacts.sources.snapshot import SnapshotStore
+from areafacts.sources.keyed import KeyedTable
 
 AsOf = date | str | None
 Order = Sequence[Column | str] | None
@@ -172,16 +174,16 @@ class Feed:
     prepare: Callable[[DataFrame], DataFrame] | None = None
     rules: Callable[[], dict[str, Column]] = dict
 
-    def store(self, spark: SparkSession, root: str, partition_by: Column | None = None) -> SnapshotStore:
+    def store(self, spark: SparkSession, root: str, partition_by: Column | None = None) -> KeyedTable:
         """The feed's table; a finer ``partition_by`` suits larger tables."""
-        return SnapshotStore(spark, root, self.keys, self.partition_by() if partition_by is None else partition_by)
+        return KeyedTable(spark, root, self.keys, self.partition_by() if partition_by is None else partition_by)
 
 
 def _with_arrival(df: DataFrame) -> DataFrame:
     return df.withColumn(_ARRIVED, readers.arrival())
 
 
-# Partitions are functions of the key: a merge reads those its batch touches and rewrites those in which a row differs.
+# Partitions are functions of the key: a merge reads and writes those its batch touches.
 FEEDS = {
     feed.name: feed
     for feed in (
@@ -248,46 +250,106 @@ def cleaned(feed: Feed, groups: Sequence[DataFrame], **options) -> DataFrame:
     return _survivors(rows, feed.keys, latest).drop(_ARRIVED)
 
 
-def rejects(feed: Feed, raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
-    """What a load leaves out or empties: ``feed, reasons, row`` (the raw row as JSON).
+_ROW, _REASONS, _REJECTED = "__row", "__reasons", "__rejected"
+_CORRUPT_LINE = "corrupt"
+
+
+def reasons(feed: Feed, names: Sequence[str], misfits: Sequence[str]) -> list[str]:
+    """Every reason a row of the feed can have: ``corrupt`` (a line that is no record), ``type:<column>`` (a cell that is
+    there and does not fit: null in the table) and ``rule:<name>`` (the row is not in the table)."""
+    corrupt = [_CORRUPT_LINE] if _CORRUPT in names else []
+    return [*corrupt, *[f"type:{c}" for c in misfits], *[f"rule:{name}" for name in feed.rules()]]
 
-    Reasons are ``corrupt`` (a line that is no record), ``type:<column>`` (a cell that is there and does not fit: null
-    in the table) and ``rule:<name>`` (the row is not in the table). Rows of another region type are no rejects.
+
+def marked(feed: Feed, raw: DataFrame, date_formats: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """``raw`` rows, prepared, with their reasons and, where there are any, the raw row as JSON; and all reasons there can be.
+
+    Rows of another region type are no rejects.
     """
     names = [c for c in raw.columns if c != _ARRIVED]
     misfits = mistyped(raw, feed.schema(names), date_formats)
     corrupt = F.col(_CORRUPT).isNotNull() if _CORRUPT in names else F.lit(False)
-    found = [F.when(corrupt, F.lit("corrupt")), *[F.when(m, F.lit(f"type:{c}")) for c, m in misfits.items()]]
-    row = F.when(corrupt, F.col(_CORRUPT) if _CORRUPT in names else F.lit(None)).otherwise(
-        F.to_json(F.struct(*[F.col(quoted(c)) for c in names]))
-    )
-    marked = raw.withColumns({"__row": row, "__found": F.array_compact(F.array(*found))})
+    found = [F.when(corrupt, F.lit(_CORRUPT_LINE)), *[F.when(m, F.lit(f"type:{c}")) for c, m in misfits.items()]]
+    cells = F.struct(*[F.col(quoted(c)) for c in names])
+    rows = raw.withColumns({_ROW: cells, _REASONS: F.array_compact(F.array(*found))})
     if feed.prepare is not None:
-        checked = feed.prepare(marked.withColumn(_CORRUPT, F.lit(None).cast("string")))
+        if _CORRUPT in names:
+            rows = rows.withColumn(_CORRUPT, F.lit(None).cast("string"))  # corrupt lines stay until they are reported
+        rows = feed.prepare(rows)
         broken = [F.when(~R.holds(rule), F.lit(f"rule:{name}")) for name, rule in feed.rules().items()]
-        is_corrupt = F.array_contains("__found", "corrupt")
+        is_corrupt = F.array_contains(_REASONS, _CORRUPT_LINE)
         broken = F.when(~is_corrupt, F.array_compact(F.array(*broken))).otherwise(F.array().cast("array<string>"))
-        marked = checked.withColumn("__found", F.concat("__found", broken))
-    return marked.where(F.size("__found") > 0).select(
-        F.lit(feed.name).alias("feed"), F.col("__found").alias("reasons"), F.col("__row").alias("row")
+        rows = rows.withColumn(_REASONS, F.concat(_REASONS, broken))
+    text = F.to_json(_ROW)
+    if _CORRUPT in names:
+        text = F.coalesce(F.col(f"{_ROW}.{_CORRUPT}"), text)
+    return rows.withColumn(_ROW, F.when(F.size(_REASONS) > 0, text)), reasons(feed, names, list(misfits))
+
+
+def rejects(feed: Feed, raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+    """What a load leaves out or empties: ``feed, reasons, row`` (the raw row as JSON)."""
+    return _rejected(feed, marked(feed, raw, date_formats)[0])
+
+
+def _rejected(feed: Feed, rows: DataFrame) -> DataFrame:
+    return rows.where(F.size(_REASONS) > 0).select(
+        F.lit(feed.name).alias("feed"), F.col(_REASONS).alias("reasons"), F.col(_ROW).alias("row")
     )
 
 
-def keep_rejects(feed: Feed, groups: Sequence[DataFrame], path: str, date_formats: Sequence[str] = ()) -> None:
-    """Write the rejects next to the table; a repeated load overwrites its own."""
-    parts = [rejects(feed, group, date_formats) for group in groups]
-    reduce(DataFrame.union, parts).write.mode("overwrite").parquet(path)
+@dataclass(frozen=True)
+class Parsed:
+    """A delivery of one header, parsed once: its rows, its rejects, rows per reason, and where they are stored."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+    path: str
+
+
+def parse(feed: Feed, raw: DataFrame, date_formats: Sequence[str] = ()) -> Parsed:
+    """Read the raw rows once: one write puts rows with and without reasons apart, and counts them as they pass."""
+    rows, possible = marked(feed, raw, date_formats)
+    passing = Observation()
+    counts = [F.count_if(F.array_contains(_REASONS, reason)).alias(reason) for reason in possible]
+    observed = rows.observe(passing, F.count(F.lit(1)).alias("rows"), F.count_if(F.size(_REASONS) > 0).alias("rejected"), *counts)
+    path = scratch.folder(raw.sparkSession, "parsed")
+    observed.withColumn(_REJECTED, F.size(_REASONS) > 0).write.partitionBy(_REJECTED).parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField(_REJECTED, T.BooleanType())])
+    stored = raw.sparkSession.read.schema(schema).parquet(path)
+    whole = stored.where(~F.array_contains(_REASONS, _CORRUPT_LINE)).drop(_ROW, _REASONS, _REJECTED)
+    return Parsed(whole, _rejected(feed, stored.where(_REJECTED)), {k: v for k, v in passing.get.items() if v}, path)
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a load did: the partitions it wrote, and its rows, in all, rejected, and by reason."""
+
+    partitions: list[str]
+    counts: dict[str, int]
+
+
+def load(feed: Feed, groups: Sequence[DataFrame], table: KeyedTable, name: str, batch: str | None = None, **options) -> Load:
+    """Parse raw rows (a frame for each header), merge them into ``table`` and keep their rejects under its root.
+
+    Rejects go to ``rejects/<name>``; a load of the same name overwrites its own. ``options`` go to the cleaning function.
+    """
+    parsed = [parse(feed, group, options.get("date_formats", ())) for group in groups]
+    try:
+        written = table.merge(cleaned(feed, [p.rows for p in parsed], **options), batch=batch)
+        reduce(DataFrame.union, [p.rejects for p in parsed]).write.mode("overwrite").parquet(f"{table.root}/rejects/{name}")
+    finally:
+        scratch.remove(table.spark, *[p.path for p in parsed])
+    counts = {reason: sum(p.counts.get(reason, 0) for p in parsed) for p in parsed for reason in p.counts}
+    return Load(written, counts)
 
 
-def run(spark: SparkSession, feed: str | Feed, path: str, store: SnapshotStore, as_of: AsOf = None, **options) -> int:
-    """Read ``path``, clean it and merge it into ``store``; returns the version.
+def run(spark: SparkSession, feed: str | Feed, path: str, store: KeyedTable, as_of: AsOf = None, **options) -> Load:
+    """Read ``path`` once, clean it and merge it into ``store``.
 
-    A re-run of the same files replaces their rows and adds none (but for keys
-    with a null, which match nothing). Rejects go to ``rejects/<version>`` under the
-    table's root.
+    A re-run of the same files replaces their rows and adds none (but for keys with a null, which match nothing), and
+    overwrites their rejects.
     """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
-    groups = spec.read(spark, path)
-    version = store.merge(cleaned(spec, groups, as_of=as_of, **options))
-    keep_rejects(spec, groups, f"{store.root}/rejects/{version:08d}", options.get("date_formats", ()))
-    return version
+    name = hashlib.sha256(path.encode()).hexdigest()[:16]
+    return load(spec, spec.read(spark, path), store, name, as_of=as_of, **options)

@@ -45,3 +45,21 @@ def written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     path = folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _storage(spark: SparkSession, path: str):
+    """(file system, path) objects of the storage behind ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _storage(spark, path)
+    return fs.exists(target)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that are no longer read."""
+    for path in paths:
+        fs, target = _storage(spark, path)
+        fs.delete(target, True)

@@ -26,7 +26,7 @@ def ensure_target(df: DataFrame, table: str) -> bool:
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], evolve: bool = False) -> None:
     """Upsert into a catalog table whose format supports row-level merges.
 
-    Plain Parquet tables do not; keep those in a ``SnapshotStore``.
+    Plain Parquet tables do not; keep those in a ``KeyedTable``.
     """
     batch = source.alias("source")
     on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys])

@@ -8,37 +8,39 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from areafacts.plans.feeds import FEEDS, Feed, cleaned, keep_rejects
-from areafacts.sources.snapshot import SnapshotStore
+from areafacts.plans.feeds import FEEDS, Feed, load
+from areafacts.sources.keyed import KeyedTable
 
 
 def ingest(
     stream: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
-    store: SnapshotStore,
+    store: KeyedTable,
     checkpoint: str,
     null_safe: bool = False,
     evolve: bool = False,
-    after: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     """Merge everything that has arrived since the last run into ``store``.
 
     ``clean`` must leave one row per key in a micro-batch. The last arrival wins
-    as with successive batch merges. The number of a micro-batch is committed with
-    its rows, so one that is replayed after a failure is skipped, rows with null
-    keys included, and no streaming state is kept. ``after`` gets each micro-batch
-    with a name that it has in every replay. Stops when the available input is used
+    as with successive batch merges. A micro-batch that is replayed after a failure
+    leaves the table as it is, rows with null keys included: they carry the batch's
+    name, and no streaming state is kept. Stops when the available input is used
     up; run it again (daily, weekly) for the next files.
     """
 
-    def apply(batch: DataFrame, number: int) -> None:
-        query = _query_id(batch.sparkSession, checkpoint)
-        store.merge(clean(batch), null_safe=null_safe, evolve=evolve, batch=(query, number))
-        if after is not None:
-            after(batch, f"{query}-{number}")
+    def apply(batch: DataFrame, name: str) -> None:
+        store.merge(clean(batch), null_safe=null_safe, evolve=evolve, batch=name)
 
+    return _each_batch(stream, apply, checkpoint)
+
+
+def _each_batch(stream: DataFrame, apply: Callable[[DataFrame, str], None], checkpoint: str) -> StreamingQuery:
+    """``apply`` to each micro-batch, with a name that it has in every replay."""
     return (
-        stream.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(
+            lambda batch, number: apply(batch, f"{_query_id(batch.sparkSession, checkpoint)}-{number}")
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -55,7 +57,7 @@ def ingest_feed(
     feed: str | Feed,
     folder: str,
     like: str,
-    store: SnapshotStore,
+    store: KeyedTable,
     checkpoint: str,
     max_files: int | None = None,
     **options,
@@ -71,13 +73,10 @@ def ingest_feed(
     spec = FEEDS[feed] if isinstance(feed, str) else feed
     stream = spec.stream(spark, folder, like, max_files)
 
-    def clean(batch: DataFrame) -> DataFrame:
-        return cleaned(spec, spec.groups(batch), **options)
-
-    def after(batch: DataFrame, name: str) -> None:
-        keep_rejects(spec, spec.groups(batch), f"{store.root}/rejects/{name}", options.get("date_formats", ()))
+    def apply(batch: DataFrame, name: str) -> None:
+        load(spec, spec.groups(batch), store, name, batch=name, **options)
 
-    return ingest(stream, clean, store, checkpoint, after=after)
+    return _each_batch(stream, apply, checkpoint)
 
 
 def dedupe(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:

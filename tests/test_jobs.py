@@ -6,7 +6,7 @@ from areafacts.plans import feeds
 from areafacts.session import sized_settings
 
 
-def test_run_ingest_and_vacuum(spark, tmp_path, capsys):
+def test_run_and_ingest(spark, tmp_path, capsys):
     drop = tmp_path / "drop"
     drop.mkdir()
     header = "zip,city,state_id,state_name,population,county_name\n"
@@ -15,11 +15,9 @@ def test_run_ingest_and_vacuum(spark, tmp_path, capsys):
     jobs.main(["run", "area_reference", str(drop / "a.csv"), table, "--as-of", "2024-02-01"])
     (drop / "b.csv").write_text(header + "544,Holtsville,NY,New York,20,Suffolk County\n")
     jobs.main(["ingest", "area_reference", str(drop), str(drop / "a.csv"), table, str(tmp_path / "check")])
-    jobs.main(["vacuum", "area_reference", table, "--keep", "1"])
-    assert capsys.readouterr().out.split("\n")[:2] == ["version 1", "version 2"]
+    assert capsys.readouterr().out.split("\n")[:3] == ["1 rows", "1 partitions", "1 partitions"]
     stored = feeds.FEEDS["area_reference"].store(spark, table)
     assert sorted(r["zip"] for r in stored.read().collect()) == [501, 544]
-    assert stored.versions() == [2]
 
 
 def test_unknown_feed():

@@ -247,6 +247,19 @@ SELECT reasons, COUNT(*) AS n FROM (SELECT concat_ws(',',
          CASE WHEN review_count % 10 <> 4 AND NOT regexp_full_match(postal_code, '[0-9]+') THEN 'rule:postal_code' END
        ) AS reasons
 FROM raw_place) WHERE reasons <> '' GROUP BY reasons""",
+    "feed_counts": _with(*_PLACE) + """
+, delivered AS (
+  SELECT review_count % 10 = 4 AS corrupt, review_count % 10 = 3 AS misfit, name IS NULL AS no_name,
+         review_count % 10 = 3 OR NOT stars BETWEEN 1 AND 5 AS no_stars, NOT regexp_full_match(postal_code, '[0-9]+') AS no_code
+  FROM raw_place
+), counted AS (
+  SELECT COUNT(*) AS "rows", COUNT(*) FILTER (corrupt OR misfit OR no_name OR no_stars OR no_code) AS rejected,
+         COUNT(*) FILTER (corrupt) AS corrupt, COUNT(*) FILTER (misfit) AS "type:stars",
+         COUNT(*) FILTER (NOT corrupt AND no_name) AS "rule:name", COUNT(*) FILTER (NOT corrupt AND no_stars) AS "rule:stars",
+         COUNT(*) FILTER (NOT corrupt AND no_code) AS "rule:postal_code"
+  FROM delivered
+)
+SELECT * FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME what VALUE n) WHERE n > 0""",
     "orphans": """
 WITH a AS (SELECT DISTINCT o_orderkey AS order_key, o_orderstatus AS status FROM orders),
      b AS (SELECT DISTINCT l_orderkey AS order_key, l_linestatus AS status FROM lineitem)
@@ -304,12 +317,7 @@ SELECT * EXCLUDE (restaurant, latitude, longitude) FROM place WHERE review_count
 UNION ALL
 SELECT DISTINCT * EXCLUDE (restaurant, latitude, longitude) REPLACE (CAST(NULL AS VARCHAR) AS address)
 FROM place WHERE review_count % 10 = 5""",
-    "stream_value_index": _with(*_INDEX) + """
-, numbered AS (SELECT col, row_number() OVER (ORDER BY col) AS n FROM months)
-SELECT RegionID, state_id, "Date",
-       CASE WHEN RegionID % 2 = 0 THEN "Value" ELSE "Value" + 1 END AS "Value"
-FROM idx JOIN numbered ON "Date" = col
-WHERE RegionID % 2 = 0 OR n < 40""",
+    "stream_value_index": _with(*_INDEX) + 'SELECT RegionID, state_id, "Date", "Value" FROM idx',
     "named_view": _with(*_PLACE) + "SELECT state, COUNT(*) AS places FROM place GROUP BY state",
     "delimited_source": """
 SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day, o_orderkey,

@@ -22,7 +22,7 @@ from areafacts.operators.reshape import wide_to_long
 from areafacts.operators.upsert import upsert
 from areafacts.plans import feeds, marts
 from areafacts.sources import readers, tables
-from areafacts.sources.snapshot import SnapshotStore
+from areafacts.sources.keyed import KeyedTable
 from areafacts.streaming import ingest as streams
 from workload import frames
 from workload.frames import AS_OF, table, twice
@@ -335,20 +335,34 @@ def feed_run(spark, sf):
     return store.read()
 
 
-@query
-def feed_rejects(spark, sf):
-    """What a load of the places feed leaves out: broken lines, mistyped cells, failed rules."""
-    home = scratch.folder(spark, "places")
+def _delivered_places(spark, sf, home):
+    """The places feed as JSON lines, some broken and some with a mistyped cell."""
     raw = frames.raw_place(spark, sf).withColumn(
         "stars", F.when(F.col("review_count") % 10 != 3, F.col("stars").cast("string")).otherwise(F.lit("many"))
     )
     lines = F.when(F.col("review_count") % 10 != 4, F.to_json(F.struct(*raw.columns)))
     raw.select(F.coalesce(lines, F.concat(F.lit('{"address": '), F.col("address"))).alias("value")).write.text(f"{home}/in")
-    feeds.run(spark, "places", f"{home}/in", feeds.FEEDS["places"].store(spark, f"{home}/table"), as_of=AS_OF)
-    kept = spark.read.parquet(f"{home}/table/rejects/*")
+    return feeds.FEEDS["places"].store(spark, f"{home}/table")
+
+
+@query
+def feed_rejects(spark, sf):
+    """What a load of the places feed leaves out: broken lines, mistyped cells, failed rules."""
+    home = scratch.folder(spark, "places")
+    store = _delivered_places(spark, sf, home)
+    feeds.run(spark, "places", f"{home}/in", store, as_of=AS_OF)
+    kept = spark.read.parquet(f"{store.root}/rejects/*")
     return kept.groupBy("reasons").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def feed_counts(spark, sf):
+    """What passed by in the same load: its rows, those with a reason, and those of each reason."""
+    home = scratch.folder(spark, "places")
+    done = feeds.run(spark, "places", f"{home}/in", _delivered_places(spark, sf, home), as_of=AS_OF)
+    return spark.createDataFrame(list(done.counts.items()), "what string, n long")
+
+
 @query
 def named_view(spark, sf):
     tables.register_view(places(spark, sf), "workload_places")
@@ -533,7 +547,7 @@ def stream_ingest(spark, sf):
     """Four deliveries into a drop folder, ingested by one run each."""
     home = scratch.folder(spark, "stream")
     drop, keys = f"{home}/in", ["user_id", "event_type"]
-    store = SnapshotStore(spark, f"{home}/table", keys)
+    store = KeyedTable(spark, f"{home}/table", keys)
     schema = frames.SCHEMAS["events"]
     for lo, hi in zip(DELIVERIES, DELIVERIES[1:]):
         _delivery(spark, sf, lo, hi).write.mode("append").parquet(drop)
@@ -566,12 +580,12 @@ def stream_feed(spark, sf):
 
 @query
 def stream_value_index(spark, sf):
-    """Two deliveries of the wide index, the second with more months, in one drop folder."""
+    """Two deliveries of the wide index, the second with more months and other values, in one drop folder."""
     home = scratch.folder(spark, "index")
     wide, names = frames.raw_value_index(spark, sf), [name for _, name in frames.months(spark, sf)]
     early = wide.drop(*names[40:])
     first = early.withColumns({c: F.col(f"`{c}`") + 1 for c in names[1:40]})
-    for delivery, name in ((first, "a"), (wide.where(F.col("RegionID") % 2 == 0), "b")):
+    for delivery, name in ((first, "a"), (wide, "b")):
         delivery.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(f"{home}/in/{name}")
     store = feeds.FEEDS["value_index"].store(spark, f"{home}/table")
     streams.ingest_feed(spark, "value_index", f"{home}/in/*", "", store, f"{home}/checkpoint").awaitTermination()
