@@ -36,7 +36,7 @@ def upsert(
     lacking = [c for c in target.columns if c.lower() not in delivered]
     if lacking and not evolve:
         raise ValueError(f"source lacks columns of the target: {lacking}")
-    source = _aligned(target, source, evolve)
+    source = aligned(target, source, evolve)
 
     if null_safe:
         matchable_target, matchable_source, apart = target, source, []
@@ -52,7 +52,7 @@ def upsert(
     batch_keys = _checked_keys(matchable_source, keys).where(_once(True)).select(*keys)
     kept = _without(matchable_target, batch_keys, keys, null_safe)
     if lacking:
-        replaced = matchable_target.alias("t").join(batch_keys.alias("s"), _on(keys, null_safe), "left_semi")
+        replaced = matchable_target.alias("t").join(batch_keys.alias("s"), matching(keys, null_safe), "left_semi")
         parts = [kept, *apart, _filled(matchable_source, replaced.dropDuplicates(keys), keys, target.columns, null_safe)]
     else:
         parts = [kept, *apart, source]
@@ -64,7 +64,7 @@ def _lower(names: Iterable[str]) -> set[str]:
     return {n.lower() for n in names}
 
 
-def _aligned(target: DataFrame, source: DataFrame, evolve: bool) -> DataFrame:
+def aligned(target: DataFrame, source: DataFrame, evolve: bool) -> DataFrame:
     """Source columns in target order, names and types; extras last if evolving."""
     delivered, fields = _lower(source.columns), target.schema.fields
     columns = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields if f.name.lower() in delivered]
@@ -95,13 +95,14 @@ def _fail_on_duplicates(source: DataFrame, keys: list[str], like: DataFrame) ->
     return empty.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def _on(keys: list[str], null_safe: bool) -> Column:
+def matching(keys: list[str], null_safe: bool) -> Column:
+    """Condition that the rows ``t`` and ``s`` have one key."""
     pairs = [(F.col(f"t.{quoted(k)}"), F.col(f"s.{quoted(k)}")) for k in keys]
     return reduce(lambda a, b: a & b, [t.eqNullSafe(s) if null_safe else t == s for t, s in pairs])
 
 
 def _without(target: DataFrame, gone: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
-    return target.alias("t").join(gone.alias("s"), _on(keys, null_safe), "left_anti")
+    return target.alias("t").join(gone.alias("s"), matching(keys, null_safe), "left_anti")
 
 
 def _filled(
@@ -114,4 +115,4 @@ def _filled(
     delivered, known = _lower(source.columns), _lower(target_columns)
     columns = [F.col(f"{'s' if c.lower() in delivered else 't'}.{quoted(c)}").alias(c) for c in target_columns]
     columns += [F.col(f"s.{quoted(c)}").alias(c) for c in source.columns if c.lower() not in known]
-    return source.alias("s").join(replaced.alias("t"), _on(keys, null_safe), "left").select(*columns)
+    return source.alias("s").join(replaced.alias("t"), matching(keys, null_safe), "left").select(*columns)

@@ -116,13 +116,13 @@ def market_trend(
 # -- places ---------------------------------------------------------------------
 
 
-def _has_category(name: str):
+def has_category(name: str):
     return F.array_contains(F.transform(F.split("categories", ","), lambda c: F.trim(c)), name)
 
 
 def with_category(places: DataFrame, name: str) -> DataFrame:
     """Places that list ``name`` among their comma-separated categories."""
-    return places.where(_has_category(name))
+    return places.where(has_category(name))
 
 
 def _of_category(places: DataFrame, category: str | None) -> DataFrame:
@@ -199,7 +199,7 @@ def area_values(areas: DataFrame, values: DataFrame) -> DataFrame:
 
 def place_summary(places: DataFrame, category: str | None = RESTAURANTS) -> DataFrame:
     """Counts and ratings per area, of all places and of one category."""
-    in_category = F.lit(True) if category is None else F.coalesce(_has_category(category), F.lit(False))
+    in_category = F.lit(True) if category is None else F.coalesce(has_category(category), F.lit(False))
     return (
         places.withColumn("__hit", in_category)
         .groupBy(F.col("zip_int").alias("zip"), F.col("state").alias("state_id"))
@@ -214,7 +214,12 @@ def place_summary(places: DataFrame, category: str | None = RESTAURANTS) -> Data
 
 def area_places(areas: DataFrame, places: DataFrame, category: str | None = RESTAURANTS) -> DataFrame:
     """Areas with the counts and ratings of their places (zero counts if none)."""
-    joined = areas.join(place_summary(places, category), list(AREA), "left")
+    return area_summary(areas, place_summary(places, category))
+
+
+def area_summary(areas: DataFrame, summary: DataFrame) -> DataFrame:
+    """Areas with the row that a summary of places has for them."""
+    joined = areas.join(summary, list(AREA), "left")
     per_1000 = F.try_divide(F.col("category_places") * F.lit(1000.0), F.col("population"))
     return joined.fillna(0, ["places", "category_places"]).withColumn("category_per_1000", per_1000)
 

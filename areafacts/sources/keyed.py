@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areafacts import scratch
+from areafacts.operators.changes import changes
 from areafacts.operators.upsert import upsert
 
 BUCKET = "bucket"
@@ -65,12 +66,19 @@ class KeyedTable:
         return sorted(r[0] for r in self._stored().select(BUCKET).distinct().collect())
 
     def merge(
-        self, source: DataFrame, null_safe: bool = False, evolve: bool = False, batch: str | None = None
+        self,
+        source: DataFrame,
+        null_safe: bool = False,
+        evolve: bool = False,
+        batch: str | None = None,
+        log: str | None = None,
     ) -> list[str]:
         """Upsert ``source`` by the keys; returns the partitions that were written.
 
         ``batch`` names a delivery that may come again. Rows with a null in their key match nothing, so a second merge
-        would add them; those that the same ``batch`` added before are replaced.
+        would add them; those that the same ``batch`` added before are replaced. ``log`` is a path for the change set
+        (see :func:`areafacts.operators.changes.changes`). It is written before the table is; one that is there already
+        is of a merge that was cut short after it, and stays.
         """
         if self.partition_by is not None:
             source.select(*self.keys).select(self.partition_by)  # fails unless it is a function of the key
@@ -84,6 +92,9 @@ class KeyedTable:
                 target = self._stored().where(F.col(BUCKET).isin(touched))
                 if batch is not None:
                     target = target.where(~(keyless & F.col(_BATCH).eqNullSafe(F.lit(batch))))
+                if log is not None and not scratch.exists(self.spark, f"{log}/_SUCCESS"):
+                    internal = (BUCKET, _BATCH)
+                    changes(target.drop(*internal), rows.drop(*internal), self.keys, null_safe).write.mode("overwrite").parquet(log)
                 result = upsert(target, rows, self.keys, null_safe, evolve)
                 if evolve:
                     self._describe(result.drop(BUCKET, _BATCH).schema)

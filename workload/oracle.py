@@ -387,6 +387,11 @@ FROM area a LEFT JOIN latest l ON l.zip = a.zip AND l.state_id = a.state_id""",
 SELECT a.zip, a.state_id, COALESCE(places, 0) AS places, COALESCE(category_places, 0) AS category_places,
        COALESCE(category_places, 0) * 1000.0 / NULLIF(a.population, 0)::DOUBLE AS category_per_1000,
        mean_stars, weighted_stars
+FROM area a LEFT JOIN summary s ON s.zip = a.zip AND s.state_id = a.state_id""",
+    "area_places_upkeep": _with(*_PLACE, _AREAS, _SUMMARY) + """
+SELECT a.zip, a.state_id, COALESCE(places, 0) AS places, COALESCE(category_places, 0) AS category_places,
+       COALESCE(category_places, 0) * 1000.0 / NULLIF(a.population, 0)::DOUBLE AS category_per_1000,
+       mean_stars, weighted_stars
 FROM area a LEFT JOIN summary s ON s.zip = a.zip AND s.state_id = a.state_id""",
     "area_market": _with(_CUSTOMERS, _MARKET, _AREAS, _LATEST_MARKET) + """
 SELECT a.zip, a.state_id, a.county_name, m.market_date, m.median_sale_price, m.median_days_on_market,

@@ -20,7 +20,7 @@ from areafacts.operators import quality
 from areafacts.operators.dedupe import one_per_key, top_per_group
 from areafacts.operators.reshape import wide_to_long
 from areafacts.operators.upsert import upsert
-from areafacts.plans import feeds, marts
+from areafacts.plans import feeds, marts, upkeep
 from areafacts.sources import readers, tables
 from areafacts.sources.keyed import KeyedTable
 from areafacts.streaming import ingest as streams
@@ -363,6 +363,26 @@ def feed_counts(spark, sf):
     return spark.createDataFrame(list(done.counts.items()), "what string, n long")
 
 
+@query
+def area_places_upkeep(spark, sf):
+    """``area_places`` from sums that followed three deliveries: new places, corrected ones, and places that moved."""
+    home, rank = scratch.folder(spark, "upkeep"), F.col("review_count")
+    rows = scratch.written(places(spark, sf), "places")[0]
+    early = rows.where(rank < 70).withColumns(
+        {"stars": F.lit(3.0), "state": F.when(rank % 3 == 0, "elsewhere").otherwise(F.col("state"))}
+    )
+    base = feeds.FEEDS["places"].store(spark, f"{home}/places")
+    mart = upkeep.place_mart()
+    state = mart.state(spark, f"{home}/mart", F.floor(F.col("zip") / 1000))
+    for name, delivery in (("first", early), ("second", rows.where(rank >= 50)), ("third", rows.where(rank < 60))):
+        mart.follow(base, state, delivery, name)
+    mart.follow(base, state, rows.where(rank < 60), "third")  # as after a failure
+    found = marts.area_summary(areas(spark, sf), mart.read(state)).select(
+        "zip", "state_id", "places", "category_places", "category_per_1000", "mean_stars", "weighted_stars"
+    )
+    return rounded(found, "mean_stars", "weighted_stars")
+
+
 @query
 def named_view(spark, sf):
     tables.register_view(places(spark, sf), "workload_places")
