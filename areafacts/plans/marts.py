@@ -68,6 +68,47 @@ def value_trend(
     return trend.orderBy(*by, "period") if ordered else trend
 
 
+def value_series(values: DataFrame, months_from: str | None = None, months_to: str | None = None) -> DataFrame:
+    """Home value of every area in every month, gaps closed: ``zip, state_id, month, home_value, known, months_old``.
+
+    A month without a known value carries the last one (``known`` false, ``months_old`` its age); before the first it is
+    null. The calendar goes from the first to the last month of the table, or the given ones. Rows are dealt by area once;
+    each row then makes the months up to its area's next row, so no calendar is joined.
+    """
+    rows = _values_by_zip(values).where(F.col("month").isNotNull())
+    month = F.trunc("month", "month")
+    span = values.agg(*[F.trunc(f(F.col("Date").try_cast("date")), "month").alias(n) for n, f in (("a", F.min), ("b", F.max))])
+    start = span.select("a").scalar() if months_from is None else F.trunc(F.lit(months_from).cast("date"), "month")
+    end = span.select("b").scalar() if months_to is None else F.trunc(F.lit(months_to).cast("date"), "month")
+    monthly = (
+        rows.select(*AREA, month.alias("at"), "Value")
+        .repartition(*AREA)
+        .groupBy(*AREA, "at")
+        .agg(F.avg("Value").alias("mean"))
+    )
+    by_month = Window.partitionBy(*AREA).orderBy("at")
+    so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dated = monthly.select(
+        *AREA,
+        "at",
+        F.last("mean", ignorenulls=True).over(so_far).alias("value"),
+        F.last(F.when(F.col("mean").isNotNull(), F.col("at")), ignorenulls=True).over(so_far).alias("origin"),
+        F.when(F.row_number().over(by_month) == 1, F.least(start, F.col("at"))).otherwise(F.col("at")).alias("first"),
+        F.add_months(F.lead("at").over(by_month), -1).alias("before_next"),
+    )
+    last = F.coalesce("before_next", F.greatest(end, F.col("at")))
+    filled = dated.withColumn("month", F.explode(F.sequence("first", last, F.expr("INTERVAL 1 MONTH"))))
+    reached = F.col("month") >= F.col("at")
+    age = F.months_between("month", "origin").cast("int")
+    return filled.where((F.col("month") >= start) & (F.col("month") <= end)).select(
+        *AREA,
+        "month",
+        F.when(reached, F.col("value")).alias("home_value"),
+        F.coalesce(reached & (F.col("month") == F.col("origin")), F.lit(False)).alias("known"),
+        F.when(reached, age).alias("months_old"),
+    )
+
+
 # -- county market ------------------------------------------------------------
 
 

@@ -253,3 +253,23 @@ def test_market_trend_between_periods(market):
 def test_value_trend_by_area_shuffles_once(values):
     plan = plan_of(marts.value_trend(values))
     assert plan.count("Exchange") == 1
+
+
+def test_value_series_closes_gaps(spark, rows):
+    """Missing rows, missing values, an area that starts late and one without any value."""
+    data = [
+        (501, "ny", "2023-01-31", 10.0), (501, "ny", "2023-02-28", None), (501, "ny", "2023-05-31", 13.0),
+        (501, "ny", "2023-05-31", 15.0), (502, "ny", "2023-04-30", 7.0), (503, None, "2023-03-31", None),
+    ]
+    values = spark.createDataFrame(data, "RegionName int, state_id string, Date string, Value double")
+    found = marts.value_series(values)
+    assert plan_of(found).count("Exchange hashpartitioning") == 1
+    months = [date(2023, m, 1) for m in range(1, 6)]
+    assert rows(found.where("zip = 501"), "month", "home_value", "known", "months_old") == list(
+        zip(months, [10.0, 10.0, 10.0, 10.0, 14.0], [True, False, False, False, True], [0, 1, 2, 3, 0])
+    )
+    assert rows(found.where("zip = 502"), "month", "home_value") == list(zip(months, [None, None, None, 7.0, 7.0]))
+    assert rows(found.where("zip = 503"), "month", "home_value", "known") == [(m, None, False) for m in months]
+    part = marts.value_series(values, "2023-02-01", "2023-06-30")
+    assert rows(part.where("zip = 501"), "home_value") == rows(spark.createDataFrame([(10.0,)] * 3 + [(14.0,)] * 2, "v double"))
+    assert marts.value_series(values.limit(0)).count() == 0

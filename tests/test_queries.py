@@ -18,12 +18,16 @@ def con():
     return duck(SF)
 
 
+# Estimates, which no other engine gives alike: held against exact figures in test_sketches.
+ESTIMATES = {"quality_sketches"}
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) <= set(entry.queries())
-    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - ESTIMATES <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ESTIMATES))
 def test_query(spark, con, name):
     problem, rows = difference(spark, con, SF, name)
     assert problem is None

@@ -399,6 +399,45 @@ SELECT a.zip, a.state_id, a.county_name, m.market_date, m.median_sale_price, m.m
 FROM area a LEFT JOIN latest_market m ON m.county_name = a.county_name AND m.state_id = a.state_id""",
     "area_profile": _PROFILE,
     "area_drilldown": _PROFILE + "WHERE a.zip = 8",
+    "value_series": _with(*_INDEX) + f"""
+, dated AS (
+  SELECT RegionName AS zip, state_id, date_trunc('month', CAST("Date" AS DATE))::DATE AS month, AVG("Value") AS mean
+  FROM idx GROUP BY ALL
+), calendar AS (
+  SELECT zip, state_id, month FROM (SELECT DISTINCT zip, state_id FROM dated)
+  CROSS JOIN (SELECT CAST(unnest(generate_series(MIN(month), MAX(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM dated)
+), carried AS (
+  SELECT c.*, mean, last_value(mean IGNORE NULLS) OVER w AS home_value,
+         last_value(CASE WHEN mean IS NOT NULL THEN c.month END IGNORE NULLS) OVER w AS origin
+  FROM calendar c LEFT JOIN dated m USING (zip, state_id, month)
+  WINDOW w AS (PARTITION BY c.zip, c.state_id ORDER BY c.month ROWS UNBOUNDED PRECEDING)
+)
+SELECT zip, state_id, CAST(month AS VARCHAR) AS month, {_round("home_value")} AS home_value, mean IS NOT NULL AS known,
+       CAST(date_diff('month', origin, month) AS INTEGER) AS months_old
+FROM carried""",
+    "area_profile_bucketed": _PROFILE,
+    "area_drilldown_clustered": _PROFILE + "WHERE a.zip = 8",
+    "price_range_clustered": _with(*_INDEX, _LATEST) + "SELECT * FROM latest WHERE home_value BETWEEN 100000 AND 250000",
+    "orphan_counties": _with(_CUSTOMERS, _MARKET) + """
+, places AS (SELECT lower(trim(r_name)) AS state_id, n_name AS name, c_custkey AS k, CAST(c_custkey % length(n_name) AS INTEGER) + 1 AS pos FROM cust),
+typed AS (
+  SELECT DISTINCT state_id, lower(trim(CASE k % 5
+    WHEN 0 THEN substr(name, 1, pos - 1) || substr(name, pos + 1)
+    WHEN 1 THEN substr(name, 1, pos) || substr(name, pos)
+    WHEN 2 THEN substr(name, 1, pos - 1) || 'x' || substr(name, pos + 1)
+    WHEN 3 THEN substr(name, 1, pos - 1) || substr(name, pos + 1, 1) || substr(name, pos, 1) || substr(name, pos + 2)
+    ELSE 'zzz' || name END)) AS county_name
+  FROM places
+), known AS (SELECT DISTINCT county_name, state_id FROM market),
+lost AS (SELECT * FROM typed WHERE (county_name, state_id) NOT IN (SELECT (county_name, state_id) FROM known)),
+ranked AS (
+  SELECT l.state_id, l.county_name, k.county_name AS proposal, levenshtein(l.county_name, k.county_name) AS distance,
+         row_number() OVER (PARTITION BY l.state_id, l.county_name
+           ORDER BY levenshtein(l.county_name, k.county_name), k.county_name) AS n
+  FROM lost l JOIN known k ON l.state_id = k.state_id AND levenshtein(l.county_name, k.county_name) <= 2
+)
+SELECT l.state_id, l.county_name, r.proposal, CAST(r.distance AS INTEGER) AS distance
+FROM lost l LEFT JOIN ranked r ON r.state_id = l.state_id AND r.county_name = l.county_name AND r.n = 1""",
     "stream_ingest": """
 SELECT user_id, event_type, event_id, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events

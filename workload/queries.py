@@ -16,8 +16,9 @@ from areafacts import schemas as S
 from areafacts import scratch
 from areafacts.functions import normalize as N
 from areafacts.functions import rules as R
-from areafacts.operators import quality
+from areafacts.operators import quality, sketches
 from areafacts.operators.dedupe import one_per_key, top_per_group
+from areafacts.operators.nearest import nearest_labels
 from areafacts.operators.reshape import wide_to_long
 from areafacts.operators.upsert import upsert
 from areafacts.plans import feeds, marts, upkeep
@@ -547,6 +548,87 @@ def area_drilldown(spark, sf):
     return _profile(spark, sf, zip=8)
 
 
+@query
+def value_series(spark, sf):
+    """Every month of every area, a missing value carried forward."""
+    found = marts.value_series(values(spark, sf))
+    return rounded(found, "home_value")
+
+
+def _bucketed(spark, sf, home):
+    """Areas, values and places as tables bucketed by zip and state."""
+    name, buckets = "areafacts_" + home.rsplit("-", 1)[-1], 16
+    stored = (
+        ("areas", areas(spark, sf), ["zip", "state_id"]),
+        ("values", values(spark, sf), ["RegionName", "state_id"]),
+        ("places", places(spark, sf), ["zip_int", "state"]),
+    )
+    return [tables.save_bucketed(df, f"{name}_{what}", keys, buckets, f"{home}/{what}") for what, df, keys in stored]
+
+
+@query
+def area_profile_bucketed(spark, sf):
+    """The profile from tables that meet without a shuffle."""
+    own_areas, own_values, own_places = _bucketed(spark, sf, scratch.folder(spark, "buckets"))
+    found = marts.area_profile(own_areas, own_values, market(spark, sf), own_places)
+    return rounded(found, "mean_stars", "weighted_stars", "category_stars")
+
+
+@query
+def area_drilldown_clustered(spark, sf):
+    """The drill-down into one area from files in ranges of the zip, with Bloom filters."""
+    home = scratch.folder(spark, "clustered")
+    stored = {"areas": (areas(spark, sf), "zip"), "values": (values(spark, sf), "RegionName"), "places": (places(spark, sf), "zip_int")}
+    for name, (df, zip_column) in stored.items():
+        tables.save_clustered(df, f"{home}/{name}", zip_column, files=16, distinct=10_000)
+    own = {name: spark.read.schema(df.schema).parquet(f"{home}/{name}") for name, (df, _) in stored.items()}
+    found = marts.area_profile(own["areas"], own["values"], market(spark, sf), own["places"], zip=8)
+    return rounded(found, "mean_stars", "weighted_stars", "category_stars")
+
+
+@query
+def price_range_clustered(spark, sf):
+    """Areas in a price range from their last values stored in ranges of the value."""
+    home = scratch.folder(spark, "clustered")
+    latest = marts.latest_value(values(spark, sf))
+    tables.save_clustered(latest, home, "home_value", files=16)
+    return spark.read.schema(latest.schema).parquet(home).where(F.col("home_value").between(100000, 250000))
+
+
+def _misspelt(spark, sf):
+    """County labels as someone typed them: one letter lost, doubled or replaced, or two swapped, for each customer."""
+    label, key = F.col("n_name"), F.col("c_custkey")
+    at = F.pmod(key, F.length("n_name")).cast("int") + 1
+    head, letter, tail = F.substring(label, F.lit(1), at - 1), F.substring(label, at, F.lit(1)), F.substring(label, at + 1, F.length(label))
+    typed = (
+        F.when(key % 5 == 0, F.concat(head, tail))
+        .when(key % 5 == 1, F.concat(head, letter, letter, tail))
+        .when(key % 5 == 2, F.concat(head, F.lit("x"), tail))
+        .when(key % 5 == 3, F.concat(head, F.substring(tail, 1, 1), letter, F.substring(tail, F.lit(2), F.length(label))))
+        .otherwise(F.concat(F.lit("zzz"), label))
+    )
+    return frames.customer_regions(spark, sf).select(N.label("r_name").alias("state_id"), N.label(typed).alias("county_name"))
+
+
+@query
+def orphan_counties(spark, sf):
+    """For each typed county without market figures, the county of its state that was probably meant."""
+    known = market(spark, sf).select("county_name", "state_id")
+    typed = quality.orphans(_misspelt(spark, sf), known, ["county_name", "state_id"]).where("side = 'left'")
+    return nearest_labels(typed, known, "county_name", within=["state_id"])
+
+
+@query
+def quality_sketches(spark, sf):
+    """Distinct counts and quantiles over the places of three deliveries, united from the sketches kept of each."""
+    home, rows = scratch.folder(spark, "sketches"), frames.raw_place(spark, sf)
+    for n, (low, high) in enumerate(((0, 40), (30, 70), (60, 100))):
+        part = rows.where((F.col("review_count") >= low) & (F.col("review_count") < high))
+        found = sketches.sketch(part, ["address", "city", "categories", "postal_code"], ["stars", "review_count", "latitude"])
+        sketches.keep(found, home, f"d{n}")
+    return sketches.estimates(sketches.united(sketches.kept(spark, home)))
+
+
 # -- streams ------------------------------------------------------------------------------
 
 # Successive deliveries of the event stream; the ends are open.
