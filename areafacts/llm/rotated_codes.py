@@ -5,7 +5,7 @@ distance from the mean and the inner product of the direction with its own code.
 is estimated from the code; the correction by that inner product makes the estimate unbiased, and a multiple of its
 standard error bounds it. Pass one reads codes only and finds, for each query, the k-th smallest upper bound over all
 vectors. Pass two reranks, by exact distance on the original vectors, whatever has a lower bound at or below it. A
-neighbour is missed only where the bound fails.
+neighbour is missed only where the bound fails. A pair whose bound leaves the range of doubles is reranked.
 
 Every vector is indexed and every candidate gets an estimate; queries go in blocks. A task sends k bounds or hits for
 each query of a block, so hot regions and copies do not add to the shuffle.
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from areafacts import scratch
 from areafacts.llm import vectors as V
 
+# Vectors with larger components have no part in the centre: their squares would leave the range of doubles.
+HUGE = 1e100
 # Standard errors that the bound allows for; the estimate's tail is Gaussian.
 CONFIDENCE = 3.0
 SEED = 20240131
@@ -41,13 +43,14 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
 
 
 def mean_vector(rows: DataFrame, dim: int) -> np.ndarray:
-    """Mean of all vectors of one length; tasks send one partial sum each."""
+    """Mean of the vectors of one length without HUGE components; tasks send one partial sum each."""
     schema = pa.schema([("n", pa.int64()), ("total", pa.list_(pa.float64()))])
 
     def add(batches):
         n, total = 0, np.zeros(dim)
         for b in V.slices(batches):
             m = V.matrix(b.column("vector"))
+            m = m[np.abs(m).max(axis=1) <= HUGE] if len(m) else m
             n, total = n + len(m), total + (m / 2.0**10).sum(axis=0) if len(m) else total
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tolist()], schema.field(1).type)], schema=schema)
 
@@ -68,7 +71,8 @@ def index(rows: DataFrame, dim: int, centre: np.ndarray) -> DataFrame:
     def encode(batches):
         for b in V.slices(batches):
             away = V.matrix(b.column("vector")) - centre
-            norm = np.sqrt((away**2).sum(axis=1))
+            with np.errstate(over="ignore"):
+                norm = np.sqrt((away**2).sum(axis=1))
             turned = (away / np.where(norm > 0, norm, 1)[:, None]) @ turn
             code = np.packbits(turned > 0, axis=1)
             own = np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1])
@@ -98,10 +102,26 @@ class Bounds:
         safe = np.where(own > 0, own, 1)
         estimate = (self.turned @ signs.T) / safe
         error = self.confidence * np.sqrt(np.maximum(1 - safe**2, 0)) / safe / np.sqrt(max(self.bits - 1, 1)) + 1e-5
-        middle = norm**2 + (self.norm**2)[:, None]
-        cross = 2 * self.norm[:, None] * norm
-        slack = 1e-9 * middle
-        return middle - cross * np.minimum(estimate + error, 1) - slack, middle - cross * np.maximum(estimate - error, -1) + slack
+        with np.errstate(over="ignore", invalid="ignore"):
+            middle = norm**2 + (self.norm**2)[:, None]
+            cross = 2 * self.norm[:, None] * norm
+            slack = 1e-9 * middle
+            lower = middle - cross * np.minimum(estimate + error, 1) - slack
+            upper = middle - cross * np.maximum(estimate - error, -1) + slack
+        # no bound where a norm is too large
+        return np.where(np.isfinite(lower), lower, -np.inf), np.where(np.isfinite(upper), upper, np.inf)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances row by row; scaled first where the squares leave the range of doubles."""
+    with np.errstate(over="ignore"):
+        away = a - b
+        found = np.sqrt((away**2).sum(axis=1))
+    large = ~np.isfinite(found)
+    if large.any():
+        top = np.maximum(np.abs(a[large]).max(axis=1), np.abs(b[large]).max(axis=1))[:, None]
+        found[large] = np.sqrt(((a[large] / top - b[large] / top) ** 2).sum(axis=1)) * top[:, 0]
+    return found
 
 
 def _upper(block: V.Queries, centre: np.ndarray, k: int, confidence: float):
@@ -132,7 +152,7 @@ def _rerank(block: V.Queries, centre: np.ndarray, limit: np.ndarray, k: int, con
             query, row = np.nonzero((lower <= limit[:, None]) & (block.ids[:, None] != ids[None, :]))
             for i in range(0, len(query), 65536):
                 q, r = query[i : i + 65536], row[i : i + 65536]
-                best.add(block.ids[q], np.sqrt(((rows[r] - block.vectors[q]) ** 2).sum(axis=1)), ids[r])
+                best.add(block.ids[q], _distances(rows[r], block.vectors[q]), ids[r])
         query, distance, ids = best.cut()
         yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(ids), pa.array(distance)], schema=schema)
 

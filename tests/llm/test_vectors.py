@@ -94,6 +94,38 @@ def test_nearest_cases(spark):
     assert [r[3] for r in found] == pytest.approx([r[3] for r in expected], abs=1e-12)
 
 
+@pytest.mark.parametrize("huge", [1e200, 1e308])
+def test_huge_components_hide_nothing(spark, random_rows, huge):
+    """One vector with components whose squares no double holds, as a candidate and as a query."""
+    rows = [(i, v) for i, v in random_rows] + [(9000, [huge] + [0.0] * 5), (9001, [-huge, 1.0, 1.0, 0.0, 0.0, 0.0])]
+    found = got(rotated_codes.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, 5))
+    queries = sorted({i for i, _ in rows if i % 100 == 0})
+    assert sorted({r[0] for r in found}) == queries and len(found) == 5 * len(queries)
+    expected = {(q, n): (i, d) for q, n, i, d in brute(rows, 5, math.dist, any, False)}
+    hits = [r for r in found if r[0] != 9000 and expected[r[0], r[1]][0] == r[2]]
+    assert len(hits) >= 0.95 * 5 * (len(queries) - 1)
+    assert all(r[3] == pytest.approx(huge, rel=1e-12) for r in found if r[0] == 9000 and r[2] != 9001)
+
+
+LARGER = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="driver tables are not here")
+def test_recall_of_every_block_at_sf01(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", 7)  # 20 queries, three blocks
+    df = spark.read.parquet(f"{LARGER}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    vectors = {i: np.array(v, float) for i, v in rows}
+    found = got(rotated_codes.nearest(df, F.col("vec_id") % 100 == 0, 10))
+    ids, whole = np.array(list(vectors)), np.array(list(vectors.values()))
+    share = {}
+    for q in sorted({r[0] for r in found}):
+        distance = np.sqrt(((whole - vectors[q]) ** 2).sum(axis=1))
+        order = [i for i in ids[np.lexsort((ids, distance))] if i != q][:10]
+        share[q] = len(set(order) & {r[2] for r in found if r[0] == q}) / 10
+    assert len(share) == 20 and min(share.values()) >= 0.8 and np.mean(list(share.values())) >= 0.95
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 def test_recall_on_the_embeddings(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
