@@ -148,14 +148,15 @@ def label(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 def accepted(docs: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of ``least`` or more, unchanged and not shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    readable = "__readable"
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")  # so that no name can clash
+    rows = docs.select(whole, _readable(docs[f"`{text_column}`"]).alias("readable"))
 
     def take(batches):
         for b in batches:
             for start in range(0, b.num_rows, 512):
                 part = b.slice(start, 512)
-                names, score, _, _ = _labelled(shared.value, texts(part.column(readable)))
+                names, score, _, _ = _labelled(shared.value, texts(part.column("readable")))
                 keep = [name != UNKNOWN and s >= least for name, s in zip(names, score)]
-                yield part.drop_columns([readable]).filter(pa.array(keep, pa.bool_()))
+                yield part.drop_columns(["readable"]).filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn(readable, _readable(docs[f"`{text_column}`"])).mapInArrow(take, docs.schema)
+    return rows.mapInArrow(take, rows.drop("readable").schema).select("row.*")

@@ -236,22 +236,22 @@ def redact(
     """``docs`` with every span replaced by ``sign``; rows without a span are unchanged. ``size_column``, if given, is
     set to the new number of characters where a text changed."""
     names = " ".join(identifiers).encode()
+    place, size_place = (docs.columns.index(c) if c is not None else None for c in (text_column, size_column))
 
     def take(batches):
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
-                old = part.column(text_column).to_pylist()
+                old = part.column(place).to_pylist()
                 new = []
                 for text in old:
                     spans = base_spans(text) + novel_spans(text, names, novelty) if text else []
                     new.append(redacted(text, spans, sign) if spans else text)
-                at = part.schema.get_field_index(text_column)
-                if size_column is not None:
-                    sizes = part.column(size_column)
+                if size_place is not None:
+                    sizes = part.column(size_place)
                     values = [s if n is o or n == o else len(n) for s, n, o in zip(sizes.to_pylist(), new, old)]
-                    place = part.schema.get_field_index(size_column)
-                    part = part.set_column(place, part.schema.field(place), pa.array(values, sizes.type))
-                yield part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+                    part = part.set_column(size_place, part.schema.field(size_place), pa.array(values, sizes.type))
+                yield part.set_column(place, part.schema.field(place), pa.array(new, part.schema.field(place).type))
 
-    return docs.mapInArrow(take, docs.schema)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever the columns are called
+    return numbered.mapInArrow(take, numbered.schema).toDF(*docs.columns)

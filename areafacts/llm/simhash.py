@@ -231,12 +231,18 @@ def one_of_each(
 
     Texts are shuffled once, by id and hash, with exact repetitions of a row dropped in the tasks before.
     """
-    rows = docs.withColumn("__id", docs[f"`{id_column}`"].cast("long")).withColumn("__hash", F.xxhash64(docs[f"`{text_column}`"]))
-    named = rows.select(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__hash")).alias("row"), docs[f"`{text_column}`"].alias("text"))
+    text = docs[f"`{text_column}`"]
+    rows = docs.select(  # a row in a struct, so that no name can clash
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        docs[f"`{id_column}`"].cast("long").alias("id"),
+        F.xxhash64(text).alias("hash"),
+        text.alias("text"),
+    )
+    named = rows.select(F.struct(F.col("id").isNull(), "id", "hash").alias("row"), "text")
     fps = stored(fingerprints(named, shingle), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("row").alias("row")), "distinct")
     first = rooted(distinct, max_distance).groupBy("root").agg(F.min("row").alias("row"))
-    kept = first.select(F.col("row.__id").alias("__kept"), F.col("row.__hash").alias("__kept_hash"))
-    once = rows.dropDuplicates(["__id", "__hash"])
-    found = once.join(kept, F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi")
-    return found.drop("__id", "__hash")
+    kept = first.select(F.col("row.id").alias("kept"), F.col("row.hash").alias("kept_hash"))
+    once = rows.drop("text").dropDuplicates(["id", "hash"])
+    same = F.col("id").eqNullSafe(F.col("kept")) & (F.col("hash") == F.col("kept_hash"))
+    return once.join(kept, same, "left_semi").select("row.*")

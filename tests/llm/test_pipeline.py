@@ -133,3 +133,19 @@ def test_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = scratch.written(stage(spark, docs, ""), name)[0]
         assert docs.count() == 0
+
+
+def test_any_further_column_stays(spark):
+    """Columns with the names that stages use inside, in every stage that returns documents."""
+    names = ["__readable", "readable", "__id", "__hash", "hash", "__kept", "kept", "__n", "n", "row", "key", "times", "size", "a.b"]
+    rows = fixture()[:40] + fixture()[-14:]
+    docs = spark.createDataFrame([(*r, *[f"{n}{i}" for n in names]) for i, r in enumerate(rows)], spark.createDataFrame([], SCHEMA).schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", " + ", ".join(f"`{n}` string" for n in names))
+    of = {tuple(r): r for r in docs.select("doc_id", "`a.b`").collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = scratch.written(stage(spark, docs, ""), name)[0]
+        assert docs.columns[-len(names):] == names, name
+        for r in docs.collect():
+            tail = r["a.b"].removeprefix("a.b")
+            assert [r[n] for n in names] == [f"{n}{tail}" for n in names]
+            assert (r["doc_id"], r["a.b"]) in of
+    assert docs.count() > 10
