@@ -6,12 +6,14 @@ likewise.
 
 Leaves are dealt by range of (group, id) and numbered from the sizes of the ranges, so a hot group is spread like any
 other. A block of arity^6 leaves is one unit of work and gives six levels; the blocks' tops make the units of the next
-round. The levels are stored as node rows that name their parent: a node's children, the slot it has among its parent's
-children, and the parent's place. A node above a block is stored once for each block below it, so no more than arity^6
+round. The levels are stored as node rows that name their parent: the children of a node and of those above it, and the place
+and slot from which the next row goes on. A node above a block is stored once for each block below it, so no more than arity^6
 leaves ever meet one row.
 
 A recursive query then climbs from every leaf: each step joins the rows to their node, hashes the (possibly tampered)
-digest among its stored siblings, and appends the siblings; its last digest is compared with the root.
+digest among its stored siblings, and appends the siblings; its last digest is compared with the root. A node row holds
+``stride`` levels of its way up, so that the rows are shuffled once for these. Siblings above a block are the same for
+all its leaves: they are appended once, from the block's path.
 
 Defined cases: a null group is a group of its own, before all others; a null id comes before all ids and is not tampered.
 Rows that share group and id are ordered by their leaf; each has a row in the result. A null field hashes as ``-``, an
@@ -41,21 +43,24 @@ WITH RECURSIVE climb AS (
   SELECT at, block, 0 AS step, place, slot, digest, found, id FROM {leaves}
   UNION ALL
   SELECT c.at, c.block, c.step + 1, n.parent, n.parent_slot,
-         unhex(sha2(array_join(transform(n.children, (x, i) -> lower(hex(if(i = c.slot, c.digest, x)))), ''), 256)),
-         aggregate(filter(n.children, (x, i) -> i <> c.slot), X'', (acc, x) -> concat(acc, x)),
+         aggregate(n.path, c.digest, (acc, s) -> unhex(sha2(array_join(
+           transform(s.children, (x, i) -> lower(hex(if(i = coalesce(s.slot, c.slot), acc, x)))), ''), 256))),
+         CASE WHEN NOT n.above THEN aggregate(n.path, X'', (acc, s) -> aggregate(
+           filter(s.children, (x, i) -> i <> coalesce(s.slot, c.slot)), acc, (a, x) -> concat(a, x))) END,
          CAST(NULL AS LONG)
   FROM climb c JOIN {nodes} n ON c.block = n.block AND c.step = n.step AND c.place = n.place
 )
-SELECT at, step, digest, found, id FROM climb
+SELECT at, block, step, digest, found, id FROM climb WHERE found IS NOT NULL OR slot IS NULL
 """
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Children of a node, and the levels that one unit of work builds from at most ``unit`` nodes."""
+    """Children of a node, levels that one unit of work builds from at most ``unit`` nodes, levels of a step up."""
 
     arity: int = 3
     height: int = 6
+    stride: int = 3
 
     @property
     def unit(self) -> int:
@@ -113,8 +118,8 @@ def levels(nodes: Sequence[bytes], size: int, shape: Shape) -> list[list[bytes]]
 
 
 _UNIT = "tree long, unit long, block long, depth int, top binary, more long"
-_GROUP = "array<struct<step:int,place:int,children:array<binary>>>"
 _CHAIN = "array<struct<slot:int,children:array<binary>>>"
+_STEPS = f"array<struct<step:int,place:int,parent:int,parent_slot:int,path:{_CHAIN}>>"
 
 
 def _units(rows: DataFrame, shape: Shape) -> DataFrame:
@@ -128,7 +133,7 @@ def _units(rows: DataFrame, shape: Shape) -> DataFrame:
 
 
 def _built(each, shape: Shape):
-    """Arrow function over units; ``each(levels, arity)`` gives what is kept of a unit's levels."""
+    """Arrow function over units; ``each(levels, shape)`` gives what is kept of a unit's levels."""
 
     def build(batches):
         for whole in batches:
@@ -138,41 +143,52 @@ def _built(each, shape: Shape):
                 for tree, unit, size, block, nodes in zip(*(b.column(c).to_pylist() for c in ("tree", "unit", "size", "block", "nodes"))):
                     built = levels(nodes, size, shape)
                     more = -(-size // shape.unit)  # nodes of the tree on the level of the tops
-                    out.append((tree, unit, block, len(built) - 1, built[-1][0], more, each(built, shape.arity)))
+                    out.append((tree, unit, block, len(built) - 1, built[-1][0], more, each(built, shape)))
                 yield batch(_SCHEMAS[each], *zip(*out))
 
     return build
 
 
-def _groups(built, arity):
-    return [
-        (step, place, below[place * arity : (place + 1) * arity])
-        for step, below in enumerate(built[:-1])
-        for place in range(len(built[step + 1]))
-    ]
+def _way(built, shape, level, at):
+    """Where node ``at`` of a level climbs: its slot and the children it is among, up to ``stride`` levels."""
+    found = []
+    for below in built[level:-1][: shape.stride]:
+        found.append((at % shape.arity, below[at // shape.arity * shape.arity :][: shape.arity]))
+        at //= shape.arity
+    return found, at
+
+
+def _steps(built, shape):
+    """For the nodes of every ``stride``-th level that share a parent: the way up from it, and the place it leads to.
+
+    The first slot is open: it is that of the node that climbs. Nor is the last one known, at the top of the unit.
+    """
+    found = []
+    for step, level in enumerate(range(0, len(built) - 1, shape.stride)):
+        for place in range(len(built[level + 1])):
+            ((_, children), *more), at = _way(built, shape, level, place * shape.arity)
+            top = level + 1 + len(more) == len(built) - 1
+            found.append((step, place, at // shape.arity, None if top else at % shape.arity, [(None, children), *more]))
+    return found
 
 
-def _chains(built, arity):
+def _chains(built, shape):
     """For each node of the unit, the children it climbs among, level by level."""
-    return [
-        [
-            (at // arity**step % arity, below[at // arity ** (step + 1) * arity :][:arity])
-            for step, below in enumerate(built[:-1])
-        ]
-        for at in range(len(built[0]))
-    ]
+    whole = Shape(shape.arity, shape.height, len(built))
+    return [_way(built, whole, 0, at)[0] for at in range(len(built[0]))]
 
 
-_CHILDREN = pa.list_(pa.binary())
+_KEPT_CHAIN = pa.list_(pa.struct([("slot", pa.int32()), ("children", pa.list_(pa.binary()))]))
+_KEPT_STEP = pa.struct([*[(c, pa.int32()) for c in ("step", "place", "parent", "parent_slot")], ("path", _KEPT_CHAIN)])
 _NAMED = [("tree", pa.int64()), ("unit", pa.int64()), ("block", pa.int64()), ("depth", pa.int32()), ("top", pa.binary()), ("more", pa.int64())]
 _SCHEMAS = {
-    _groups: pa.schema([*_NAMED, ("kept", pa.list_(pa.struct([("step", pa.int32()), ("place", pa.int32()), ("children", _CHILDREN)])))]),
-    _chains: pa.schema([*_NAMED, ("kept", pa.list_(pa.list_(pa.struct([("slot", pa.int32()), ("children", _CHILDREN)]))))]),
+    _steps: pa.schema([*_NAMED, ("kept", pa.list_(_KEPT_STEP))]),
+    _chains: pa.schema([*_NAMED, ("kept", pa.list_(_KEPT_CHAIN))]),
 }
 
 
 def _round(rows: DataFrame, shape: Shape, purpose: str, chains: bool) -> DataFrame:
-    kept, kind = (_chains, f"array<{_CHAIN}>") if chains else (_groups, _GROUP)
+    kept, kind = (_chains, f"array<{_CHAIN}>") if chains else (_steps, _STEPS)
     return stored(_units(rows, shape).mapInArrow(_built(kept, shape), f"{_UNIT}, kept {kind}"), purpose)
 
 
@@ -217,45 +233,53 @@ def _paths(rounds: Sequence[DataFrame], above: DataFrame, shape: Shape) -> DataF
     return up
 
 
-def _node_rows(blocks: DataFrame, paths: DataFrame, arity: int) -> DataFrame:
-    """(block, step, place, children, parent, parent_slot) of the levels in blocks, and of those above for each block."""
+def _node_rows(blocks: DataFrame, paths: DataFrame, shape: Shape) -> DataFrame:
+    """(block, step, place, path, parent, parent_slot, above) of the levels in blocks, and of those above for each block."""
     inside = blocks.join(paths, "block").select(
-        "block", "depth", F.get("path", F.lit(0))["slot"].alias("slot"), F.explode("kept").alias("g")
+        "block", F.get("path", F.lit(0))["slot"].alias("slot"), F.explode("kept").alias("s")
     )
-    place, top = F.col("g.place"), F.col("g.step") + 1 == F.col("depth")
     inside = inside.select(
-        "block",
-        "g.step",
-        "g.place",
-        "g.children",
-        F.when(top, 0).otherwise(F.floor(place / arity)).cast("int").alias("parent"),
-        F.when(top, F.col("slot")).otherwise(place % arity).cast("int").alias("parent_slot"),
+        "block", "s.step", "s.place", "s.path", "s.parent", F.coalesce("s.parent_slot", "slot").alias("parent_slot"), F.lit(False).alias("above")
     )
-    above = blocks.select("block", "depth").join(paths, "block").select("block", "depth", "path", F.posexplode("path").alias("i", "g"))
+    stride = F.lit(shape.stride)
+    parts = F.sequence(F.lit(0), F.ceil(F.size("path") / stride).cast("int") - 1)
+    above = blocks.select("block", "depth").join(paths.where(F.size("path") > 0), "block")
+    above = above.select("block", "depth", "path", F.explode(parts).alias("i"))
     above = above.select(
         "block",
-        (F.col("depth") + F.col("i")).alias("step"),
+        (F.ceil(F.col("depth") / stride).cast("int") + F.col("i")).alias("step"),
         F.lit(0).alias("place"),
-        "g.children",
+        F.slice("path", F.col("i") * stride + 1, stride).alias("path"),
         F.lit(0).alias("parent"),
-        F.get("path", F.col("i") + 1)["slot"].alias("parent_slot"),
+        F.get("path", (F.col("i") + 1) * stride)["slot"].alias("parent_slot"),
+        F.lit(True).alias("above"),
     )
     return inside.union(above)
 
 
-def _climbed(leaves: DataFrame, nodes: DataFrame, purpose: str = "climb") -> DataFrame:
-    """Every row's way up, gathered: (id, own, digest at the root, siblings by step)."""
+def _text(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
+def _siblings(path: Column) -> Column:
+    """Digests along a path, without the one that climbs, as text."""
+    each = F.transform(path, lambda s: F.transform(F.filter(s["children"], lambda x, i: i != s["slot"]), _text))
+    return F.array_join(F.flatten(each), "")
+
+
+def _climbed(leaves: DataFrame, nodes: DataFrame, above: DataFrame) -> DataFrame:
+    """Every row's way up, gathered: (id, own, folded, subroot, proof_sha256). ``above``: (block, siblings, subroot)."""
     spark = leaves.sparkSession
     before = spark.conf.get(_ROW_LIMIT, None)
     spark.conf.set(_ROW_LIMIT, "-1")  # as many rows as leaves and levels
     try:
         steps = spark.sql(CLIMB, leaves=leaves, nodes=nodes)
-        way = F.sort_array(F.collect_list(F.struct("step", "found")))
-        rows = steps.groupBy("at").agg(F.max("id").alias("id"), F.max_by("digest", "step").alias("folded"), way.alias("way"))
-        siblings = F.array_join(F.transform(F.slice("way", 2, F.size("way")), lambda s: F.lower(F.hex(s["found"]))), "")
-        return stored(
-            rows.select("id", F.col("way")[0]["found"].alias("own"), "folded", F.sha2(siblings, 256).alias("proof_sha256")), purpose
-        )
+        way = F.sort_array(F.collect_list(F.when(F.col("found").isNotNull(), F.struct("step", "found"))))
+        rows = steps.groupBy("at", "block").agg(F.max("id").alias("id"), F.max_by("digest", "step").alias("folded"), way.alias("way"))
+        inside = F.array_join(F.transform(F.slice("way", 2, F.size("way")), lambda s: _text(s["found"])), "")
+        joined = rows.join(above, "block")
+        proof = F.sha2(F.concat(inside, "siblings"), 256).alias("proof_sha256")
+        return stored(joined.select("id", F.col("way")[0]["found"].alias("own"), "folded", "subroot", proof), "climb")
     finally:
         spark.conf.unset(_ROW_LIMIT) if before is None else spark.conf.set(_ROW_LIMIT, before)
 
@@ -281,6 +305,7 @@ def manifest(
         F.unhex(leaf(list(columns.values()))).alias("digest"),
         F.unhex(leaf(list({**columns, **tampered}.values()))).alias("changed"),
     )
+    leaves = stored(leaves, "hashed")  # the texts are read once, not again to find the ranges
     ordered = stored(numbered(leaves, "source", ["id", "digest", "changed"]).drop("source").withColumnRenamed("tree_at", "tree"), "leaves")
     blocks = _round(ordered, shape, "blocks", chains=False)
     rounds = _rounds_above(blocks, shape)
@@ -301,10 +326,9 @@ def manifest(
         paths = paths.union(inner.select("block", "path", "subroot"))
     paths = stored(paths, "paths")
 
-    nodes = stored(_node_rows(blocks, paths.select("block", "path"), shape.arity), "nodes")
-    of_block = blocks.select("tree", "unit", "block", "depth").join(
-        paths.select("block", "subroot", F.get("path", F.lit(0))["slot"].alias("slot")), "block"
-    )
+    nodes = stored(_node_rows(blocks, paths.select("block", "path"), shape), "nodes")
+    start = paths.select("block", F.get("path", F.lit(0))["slot"].alias("slot"))
+    of_block = blocks.select("tree", "unit", "block", "depth").join(start, "block")
     place = F.col("pos") % shape.unit
     alone = F.col("depth") == 0
     seeds = ordered.withColumn("unit", F.floor(F.col("pos") / shape.unit)).join(of_block, ["tree", "unit"]).select(
@@ -313,22 +337,19 @@ def manifest(
         F.when(alone, 0).otherwise(F.floor(place / shape.arity)).cast("int").alias("place"),
         F.when(alone, F.col("slot")).otherwise(place % shape.arity).cast("int").alias("slot"),
         F.col("changed").alias("digest"),
-        F.concat("digest", "subroot").alias("found"),
+        F.col("digest").alias("found"),
         "id",
     )
-    climbed = _climbed(stored(seeds, "seeds"), nodes)
-
-    def text(c: Column) -> Column:
-        return F.lower(F.hex(c))
+    above = paths.select("block", _siblings(F.col("path")).alias("siblings"), "subroot")
+    climbed = _climbed(stored(seeds, "seeds"), nodes, above)
 
     top = F.lit(root["top"].hex() if root else None).cast("string")
-    folded = text(F.col("folded"))
     return climbed.select(
         F.col("id").alias(id_column),
-        text(F.substring("own", 1, 32)).alias("leaf"),
-        text(F.substring("own", 33, 32)).alias("subroot"),
+        _text(F.col("own")).alias("leaf"),
+        _text(F.col("subroot")).alias("subroot"),
         top.alias("root"),
         "proof_sha256",
-        folded.alias("folded_root"),
-        (folded == top).alias("verified"),
+        _text(F.col("folded")).alias("folded_root"),
+        (_text(F.col("folded")) == top).alias("verified"),
     )

@@ -99,12 +99,12 @@ def test_few_rows(spark, n):
     assert found(spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA)) == brute(rows, even_crc)
 
 
-@pytest.mark.parametrize("height", [1, 2])
-def test_trees_of_several_rounds(spark, height):
-    """Units of 3 or 9 nodes: a hot group over many rounds, and more groups than a unit holds."""
+@pytest.mark.parametrize("height,stride", [(1, 1), (2, 3), (3, 2)])
+def test_trees_of_several_rounds(spark, height, stride):
+    """Units of 3 to 27 nodes: a hot group over many rounds, and more groups than a unit holds."""
     rows = [(i, "hot" if i % 3 else f"s{i % 33:02d}", "en", 1, f"{i}\n{i}") for i in range(240)]
     df = spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA)
-    assert found(df, shape=merkle.Shape(3, height)) == brute(rows, even_crc)
+    assert found(df, shape=merkle.Shape(3, height, stride)) == brute(rows, even_crc)
 
 
 def test_levels_of_a_unit():
