@@ -30,7 +30,7 @@ from areafacts.llm.lattice import SPACE, Known, Lattice, Vocabulary, uniform
 
 SEED = 3
 # Characters of text whose lattices a task holds at once (one text more, if it is longer).
-AT_ONCE = 1_250_000
+AT_ONCE = 800_000
 REACH = 60.0
 MASK = 2**64 - 1
 
@@ -195,6 +195,17 @@ def restored(table: list[bytes], ids: list[int]) -> bytes:
     return b"".join(map(table.__getitem__, ids)).removeprefix(b" ")
 
 
+def gives_back(table: pa.Array, flat: np.ndarray, sizes: list[int], texts: list[bytes]) -> list[bool]:
+    """Whether each run of pieces decodes to its text; the pieces of all runs are looked up and joined in Arrow."""
+    joined = table.take(pa.array(flat, pa.int32()))
+    _, offsets, data = joined.buffers()
+    if data is None:
+        return [not t for t in texts]
+    ends = np.frombuffer(offsets, np.int32)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+    whole = memoryview(data)
+    return [bytes(whole[a:b]).removeprefix(b" ") == t for a, b, t in zip(ends, ends[1:], texts)]
+
+
 def restore(table: list[bytes], ids: list[int]) -> str:
     return restored(table, ids).decode("utf-8", "replace")
 
@@ -219,16 +230,15 @@ def encode(
 
     def take(batches):
         known = Known(shared.value)
-        table = decoded(shared.value)
+        table = pa.array(decoded(shared.value), pa.binary())
         for ids, texts in _gathered(batches):
             found = top_k([0 if i is None else i for i in ids], texts, k, known)
             flat = [(i, n + 1, *sample) for i, samples in zip(ids, found) for n, sample in enumerate(samples)]
             read = [t.replace(SPACE, " ").encode("utf-8", "surrogatepass") for t in texts]
-            same = [restored(table, s[0].tolist()) == t for t, samples in zip(read, found) for s in samples]
             sizes = [len(s[2]) for s in flat]
-            pieces = pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate([s[2] for s in flat]).astype(np.int32))
-            )
+            together = np.concatenate([s[2] for s in flat]).astype(np.int32)
+            same = gives_back(table, together, sizes, [t for t, samples in zip(read, found) for _ in samples])
+            pieces = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(together))
             yield batch(out, [s[0] for s in flat], [s[1] for s in flat], [s[3] for s in flat], [s[4] for s in flat], sizes, pieces, same)
 
     return rows.mapInArrow(take, SAMPLES)

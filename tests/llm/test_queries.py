@@ -8,7 +8,8 @@ import zlib
 import pytest
 
 import __spark_entry__ as entry
-from areafacts.llm import queries, secrets
+from areafacts.llm import queries, secrets, segmentation
+from areafacts.llm.lattice import SPACE
 from areafacts.llm.oracle import ORACLE
 from tests.llm.test_lm_scoring import expected as scored
 from tests.llm.test_secrets import plain_base
@@ -69,6 +70,19 @@ def test_secrets(spark, docs):
     assert {r[0]: r[:5] for r in rows} == wanted and len(rows) == len(docs)
 
 
+def test_segmentation_decodes_to_every_text(spark, docs):
+    """Two different samples of every text (one of an empty one), each of which gives it back."""
+    rows = queries.QUERIES["op2_segmentation"](spark, SF)
+    text = {i: (t or "").replace(SPACE, " ") for i, t, _ in docs}
+    samples = {}
+    for r in rows.collect():
+        assert r["round_trip"] and r["n_pieces"] == len(r["pieces"]) and r["log_probability"] <= 0
+        samples.setdefault(r["doc_id"], set()).add(tuple(r["pieces"]))
+    assert set(samples) == set(text) and all(len(samples[i]) == (2 if text[i] else 1) for i in text)
+    back = segmentation.decode(rows, queries.PIECES).collect()
+    assert len(back) == sum(map(len, samples.values())) and all(r["text"] == text[r["doc_id"]] for r in back)
+
+
 def test_simhash(spark, docs):
     assert found(spark, "op9_simhash") == fingerprinted([(i, t) for i, t, _ in docs])
 

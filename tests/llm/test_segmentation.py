@@ -6,6 +6,7 @@ import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from areafacts.llm import segmentation
@@ -141,3 +142,14 @@ def test_rows(spark):
     odd = spark.createDataFrame([(1, None), (2, [None, 10**6]), (3, [])], "doc_id long, pieces array<int>")
     assert [r["text"] for r in segmentation.decode(odd, MODEL).collect()] == ["", "", ""]
     assert segmentation.encode(docs.where("false"), MODEL).collect() == []
+
+
+def test_pieces_joined_in_arrow_are_those_decoded_one_by_one():
+    table = segmentation.decoded(small())
+    rng = np.random.default_rng(3)
+    runs = [rng.integers(0, len(table), n) for n in (0, 5, 1, 300, 0)]
+    texts = [segmentation.restored(table, r.tolist()) for r in runs]
+    arrow, sizes, flat = pa.array(table, pa.binary()), [len(r) for r in runs], np.concatenate(runs)
+    assert segmentation.gives_back(arrow, flat, sizes, texts) == [True] * 5
+    assert segmentation.gives_back(arrow, flat, sizes, [t + b"x" for t in texts]) == [False] * 5
+    assert segmentation.gives_back(arrow, flat[:0], [0, 0], [b"", b"a"]) == [True, False]
