@@ -186,14 +186,21 @@ def raw_place(spark: SparkSession, sf: str) -> DataFrame:
 def raw_value_index(spark: SparkSession, sf: str) -> DataFrame:
     """Wide table: ids, the oldest month, which stays an id, and the months after it."""
     columns = months(spark, sf)
+    first = columns[0][0]
+    since_first = (F.year("o_orderdate") - int(first[:4])) * 12 + F.month("o_orderdate") - int(first[5:])
+    # A customer's months meet as a map and become columns after the join: a pivot would keep a buffer of all months for
+    # each customer of a task, before its shuffle as well.
     by_month = (
         table(spark, sf, "orders")
-        .withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+        .where(F.col("o_orderdate").isNotNull())
+        .groupBy("o_custkey", since_first.alias("month"))
+        .agg(F.sum(money("o_totalprice")).cast("double").alias("total"))
         .groupBy("o_custkey")
-        .pivot("month", [month for month, _ in columns])
-        .agg(F.sum(money("o_totalprice")))
+        .agg(F.map_from_entries(F.collect_list(F.struct("month", "total"))).alias("totals"))
     )
     wide = customer_regions(spark, sf).join(by_month, F.col("c_custkey") == F.col("o_custkey"), "left")
+    cells = F.transform(F.sequence(F.lit(0), F.lit(len(columns) - 1)), lambda month: F.col("totals")[month])
+    wide = wide.withColumn("cells", cells)
     return wide.select(
         (F.col("c_custkey") + 1000000).cast("int").alias("RegionID"),
         F.col("c_nationkey").alias("SizeRank"),
@@ -204,5 +211,5 @@ def raw_value_index(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_name").alias("City"),
         F.col("c_mktsegment").alias("Metro"),
         county_label().alias("CountyName"),
-        *[F.col(month).cast("double").alias(name) for month, name in columns],
+        *[F.col("cells")[i].alias(name) for i, (_, name) in enumerate(columns)],
     )
