@@ -68,25 +68,31 @@ def value_trend(
     return trend.orderBy(*by, "period") if ordered else trend
 
 
-def value_series(values: DataFrame, months_from: str | None = None, months_to: str | None = None) -> DataFrame:
+def value_series(
+    values: DataFrame, months_from: str | None = None, months_to: str | None = None, partitions: int | None = None
+) -> DataFrame:
     """Home value of every area in every month, gaps closed: ``zip, state_id, month, home_value, known, months_old``.
 
     A month without a known value carries the last one (``known`` false, ``months_old`` its age); before the first it is
-    null. The calendar goes from the first to the last month of the table, or the given ones. Rows are dealt by area once;
-    each row then makes the months up to its area's next row, so no calendar is joined.
+    null. The calendar goes from the first to the last month of the table, or the given ones. Rows are dealt by area once,
+    to ``partitions`` tasks (the session's number if none is given), and sorted once; each row then makes the months up to
+    its area's next row, so no calendar is joined. Means and gaps are windows over the sorted rows: a hash aggregate by
+    month would keep every row of its task, as hardly any two are of one month.
     """
     rows = _values_by_zip(values).where(F.col("month").isNotNull())
     month = F.trunc("month", "month")
     span = values.agg(*[F.trunc(f(F.col("Date").try_cast("date")), "month").alias(n) for n, f in (("a", F.min), ("b", F.max))])
     start = span.select("a").scalar() if months_from is None else F.trunc(F.lit(months_from).cast("date"), "month")
     end = span.select("b").scalar() if months_to is None else F.trunc(F.lit(months_to).cast("date"), "month")
+    by_month = Window.partitionBy(*AREA).orderBy("at")
+    dealt = rows.select(*AREA, month.alias("at"), "Value")
+    dealt = dealt.repartition(*AREA) if partitions is None else dealt.repartition(partitions, *AREA)
     monthly = (
-        rows.select(*AREA, month.alias("at"), "Value")
-        .repartition(*AREA)
-        .groupBy(*AREA, "at")
-        .agg(F.avg("Value").alias("mean"))
+        dealt.withColumn("mean", F.avg("Value").over(Window.partitionBy(*AREA, "at")))
+        .withColumn("before", F.lag("at").over(by_month))
+        .where(F.col("before").isNull() | (F.col("before") < F.col("at")))
+        .select(*AREA, "at", "mean")
     )
-    by_month = Window.partitionBy(*AREA).orderBy("at")
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dated = monthly.select(
         *AREA,

@@ -75,6 +75,16 @@ def values(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.value_index(frames.raw_value_index(spark, sf))
 
 
+# Fixed value: rows that one task sorts, or one file of a layout holds.
+ROWS_A_TASK = 1_000_000
+
+
+def _value_tasks(spark: SparkSession, sf: str, least: int) -> int:
+    """Tasks for the rows of the value index, which are one per customer and month; footers are read, no rows."""
+    rows = frames.table(spark, sf, "customer").count() * len(frames.months(spark, sf))
+    return max(least, -(-rows // ROWS_A_TASK))
+
+
 # -- expressions and rules ---------------------------------------------------------
 
 
@@ -551,13 +561,14 @@ def area_drilldown(spark, sf):
 @query
 def value_series(spark, sf):
     """Every month of every area, a missing value carried forward."""
-    found = marts.value_series(values(spark, sf))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = marts.value_series(values(spark, sf), partitions=_value_tasks(spark, sf, least))
     return rounded(found, "home_value")
 
 
 def _bucketed(spark, sf, home):
-    """Areas, values and places as tables bucketed by zip and state."""
-    name, buckets = "areafacts_" + home.rsplit("-", 1)[-1], 16
+    """Areas, values and places as tables bucketed by zip and state, as many buckets as the values need."""
+    name, buckets = "areafacts_" + home.rsplit("-", 1)[-1], _value_tasks(spark, sf, 16)
     stored = (
         ("areas", areas(spark, sf), ["zip", "state_id"]),
         ("values", values(spark, sf), ["RegionName", "state_id"]),
@@ -577,10 +588,10 @@ def area_profile_bucketed(spark, sf):
 @query
 def area_drilldown_clustered(spark, sf):
     """The drill-down into one area from files in ranges of the zip, with Bloom filters."""
-    home = scratch.folder(spark, "clustered")
+    home, files = scratch.folder(spark, "clustered"), _value_tasks(spark, sf, 16)
     stored = {"areas": (areas(spark, sf), "zip"), "values": (values(spark, sf), "RegionName"), "places": (places(spark, sf), "zip_int")}
     for name, (df, zip_column) in stored.items():
-        tables.save_clustered(df, f"{home}/{name}", zip_column, files=16, distinct=10_000)
+        tables.save_clustered(df, f"{home}/{name}", zip_column, files=files, distinct=10_000)
     own = {name: spark.read.schema(df.schema).parquet(f"{home}/{name}") for name, (df, _) in stored.items()}
     found = marts.area_profile(own["areas"], own["values"], market(spark, sf), own["places"], zip=8)
     return rounded(found, "mean_stars", "weighted_stars", "category_stars")
