@@ -128,19 +128,73 @@ def value_index(
     ``drop_nulls`` every month takes its first known value among the region's
     rows. ``stamped`` adds the ingest date, which ``as_of`` only sets.
     """
+    one = _one_wide(df, order_by, dates_from, dates_to, drop_nulls, value_prefix)
+    long = wide_to_long(one, value_prefix, drop_nulls=drop_nulls)
+    return N.stamp(long, as_of) if stamped else long
+
+
+_REGION_KEYS = [k for k in S.VALUE_KEYS if k != "Date"]
+
+
+def _one_wide(
+    df: DataFrame, order_by: Order, dates_from: str | None, dates_to: str | None, drop_nulls: bool, value_prefix: str
+) -> DataFrame:
+    """One wide row per region and state."""
     # months nobody wants are neither read nor shuffled, nor do they take part in the choice between rows
     ids, months = split_columns(df.columns, value_prefix)
     months = [m for m in months if (dates_from is None or m >= dates_from) and (dates_to is None or m <= dates_to)]
     df = df.select(*[F.col(quoted(c)) for c in (*ids, *months)])
     named = rename_required(conform(df, S.RAW_VALUE_IDS), {"State": "state_id", "CountyName": "county_name"})
     cleaned = named.withColumns({"state_id": N.label("state_id"), "county_name": N.county("county_name")})
-    region_keys = [k for k in S.VALUE_KEYS if k != "Date"]
     if drop_nulls:
-        one = _first_known(cleaned, region_keys, order_by, months)
-    else:
-        one = _survivors(cleaned, region_keys, order_by)
-    long = wide_to_long(one, value_prefix, drop_nulls=drop_nulls)
-    return N.stamp(long, as_of) if stamped else long
+        return _first_known(cleaned, _REGION_KEYS, order_by, months)
+    return _survivors(cleaned, _REGION_KEYS, order_by)
+
+
+_GROUP, _CELLS, _BEFORE = "__group", "__cells", "__before"
+
+
+def value_index_groups(
+    groups: Sequence[DataFrame],
+    as_of: AsOf = None,
+    order_by: Order = None,
+    dates_from: str | None = None,
+    dates_to: str | None = None,
+    value_prefix: str = S.VALUE_COLUMN_PREFIX,
+    stamped: bool = False,
+) -> DataFrame:
+    """:func:`value_index` of frames with different months: of a region's rows, the first that has a month gives it.
+
+    The rows of a region meet while they are wide; each is unpivoted past the months of those before it, so no long row
+    is shuffled or sorted.
+    """
+    wide = [_one_wide(group, order_by, dates_from, dates_to, False, value_prefix) for group in groups]
+    parts = [split_columns(one.columns, value_prefix) for one in wide]
+    months = sorted({m for _, own in parts for m in own})
+    if not months:
+        raise ValueError(f"no value column: none starts with {value_prefix!r} in the given date range")
+    rows = []
+    for number, (one, (ids, own)) in enumerate(zip(wide, parts)):
+        cells = [F.col(quoted(m)).try_cast("double") if m in own else F.lit(None).cast("double") for m in months]
+        extra = [F.lit(number).alias(_GROUP), F.array(*cells).alias(_CELLS)]
+        rows.append(one.select(*[F.col(quoted(c)) for c in ids], *extra))
+    met = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    ordered = Window.partitionBy(*_REGION_KEYS).orderBy(*(order_by or []), content_hash(met))
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    met = met.withColumn(_BEFORE, F.collect_list(_GROUP).over(earlier))
+    headers = F.array(*[F.array(*[F.lit(months.index(m)) for m in own]).cast("array<int>") for _, own in parts])
+    names = F.array(*[F.lit(m) for m in months])
+    taken = F.flatten(F.transform(_BEFORE, lambda g: F.get(headers, g)))
+    left = F.array_except(F.get(headers, F.col(_GROUP)), taken)
+    cells = F.transform(left, lambda i: F.struct(F.get(names, i).alias("Date"), F.get(F.col(_CELLS), i).alias("Value")))
+    first = parts[0][0]
+    further = [c for c in met.columns if c not in (*first, _GROUP, _CELLS, _BEFORE)]
+    long = met.select(*[F.col(quoted(c)) for c in (*first, *further)], F.inline(cells))
+    # names are never null, as after an unpivot
+    long = long.withColumn("Date", F.coalesce("Date", F.lit("")))
+    long = N.stamp(long, as_of) if stamped else long
+    added = [c for c in long.columns if c not in (*first, *further)]
+    return long.select(*[F.col(quoted(c)) for c in (*first, *added, *further)])
 
 
 def _first_known(df: DataFrame, keys: Sequence[str], order_by: Order, months: Sequence[str]) -> DataFrame:
@@ -161,6 +215,8 @@ class Feed:
     for each header. ``stream`` takes the drop folder, a file with the layout of its
     files and the number of files per micro-batch, and ``groups`` makes of a
     micro-batch what ``read`` gives. ``rules`` are checked on ``prepare``d rows.
+    ``clean_groups`` cleans frames with different headers together, where that can
+    be had for less than cleaning each and choosing between the rows.
     """
 
     name: str
@@ -173,6 +229,7 @@ class Feed:
     groups: Callable[[DataFrame], list[DataFrame]] = lambda batch: [batch]
     prepare: Callable[[DataFrame], DataFrame] | None = None
     rules: Callable[[], dict[str, Column]] = dict
+    clean_groups: Callable[..., DataFrame] | None = None
 
     def store(self, spark: SparkSession, root: str, partition_by: Column | None = None) -> KeyedTable:
         """The feed's table; a finer ``partition_by`` suits larger tables."""
@@ -231,6 +288,7 @@ FEEDS = {
             S.VALUE_KEYS,
             lambda: F.substring("Date", 1, 4),
             groups=lambda batch: readers.wide_groups(batch.sparkSession, batch, _ARRIVED),
+            clean_groups=value_index_groups,
         ),
     )
 }
@@ -243,6 +301,9 @@ def cleaned(feed: Feed, groups: Sequence[DataFrame], **options) -> DataFrame:
     if their files had been merged one after the other.
     """
     latest = [F.col(_ARRIVED).desc()]
+    # with drop_nulls a month's first known value counts, which the header does not tell
+    if feed.clean_groups is not None and len(groups) > 1 and not options.get("drop_nulls"):
+        return feed.clean_groups(groups, order_by=latest, **{k: v for k, v in options.items() if k != "drop_nulls"}).drop(_ARRIVED)
     parts = [feed.clean(group, order_by=latest, **options) for group in groups]
     if len(parts) == 1:
         return parts[0].drop(_ARRIVED)
