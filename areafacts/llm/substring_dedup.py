@@ -17,8 +17,8 @@ Exact, whatever the length of a repetition and wherever it starts, and never hel
 An anchor that HOT or more contexts have (a passage that a third of all documents share, with different text around it)
 would make a bucket as large as the corpus. Its windows are sent one by one instead, under a 128-bit hash, equal ones
 once a shard, to buckets of their own hash: exact up to hash collisions, which at 10^14 windows have a probability of
-10^-10. Shards and answers are written to the shared folder; the messages between are
-functions of them, so a lost task sends the same again.
+10^-10. Shards and answers are written to the shared folder by the hash of the shard, so texts are never shuffled; the
+messages between are functions of them, so a lost task sends the same again.
 
 Defined cases: null text is empty. Texts shorter than LENGTH keep everything. "Earlier" is a smaller id; a null id is
 later than every other. Rows of one id are one document: they do not remove each other's text, and each is returned.
@@ -36,8 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areafacts import scratch
 from areafacts.llm import bwt
-from areafacts.llm.common import batch, runs, stored, texts
+from areafacts.llm.common import batch, runs, texts
 from areafacts.llm.lattice import Numbers
 
 SHARD = 2_000_000
@@ -101,14 +102,35 @@ def anchor_size(length: int) -> int:
 
 
 def short(hashes: np.ndarray) -> bytes:
-    """The upper six bytes of hashes: two anchors that share them are compared in vain, no more."""
-    return (hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The upper six bytes of sorted hashes: two anchors that share them are compared in vain, no more.
+
+    Steps from hash to hash, all their first bytes, then all second ones: the upper bytes of steps are zeros, which the
+    shuffle's compression takes out.
+    """
+    steps = np.diff(hashes >> np.uint64(16), prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
 
 
 def lengthened(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64)[:, 0] << np.uint64(16)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(6, len(data) // 6).T
+    return np.cumsum(out.view(np.uint64)[:, 0], dtype=np.uint64) << np.uint64(16)
+
+
+def pressed(sizes: np.ndarray, least: np.ndarray, contexts: list[bytes], press: zstandard.ZstdCompressor) -> bytes:
+    """Sizes, earliest documents and bytes of contexts, compressed; the numbers byte by byte, as most bytes repeat."""
+    planes = [x.view(np.uint8).reshape(len(sizes), -1).T.tobytes() for x in (sizes.astype(np.uint32), least)]
+    return press.compress(b"".join([*planes, *contexts]))
+
+
+def expanded(data: bytes, n: int, expand: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """What :func:`pressed` got, of ``n`` contexts."""
+    whole = expand.decompress(data)
+    sizes, least = (
+        np.ascontiguousarray(np.frombuffer(whole[a * n : b * n], np.uint8).reshape(b - a, n).T).view(kind)[:, 0]
+        for a, b, kind in ((0, 4, np.uint32), (4, 12, np.int64))
+    )
+    return sizes.astype(np.int64), least, whole[12 * n :]
 
 
 class Shard:
@@ -280,14 +302,22 @@ def _compare_anchors(hot: int):
     return lambda batches: _sent(compare(batches))
 
 
-def _with_answers(shards: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+def _by_shard(rows: DataFrame, purpose: str, files: int) -> DataFrame:
+    """``rows`` computed once, as a table in the shared folder hashed by shard: two such tables meet without a shuffle."""
+    path = scratch.folder(rows.sparkSession, purpose)
+    name = f"areafacts_{purpose}_{path.rsplit('-', 1)[-1]}"
+    rows.write.bucketBy(files, "shard").option("path", path).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
+def _with_answers(shards: DataFrame, rows: DataFrame, how: str, files: int) -> DataFrame:
     """Shards with what came back for them (``answers``, in the order it was sent).
 
     Answers are bits and run lengths, a few hundredths of the text. Up to BROADCAST bytes they go to the shards; beyond,
-    the shards are shuffled to them.
+    both are read by the hash of the shard they were stored by, so the text stays where it is.
     """
     answers = rows.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("kind", "bucket", "b0", "b1", "b2", "b3"))).alias("answers"))
-    answers = stored(answers, "answers")
+    answers = _by_shard(answers, "answers", files)
     size = F.aggregate("answers", F.lit(0).cast("long"), lambda n, a: n + sum(F.length(a[f"b{i}"]) for i in range(4)))
     small = (answers.agg(F.sum(size)).first()[0] or 0) <= BROADCAST
     return shards.join(F.broadcast(answers) if small else answers, "shard", how)
@@ -299,6 +329,7 @@ def _aligned(bits: np.ndarray) -> np.ndarray:
 
 def _send_contexts(length: int, buckets: int):
     def send(batches):
+        press = zstandard.ZstdCompressor(level=3)
         for row in _rows(batches):
             shard = Shard(row)
             start, count, hashes, ids = shard.anchored(length)
@@ -327,9 +358,7 @@ def _send_contexts(length: int, buckets: int):
                 anchor[number] = hashes[cold]
                 offset = np.empty(len(index), np.int64)
                 for bucket, mine in _stretches(_bucket(anchor, buckets)):
-                    yield _message(
-                        CONTEXTS, bucket, row["shard"], short(anchor[mine]), sizes[mine].astype(np.uint32).tobytes(), least[mine].tobytes(), b"".join(contexts[mine])
-                    )
+                    yield _message(CONTEXTS, bucket, row["shard"], short(anchor[mine]), pressed(sizes[mine], least[mine], contexts[mine], press))
                     windows = sizes[mine] - length + 1
                     offset[mine] = bit + np.cumsum(windows) - windows
                     bit += int(_aligned(windows.sum()))
@@ -391,15 +420,15 @@ def _earliest(contexts: list[bytes], sender: np.ndarray, least: np.ndarray, leng
 
 def _compare_contexts(rows: list[dict], length: int) -> list[np.ndarray]:
     """For each row's contexts in order, for each window: whether an earlier document than the sender's has it."""
-    index = Numbers()
+    index, expand = Numbers(), zstandard.ZstdDecompressor()
     anchors, least, numbers, sent = [], [], [], []
     for r in rows:
-        sizes = np.frombuffer(r["b1"], np.uint32).astype(np.int64)
-        ends = np.cumsum(sizes)
-        numbers.append(np.array([index[r["b3"][e - s : e]] for s, e in zip(sizes.tolist(), ends.tolist())], np.int64))
         anchors.append(lengthened(r["b0"]))
-        sent.append(np.frombuffer(r["b2"], np.int64))
-        least.append(sent[-1])
+        sizes, own, text = expanded(r["b1"], len(anchors[-1]), expand)
+        ends = np.cumsum(sizes)
+        numbers.append(np.array([index[text[e - s : e]] for s, e in zip(sizes.tolist(), ends.tolist())], np.int64))
+        sent.append(own)
+        least.append(own)
     number, anchor, own = np.concatenate(numbers), np.concatenate(anchors), np.concatenate(sent)
     sender = np.repeat(np.arange(len(rows)), [len(n) for n in numbers])
     contexts = list(index)
@@ -513,7 +542,8 @@ def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_col
     if length % 2 or length < 8:
         raise ValueError("the length is even, 8 at least")
     rows = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text_column}`"].alias("text"))
-    shards = stored(pack(rows, shard_bytes), "shards")
+    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = _by_shard(pack(rows, shard_bytes), "shards", files)
     buckets = min(max(16, -(-shards.count() // SHARDS_A_BUCKET)), BUCKETS)
 
     def met(sent: DataFrame) -> DataFrame:
@@ -521,6 +551,6 @@ def dedup(docs: DataFrame, length: int = 50, id_column: str = "doc_id", text_col
 
     anchors = shards.mapInArrow(_send_anchors(length, buckets), MESSAGE_SQL)
     known = met(anchors).mapInArrow(_compare_anchors(hot), MESSAGE_SQL)
-    sent = _with_answers(shards, known, "inner").mapInArrow(_send_contexts(length, buckets), MESSAGE_SQL)
+    sent = _with_answers(shards, known, "inner", files).mapInArrow(_send_contexts(length, buckets), MESSAGE_SQL)
     back = met(sent).mapInArrow(_decide(length), MESSAGE_SQL)
-    return _with_answers(shards, back, "left").mapInArrow(_apply(length), RESULT_SQL)
+    return _with_answers(shards, back, "left", files).mapInArrow(_apply(length), RESULT_SQL)

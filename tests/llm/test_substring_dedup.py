@@ -5,12 +5,14 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from areafacts.llm import bwt, queries, substring_dedup
+from tests.conftest import plan_of
 from tools.compare import duck
 
 SF = "/root/testdata/sf0.01"
@@ -133,6 +135,36 @@ def test_shuffled_shards(spark, monkeypatch):
     assert got(substring_dedup.dedup(docs, 20, shard_bytes=500)) == sorted(brute(rows, 20), key=str)
 
 
+def test_texts_are_not_shuffled_to_their_answers(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(substring_dedup, "BROADCAST", 0)
+    joined = substring_dedup._with_answers
+    monkeypatch.setattr(substring_dedup, "_with_answers", lambda *a: plans.append(joined(*a)) or plans[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(i, t, "k", "s", "x") for i, t in fixture(7)], SCHEMA).repartition(3)
+        substring_dedup.dedup(docs, 20, shard_bytes=500)
+        assert len(plans) == 2
+        assert all("SortMergeJoin" in plan_of(p) and "Exchange" not in plan_of(p) for p in plans)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_messages_are_small_and_come_back():
+    rng = np.random.default_rng(1)
+    hashes = np.sort(rng.integers(0, 2**64, 50_000, dtype=np.uint64))
+    data = substring_dedup.short(hashes)
+    assert substring_dedup.lengthened(data).tolist() == (hashes >> np.uint64(16) << np.uint64(16)).tolist()
+    assert len(pa.compress(data, codec="lz4_raw", asbytes=True)) < 0.8 * 6 * len(hashes)
+    contexts = [f"context {i % 40} of some length".encode() for i in range(500)]
+    sizes, least = np.array([len(c) for c in contexts], np.int64), rng.integers(0, 2**62, 500)
+    least[3] = substring_dedup.NO_ID
+    pressed = substring_dedup.pressed(sizes, least, contexts, zstandard.ZstdCompressor(level=3))
+    got_sizes, got_least, text = substring_dedup.expanded(pressed, 500, zstandard.ZstdDecompressor())
+    assert got_sizes.tolist() == sizes.tolist() and got_least.tolist() == least.tolist() and text == b"".join(contexts)
+    assert len(pressed) < 0.5 * sum(sizes + 12)
+
+
 def test_long_text_and_small_merges(spark, monkeypatch):
     rng = random.Random(9)
     base = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
