@@ -69,14 +69,11 @@ def partials(signed: DataFrame, by: dict[str, Column], sums: Sequence[Sum]) -> D
 
 
 def advanced(state: DataFrame, delta: DataFrame, by: Sequence[str], delivery: str) -> DataFrame:
-    """The states of the groups in ``delta``, after it. A group that had this ``delivery`` already stays as it is."""
+    """The states of the groups in ``delta``, after it. A group that had this ``delivery`` already stays as it is, and is left out."""
     added = [c for c in delta.columns if c not in by]
     on = matching(list(by), null_safe=True)
     known = state.alias("t").join(delta.select(*by).alias("s"), on, "left_semi")
     again = F.col(f"t.{DELIVERY}").eqNullSafe(F.lit(delivery))
-    new = [
-        F.when(again, F.col(f"t.{c}")).otherwise(F.coalesce(F.col(f"t.{c}"), F.lit(0)) + F.col(f"s.{c}")).cast(delta.schema[c].dataType).alias(c)
-        for c in added
-    ]
-    joined = delta.alias("s").join(known.alias("t"), on, "left")
+    new = [(F.coalesce(F.col(f"t.{c}"), F.lit(0)) + F.col(f"s.{c}")).cast(delta.schema[c].dataType).alias(c) for c in added]
+    joined = delta.alias("s").join(known.alias("t"), on, "left").where(~again)
     return joined.select(*[F.col(f"s.{c}").alias(c) for c in by], *new, F.lit(delivery).alias(DELIVERY))

@@ -43,9 +43,13 @@ class Mart:
         base.merge(source, batch=delivery, log=log)
         if not scratch.exists(base.spark, log):
             return []  # an empty delivery
-        delta = partials(base.spark.read.parquet(log), self.by, self.sums)
-        state.ensure(delta.withColumn(DELIVERY, F.lit(delivery)).schema)
-        return state.merge(advanced(state.read(), delta, list(self.by), delivery), null_safe=True)
+        summed = partials(base.spark.read.parquet(log), self.by, self.sums)
+        state.ensure(summed.withColumn(DELIVERY, F.lit(delivery)).schema)
+        delta, stored = scratch.written(summed, "delta")  # both joins with it read the sums, not the change set
+        try:
+            return state.merge(advanced(state.read(), delta, list(self.by), delivery), null_safe=True)
+        finally:
+            scratch.remove(state.spark, stored)
 
 
 def place_mart(category: str = marts.RESTAURANTS) -> Mart:

@@ -109,7 +109,7 @@ class KeyedTable:
             raise FileNotFoundError(f"nothing has been merged into {self.root} yet")
         whole = T.StructType([*schema.fields, T.StructField(_BATCH, T.StringType()), T.StructField(BUCKET, T.StringType())])
         if not scratch.exists(self.spark, f"{self.root}/data"):
-            return self.spark.createDataFrame([], whole)
+            return self.spark.createDataFrame([], whole).limit(0)  # known to be empty when planned: no join with it
         # files older than a new column lack it: read as null
         return self.spark.read.schema(whole).parquet(f"{self.root}/data")
 

@@ -9,6 +9,7 @@ from areafacts.operators.changes import changes
 from areafacts.operators.upsert import upsert
 from areafacts.plans import marts, upkeep
 from areafacts.sources.keyed import KeyedTable
+from tests.conftest import plan_of
 
 SCHEMA = "k int, v string"
 
@@ -98,3 +99,29 @@ def test_groups_that_are_not_touched_are_not_written(spark, tmp_path, tables):
     state = mart.state(spark, str(tmp_path / "parted"), F.col("zip"))
     mart.follow(base, state, spark.createDataFrame(DELIVERIES[0], PLACE), "d0")
     assert mart.follow(base, state, spark.createDataFrame([place(3, 502, 2.0, 9)], PLACE), "d1") == ["502"]
+
+
+def test_a_delivery_that_comes_again_writes_no_state(spark, tables):
+    base, mart, state = tables
+    for n in (0, 1):
+        mart.follow(base, state, spark.createDataFrame(DELIVERIES[n], PLACE), f"d{n}")
+    written = state.read().inputFiles()
+    assert mart.follow(base, state, spark.createDataFrame(DELIVERIES[1], PLACE), "d1") == []
+    assert state.read().inputFiles() == written
+    assert summary(mart.read(state)) == summary(marts.place_summary(base.read()))
+
+
+def test_a_first_delivery_is_not_joined(spark, tables):
+    base, _, _ = tables
+    source = spark.createDataFrame(DELIVERIES[0], PLACE)
+    base.ensure(source.schema)
+    plan = plan_of(changes(base.read(), source, base.keys))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_both_joins_of_a_state_read_sums(spark, tables, monkeypatch):
+    base, mart, state = tables
+    seen, advanced = [], upkeep.advanced
+    monkeypatch.setattr(upkeep, "advanced", lambda state, delta, *a: seen.append(plan_of(delta)) or advanced(state, delta, *a))
+    mart.follow(base, state, spark.createDataFrame(DELIVERIES[0], PLACE), "d0")
+    assert len(seen) == 1 and "Aggregate" not in seen[0]
