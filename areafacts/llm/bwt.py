@@ -33,6 +33,9 @@ def closed(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _after(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
     """Place ``n`` symbols on, in circles."""
+    if len(size) and abs(n) <= size.min():  # one turn at most, no division
+        place = np.arange(n, n + len(start))
+        return place - size * (place >= start + size) if n >= 0 else place + size * (place < start)
     return start + (np.arange(len(start)) - start + n) % size
 
 

@@ -8,10 +8,12 @@ Exact, whatever the length of a repetition and wherever it starts, and never hel
    bit for each: whether another document has it. Everything else in the corpus is done with after this.
 3. Shards send, for the anchors that others have, the stretches of text around them (contexts) to the anchors' buckets,
    equal ones once, with their earliest document.
-4. In a bucket, a context that all its anchor's senders agree on is decided at once. Where contexts differ, each shard's
-   contexts make a Burrows-Wheeler transform; the transforms are merged by refining their interleave round by round, two
-   symbols a round, up to LENGTH symbols (see ``bwt``). Neighbours that have not parted by then are an interval of equal
-   windows, and the earliest document of an interval decides on its windows. One bit per window goes back.
+4. In a bucket, a context that all its anchor's senders agree on is decided at once. Where contexts differ, windows whose
+   64-bit hash no other has are equal to none. The stretches of the others make Burrows-Wheeler transforms, one for a run
+   of shards and at most PARTS, so that transforms do not get smaller and more with the corpus; these are merged by
+   refining their interleave round by round, two symbols a round, up to LENGTH symbols (see ``bwt``). Neighbours that have
+   not parted by then are an interval of equal windows, and the earliest document of an interval decides on its windows.
+   One bit per window goes back.
 5. Shards mark what their windows cover.
 
 An anchor that HOT or more contexts have (a passage that a third of all documents share, with different text around it)
@@ -41,11 +43,14 @@ from areafacts.llm import bwt
 from areafacts.llm.common import batch, runs, texts
 from areafacts.llm.lattice import Numbers
 
-SHARD = 2_000_000
+# Every shard writes to every bucket: messages fall with the square of this, and a shard fits a task many times over.
+SHARD = 4_000_000
 ANCHOR = 24
 HOT = 2048
 # Symbols whose transforms are merged at once; the contexts of one anchor stay together.
 MERGED = 250_000
+# So many transforms are merged, of runs of shards.
+PARTS = 8
 # A bucket has about what so many shards have, up to BUCKETS of them.
 SHARDS_A_BUCKET = 4
 BUCKETS = 4096
@@ -214,14 +219,15 @@ def _message(kind: int, bucket: int, shard: int, *parts: bytes) -> tuple:
     return (kind, bucket, shard, *parts, *[b""] * (4 - len(parts)))
 
 
-def _sent(messages: Iterator[tuple], most: int = 256) -> Iterator[pa.RecordBatch]:
+def _sent(messages: Iterator[tuple], most: int = 256, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Messages as record batches."""
-    waiting = []
+    waiting, size = [], 0
     for message in messages:
         waiting.append(message)
-        if len(waiting) == most:
+        size += sum(map(len, message[3:]))
+        if len(waiting) == most or size > most_bytes:
             yield batch(MESSAGE, *zip(*waiting))
-            waiting = []
+            waiting, size = [], 0
     if waiting:
         yield batch(MESSAGE, *zip(*waiting))
 
@@ -327,6 +333,11 @@ def _aligned(bits: np.ndarray) -> np.ndarray:
     return -(-bits // 8) * 8
 
 
+def _steps(count: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count, one after the other."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
 def _send_contexts(length: int, buckets: int):
     def send(batches):
         press = zstandard.ZstdCompressor(level=3)
@@ -346,27 +357,27 @@ def _send_contexts(length: int, buckets: int):
             cold = np.flatnonzero(shared & ~hot)
             cold = cold[np.argsort(hashes[cold], kind="stable")]
             if len(cold):
-                # equal contexts have equal anchors, so numbers by first sight are in the order of the hashes too
-                index = Numbers()
-                begin, end = start[cold], start[cold] + count[cold] - 1 + length
-                number = np.array([index[shard.raw[a:b]] for a, b in zip(begin.tolist(), end.tolist())], np.int64)
-                least = np.full(len(index), NO_ID)
-                np.minimum.at(least, number, ids[cold])
-                contexts = list(index)
-                sizes = np.array([len(c) for c in contexts], np.int64)
-                anchor = np.empty(len(index), np.uint64)
-                anchor[number] = hashes[cold]
-                offset = np.empty(len(index), np.int64)
+                begin, n, anchor, own = start[cold], count[cold], hashes[cold], ids[cold]
+                end, offset, later = begin + n - 1 + length, np.empty(len(cold), np.int64), np.empty(len(cold), bool)
                 for bucket, mine in _stretches(_bucket(anchor, buckets)):
-                    yield _message(CONTEXTS, bucket, row["shard"], short(anchor[mine]), pressed(sizes[mine], least[mine], contexts[mine], press))
-                    windows = sizes[mine] - length + 1
-                    offset[mine] = bit + np.cumsum(windows) - windows
+                    # equal contexts have equal anchors, so they meet here and numbers by first sight are in the order of the hashes
+                    index = Numbers()
+                    number = np.array([index[shard.raw[a:b]] for a, b in zip(begin[mine].tolist(), end[mine].tolist())], np.int64)
+                    least, of = np.full(len(index), NO_ID), np.empty(len(index), np.uint64)
+                    np.minimum.at(least, number, own[mine])
+                    of[number] = anchor[mine]
+                    contexts = list(index)
+                    sizes = np.array([len(c) for c in contexts], np.int64)
+                    yield _message(CONTEXTS, bucket, row["shard"], short(of), pressed(sizes, least, contexts, press))
+                    windows = sizes - length + 1
+                    offset[mine] = (bit + np.cumsum(windows) - windows)[number]
+                    later[mine] = own[mine] > least[number]
                     bit += int(_aligned(windows.sum()))
-                plan.append((begin, count[cold], offset[number], ids[cold] > least[number]))
+                plan.append((begin, n, offset, later))
 
             warm = np.flatnonzero(shared & hot)
             if len(warm):
-                window = np.repeat(start[warm] - (np.cumsum(count[warm]) - count[warm]), count[warm]) + np.arange(int(count[warm].sum()))
+                window = np.repeat(start[warm], count[warm]) + _steps(count[warm])
                 own = np.repeat(ids[warm], count[warm])
                 one, two = rolling(shard.data, length)[window], rolling(shard.data, length, 1)[window]
                 order = np.lexsort((two, one))
@@ -379,7 +390,8 @@ def _send_contexts(length: int, buckets: int):
                     yield _message(WINDOWS, bucket, row["shard"], one_[mine].tobytes(), two_[mine].tobytes(), least[mine].tobytes())
                     offset[mine] = bit + np.arange(mine.stop - mine.start)
                     bit += int(_aligned(np.int64(mine.stop - mine.start)))
-                plan.append((window, np.ones(len(window), np.int64), offset[number], own > least[number]))
+                plan.append((window, np.ones(len(window), np.uint16), offset[number], own > least[number]))
+                del one, two, order, number, own, least, one_, two_, offset
 
             if plan:
                 columns = [np.concatenate(c) for c in zip(*plan)]
@@ -392,43 +404,114 @@ def _send_contexts(length: int, buckets: int):
     return lambda batches: _sent(send(batches))
 
 
-def _earliest(contexts: list[bytes], sender: np.ndarray, least: np.ndarray, length: int) -> list[np.ndarray]:
-    """The earliest document of each window of each context, among all contexts: merged transforms of the senders'."""
-    sizes = np.array([len(c) for c in contexts], np.int64)
+def _earliest(text: np.ndarray, sizes: np.ndarray, sender: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
+    """The earliest document of each window of each stretch (bytes after each other in ``text``), among all stretches.
+
+    Runs of senders make at most PARTS transforms of about one size, however many senders there are; these are merged.
+    """
+    windows, begin = sizes - length + 1, np.cumsum(sizes) - sizes
     order = np.argsort(sender, kind="stable")
+    symbols = np.cumsum(sizes[order] + 2)
     heads = runs(sender[order])
+    heads = heads[runs((symbols[heads] - symbols[0]) * PARTS // symbols[-1])]
     parts, context, offset = [], [], []
     for a, b in zip(heads, np.append(heads[1:], len(order))):
         mine = order[a:b]
-        parts.append(bwt.transform(np.frombuffer(b"".join([contexts[i] for i in mine]), np.uint8), sizes[mine], length))
+        parts.append(bwt.transform(text[np.repeat(begin[mine], sizes[mine]) + _steps(sizes[mine])], sizes[mine], length))
         context.append(np.repeat(mine, sizes[mine] + 2))
-        offset.append(np.concatenate([np.arange(sizes[i] + 2) for i in mine]))
+        offset.append(_steps(sizes[mine] + 2))
     source, rotation, interval = bwt.merge(parts, length)
     base = np.cumsum([0] + [len(p.at) for p in parts])[:-1]
     at = base[source] + rotation
     context, offset = np.concatenate(context)[at], np.concatenate(offset)[at]
-    whole = offset <= sizes[context] - length  # rotations that run over a string's end are no windows
+    whole = offset < windows[context]  # rotations that run over a string's end are no windows
     context, offset, interval = context[whole], offset[whole], interval[whole]
     heads = runs(interval)
-    first = np.repeat(np.minimum.reduceat(least[context], heads), np.diff(np.append(heads, len(interval))))
-    windows = sizes - length + 1
     out = np.empty(int(windows.sum()), np.int64)
-    begin = np.cumsum(windows) - windows
-    out[begin[context] + offset] = first
-    return np.split(out, begin[1:])
+    out[(np.cumsum(windows) - windows)[context] + offset] = np.repeat(np.minimum.reduceat(least[context], heads), np.diff(np.append(heads, len(interval))))
+    return out
+
+
+def _met(text: np.ndarray, sizes: np.ndarray, length: int) -> np.ndarray:
+    """For each window of the contexts in ``text``: whether another has the same hash. Others have no equal here."""
+    windows = sizes - length + 1
+    hashes = rolling(text, length)[np.repeat(np.cumsum(sizes) - sizes, windows) + _steps(windows)]
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def _several(contexts: list[bytes], anchor: np.ndarray, by: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest documents of the windows of contexts whose anchor has others; where each context's windows are there.
+
+    Windows with no equal are told by their hashes; what is left of the contexts is merged, anchors whole.
+    """
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    windows = sizes - length + 1
+    order = np.argsort(anchor, kind="stable")
+    heads = runs(anchor[order])
+    count = np.diff(np.append(heads, len(order)))
+    order, count = order[np.repeat(count > 1, count)], count[count > 1]
+    base = np.full(len(contexts), -1)
+    base[order] = np.cumsum(windows[order]) - windows[order]
+    out = np.repeat(first[order], windows[order])
+    ends = np.cumsum(count)
+    # a group of contexts is cut after the anchor that fills it
+    upto = np.cumsum(sizes[order] + 2)[ends - 1] if len(ends) else ends
+    stretches, waiting = [], 0
+
+    def merge():
+        text, at, size, sender, least = (np.concatenate(x) for x in zip(*stretches))
+        count = size - length + 1
+        out[np.repeat(at, count) + _steps(count)] = _earliest(text, size, sender, least, length)
+
+    for a, b in _cuts(upto, MERGED):
+        mine = order[ends[a] - count[a] : ends[b - 1]]
+        text, size = np.frombuffer(b"".join([contexts[i] for i in mine]), np.uint8), sizes[mine]
+        met = _met(text, size, length)
+        # stretches of windows that are met, none across two contexts
+        of = np.repeat(np.arange(len(mine)), windows[mine])
+        here = np.flatnonzero(met)
+        if not len(here):
+            continue
+        starts = runs(here - np.arange(len(here)) + of[here] * (len(met) + 1))
+        n = np.diff(np.append(starts, len(here)))
+        start = here[starts]
+        of = of[start]
+        size_ = n + length - 1
+        # the byte a window starts with: each context before it has length - 1 more bytes than windows
+        where = start + of * (length - 1)
+        stretches.append((text[np.repeat(where, size_) + _steps(size_)], base[mine[0]] + start, size_, by[mine][of], first[mine][of]))
+        waiting += int(size_.sum()) + 2 * len(size_)
+        if waiting > MERGED:
+            merge()
+            stretches, waiting = [], 0
+    if stretches:
+        merge()
+    return out, base
+
+
+def _cuts(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of items with running sum ``upto``, each closed by the item that takes it over ``most``."""
+    a, n = 0, len(upto)
+    while a < n:
+        b = min(int(np.searchsorted(upto, (upto[a - 1] if a else 0) + most, side="right")) + 1, n)
+        yield a, b
+        a = b
 
 
 def _compare_contexts(rows: list[dict], length: int) -> list[np.ndarray]:
     """For each row's contexts in order, for each window: whether an earlier document than the sender's has it."""
     index, expand = Numbers(), zstandard.ZstdDecompressor()
-    anchors, least, numbers, sent = [], [], [], []
+    anchors, numbers, sent = [], [], []
     for r in rows:
         anchors.append(lengthened(r["b0"]))
         sizes, own, text = expanded(r["b1"], len(anchors[-1]), expand)
         ends = np.cumsum(sizes)
-        numbers.append(np.array([index[text[e - s : e]] for s, e in zip(sizes.tolist(), ends.tolist())], np.int64))
+        numbers.append(np.array([index[text[a:b]] for a, b in zip((ends - sizes).tolist(), ends.tolist())], np.int64))
         sent.append(own)
-        least.append(own)
     number, anchor, own = np.concatenate(numbers), np.concatenate(anchors), np.concatenate(sent)
     sender = np.repeat(np.arange(len(rows)), [len(n) for n in numbers])
     contexts = list(index)
@@ -439,31 +522,16 @@ def _compare_contexts(rows: list[dict], length: int) -> list[np.ndarray]:
     by = np.empty(len(contexts), np.int64)
     by[number[::-1]] = sender[::-1]  # the first to send it
 
-    windows = np.array([len(c) for c in contexts], np.int64) - length + 1
-    earliest: list[np.ndarray] = [None] * len(contexts)
-    order = np.argsort(of, kind="stable")
-    heads = runs(of[order])
-    waiting, size = [], 0
-
-    def merge():
-        for i, found in zip(waiting, _earliest([contexts[i] for i in waiting], by[waiting], first[waiting], length)):
-            earliest[i] = found
-
-    for a, b in zip(heads.tolist(), np.append(heads[1:], len(order)).tolist()):
-        if b - a == 1:
-            continue
-        waiting += order[a:b].tolist()
-        size += int(windows[order[a:b]].sum()) + (length + 1) * (b - a)
-        if size > MERGED:
-            merge()
-            waiting, size = [], 0
-    if waiting:
-        merge()
-    out = []
-    for n, own_ in zip(numbers, sent):
-        bits = [earliest[i] < d if earliest[i] is not None else np.full(windows[i], first[i] < d) for i, d in zip(n.tolist(), own_.tolist())]
-        out.append(np.concatenate(bits))
-    return out
+    earliest, base = _several(contexts, of, by, first, length)
+    windows = (np.array([len(c) for c in contexts], np.int64) - length + 1)[number]
+    begin = np.cumsum(windows) - windows
+    bits = np.repeat(first[number] < own, windows)
+    open_ = np.flatnonzero(base[number] >= 0)
+    for i in range(0, len(open_), 1 << 15):
+        some = open_[i : i + (1 << 15)]
+        n, step = windows[some], _steps(windows[some])
+        bits[np.repeat(begin[some], n) + step] = earliest[np.repeat(base[number[some]], n) + step] < np.repeat(own[some], n)
+    return np.split(bits, np.append(begin, len(bits))[np.cumsum([len(n) for n in numbers])[:-1]])
 
 
 def _compare_windows(rows: list[dict]) -> list[np.ndarray]:
@@ -503,7 +571,7 @@ def _covered(row: dict, n: int, length: int) -> np.ndarray:
     expand = zstandard.ZstdDecompressor().decompress
     start, count, offset, later = (np.frombuffer(expand(plan[c]), t) for c, t in zip(("b0", "b1", "b2", "b3"), (np.int64, np.uint16, np.int64, np.uint8)))
     start, offset, count = np.cumsum(start), np.cumsum(offset), count.astype(np.int64)
-    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    step = _steps(count)
     removed = bits[np.repeat(offset, count) + step] | np.repeat(later.astype(bool), count)
     at = (np.repeat(start, count) + step)[removed]
     change = np.bincount(at, minlength=n + 1) - np.bincount(at + length, minlength=n + 1)

@@ -165,6 +165,91 @@ def test_messages_are_small_and_come_back():
     assert len(pressed) < 0.5 * sum(sizes + 12)
 
 
+def sent_contexts(seed, senders):
+    """Rows as shards send them, and per row (contexts, own earliest documents): contexts over two letters an anchor."""
+    rng = random.Random(seed)
+    press, rows, sent = zstandard.ZstdCompressor(), [], []
+    for shard in range(senders):
+        mine = {}
+        for _ in range(rng.randint(1, 5)):
+            k = rng.randrange(6)
+            size = rng.randint(8, 22)
+            c = bytes(rng.choice([97 + 2 * k, 98 + 2 * k]) for _ in range(size)) if k else b"m" * size
+            mine[k, c] = rng.choice([substring_dedup.NO_ID, rng.randrange(10**6)])
+        contexts = sorted(mine)
+        anchors = np.array([k << 20 for k, _ in contexts], np.uint64)
+        sizes, least = np.array([len(c) for _, c in contexts], np.int64), np.array([mine[c] for c in contexts], np.int64)
+        rows.append({"b0": substring_dedup.short(anchors), "b1": substring_dedup.pressed(sizes, least, [c for _, c in contexts], press)})
+        sent.append(([c for _, c in contexts], least.tolist()))
+    return rows, sent
+
+
+@pytest.mark.parametrize("merged", [1, 90, 700, 250_000])
+def test_windows_are_compared_across_all_senders(monkeypatch, merged):
+    monkeypatch.setattr(substring_dedup, "MERGED", merged)
+    for seed, senders in [(1, 1), (2, 2), (3, 30), (4, 300)]:
+        rows, sent = sent_contexts(seed, senders)
+        first = {}
+        for contexts, least in sent:
+            for c, i in zip(contexts, least):
+                for p in range(len(c) - 7):
+                    first[c[p : p + 8]] = min(first.get(c[p : p + 8], i), i)
+        wanted = [[first[c[p : p + 8]] < i for c, i in zip(*row) for p in range(len(c) - 7)] for row in sent]
+        assert [bits.tolist() for bits in substring_dedup._compare_contexts(rows, 8)] == wanted
+
+
+def test_windows_of_one_hash_are_still_told_apart(monkeypatch):
+    rolling = substring_dedup.rolling
+    monkeypatch.setattr(substring_dedup, "rolling", lambda *a: rolling(*a) & np.uint64(3))
+    rows, sent = sent_contexts(5, 80)
+    found = substring_dedup._compare_contexts(rows, 8)
+    monkeypatch.undo()
+    assert [a.tolist() for a in found] == [a.tolist() for a in substring_dedup._compare_contexts(rows, 8)]
+
+
+def test_transforms_do_not_grow_with_the_senders(monkeypatch):
+    sizes, transform = [], bwt.transform
+    monkeypatch.setattr(bwt, "transform", lambda text, *a: sizes.append(len(text)) or transform(text, *a))
+    for senders in (300, 1200):
+        sizes.clear()
+        rows, _ = sent_contexts(6, senders)
+        substring_dedup._compare_contexts(rows, 8)
+        assert 1 < len(sizes) <= 8
+
+
+def test_windows_without_an_equal_are_not_merged(monkeypatch):
+    sizes, transform = [], bwt.transform
+    monkeypatch.setattr(bwt, "transform", lambda text, *a: sizes.append(len(text)) or transform(text, *a))
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n)).encode()
+    middle, twice = letters(24), letters(70)
+    press, rows = zstandard.ZstdCompressor(), []
+    for shard in range(40):
+        contexts = [letters(25) + middle + letters(25)] + [twice] * (shard in (7, 30))
+        rows.append(
+            {
+                "b0": substring_dedup.short(np.full(len(contexts), 1 << 30, np.uint64)),
+                "b1": substring_dedup.pressed(np.array([len(c) for c in contexts], np.int64), np.full(len(contexts), shard), contexts, press),
+            }
+        )
+    found = [bits.sum() for bits in substring_dedup._compare_contexts(rows, 50)]
+    assert found == [21 * (shard == 30) for shard in range(40)]
+    assert sum(sizes) == 0  # twice is one context, the others have no window in common
+
+
+def test_messages_fall_with_larger_shards():
+    """Shards times buckets of 10 GB of text: 6.2 million with shards of 2 MB."""
+    shards = 10 * 10**9 // substring_dedup.SHARD
+    assert shards * shards // substring_dedup.SHARDS_A_BUCKET <= 1.6 * 10**6
+
+
+def test_batches_of_messages_are_bounded():
+    messages = [substring_dedup._message(1, i, 0, b"x" * 100_000) for i in range(50)] + [substring_dedup._message(1, 50, 0)] * 600
+    found = list(substring_dedup._sent(iter(messages), most_bytes=1_000_000))
+    assert [r["bucket"] for b in found for r in b.to_pylist()] == [m[1] for m in messages]
+    assert max(b.nbytes for b in found) < 1_200_000 and max(b.num_rows for b in found) == 256
+
+
 def test_long_text_and_small_merges(spark, monkeypatch):
     rng = random.Random(9)
     base = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
